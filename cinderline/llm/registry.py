@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("op2_sharding", "op3_language")
+MODULES = ("op1_suffix_dedup", "op2_sharding", "op3_language")
 
 
 def queries() -> dict:
