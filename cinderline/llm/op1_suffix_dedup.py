@@ -28,16 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytehash, suffix_runs
-from .common import partitions, pieces, table
+from .common import LOWEST, partitions, pieces, row_key, table
 
 GRAM = 40
 RUN_BYTES = 24_000_000
 END = b"\xff"  # never a byte of UTF-8
-LOWEST = -(1 << 63)
 ROWS = "part int, d long, r int, s long, e long, blob binary"
 
 
@@ -302,18 +301,6 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"d": f["d"], "r": f["r"], **{k: [x[i] for x in out] for i, k in enumerate(("n_bytes", "n_removed", "spans", "kept"))}})
 
 
-def row_key(df: DataFrame, key: str, text: str) -> tuple[Column, Column]:
-    """(d, r): a document's place in the order of documents. r is 0 where keys are unique and none is null.
-
-    Otherwise rows of one key count as documents of their own, in the order of their texts; null keys come first.
-    """
-    seen = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(key)).alias("k")).first()
-    d = F.coalesce(F.col(key).cast("bigint"), F.lit(LOWEST))
-    if seen["n"] == seen["k"]:
-        return d, F.lit(0)
-    return d, F.row_number().over(Window.partitionBy(d).orderBy(F.col(text)))
-
-
 def split_keys(texts: DataFrame, parts: int, per_part: int = 64) -> list[bytes]:
     """parts - 1 strings that cut the suffixes in ranges of like size, from a sample of per_part suffixes a range.
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("op1_suffix_dedup", "op2_sharding", "op3_language", "op4_quality", "op6_bpe", "op10_toxicity")
+MODULES = ("op1_suffix_dedup", "op2_sharding", "op3_language", "op4_quality", "op6_bpe", "op8_lm", "op10_toxicity")
 
 
 def queries() -> dict:
