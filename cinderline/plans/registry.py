@@ -1,4 +1,5 @@
 """The queries of the library's own operators, by name, and the SQL that states what each returns."""
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from .queries import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
