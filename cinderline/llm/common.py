@@ -64,3 +64,18 @@ def row_key(df: DataFrame, key: str, text: str) -> tuple[Column, Column]:
     if seen["n"] == seen["k"]:
         return d, F.lit(0)
     return d, F.row_number().over(Window.partitionBy(d).orderBy(F.col(text)))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, per_label: int) -> tuple[DataFrame, dict[int, int]]:
+    """(docs with a label of 0 or 1, how many labels of each kind there are).
+
+    About per_label of the labels of either kind are drawn by a hash of the key, and 3 * per_label rows are kept at most in
+    all; so the drawn labels can be broadcast, and documents do not move.
+    """
+    labels = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("int").alias(label)).distinct()
+    totals = {r[label]: r["count"] for r in labels.groupBy(label).count().collect()}
+    drawn = F.lit(False)
+    for k, n in totals.items():
+        drawn = drawn | ((F.col(label) == k) & (F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) < min(1.0, per_label / n) * (1 << 20)))
+    some = labels.where(drawn).orderBy(F.xxhash64(key), key, label).limit(3 * per_label)
+    return docs.join(F.broadcast(some), key), totals

@@ -79,8 +79,28 @@ def anchors_of(texts: list[bytes], width: int) -> tuple[np.ndarray, ...]:
     return doc, place - starts[doc], first - starts[doc], last - starts[doc], hashes[place]
 
 
-def _pack(place: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return place << 16 | (place - first) << 8 | (place - last)
+def _pack(v: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(v, prepend=0).tobytes())
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64).cumsum()
+
+
+def _pack_rows(d: np.ndarray, r: np.ndarray, v: np.ndarray) -> bytes:
+    """Anchors of many documents in one block."""
+    order = np.lexsort((v, r, d))
+    cols = np.diff(d[order], prepend=0), r[order].astype(np.int32), np.diff(v[order], prepend=0)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([len(d).to_bytes(8, "little"), *[c.tobytes() for c in cols]]))
+
+
+def _unpack_rows(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n = int.from_bytes(data[:8], "little")
+    return np.frombuffer(data, np.int64, n, 8).cumsum(), np.frombuffer(data, np.int32, n, 8 + 8 * n), np.frombuffer(data, np.int64, n, 8 + 12 * n).cumsum()
+
+
+BARE = 255
 
 
 def _list_anchors(parts: int, width: int):
@@ -92,14 +112,15 @@ def _list_anchors(parts: int, width: int):
             if not len(doc):
                 continue
             d, r = f["d"].to_numpy()[doc], f["r"].to_numpy()[doc]
-            v = _pack(place, first, last)
+            before, after = place - first, place - last
             part = (h % np.uint64(parts)).astype(np.int64)
             h = h // np.uint64(parts)
             _, where, back, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
             twice = count[back] > 1
             if twice.any():
-                yield _rows(np.arange(twice.sum()) % parts, d[twice], r[twice], v[twice])
-            v = np.where(twice, -1, v)
+                # e = 1 marks what is settled
+                yield _rows([int(d[0]) % parts], e=1, blob=[_pack_rows(d[twice], r[twice], (place << 16 | before << 8 | after)[twice])])
+            before = np.where(twice, BARE, before)
             one = np.sort(where)
             order = one[np.argsort(part[one], kind="stable")]
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
@@ -107,38 +128,68 @@ def _list_anchors(parts: int, width: int):
             for p in range(parts):
                 own = order[cuts[p] : cuts[p + 1]]
                 if len(own):
-                    # 48 bits of hash beside the part: a chance match costs a comparison later, no more
-                    cols = [(h[own] & np.uint64(0xFFFFFFFFFFFF)), np.diff(d[own], prepend=0), r[own].astype(np.int32), v[own]]
-                    low = cols[0].view(np.uint8).reshape(-1, 8)[:, :6]
-                    data = b"".join([len(own).to_bytes(8, "little"), low.T.tobytes(), *[np.ascontiguousarray(c).tobytes() for c in cols[1:]]])
+                    # 40 bits of hash beside the part: a chance match costs a comparison later, no more
+                    low = h[own].view(np.uint8).reshape(-1, 8)[:, :5]
+                    cols = [low.T, np.diff(d[own], prepend=0), r[own].astype(np.int32), np.diff(place[own], prepend=0).astype(np.int32), before[own].astype(np.uint8), after[own].astype(np.uint8)]
+                    data = b"".join([len(own).to_bytes(8, "little"), *[np.ascontiguousarray(c).tobytes() for c in cols]])
                     blobs.append((p, zstandard.ZstdCompressor(level=1).compress(data)))
             yield _rows([p for p, _ in blobs], blob=[b for _, b in blobs])
 
     return run
 
 
-def _meet_anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(d, r, anchor) of the anchors whose gram occurs more than once in all texts."""
+def _meet_anchors(parts: int):
+    """Blocks of the anchors whose gram occurs more than once in all texts, by document."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        found: list[tuple] = []
+        for f in frames:
+            for part, settled, blob in zip(f["part"], f["e"], f["blob"], strict=True):
+                if settled:
+                    found.append(_unpack_rows(blob))
+                    continue
+                data = zstandard.ZstdDecompressor().decompress(blob)
+                n = int.from_bytes(data[:8], "little")
+                wide = np.zeros((n, 8), dtype=np.uint8)
+                wide[:, :5] = np.frombuffer(data, np.uint8, 5 * n, 8).reshape(5, n).T
+                at, cols = 8 + 5 * n, [wide.view(np.uint64).ravel()]
+                for kind in (np.int64, np.int32, np.int32, np.uint8, np.uint8):
+                    cols.append(np.frombuffer(data, kind, n, at))
+                    at += n * np.dtype(kind).itemsize
+                cols[1], cols[3] = cols[1].cumsum(), cols[3].cumsum(dtype=np.int64)
+                held.setdefault(part, []).append(cols)
+        for part in sorted(held):
+            h, d, r, place, before, after = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
+            order = np.argsort(h, kind="stable")
+            same = h[order][1:] == h[order][:-1]
+            keep = order[(np.concatenate([[False], same]) | np.concatenate([same, [False]])) & (before[order] != BARE)]
+            # a bare entry stands for grams that are settled; a lone place of the same gram elsewhere meets it here
+            found.append((d[keep], r[keep], place[keep] << 16 | before[keep].astype(np.int64) << 8 | after[keep].astype(np.int64)))
+        if not found:
+            return
+        d, r, v = (np.concatenate(x) for x in zip(*found, strict=True))
+        to = (bytehash.mix(d.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.searchsorted(to[order], np.arange(parts + 1))
+        out = [(p, _pack_rows(*(x[order[cuts[p] : cuts[p + 1]]] for x in (d, r, v)))) for p in range(parts) if cuts[p + 1] > cuts[p]]
+        yield pd.DataFrame(out, columns=["part", "blob"])
+
+    return run
+
+
+def _gather_anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(d, r, anchors): all anchors of a document, packed in order."""
     held: dict[int, list] = {}
     for f in frames:
-        done = f["blob"].isna()
-        if done.any():
-            yield f.loc[done, ["d", "r", "s"]]
-        for part, blob in zip(f["part"][~done], f["blob"][~done], strict=True):
-            data = zstandard.ZstdDecompressor().decompress(blob)
-            n = int.from_bytes(data[:8], "little")
-            wide = np.zeros((n, 8), dtype=np.uint8)
-            wide[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(6, n).T
-            at = 8 + 6 * n
-            held.setdefault(part, []).append((wide.view(np.uint64).ravel(), np.frombuffer(data, np.int64, n, at).cumsum(), np.frombuffer(data, np.int32, n, at + 8 * n), np.frombuffer(data, np.int64, n, at + 12 * n)))
+        for part, blob in zip(f["part"], f["blob"], strict=True):
+            held.setdefault(part, []).append(_unpack_rows(blob))
     for part in sorted(held):
-        h, d, r, v = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
-        order = np.argsort(h, kind="stable")
-        h, d, r, v = h[order], d[order], r[order], v[order]
-        same = h[1:] == h[:-1]
-        keep = (np.concatenate([[False], same]) | np.concatenate([same, [False]])) & (v >= 0)
-        # a bare entry stands for grams that are settled; a lone place of the same gram elsewhere meets it here
-        yield pd.DataFrame({"d": d[keep], "r": r[keep], "s": v[keep]})
+        d, r, v = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
+        order = np.lexsort((v, r, d))
+        d, r, v = d[order], r[order], v[order]
+        new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (r[1:] != r[:-1])]))
+        yield pd.DataFrame({"d": d[new], "r": r[new], "anchors": [_pack(x) for x in np.split(v, new[1:])]})
 
 
 # ---- steps 2 and 3
@@ -203,7 +254,7 @@ def _context_runs(splits: list[bytes], width: int):
         runs = Runs(splits, width)
         for f in frames:
             for d, r, text, packed in zip(f["d"], f["r"], f["t"], f["anchors"], strict=True):
-                for v in sorted(int(x) for x in packed):
+                for v in _unpack(packed).tolist():
                     place = v >> 16
                     first, last = place - (v >> 8 & 255), place - (v & 255)
                     right = text[place : last + width]
@@ -318,8 +369,8 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
     """(d, r, spans) of the documents that hold repeated strings; texts: (d long, r int, t binary)."""
     parts = max(2, partitions(texts.sparkSession))
     splits = split_keys(texts, parts)
-    found = texts.mapInPandas(_list_anchors(parts, width), ROWS).repartition(parts, "part").mapInPandas(_meet_anchors, "d long, r int, s long")
-    found = found.groupBy("d", "r").agg(F.collect_list("s").alias("anchors"))
+    met = texts.mapInPandas(_list_anchors(parts, width), ROWS).repartition(parts, "part").mapInPandas(_meet_anchors(parts), "part int, blob binary")
+    found = met.repartition(parts, "part").mapInPandas(_gather_anchors, "d long, r int, anchors binary")
     contexts = texts.join(found, ["d", "r"]).mapInPandas(_context_runs(splits, width), ROWS)
     strings = contexts.repartition(parts, "part").mapInPandas(_meet(splits, width), ROWS)
     covered = strings.repartition(parts, "part").mapInPandas(_meet(None, width), ROWS)
