@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # fixed values: ellipsoids (semi-axes in metres), Helmert shift (metres, seconds of arc, parts per million), projection
 WGS84 = (6378137.0, 6356752.314245)
@@ -67,7 +68,8 @@ def to_grid(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> Dat
     out = df.select(*kept)
     for step in steps(lat, lon):
         out = out.selectExpr("*", *[f"{sql} AS {name}" for name, sql in step.items()])
-    return out.select(*kept, "x", "y")
+    # a generator of one row: the optimizer does not push conditions on x and y through it, which would repeat all the steps in them
+    return out.select(*kept, F.explode(F.array(F.struct("x", "y"))).alias("_at")).select(*kept, "_at.x", "_at.y")
 
 
 def grid_sql(source: str, lat: str = "latitude", lon: str = "longitude") -> str:
