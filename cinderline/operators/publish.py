@@ -21,7 +21,7 @@ def columnar(df: DataFrame, order: list[str]) -> DataFrame:
     """One row, one column `payload`: an object of parallel arrays in the order of the given columns. For published tables."""
     rows = strict(df)
     held = rows.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.struct(*rows.columns).alias("row")))).alias("rows"))
-    arrays = F.struct(*[F.transform("rows", lambda r, c=c: r["row"][c]).alias(c) for c in rows.columns])
+    arrays = F.struct(*[F.col("rows").getField("row").getField(c).alias(c) for c in rows.columns])
     return held.select(F.to_json(arrays, {"ignoreNullFields": "false"}).alias("payload"))
 
 

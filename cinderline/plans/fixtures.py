@@ -42,7 +42,7 @@ FROM {orders}"""
 # rings of (longitude, latitude): a square with a square hole, and a second part
 RINGS = {"a": [(-4.0, 51.0), (-1.0, 51.0), (-1.0, 53.5), (-4.0, 53.5)], "b": [(-3.011, 52.007), (-2.411, 52.007), (-2.411, 52.407), (-3.011, 52.407)], "c": [(-0.513, 51.203), (0.207, 51.203), (0.207, 51.603), (-0.513, 51.603)]}
 # (name, latitude, longitude, radius in metres)
-SITES = [("north works", 53.104, -3.392, 1000), ("mill", 52.551, -1.803, 2300), ("mill yard", 52.552, -1.791, 1700), ("south works", 51.452, -2.205, 4100), ("coast plant", 51.303, -3.551, 900), ("old kiln", 52.8, -2.6, 3300)]
+SITES = [("north works", 53.104, -3.392, 9100), ("mill", 52.551, -1.803, 12300), ("mill yard", 52.552, -1.791, 7700), ("south works", 51.452, -2.205, 14100), ("coast plant", 51.303, -3.551, 8900), ("old kiln", 52.8, -2.6, 23300)]
 PLACES = [("harbour", 52.011, -3.013), ("quarry", 52.011, -3.013), ("steel town", 51.452, -2.203), ("north works", 53.101, -3.391), ("airfield", 51.907, -1.407), ("hill farm", 52.705, -2.309)]
 EPISODES = [("first week", 52.011, -3.013, "2024-01-02", "2024-01-08"), ("mid month", 51.452, -2.203, "2024-01-14", "2024-01-18"), ("nowhere", 57.33, -4.80, "2024-01-01", "2024-01-30"), ("late", 52.705, -2.309, "2024-01-20", "2024-01-29")]
 

@@ -73,8 +73,8 @@ STEPS = {
  NOT EXISTS (SELECT 1 FROM sites s WHERE pow(s.x - p.x, 2) + pow(s.y - p.y, 2) <= pow(CAST(s.radius_m AS DOUBLE), 2)) AS not_persistent FROM points p JOIN land l USING (row_id)""",
     "det": "SELECT *, CAST(row_number() OVER (ORDER BY acq_date, row_id) - 1 AS BIGINT) AS row_no FROM flags WHERE uk_land AND not_static_type AND confidence_kept AND not_persistent",
     "pairs": "SELECT a.row_no AS a, b.row_no AS b, pow(a.x - b.x, 2) + pow(a.y - b.y, 2) AS d2, abs(date_diff('day', a.acq_date, b.acq_date)) AS days FROM det a JOIN det b ON a.row_no < b.row_no AND abs(date_diff('day', a.acq_date, b.acq_date)) <= 2 AND abs(a.x - b.x) <= 1500 AND abs(a.y - b.y) <= 1500 WHERE pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 2250000",
-    "both": "SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs",
-    "reach": "SELECT row_no AS node, row_no AS seen FROM det UNION SELECT r.node, b.b FROM reach r JOIN both b ON r.seen = b.a",
+    "linked": "SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs",
+    "reach": "SELECT row_no AS node, row_no AS seen FROM det UNION SELECT r.node, b.b FROM reach r JOIN linked b ON r.seen = b.a",
     "labels": "SELECT node AS row_no, CAST(dense_rank() OVER (ORDER BY c) - 1 AS BIGINT) AS event_id FROM (SELECT node, min(seen) AS c FROM reach GROUP BY 1)",
     "tagged": "SELECT det.*, event_id FROM det JOIN labels USING (row_no)",
     "events_sum": """SELECT event_id, min(acq_date) AS start_date, max(acq_date) AS end_date, count(DISTINCT acq_date) AS n_days_detected, count(*) AS n_detections,
@@ -105,7 +105,7 @@ STEPS = {
 }
 CHAIN = list(STEPS)
 NEEDS = {
-    "short": "", "norm": "short", "loaded": "norm", "points": "loaded", "verts": "", "sides": "verts", "sites": "", "land": "points sides", "flags": "points land sites", "det": "flags", "pairs": "det", "both": "pairs", "reach": "det both", "labels": "reach", "tagged": "det labels",
+    "short": "", "norm": "short", "loaded": "norm", "points": "loaded", "verts": "", "sides": "verts", "sites": "", "land": "points sides", "flags": "points land sites", "det": "flags", "pairs": "det", "linked": "pairs", "reach": "det linked", "labels": "reach", "tagged": "det labels",
     "events_sum": "tagged", "daily": "tagged events_sum", "olong": "", "ldet": "olong", "levents": "ldet", "ldaily": "ldet levents", "lpoints": "olong", "cells": "lpoints", "pcells": "cells", "creach": "pcells", "csites": "pcells creach", "places": "", "psites": "csites", "episodes": "",
 }
 
