@@ -9,20 +9,30 @@ a shuffle by document and position would move many times the text (see the READM
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 
-# fixed values: how the vocabulary's tokenizer splits normalised text, where the only white space left is the blank
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^ \p{L}\p{N}]+"
 PLAIN = "֏"  # up to here, all versions of Unicode agree on letters and numbers
-MOST_WORDS = 400_000
+
+
+def splitter() -> re.Pattern:
+    """How the vocabulary's tokenizer splits normalised text, where the only white space left is the blank; for characters up to
+    PLAIN. The first characters of the alternatives differ, but for those after an apostrophe, so letters can come first."""
+    plain = [chr(i) for i in range(ord(PLAIN) + 1)]
+    letters, numbers = ("".join(re.escape(c) for c in plain if unicodedata.category(c)[0] == kind) for kind in "LN")
+    return re.compile(f"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^ {letters}{numbers}]+")
+
+
+MOST_WORDS = 300_000  # a task's table starts anew beyond this; words then are encoded once more
 
 
 class WordTable:
@@ -37,9 +47,13 @@ class WordTable:
         self.whole.no_padding()
         special = self.whole.get_added_tokens_decoder()
         self.special = {t.content: (i,) for i, t in special.items()}
-        self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if special else None
-        self.split = regex.compile(PATTERN)
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if special else None
+        self.split = splitter()
+        self.pieces = np.full(self.whole.get_vocab_size(with_added_tokens=True), "", dtype=object)
+        for piece, i in self.whole.get_vocab(with_added_tokens=True).items():
+            self.pieces[i] = piece
         self.ids: dict[str, tuple[int, ...]] = {}
+        self.spelled: dict[str, str] = {}  # the pieces of a word's ids
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -59,28 +73,28 @@ class WordTable:
                 out += [p[s:e] for _, (s, e) in self.whole.pre_tokenizer.pre_tokenize_str(p)]
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def learn(self, words: list[str]) -> None:
+        """Enters words into the table: encoded in one text with blanks between, and told apart by the number of the word."""
+        for at in range(0, len(words), 5000):
+            part = words[at : at + 5000]
+            coded = self.whole.encode(" ".join(part), add_special_tokens=False)
+            ids, which = np.array(coded.ids), np.array(coded.word_ids)
+            cuts = np.searchsorted(which, np.arange(len(part) + 1)).tolist()
+            spelled, ids = self.pieces[ids].tolist(), ids.tolist()
+            for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
+                self.ids[w] = tuple(ids[a:b])
+                self.spelled[w] = " ".join(spelled[a:b])
+
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
+        """(ids, pieces with blanks between) of each text."""
         split = [self.words(t) for t in texts]
         if len(self.ids) > MOST_WORDS:
-            self.ids = {}
-        new = sorted({w for words in split for w in words} - self.ids.keys() - self.special.keys())
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.ids |= {w: tuple(x.ids) for w, x in zip(part, self.whole.encode_batch(part, add_special_tokens=False), strict=True)}
-        self.ids |= self.special
-        known, out = self.ids, []
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids += known[w]
-            out.append(np.array(ids, dtype=np.int32))
-        return out
-
-    def pieces(self) -> np.ndarray:
-        out = np.full(self.whole.get_vocab_size(with_added_tokens=True), "", dtype=object)
-        for piece, i in self.whole.get_vocab(with_added_tokens=True).items():
-            out[i] = piece
-        return out
+            self.ids, self.spelled = {}, {}
+        self.learn(sorted(set().union(*split) - self.ids.keys() - self.special.keys()))
+        for t, ids in self.special.items():
+            self.ids[t], self.spelled[t] = ids, t
+        ids, spelled = self.ids.__getitem__, self.spelled.__getitem__
+        return [np.fromiter(chain.from_iterable(map(ids, words)), dtype=np.int32) for words in split], [" ".join(map(spelled, words)) for words in split]
 
 
 _tables: dict[str, WordTable] = {}
@@ -92,18 +106,37 @@ def _table(path: str) -> WordTable:
     return _tables[path]
 
 
+def _slices(batches: Iterator[pd.Series], most: int = 1_500_000) -> Iterator[list]:
+    """The values of the batches in slices of about `most` characters or ids."""
+    for b in batches:
+        held, n = [], 0
+        for x in b:
+            held.append(x)
+            n += len(x) if x is not None else 0
+            if n > most:
+                yield held
+                held, n = [], 0
+        if held:
+            yield held
+
+
+def _joined(pieces: np.ndarray, ids) -> str:
+    return " ".join(pieces[ids].tolist()) if ids is not None and len(ids) else ""
+
+
 def encode(text: Column, path: str) -> Column:
-    """Ids of each whole text, array<int>; null and empty texts have none. path: the vocabulary file, present on all workers."""
+    """Struct (ids array<int>, decoded string) of each whole text; null and empty texts have no ids.
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = _table(path)
-        for b in batches:
-            texts = b.fillna("").tolist()
-            out: list[np.ndarray] = []
-            for at in range(0, len(texts), 500):
-                out += own.encode(texts[at : at + 500])
-            yield pd.Series(out, dtype=object)
+    decoded is what decode() makes of the ids; both come from one pass over the text. path: the vocabulary file, present
+    on all workers.
+    """
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own, _ = _table(path), _pieces(path)
+        for texts in _slices(batches):
+            ids, decoded = own.encode([t or "" for t in texts])
+            yield pd.DataFrame({"ids": ids, "decoded": decoded})
 
     return run(text)
 
@@ -113,27 +146,31 @@ def decode(ids: Column, path: str) -> Column:
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = _table(path)
-        if own.whole.decoder is not None:
-            raise ValueError("decode() joins pieces, which is what a vocabulary file without a decoder asks for")
-        pieces = own.pieces()
-        for b in batches:
-            yield pd.Series([" ".join(pieces[x].tolist()) if x is not None and len(x) else "" for x in b], dtype=object)
+        pieces = _pieces(path)
+        for b in _slices(batches):
+            yield pd.Series([_joined(pieces, x) for x in b], dtype=object)
 
     return run(ids)
 
 
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+def _pieces(path: str) -> np.ndarray:
+    """The table of ids and pieces."""
+    own = _table(path)
+    if own.whole.decoder is not None:
+        raise ValueError("ids are decoded by joining pieces, which is what a vocabulary file without a decoder asks for")
+    return own.pieces
 
 
 def tokenize(df: DataFrame, text: str, path: str) -> DataFrame:
     """df with ids and decoded, which replace columns of those names. Repeated rows give repeated results."""
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("ids", "decoded")]
-    out = df.select(*kept, encode(F.col(text), path).alias("ids"))
-    return out.withColumn("decoded", decode(F.col("ids"), path))
+    return df.select(*kept, encode(F.col(text), path).alias("_coded")).select(*kept, "_coded.ids", "_coded.decoded")
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def digests(df: DataFrame) -> DataFrame:
