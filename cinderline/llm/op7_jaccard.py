@@ -6,11 +6,11 @@ least 80 % of its own tokens in common with the other, so in any fixed order of
 
 1. Groups. A class belongs to the group of its first token, so similar classes mostly share a group. The order puts tokens
    that many documents hold last; which ones these are is counted, and matters for speed alone.
-2. Candidates. The matrix of tokens and groups lies in parts by token. For the first 20 % of a class's tokens a look-up says
-   which groups hold them. Of two groups that meet at a token, the classes of the smaller side ask the other group.
-3. Bound. Each group that is asked stores the union of its tokens. A class opens a group if at least 80 % of its own tokens
-   are in that union: no document of other groups can link with it.
-4. Opening. A class is first compared with a leader of the group, and then with those members that are not in one component
+2. Bound. The matrix of tokens and groups lies in parts by token, for the first 20 % of each class's tokens and 10 % more. Two
+   sets that link have that 10 % (of the smaller set) and one in common there. So a part counts how many of a class's tokens the
+   union of a group holds, the counts of all parts are added, and a class opens a group only if the sum reaches that number.
+   Of two groups that meet, the classes of the one with fewer classes ask the other.
+3. Opening. A class is first compared with a leader of the group, and then with those members that are not in one component
    with it by then. Comparisons are exact. So near copies link in stars, not in all pairs, and no link between components
    is lost.
 """
@@ -29,7 +29,8 @@ from . import bytehash
 from .common import LOWEST, checkpoint, partitions, pieces, row_key, table
 
 SHINGLE, NEAR = 5, 80  # words of a shingle; least per cent of the union
-SALTS = 32
+LARGE_GROUPS = 20_000  # groups whose sizes decide who asks whom; of others, the numbers do
+BROADCAST_ROWS = 400_000  # of up to four numbers each
 LEADERS = 2  # rounds of leaders before the members that are left are compared one by one
 
 
@@ -114,11 +115,21 @@ def _classes(late):
     return run
 
 
-# ---- 2: candidates
+# ---- 2: the matrix
 
 BLOCKS = "part int, blob binary"
 
 
+def extra(n: int) -> int:
+    """Tokens beyond the first 20 % that go into the matrix, for a set of n."""
+    return n // 10
+
+
+def least_shared(n: int) -> int:
+    """First tokens that a set of n has in common at least with one that it links with, which has needed(n) tokens at least."""
+    return 1 + extra(needed(n))
+
+
 def _first_tokens(late, parts: int):
     """Blocks by token of (token, class, group, size) for the first tokens of each class, once for a task."""
 
@@ -157,7 +168,7 @@ def _first_tokens(late, parts: int):
                     continue
                 seen.add(c)
                 s = ordered(s, late.value)
-                rows.append((s[: len(s) - needed(len(s)) + 1], c, _low(int(s[0])), len(s)))
+                rows.append((s[: len(s) - needed(len(s)) + 1 + extra(len(s))], c, _low(int(s[0])), len(s)))
                 n += len(rows[-1][0])
             if n > 600_000:
                 yield from send(rows)
@@ -186,56 +197,59 @@ def _unblock(blob: bytes) -> tuple[np.ndarray, ...]:
     return wide.view(np.uint64).ravel(), c[local], g[local], size[local]
 
 
-def _candidates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(class that asks, group that is asked), for classes that share a first token with a class of the group."""
-    held: dict[int, list] = {}
-    for f in frames:
-        for part, blob in zip(f["part"], f["blob"], strict=True):
-            held.setdefault(part, []).append(_unblock(blob))
-    for part in sorted(held):
-        token, c, g, n = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
-        order = np.lexsort((c, token))
-        token, c, g, n = token[order], c[order], g[order].astype(np.int64), n[order].astype(np.int64)
-        once = np.concatenate([[True], (token[1:] != token[:-1]) | (c[1:] != c[:-1])])
-        token, c, g, n = token[once], c[once], g[once], n[once]
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        size = np.diff(np.concatenate([start, [len(token)]]))
-        found: set[tuple[int, int]] = set()
-        two = start[size == 2]
-        fit = 100 * np.minimum(n[two], n[two + 1]) >= NEAR * np.maximum(n[two], n[two + 1])
-        found.update(zip(c[two[fit]].tolist(), g[two[fit] + 1].tolist(), strict=True))
-        seen: set[bytes] = set()
-        for a, m in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            own = c[a : a + m]
-            key = own.tobytes()
-            if key not in seen:
-                seen.add(key)
-                _meet(own, g[a : a + m], n[a : a + m], found)
-        yield pd.DataFrame(sorted(found), columns=["c", "g"])
-
-
-def _meet(c: np.ndarray, g: np.ndarray, n: np.ndarray, found: set[tuple[int, int]]) -> None:
-    """Adds who asks whom among the classes that share a token."""
+def _candidates(large):
+    """(class that asks, group that is asked, n): how many of the class's tokens here the group's union holds, with the class's size."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for f in frames:
+            for part, blob in zip(f["part"], f["blob"], strict=True):
+                held.setdefault(part, []).append(_unblock(blob))
+        for part in sorted(held):
+            token, c, g, n = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
+            order = np.lexsort((c, token))
+            token, c, g, n = token[order], c[order], g[order].astype(np.int64), n[order].astype(np.int64)
+            once = np.concatenate([[True], (token[1:] != token[:-1]) | (c[1:] != c[:-1])])
+            token, c, g, n = token[once], c[once], g[once], n[once]
+            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            size = np.diff(np.concatenate([start, [len(token)]]))
+            # tokens that the same classes hold are looked at once
+            lists: dict[bytes, list] = {}
+            for a, m in zip(start[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+                lists.setdefault(c[a : a + m].tobytes(), [a, m, 0])[2] += 1
+            found: dict[tuple[int, int], list] = {}
+            for a, m, times in lists.values():
+                _meet(c[a : a + m], g[a : a + m], n[a : a + m], times, large.value, found)
+            yield pd.DataFrame([(x, y, z, w) for (x, y), (z, w) in found.items()], columns=["c", "g", "n", "size"])
+
+    return run
+
+
+def _meet(c: np.ndarray, g: np.ndarray, n: np.ndarray, times: int, large: dict[int, int], found: dict) -> None:
+    """Counts who asks whom among the classes that share so many tokens."""
     order = np.argsort(g, kind="stable")
     c, g, n = c[order], g[order], n[order]
     start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
     end = np.concatenate([start[1:], [len(g)]])
-    low, high = np.minimum.reduceat(n, start), np.maximum.reduceat(n, start)
-    groups, count = g[start], end - start
-    for i in np.flatnonzero(count > 1):
-        found.update((x, int(groups[i])) for x in c[start[i] : end[i]].tolist())
-    rank = np.lexsort((groups, count))  # the larger group is asked
-    start, end, low, high, groups = start[rank], end[rank], low[rank], high[rank], groups[rank]
-    for i in range(len(groups) - 1):
-        fit = i + 1 + np.flatnonzero((100 * high[i] >= NEAR * low[i + 1 :]) & (100 * high[i + 1 :] >= NEAR * low[i]))
-        if not len(fit):
-            continue
+    low, high, groups = np.minimum.reduceat(n, start), np.maximum.reduceat(n, start), g[start].tolist()
+
+    def count(i: int, group: int) -> None:
         for x, m in zip(c[start[i] : end[i]].tolist(), n[start[i] : end[i]].tolist(), strict=True):
-            for j in fit[(100 * m >= NEAR * low[fit]) & (100 * high[fit] >= NEAR * m)].tolist():
-                found.add((x, int(groups[j])))
+            found.setdefault((x, group), [0, m])[0] += times
+
+    for i in np.flatnonzero(end - start > 1).tolist():
+        count(i, groups[i])
+    if len(groups) == 1:
+        return
+    # the larger group is asked; the order is the same for all tokens
+    rank = sorted(range(len(groups)), key=lambda i: (large.get(groups[i], 0), groups[i]))
+    for k, i in enumerate(rank[:-1]):
+        later = np.array(rank[k + 1 :])
+        for j in later[(100 * high[i] >= NEAR * low[later]) & (100 * high[later] >= NEAR * low[i])].tolist():
+            count(i, groups[j])
 
 
-# ---- 3 and 4: bound, opening
+# ---- 3: opening
 
 
 def _own_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -243,38 +257,27 @@ def _own_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"c": f["c"], "set": [s.tobytes() for s in sets(list(f["t"]))]})
 
 
-def _unite(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The union of each group's sets, as far as this task has them."""
-    held: dict[tuple[int, int], np.ndarray] = {}
-    for f in frames:
-        for g, salt, blob in zip(f["g"], f["salt"], f["set"], strict=True):
-            held[g, salt] = np.union1d(held.get((g, salt), np.zeros(0, dtype=np.uint64)), np.frombuffer(blob, np.uint64))
-    yield pd.DataFrame([(g, s, x.tobytes()) for (g, s), x in held.items()], columns=["g", "salt", "set"])
-
-
-def _common(a: bytes, b: bytes) -> int:
-    return len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-
-
-def _qualify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        keep = [_common(a, b) >= needed(len(a) // 8) for a, b in zip(f["set"], f["held"], strict=True)]
-        yield f.loc[keep, ["c", "g"]]
-
-
 def _linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         keep = []
         for a, b in zip(f["set"], f["other_set"], strict=True):
-            both = _common(a, b)
+            both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
             keep.append(100 * both >= NEAR * (len(a) // 8 + len(b) // 8 - both))
         yield f.loc[keep, ["c", "m"]]
 
 
+def _held(df: DataFrame) -> DataFrame:
+    """df, fixed; to be broadcast if it has few enough rows of a few numbers each, else joined by a shuffle."""
+    df = checkpoint(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _compare(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """Those of the pairs (c, m) of classes that link."""
-    own, other = known.select("c", "set"), known.select(F.col("c").alias("m"), F.col("set").alias("other_set"))
-    return pairs.join(own, "c").join(other, "m").select("c", "m", "set", "other_set").mapInPandas(_linked, "c long, m long")
+    pairs = _held(pairs)
+    own = known.join(pairs, "c").select("c", "m", "set")
+    other = known.withColumnRenamed("c", "m").join(pairs, "m").select("c", "m", F.col("set").alias("other_set"))
+    return checkpoint(own.join(other, ["c", "m"]).mapInPandas(_linked, "c long, m long"))
 
 
 def _with_component(df: DataFrame, column: str, labels: DataFrame | None, name: str) -> DataFrame:
@@ -287,20 +290,17 @@ def _with_component(df: DataFrame, column: str, labels: DataFrame | None, name:
 
 def class_links(texts: DataFrame, classes: DataFrame, late) -> DataFrame:
     """Links (c, m) between classes that join all classes of a component, all of them exact."""
-    spark = texts.sparkSession
-    parts = max(2, partitions(spark))
-    asks = texts.select("t").mapInPandas(_first_tokens(late, parts), BLOCKS).repartition(parts, "part").mapInPandas(_candidates, "c long, g long").distinct()
-    asks = checkpoint(asks)
-    one = classes.groupBy("c").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("d", "r")).alias("at"))
-    members = one.join(asks.select("g").distinct(), "g").select("g", F.col("c").alias("m"), "n", "at")
-    involved = members.select(F.col("m").alias("c"), "at").unionByName(one.join(asks.select("c").distinct(), "c").select("c", "at")).dropDuplicates(["c"]).select("c", "at.d", "at.r")
-    known = checkpoint(texts.join(involved, ["d", "r"]).select("c", "t").mapInPandas(_own_sets, "c long, set binary"))
-    members = checkpoint(members.select("g", "m", "n"))
-
-    part = members.join(known.select(F.col("c").alias("m"), "set"), "m").select("g", F.pmod("m", F.lit(SALTS)).cast("int").alias("salt"), "set")
-    some = part.repartition("g", "salt").mapInPandas(_unite, "g long, salt int, set binary")
-    unions = some.withColumn("salt", F.lit(0)).repartition("g").mapInPandas(_unite, "g long, salt int, set binary").select("g", F.col("set").alias("held"))
-    open_ = checkpoint(asks.join(known, "c").join(unions, "g").select("c", "g", "set", "held").mapInPandas(_qualify, "c long, g long"))
+    parts = max(2, partitions(texts.sparkSession))
+    one = checkpoint(classes.groupBy("c").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("d", "r")).alias("at")))
+    largest = one.groupBy("g").count().where("count > 1").orderBy(F.desc("count"), "g").limit(LARGE_GROUPS).collect()
+    large = texts.sparkSession.sparkContext.broadcast({r["g"]: r["count"] for r in largest})
+    met = texts.select("t").mapInPandas(_first_tokens(late, parts), BLOCKS).repartition(parts, "part").mapInPandas(_candidates(large), "c long, g long, n long, size long")
+    counted = met.groupBy("c", "g").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
+    open_ = _held(counted.where(F.col("n") > F.floor(F.ceil(F.col("size") * NEAR / 100) / 10)).select("c", "g"))
+    members = one.join(open_.select("g").distinct(), "g").select("g", F.col("c").alias("m"), "n", "at")
+    involved = members.select(F.col("m").alias("c"), "at").unionByName(one.join(open_.select("c").distinct(), "c").select("c", "at")).dropDuplicates(["c"]).select("c", "at.d", "at.r")
+    known = checkpoint(texts.join(_held(involved), ["d", "r"]).select("c", "t").mapInPandas(_own_sets, "c long, set binary"))
+    members = _held(members.select("g", "m", "n"))
 
     links, labels, led = None, None, members.limit(0).select("g", "m")
     for _ in range(LEADERS):
@@ -308,10 +308,11 @@ def class_links(texts: DataFrame, classes: DataFrame, late) -> DataFrame:
         placed = _with_component(members, "m", labels, "mm")
         led_to = _with_component(led, "m", labels, "mm").select("g", "mm").distinct()
         leaders = placed.join(led_to, ["g", "mm"], "left_anti").groupBy("g").agg(F.min("m").alias("m"))
+        leaders = checkpoint(leaders)
         pairs = _with_component(open_.join(leaders, "g").where("c != m"), "c", labels, "cc")
         pairs = _with_component(pairs, "m", labels, "mm").where("cc != mm").select(F.least("c", "m").alias("c"), F.greatest("c", "m").alias("m")).distinct()
-        new = checkpoint(_compare(pairs, known))
-        led = checkpoint(led.unionByName(leaders))
+        new = _compare(pairs, known)
+        led = led.unionByName(leaders)
         links = new if links is None else links.unionByName(new)
         labels = connected_components(links, "c", "m")
     # the rest: members in another component, of a size that can link. Components of a group come first, so that a class
@@ -320,7 +321,7 @@ def class_links(texts: DataFrame, classes: DataFrame, late) -> DataFrame:
     asking = _with_component(open_.join(one.select("c", F.col("n").alias("size")), "c"), "c", labels, "cc")
     apart = asking.join(placed.select("g", "mm").distinct(), "g").where("cc != mm").join(placed, ["g", "mm"])
     rest = apart.where((100 * F.col("size") >= NEAR * F.col("n")) & (100 * F.col("n") >= NEAR * F.col("size"))).select(F.least("c", "m").alias("c"), F.greatest("c", "m").alias("m")).distinct()
-    return checkpoint(links.unionByName(_compare(rest, known)))
+    return links.unionByName(_compare(rest, known))
 
 
 def components(df: DataFrame, text: str, key: str, *, late_tokens: int = 100_000) -> DataFrame:
@@ -336,8 +337,8 @@ def components(df: DataFrame, text: str, key: str, *, late_tokens: int = 100_000
     classes = checkpoint(texts.mapInPandas(_classes(late), "d long, r int, c long, g long, n long"))
     narrow = F.pmod(F.col("g"), F.lit(1 << 32)).alias("g")
     full = classes.where("n > 0").select("d", "r", "c", _narrow(narrow), "n")
-    links = class_links(texts, full, late)
-    labels = connected_components(links, "c", "m").select(F.col("node").alias("c"), "component")
+    labels = connected_components(class_links(texts, full, late), "c", "m")
+    labels = labels.select(F.col("node").alias("c"), "component")
     by_class = classes.where("n > 0").groupBy("c").agg(F.min(F.struct("d", "r")).alias("low")).join(labels, "c", "left").withColumn("component", F.coalesce("component", "c"))
     least = by_class.groupBy("component").agg(F.min("low").alias("least"))
     where = by_class.join(least, "component").select("c", "least")

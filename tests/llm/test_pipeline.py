@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import random
 
-import pytest
 
-corpus_pipeline = pytest.importorskip("corpus_pipeline")
+import corpus_pipeline
 
 
 def test_run(spark, tmp_path):
