@@ -75,12 +75,23 @@ def needed(n: int) -> int:
 
 
 def _frequent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tokens that three or more classes of some hundred texts hold; a token that is frequent everywhere is among them."""
-    for f in pieces(frames, "t", 6_000_000):
-        own = {class_of(s): s for s in sets(list(f["t"]))}
+    """Tokens that two or more classes of some thousand texts hold, and how many hold them."""
+
+    def counted(own: dict[int, np.ndarray]) -> pd.DataFrame:
         tokens, count = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *own.values()]), return_counts=True)
-        keep = count >= 3
-        yield pd.DataFrame({"token": tokens[keep].view(np.int64), "n": count[keep]})
+        keep = count >= 2
+        return pd.DataFrame({"token": tokens[keep].view(np.int64), "n": count[keep]})
+
+    own: dict[int, np.ndarray] = {}
+    n = 0
+    for f in pieces(frames, "t"):
+        for s in sets(list(f["t"])):
+            own[class_of(s)] = s
+            n += len(s)
+        if n > 1_500_000:
+            yield counted(own)
+            own, n = {}, 0
+    yield counted(own)
 
 
 def frequent_tokens(texts: DataFrame, most: int) -> np.ndarray:
@@ -324,7 +335,7 @@ def class_links(texts: DataFrame, classes: DataFrame, late) -> DataFrame:
     return links.unionByName(_compare(rest, known))
 
 
-def components(df: DataFrame, text: str, key: str, *, late_tokens: int = 100_000) -> DataFrame:
+def components(df: DataFrame, text: str, key: str, *, late_tokens: int = 1_000_000) -> DataFrame:
     """(key, d, r, c, n, component) of each row of df: its class, the size of its set, and the least key it is linked with.
 
     component is least by (key, row) of the rows that links reach, itself included, as a struct (d, r). Rows of null and
