@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import checkpoint, held_out, labelled_sample, table
 from .op3_language import compressor
 
 WINDOW = 64
@@ -76,19 +76,21 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-2, rounds: i
     return w[:-1], float(w[-1])
 
 
-def train(rows: DataFrame, text: str, label: str, key: str, *, marks: int = 60, common: int = 4000, calibration: int = 6000) -> Model:
+def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, marks: int = 60, common: int = 4000) -> Model:
     """Learns from rows with a text and a label 0 or 1; others teach nothing.
 
-    Words are counted over all labelled texts, equal texts with equal labels once. Bounds: `marks` words that mark toxic
-    texts, `common` frequent words of ordinary ones, and about `calibration` texts of either label for the curve.
+    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Words are counted
+    over all rows, equal texts with equal labels once. `marks` words that mark toxic texts and `common` frequent words of
+    ordinary ones reach the driver, and four numbers for each row, for the curve.
     """
-    rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(F.col(key)).alias("h"))
+    rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
     seen = rows.groupBy(F.xxhash64("text", "label")).agg(F.first("text").alias("text"), F.first("label").alias("label"))
-    totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    if len(totals) < 2:
-        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if 1 in totals else -10.0)
-    share = totals[1] / (totals[0] + totals[1])
+    counted = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
+    if len(counted) < 2:
+        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if 1 in counted else -10.0)
+    share = counted[1] / (counted[0] + counted[1])
     words = seen.select(F.explode(_words(F.col("text"))).alias("w"), "label").groupBy("w").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+    words = checkpoint(words.where("n > 1"))
     # how far the toxic count of a word is above what chance gives it, in standard deviations
     above = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) + 1)
     top = words.where((F.col("toxic") >= 3) & (F.col("toxic") >= 0.8 * F.col("n"))).select("w", above.alias("z")).orderBy(F.desc("z"), "w").limit(marks).collect()
@@ -99,16 +101,11 @@ def train(rows: DataFrame, text: str, label: str, key: str, *, marks: int = 60,
     ordinary = base[: len(toxic)].ljust(len(toxic))
     toxic, ordinary = toxic + b" " + base, ordinary + b" " + base
 
-    drawn = F.lit(False)
-    for k, n in totals.items():
-        drawn = drawn | ((F.col("label") == k) & (F.pmod("h", F.lit(1 << 20)) < min(1.0, calibration / n) * (1 << 20)))
-    sample = rows.where(drawn).select("label", _measure(F.col("text"), ordinary, toxic).alias("x")).select("label", "x.*").limit(4 * calibration).toPandas()
+    sample = rows.select("label", _measure(F.col("text"), ordinary, toxic).alias("x")).select("label", "x.*").toPandas()
     x, y = sample[FEATURES].to_numpy(), sample["label"].to_numpy().astype(float)
-    if len(set(y)) < 2:
-        return Model(ordinary, toxic, (0.0,) * len(FEATURES), -10.0)
     weights, bias = fit_logistic(x, y)
     drawn_odds = y.mean() / (1 - y.mean())
-    bias += float(np.log(share / (1 - share)) - np.log(drawn_odds))  # the sample has its own share of toxic texts
+    bias += float(np.log(totals[1] / totals[0]) - np.log(drawn_odds))  # the sample has its own share of toxic texts
     return Model(ordinary, toxic, tuple(float(w) for w in weights), bias)
 
 
@@ -130,7 +127,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = held_out(F.col("doc_id"), 4, 2)
     labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & ~fold).select("doc_id", "toxic")
-    model = train(docs.join(labels, "doc_id"), "text", "toxic", "doc_id")
+    rows, totals = labelled_sample(docs, labels, "doc_id", "toxic", 10_000)
+    model = train(rows, "text", "toxic", totals)
     return score(docs.select("doc_id", fold.alias("held_out"), "text"), "text", model).drop("text")
 
 
