@@ -207,12 +207,13 @@ def search(df: DataFrame, key: str, vector: str, asks, k: int, *, block_rows: in
     parts = max(partitions(spark), 2)
     keyed = classes.mapInPandas(_keys, "c long, v binary, asks boolean, low long, curve int, key long")
     found = keyed.repartitionByRange(parts, "curve", "key").sortWithinPartitions("curve", "key").mapInPandas(_windows(k + 1), "q long, half int, c long, low long, score double")
-    found = checkpoint(found.distinct())
+    # one pair comes from several windows, with scores that differ in the last bit: it takes one place, by the best of them
+    found = checkpoint(found.groupBy("q", "half", "c", "low").agg(F.max("score").alias("score")))
     best = Window.partitionBy("q", "half").orderBy(F.desc("score"), "low", "c")
     halves = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
     settled = halves.groupBy("q", "c").agg(F.count("*").alias("n")).groupBy("q").agg(F.min("n").alias("n"), F.count("*").alias("m")).where(f"n = 2 and m > {k}").select("q")
     rest = classes.where("asks").join(settled, F.col("c") == F.col("q"), "left_anti")
-    known = found.select("q", "c", "score").distinct().withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("place") == k + 1).select("q", F.col("score").alias("known"))
+    known = found.groupBy("q", "c").agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("place") == k + 1).select("q", F.col("score").alias("known"))
 
     blocks = max(1, min(most_blocks, n // block_rows))
     sample = classes.where(F.pmod("c", F.lit(1 << 20)) < min(1.0, 32 * blocks / n) * (1 << 20)).mapInPandas(_keys, "c long, v binary, asks boolean, low long, curve int, key long").where("curve = 0").select("key").limit(64 * blocks).collect()

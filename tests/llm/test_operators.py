@@ -190,6 +190,38 @@ def test_op9_against_brute_force(spark):
     assert hits >= 0.95 * 5 * len(got)
 
 
+def test_op9_widened_queries_are_exact(spark, monkeypatch):
+    """Clusters across many blocks. The windows find a part of the neighbours, each with scores that differ in the last bit; the
+    halves never agree, so the blocks must give the rest."""
+    windows = op9_ann._windows
+
+    def some(k):
+        found = windows(k)
+
+        def run(frames):
+            for f in found(frames):
+                f = f[(f["q"] == f["c"]) | ((f["half"] == 0) & (f["c"] % 3 == 0))]
+                yield from (f, f.assign(score=np.nextafter(f["score"], 2)), f.assign(score=np.nextafter(f["score"], -2)))
+
+        return run
+
+    monkeypatch.setattr(op9_ann, "_windows", some)
+    turn = np.random.default_rng(5)
+    x = np.concatenate([c + turn.standard_normal((150, 3)) * 0.1 for c in turn.standard_normal((8, 3))])
+    df = spark.createDataFrame([(i, [float(y) for y in v]) for i, v in enumerate(x)], "vec_id long, v array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = {}
+    for r in op9_ann.search(df, "vec_id", "v", F.col("vec_id") % 4 == 0, 5, block_rows=4).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sorted(got) == list(range(0, len(x), 4))
+    wrong = 0
+    for q, found in got.items():
+        s = unit @ unit[q]
+        s[q] = -9
+        wrong += found != set(np.argsort(-s)[:5].tolist())
+    assert wrong == 0
+
+
 def test_hashes_of_words():
     a, first = bytehash.words([b"One two\xc2\xa0x  three", b"", b"one"])
     assert len(a) == 4 and a[0] == a[3] and first.tolist() == [0, 3, 3, 4]
