@@ -27,7 +27,6 @@ END = np.uint64(0x5851F42D4C957F2D)  # stands for the end of a text in the hashe
 LEVELS = np.unique(np.ceil(1.3 ** np.arange(100)).astype(np.int64))  # least count of each level
 VALUES = np.concatenate([[0.0], LEVELS[:4], np.sqrt(LEVELS[4:-1] * (LEVELS[5:] - 1.0)), [LEVELS[-1]]])  # what level q stands for
 BITS, PROBES = 10, 4  # bits of filter for each entry, bits set for each
-LEAST_PAIR = 2  # pairs seen once are not held: they say little, and are most of all pairs
 GROUPS = 12
 ROWS = "part int, kind int, d long, r int, a double, b double, n long, blob binary"
 
@@ -141,14 +140,13 @@ def _fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for part in sorted(held):
         own = [_summed(*(np.concatenate(x) for x in zip(*blocks, strict=True))) if blocks else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for blocks in held.pop(part)]
         (wh, wc), (ph, pc) = own
-        ph, pc = ph[pc >= LEAST_PAIR], pc[pc >= LEAST_PAIR]
         # words enter by their low 48 bits, as pairs do; a mark keeps the two apart
-        keys = [(_word_key(wh), _level(wc), 1), (ph, _level(pc), int(_level(np.array([LEAST_PAIR]))[0]))]
-        entries = sum(int(np.maximum(q - first + 1, 0).sum()) for _, q, first in keys)
+        keys = [(_word_key(wh), _level(wc)), (ph, _level(pc))]
+        entries = sum(int(q.sum()) for _, q in keys)
         bits = max(64, -(-entries * BITS // 8) * 8)
         segment = np.zeros(bits, dtype=bool)
-        for h, q, first in keys:
-            for level in range(first, int(q.max(initial=0)) + 1):
+        for h, q in keys:
+            for level in range(1, int(q.max(initial=0)) + 1):
                 for at in _places(h[q >= level], level, bits):
                     segment[at.astype(np.int64)] = True
         yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, 0.0, 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
@@ -172,11 +170,11 @@ class Model:
     words: int
     weights: np.ndarray | None = None
 
-    def _probe(self, part: np.ndarray, h: np.ndarray, first: int) -> np.ndarray:
-        """The count that the filter holds, from the first level on that is put in; 0 if not even this one is."""
+    def _probe(self, part: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The count that the filter holds; 0 if not even the first level is in."""
         level = np.zeros(len(h), dtype=np.int64)
         alive = np.arange(len(h))
-        q = first
+        q = 1
         while len(alive) and q < len(VALUES):
             p, own = part[alive], h[alive]
             found = np.ones(len(alive), dtype=bool)
@@ -190,11 +188,11 @@ class Model:
 
     def word_counts(self, h: np.ndarray) -> np.ndarray:
         part = (h % np.uint64(self.parts)).astype(np.int64)
-        return self._probe(part, _word_key(h // np.uint64(self.parts)), 1)
+        return self._probe(part, _word_key(h // np.uint64(self.parts)))
 
     def pair_counts(self, h: np.ndarray) -> np.ndarray:
         part = (h % np.uint64(self.parts)).astype(np.int64)
-        return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF), int(_level(np.array([LEAST_PAIR]))[0]))
+        return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF))
 
     def shares(self, tokens: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts."""
@@ -244,7 +242,7 @@ def train(texts: DataFrame, *, head: int = 400_000, fit_texts: int = 1000) -> tu
     """(model, table of exact word counts by part) of texts (d long, t binary), all of them.
 
     Bounds: `head` words with exact counts in the model, about `fit_texts` texts for the weights of the mixture.
-    The filter grows with the words, and with the pairs that are seen twice or more.
+    The filter grows with the distinct words and pairs.
     """
     spark = texts.sparkSession
     parts = max(2, partitions(spark))

@@ -168,6 +168,16 @@ def test_op8_against_counts(spark, corpus):
         assert got[i].score <= 0
 
 
+def test_op8_pairs_seen_once(spark):
+    turn = random.Random(3)
+    rows = [(i, words(turn, 40)) for i in range(60)]
+    model, _ = op8_lm.train(op8_lm.keyed(frame(spark, rows), "doc_id", "text").select("d", "t"))
+    tokens, _ = op8_lm.sequences([rows[7][1].encode()])
+    assert (model.pair_counts(op8_lm.pair(op8_lm.contexts(tokens), tokens)) >= 1).all()
+    never = op8_lm.pair(tokens[2:], tokens[:-2])
+    assert (model.pair_counts(never) == 0).mean() > 0.9
+
+
 def test_op9_against_brute_force(spark):
     turn = np.random.default_rng(8)
     x = turn.standard_normal((400, 16))
