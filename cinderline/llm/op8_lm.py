@@ -191,8 +191,9 @@ class Model:
         return self._probe(part, _word_key(h // np.uint64(self.parts)))
 
     def pair_counts(self, h: np.ndarray) -> np.ndarray:
+        h, back = np.unique(h, return_inverse=True)
         part = (h % np.uint64(self.parts)).astype(np.int64)
-        return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF))
+        return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF))[back]
 
     def shares(self, tokens: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts."""
@@ -211,20 +212,23 @@ class Model:
         return np.log10(w * among_pairs + (1 - w) * unigram)
 
 
-def _weights(rows: DataFrame, model: Model, texts: int) -> np.ndarray:
+def _weights(rows: DataFrame, model: Model) -> np.ndarray:
     """The weight of the pairs by how often the word before was seen, by expectation maximisation.
 
-    On about `texts` of the texts that were counted, each counting as if it had been left out. Only sums over classes of
-    tokens with like shares reach the driver.
+    On the texts that were counted, each token counting as if it had been left out. Only sums over classes of tokens with
+    like shares reach the driver.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(GROUPS * 199, dtype=np.int64)
         for f in pieces(frames, "t"):
             tokens, _ = sequences(list(f["t"]))
             group, among_pairs, unigram = shared.value.shares(tokens, less=1)
             odds = np.where(among_pairs > 0, np.round(np.log10(np.maximum(among_pairs, 1e-30) / unigram) * 4), -99).clip(-99, 99)
-            yield pd.DataFrame({"g": group, "odds": odds.astype(np.int64)}).value_counts().rename("n").reset_index()
+            seen += np.bincount(group * 199 + odds.astype(np.int64) + 99, minlength=len(seen))
+        at = np.flatnonzero(seen)
+        yield pd.DataFrame({"g": at // 199, "odds": at % 199 - 99, "n": seen[at]})
 
     counts = rows.mapInPandas(run, "g long, odds long, n long").groupBy("g", "odds").agg(F.sum("n").alias("n")).toPandas()
     shared.unpersist()
@@ -238,10 +242,10 @@ def _weights(rows: DataFrame, model: Model, texts: int) -> np.ndarray:
     return w
 
 
-def train(texts: DataFrame, *, head: int = 400_000, fit_texts: int = 1000) -> tuple[Model, DataFrame]:
+def train(texts: DataFrame, *, head: int = 400_000) -> tuple[Model, DataFrame]:
     """(model, table of exact word counts by part) of texts (d long, t binary), all of them.
 
-    Bounds: `head` words with exact counts in the model, about `fit_texts` texts for the weights of the mixture.
+    Bound: `head` words with exact counts in the model. All texts fit the weights of the mixture.
     The filter grows with the distinct words and pairs.
     """
     spark = texts.sparkSession
@@ -269,9 +273,7 @@ def train(texts: DataFrame, *, head: int = 400_000, fit_texts: int = 1000) -> tu
     h, c = top[0].view(np.uint64), top[1]
     order = np.argsort(h)
     model = Model(parts, bits, np.concatenate([[0], np.cumsum(sizes)[:-1]]), filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0))
-    n = texts.count()
-    some = texts.where(F.pmod(F.xxhash64("d", F.lit("weights")), F.lit(1 << 20)) < min(1.0, fit_texts / max(1, n)) * (1 << 20))
-    model.weights = _weights(some, model, fit_texts)
+    model.weights = _weights(texts, model)
     return model, built.where("kind = 0")
 
 

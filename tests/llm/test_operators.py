@@ -178,6 +178,22 @@ def test_op8_pairs_seen_once(spark):
     assert (model.pair_counts(never) == 0).mean() > 0.9
 
 
+def test_op8_weights_of_all_texts(spark):
+    """The weights are those of sums over all training texts, far more than a thousand of them."""
+    turn = random.Random(6)
+    lexicon = words(turn, 40).split()
+    rows = [(i, " ".join(w for k in (turn.randrange(40) for _ in range(9)) for w in lexicon[k : k + turn.choice([1, 1, 2])])) for i in range(3000)]
+    texts = op8_lm.keyed(frame(spark, rows), "doc_id", "text").select("d", "t")
+    model, _ = op8_lm.train(texts)
+    group, among, unigram = model.shares(op8_lm.sequences([t.encode() for _, t in rows])[0], less=1)
+    for g in np.unique(group):
+        ratio, x = np.where(among > 0, 10 ** (np.round(np.log10(np.maximum(among, 1e-30) / unigram) * 4) / 4), 0.0)[group == g], 0.2
+        for _ in range(50):
+            x = (x * ratio / (x * ratio + 1 - x)).mean()
+        assert abs(model.weights[g] - min(max(x, 1e-4), 0.95)) < 1e-9
+    assert ((model.weights[np.unique(group)] > 0.001) & (model.weights[np.unique(group)] < 0.9)).any()
+
+
 def test_op9_against_brute_force(spark):
     turn = np.random.default_rng(8)
     x = turn.standard_normal((400, 16))
