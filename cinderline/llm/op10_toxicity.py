@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
 Two raw-content zstandard dictionaries, one of toxic and one of ordinary text. Both hold the same frequent words, so
-that ordinary text costs the same under either; the toxic one holds before them the words that mark toxic texts, the
-ordinary one as many bytes of ordinary words. A text is compressed in short overlapping windows against both. How many
+that ordinary text costs the same under either; before them each holds all words, and pairs of neighbouring words, that are
+significantly more frequent in texts of its label, and blanks up to the same length. A text is compressed in short overlapping windows against both. How many
 bytes the toxic dictionary saves in its windows is the evidence; a logistic curve, fitted to labelled texts, turns it
 into a score.
 """
@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import checkpoint, held_out, labelled_sample, table
-from .op3_language import compressor
 
 WINDOW = 64
 OVERLAP = 12
@@ -33,9 +33,24 @@ class Model:
     bias: float
 
 
-def _words(text: Column) -> Column:
-    """Distinct lower-case words: runs of letters, as far as ASCII tells, and of all other characters beyond ASCII."""
-    return F.array_distinct(F.filter(F.split(F.lower(text), r"[\x00-\x60\x7b-\x7f]+"), lambda w: F.length(w) >= 3))
+def _terms(rows: DataFrame) -> DataFrame:
+    """(w, label): the distinct lower-case words of each text, and its pairs of neighbouring words with a blank between.
+
+    Words are runs of letters, as far as ASCII tells, and of all other characters beyond ASCII.
+    """
+    rows = rows.select(F.filter(F.split(F.lower("text"), r"[\x00-\x60\x7b-\x7f]+"), lambda w: w != "").alias("own"), "label")
+    rest = F.greatest(F.size("own") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("own", 1, rest), F.slice("own", 2, rest), lambda a, b: F.concat_ws(" ", a, b))
+    return rows.select(F.explode(F.array_distinct(F.concat("own", pairs))).alias("w"), "label")
+
+
+def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
+    """As that of op3_language, with tables that reach over the whole dictionary however long it is."""
+    log = min(27, max(17, (len(dictionary) + 1024).bit_length()))
+    settings = zstandard.ZstdCompressionParameters(window_log=log, chain_log=log - 1, hash_log=log - 1, search_log=4, min_match=3, target_length=8, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+    d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(compression_params=settings)
+    return zstandard.ZstdCompressor(dict_data=d, compression_params=settings)
 
 
 def _evidence(text: str | None, tools: tuple) -> tuple[float, ...]:
@@ -76,12 +91,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-2, rounds: i
     return w[:-1], float(w[-1])
 
 
-def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, marks: int = 60, common: int = 4000) -> Model:
+def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, level: float = 3.0, common: int = 4000) -> Model:
     """Learns from rows with a text and a label 0 or 1; others teach nothing.
 
-    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Words are counted
-    over all rows, equal texts with equal labels once. `marks` words that mark toxic texts and `common` frequent words of
-    ordinary ones reach the driver, and four numbers for each row, for the curve.
+    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Terms are counted
+    over all rows, equal texts with equal labels once. All terms whose toxic count is `level` standard deviations or more from
+    what chance gives reach the driver, but for pairs with a word that tells the same by itself; so do `common` frequent words
+    of ordinary texts, and four numbers for each row, for the curve.
     """
     rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
     seen = rows.groupBy(F.xxhash64("text", "label")).agg(F.first("text").alias("text"), F.first("label").alias("label"))
@@ -89,16 +105,23 @@ def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, mar
     if len(counted) < 2:
         return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if 1 in counted else -10.0)
     share = counted[1] / (counted[0] + counted[1])
-    words = seen.select(F.explode(_words(F.col("text"))).alias("w"), "label").groupBy("w").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    words = checkpoint(words.where("n > 1"))
-    # how far the toxic count of a word is above what chance gives it, in standard deviations
+    terms = _terms(seen).groupBy("w").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).where("n > 1")
+    # how far the toxic count of a term is above what chance gives it, in standard deviations
     above = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) + 1)
-    top = words.where((F.col("toxic") >= 3) & (F.col("toxic") >= 0.8 * F.col("n"))).select("w", above.alias("z")).orderBy(F.desc("z"), "w").limit(marks).collect()
-    mark = [r["w"].encode() for r in top if r["z"] >= max(3.0, 0.25 * top[0]["z"])]
-    usual = [r["w"].encode() for r in words.orderBy(F.desc(F.col("n") - F.col("toxic")), "w").limit(common).collect()]
-    base = b" ".join(w for w in reversed(usual) if w not in set(mark))
-    toxic = b" ".join(mark)
-    ordinary = base[: len(toxic)].ljust(len(toxic))
+    terms = checkpoint(terms.withColumn("z", above).where((F.abs("z") >= level) | ~F.contains("w", F.lit(" "))))
+    told = {r["w"]: r["z"] for r in terms.where(F.abs("z") >= level).orderBy(F.abs("z"), F.desc("w")).select("w", "z").collect()}
+    usual = [r["w"].encode() for r in terms.where(~F.contains("w", F.lit(" "))).orderBy(F.desc(F.col("n") - F.col("toxic")), "w").limit(common).collect()]
+
+    def front(sign: int) -> bytes:
+        """The terms of one label, the most telling ones last."""
+        own = {w for w, z in told.items() if z * sign > 0}
+        return b" ".join(w.encode() for w in told if w in own and (" " not in w or own.isdisjoint(w.split(" "))))
+
+    toxic, ordinary = front(1), front(-1)
+    apart = {w.encode() for w in told}
+    base = b" ".join(w for w in reversed(usual) if w not in apart)
+    size = max(len(toxic), len(ordinary))
+    toxic, ordinary = toxic.rjust(size), ordinary.rjust(size)
     toxic, ordinary = toxic + b" " + base, ordinary + b" " + base
 
     sample = rows.select("label", _measure(F.col("text"), ordinary, toxic).alias("x")).select("label", "x.*").toPandas()

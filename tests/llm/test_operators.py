@@ -124,6 +124,20 @@ def test_op4_and_op10(spark):
     assert sum(got[i].predicted == int(i % 4 == 1) for i in range(120, 200)) >= 76 and got[900].predicted == got[901].predicted == 0
 
 
+def test_op10_rare_terms_and_phrases(spark):
+    """More toxic words than any fixed list, each much rarer than the best; short ones; phrases of ordinary words."""
+    turn = random.Random(12)
+    rare = [f"{words(turn, 1)}zq{words(turn, 1)}" for _ in range(75)]
+    rows = []
+    for i in range(4800):
+        mark = [] if i % 4 else [["grumblefrats"], [rare[i // 8 % 75]], [["green", "paint"], ["xq"]][i // 16 % 2], [rare[i // 8 % 75]]][i // 4 % 4]
+        rest = [] if mark else [turn.choice(["green", "paint"])]
+        rows.append((" ".join(words(turn, 15).split() + mark + rest + words(turn, 15).split()), int(i % 4 == 0)))
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    model = op10_toxicity.train(df, "text", "toxic", {0: 3600, 1: 1200})
+    assert all(t.encode() in model.toxic for t in ["grumblefrats", "green paint", "xq", *rare])
+
+
 def test_op5_against_brute_force(spark, corpus):
     items = [(0, corpus[3][1][40:260]), (1, corpus[25][1][200:520]), (2, "one two"), (3, ""), (4, None), (5, words(random.Random(99), 40))]
     want = op5_decontamination.brute_force([(i, t) for i, t in corpus], items)
