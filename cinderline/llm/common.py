@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import checkpoint, shared_folder  # noqa: F401
+from ..operators.numbering import number_rows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def remainder(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n; null for a null key."""
     return F.pmod(F.crc32(key.cast("string")), F.lit(n))
@@ -56,19 +44,31 @@ def pieces(frames: Iterator[pd.DataFrame], text: str, most: int = 1_500_000) ->
             yield frame.iloc[start:]
 
 
-LOWEST = -(1 << 63)
-
+def keyed(df: DataFrame, key: str, text: str, *, whole: bool = False) -> DataFrame:
+    """(d, r, t, and with `whole` the row as a struct): a document's place (d, r) in the order of documents, and its text.
 
-def row_key(df: DataFrame, key: str, text: str) -> tuple[Column, Column]:
-    """(d, r): a document's place in the order of documents. r is 0 where keys are unique and none is null.
-
-    Otherwise rows of one key count as documents of their own, in the order of their texts; null keys come first.
+    d is the key and r is 0 where keys are unique and none is null. Otherwise rows of one key count as documents of their own, in
+    the order of their texts; rows of null keys come first and have r < 0, so no value of a key is taken for null.
     """
-    seen = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(key)).alias("k")).first()
-    d = F.coalesce(F.col(key).cast("bigint"), F.lit(LOWEST))
+    columns = [F.col(f"`{key}`").cast("bigint").alias("d"), F.col(f"`{text}`").alias("t"), *([F.struct("*").alias("row")] if whole else [])]
+    seen = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{key}`")).alias("k")).first()
+    df = df.select(*columns)
+    rest = ["t", "row"] if whole else ["t"]
     if seen["n"] == seen["k"]:
-        return d, F.lit(0)
-    return d, F.row_number().over(Window.partitionBy(d).orderBy(F.col(text)))
+        return df.select("d", F.lit(0).cast("bigint").alias("r"), *rest)
+    # a range partitioning by key and text: no task holds all rows of a key
+    placed = number_rows(df, [F.col("d").asc_nulls_first(), F.col("t").asc_nulls_first()], "place")
+    return placed.select(F.coalesce("d", F.lit(-(1 << 63))).alias("d"), F.when(F.col("d").isNull(), F.col("place") - (1 << 62)).otherwise(F.col("place")).cast("bigint").alias("r"), *rest)
+
+
+def binary(text: str = "t") -> Column:
+    """The text as bytes, empty for null."""
+    return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+
+
+def key_of(d: str = "d", r: str = "r") -> Column:
+    """The key of the document at (d, r); null for rows of null keys."""
+    return F.when(F.col(r) >= 0, F.col(d))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, per_label: int) -> tuple[DataFrame, dict[int, int]]:

@@ -32,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytehash, suffix_runs
-from .common import LOWEST, partitions, pieces, row_key, table
+from .common import binary, key_of, keyed, partitions, pieces, table
 
 GRAM = 40
 RUN_BYTES = 24_000_000
 END = b"\xff"  # never a byte of UTF-8
-ROWS = "part int, d long, r int, s long, e long, blob binary"
+ROWS = "part int, d long, r long, s long, e long, blob binary"
 
 
 def _rows(part, d=0, r=0, s=0, e=0, blob=None) -> pd.DataFrame:
@@ -90,14 +90,14 @@ def _unpack(blob: bytes) -> np.ndarray:
 def _pack_rows(d: np.ndarray, r: np.ndarray, v: np.ndarray) -> bytes:
     """Anchors of many documents in one block."""
     order = np.lexsort((v, r, d))
-    cols = np.diff(d[order], prepend=0), r[order].astype(np.int32), np.diff(v[order], prepend=0)
+    cols = np.diff(d[order], prepend=0), np.diff(r[order], prepend=0), np.diff(v[order], prepend=0)
     return zstandard.ZstdCompressor(level=1).compress(b"".join([len(d).to_bytes(8, "little"), *[c.tobytes() for c in cols]]))
 
 
 def _unpack_rows(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(blob)
     n = int.from_bytes(data[:8], "little")
-    return np.frombuffer(data, np.int64, n, 8).cumsum(), np.frombuffer(data, np.int32, n, 8 + 8 * n), np.frombuffer(data, np.int64, n, 8 + 12 * n).cumsum()
+    return np.frombuffer(data, np.int64, n, 8).cumsum(), np.frombuffer(data, np.int64, n, 8 + 8 * n).cumsum(), np.frombuffer(data, np.int64, n, 8 + 16 * n).cumsum()
 
 
 BARE = 255
@@ -130,7 +130,7 @@ def _list_anchors(parts: int, width: int):
                 if len(own):
                     # 40 bits of hash beside the part: a chance match costs a comparison later, no more
                     low = h[own].view(np.uint8).reshape(-1, 8)[:, :5]
-                    cols = [low.T, np.diff(d[own], prepend=0), r[own].astype(np.int32), np.diff(place[own], prepend=0).astype(np.int32), before[own].astype(np.uint8), after[own].astype(np.uint8)]
+                    cols = [low.T, np.diff(d[own], prepend=0), np.diff(r[own], prepend=0), np.diff(place[own], prepend=0).astype(np.int32), before[own].astype(np.uint8), after[own].astype(np.uint8)]
                     data = b"".join([len(own).to_bytes(8, "little"), *[np.ascontiguousarray(c).tobytes() for c in cols]])
                     blobs.append((p, zstandard.ZstdCompressor(level=1).compress(data)))
             yield _rows([p for p, _ in blobs], blob=[b for _, b in blobs])
@@ -154,10 +154,10 @@ def _meet_anchors(parts: int):
                 wide = np.zeros((n, 8), dtype=np.uint8)
                 wide[:, :5] = np.frombuffer(data, np.uint8, 5 * n, 8).reshape(5, n).T
                 at, cols = 8 + 5 * n, [wide.view(np.uint64).ravel()]
-                for kind in (np.int64, np.int32, np.int32, np.uint8, np.uint8):
+                for kind in (np.int64, np.int64, np.int32, np.uint8, np.uint8):
                     cols.append(np.frombuffer(data, kind, n, at))
                     at += n * np.dtype(kind).itemsize
-                cols[1], cols[3] = cols[1].cumsum(), cols[3].cumsum(dtype=np.int64)
+                cols[1], cols[2], cols[3] = cols[1].cumsum(), cols[2].cumsum(), cols[3].cumsum(dtype=np.int64)
                 held.setdefault(part, []).append(cols)
         for part in sorted(held):
             h, d, r, place, before, after = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
@@ -366,11 +366,11 @@ def split_keys(texts: DataFrame, parts: int, per_part: int = 64) -> list[bytes]:
 
 
 def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
-    """(d, r, spans) of the documents that hold repeated strings; texts: (d long, r int, t binary)."""
+    """(d, r, spans) of the documents that hold repeated strings; texts: (d long, r long, t binary)."""
     parts = max(2, partitions(texts.sparkSession))
     splits = split_keys(texts, parts)
     met = texts.mapInPandas(_list_anchors(parts, width), ROWS).repartition(parts, "part").mapInPandas(_meet_anchors(parts), "part int, blob binary")
-    found = met.repartition(parts, "part").mapInPandas(_gather_anchors, "d long, r int, anchors binary")
+    found = met.repartition(parts, "part").mapInPandas(_gather_anchors, "d long, r long, anchors binary")
     contexts = texts.join(found, ["d", "r"]).mapInPandas(_context_runs(splits, width), ROWS)
     strings = contexts.repartition(parts, "part").mapInPandas(_meet(splits, width), ROWS)
     covered = strings.repartition(parts, "part").mapInPandas(_meet(None, width), ROWS)
@@ -381,12 +381,11 @@ def dedup(df: DataFrame, text: str, key: str, *, width: int = 100) -> DataFrame:
     """One row (key, d, r, n_bytes, n_removed, spans, kept) for each row of df: `kept` are the bytes that stay.
 
     width is between GRAM + 1 and 255. Null texts are empty. Texts shorter than width stay as they are. Copies of
-    a text in later rows go as a whole. See row_key for null and repeated keys. An empty table gives an empty result.
+    a text in later rows go as a whole. See keyed for null and repeated keys. An empty table gives an empty result.
     """
-    d, r = row_key(df, key, text)
-    texts = df.select(d.alias("d"), r.alias("r"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
-    out = texts.join(repeated_spans(texts, width), ["d", "r"], "left").mapInPandas(_cut, "d long, r int, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.select(F.nullif(F.col("d"), F.lit(LOWEST)).alias(key), "*")
+    texts = keyed(df, key, text).select("d", "r", binary().alias("t"))
+    out = texts.join(repeated_spans(texts, width), ["d", "r"], "left").mapInPandas(_cut, "d long, r long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    return out.select(key_of().alias(key), "*")
 
 
 def brute_force(docs: list[tuple[int, bytes]], width: int) -> list[list[tuple[int, int]]]:

@@ -18,7 +18,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWEST, row_key, table
+from .common import key_of, keyed, table
 
 SHINGLE, SIMILAR = 5, 0.8
 RADIUS = 20
@@ -62,7 +62,7 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
 
     start is the window's first word, from 0; ties go to the first one. Null and empty texts match nothing. An item of fewer
     than five words matches a document of just these words. Items of equal texts all match. Rows of null or repeated keys
-    count as documents of their own (see row_key); a null item key stands in the result as null.
+    count as documents of their own (see keyed); a null item key stands in the result as null.
     The items' shingles are broadcast if they are `broadcast_rows` at most (24 bytes each), and shuffled beyond that.
     """
     listed = items.select(F.col(item_key).alias("item"), words(F.col(item_text)).alias("w")).where(F.size("w") > 0)
@@ -72,8 +72,7 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
     if small <= broadcast_rows:
         seeds = F.broadcast(seeds)
 
-    d, r = row_key(df, key, text)
-    docs = df.select(d.alias("d"), r.alias("r"), F.col(text).alias("t"))
+    docs = keyed(df, key, text)
     whole = docs.select("d", "r", words(F.col("t")).alias("w")).select("d", "r", F.size("w").alias("n"), F.posexplode(shingles(F.col("w"))).alias("at", "h"))
     hits = whole.join(seeds, "h").groupBy("d", "r", "n", "item", "length", "held", (F.col("at") - F.col("offset")).alias("start")).agg(F.count("*").alias("hits"))
     starts = hits.where(F.col("hits") >= F.least(F.lit(2), F.col("held")))
@@ -89,7 +88,7 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
     near = near.groupBy("d", "r", "item", "start", "length", "mark", "item_mark").agg(F.first("own").alias("own"), F.first("theirs").alias("theirs"))
     exact = near.select("d", "r", "item", "start", similarity(F.col("own"), F.col("theirs")).alias("similarity")).where(F.col("similarity") >= SIMILAR)
     best = exact.groupBy("d", "r", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
-    return best.select(F.nullif(F.col("d"), F.lit(LOWEST)).alias(key), "d", "r", "item", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity"))
+    return best.select(key_of().alias(key), "d", "r", "item", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,18 +1,21 @@
 """Exact Jaccard join of documents on word shingles, by a token-group matrix.
 
 A document is the set of its shingles' hashes (64 bits; "tokens" below). Documents of equal sets are one class, which all
-work below handles once. Two classes link when their sets' intersection is at least 80 % of their union. Then each holds at
-least 80 % of its own tokens in common with the other, so in any fixed order of all tokens the first 20 % of both share one.
-
-1. Groups. A class belongs to the group of its first token, so similar classes mostly share a group. The order puts tokens
-   that many documents hold last; which ones these are is counted, and matters for speed alone.
-2. Bound. The matrix of tokens and groups lies in parts by token, for the first 20 % of each class's tokens and 10 % more. Two
-   sets that link have that 10 % (of the smaller set) and one in common there. So a part counts how many of a class's tokens the
-   union of a group holds, the counts of all parts are added, and a class opens a group only if the sum reaches that number.
-   Of two groups that meet, the classes of the one with fewer classes ask the other.
-3. Opening. A class is first compared with a leader of the group, and then with those members that are not in one component
-   with it by then. Comparisons are exact. So near copies link in stars, not in all pairs, and no link between components
-   is lost.
+work below handles once. Two classes x and y link when they share 4/9 of |x| + |y| tokens or more, which is the same as 80 % of
+their union; so each shares 80 % of its own tokens at least.
+
+1. Shared tokens. One shuffle of packed tokens tells how many of a class's tokens any other class holds as well. A class with
+   less than 80 % of such tokens links with nothing, and leaves here; most do.
+2. Groups. Classes meet under a few least hashes, and each is compared with one leader for each of them. Classes that link so,
+   directly or through others, form components; near copies are mostly in one component by then, by links in stars and not in
+   pairs. Groups are bounded pieces of a component, of like size and drawn by a hash.
+3. The matrix. In a fixed order of tokens, the rarest first, two sets that link share a token early enough for all that they must
+   share to follow. A cell (token, group) holds the least size and the most tokens that follow in a class of the group. Classes
+   ask the groups of other components, those of larger ones only, that have a cell for such a token.
+4. Bound and opening. A group's token union tells how much of a class it can hold at most. Only if that is enough is the group
+   opened, and the class compared with each of its members, exactly.
+
+No pair of components that links is missed, whatever the hashes and leaders are; these save work alone.
 """
 
 from __future__ import annotations
@@ -26,12 +29,14 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from . import bytehash
-from .common import LOWEST, checkpoint, partitions, pieces, row_key, table
+from .common import binary, checkpoint, key_of, keyed, partitions, pieces, table
 
 SHINGLE, NEAR = 5, 80  # words of a shingle; least per cent of the union
-LARGE_GROUPS = 20_000  # groups whose sizes decide who asks whom; of others, the numbers do
-BROADCAST_ROWS = 400_000  # of up to four numbers each
-LEADERS = 2  # rounds of leaders before the members that are left are compared one by one
+SIGNS = 6  # least hashes of each class
+GROUP_TOKENS = 50_000  # of a group's members, as far as single classes allow
+BATCH = 1_500_000  # tokens that a task packs at once
+BROADCAST_ROWS = 400_000  # of up to four numbers each; larger tables are shuffled
+PACKED = "kind int, part int, d long, r long, c long, n long, blob binary"
 
 
 def sets(texts: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
@@ -55,316 +60,267 @@ def class_of(s: np.ndarray) -> int:
     return int(bytehash.mix(x).view(np.int64)[0])
 
 
-def ordered(s: np.ndarray, late: np.ndarray) -> np.ndarray:
-    """The tokens in the fixed order: by hash, those of `late` (most frequent last) after all others."""
-    if not len(late):
-        return s
-    at = np.searchsorted(late[:, 0], s).clip(0, len(late) - 1)
-    known = late[at, 0] == s
-    if not known.any():
-        return s
-    return np.concatenate([s[~known], s[known][np.argsort(late[at[known], 1], kind="stable")]])
-
-
-def needed(n: int) -> int:
+def needed(n):
     """Tokens of a set of n that a linked set holds at least."""
     return -(-NEAR * n // 100)
 
 
-# ---- 1: frequent tokens, classes
-
+# ---- 1: shared tokens
 
-def _frequent(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Tokens that two or more classes of some thousand texts hold, and how many hold them."""
 
-    def counted(own: dict[int, np.ndarray]) -> pd.DataFrame:
-        tokens, count = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *own.values()]), return_counts=True)
-        keep = count >= 2
-        return pd.DataFrame({"token": tokens[keep].view(np.int64), "n": count[keep]})
+def _deal(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order by part, where each part starts) of keys dealt out by their remainder."""
+    part = (keys % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
 
-    own: dict[int, np.ndarray] = {}
-    n = 0
-    for f in pieces(frames, "t"):
-        for s in sets(list(f["t"])):
-            own[class_of(s)] = s
-            n += len(s)
-        if n > 1_500_000:
-            yield counted(own)
-            own, n = {}, 0
-    yield counted(own)
 
+def _counts(c: np.ndarray, n: np.ndarray, shared: np.ndarray, parts: int) -> Iterator[tuple[int, bytes]]:
+    """Blocks (class, size, shared tokens) by part of the classes."""
+    keep = shared > 0
+    rows = np.stack([c[keep], n[keep], shared[keep]], axis=1)
+    order, cuts = _deal(rows[:, 0].astype(np.int64).view(np.uint64), parts)
+    for p in range(parts):
+        if cuts[p + 1] > cuts[p]:
+            yield p, np.ascontiguousarray(rows[order[cuts[p] : cuts[p + 1]]]).tobytes()
 
-def frequent_tokens(texts: DataFrame, most: int) -> np.ndarray:
-    """Up to `most` rows (token, rank), sorted by token; ranks rise with the number of classes counted.
 
-    Each task that has summed counts gives its share of the most frequent ones, packed.
-    """
-    share = max(1, most // max(2, partitions(texts.sparkSession)))
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["kind", "part", "d", "r", "c", "n", "blob"])
 
-    def top(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((0, 2), dtype=np.int64)
-        for f in frames:
-            held = np.concatenate([held, f[["n", "token"]].to_numpy(dtype=np.int64)])
-            held = held[np.lexsort((held[:, 1], -held[:, 0]))[:share]]
-        yield pd.DataFrame({"blob": [held.tobytes()]})
 
-    found = texts.mapInPandas(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).mapInPandas(top, "blob binary").collect()
-    rows = np.concatenate([np.zeros((0, 2), dtype=np.int64), *[np.frombuffer(x["blob"], np.int64).reshape(-1, 2) for x in found]])
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    token, rank = rows[:, 1].view(np.uint64), np.arange(len(rows), dtype=np.uint64)
-    order = np.argsort(token)
-    return np.stack([token[order], rank[order]], axis=1)
+def _tokens(parts: int):
+    """A row of kind 0 for each document, with its class. For each batch of classes, blocks of kind 1 by token, and of kind 2 with
+    the tokens that classes of the batch share with each other; of such a token, the block has one entry that no class owns."""
 
+    def send(own: dict[int, np.ndarray]) -> Iterator[pd.DataFrame]:
+        c = np.array([*own, 0], dtype=np.int64)  # the last entry: no class
+        n = np.array([*map(len, own.values()), 0], dtype=np.int64)
+        token = np.concatenate([np.zeros(0, dtype=np.uint64), *own.values()])
+        of = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        order = np.argsort(token)
+        token, of = token[order], of[order]
+        new = np.concatenate([[True], token[1:] != token[:-1]])
+        twice = np.diff(np.append(np.flatnonzero(new), len(token))) > 1
+        shared = np.bincount(of[np.repeat(twice, np.diff(np.append(np.flatnonzero(new), len(token))))], minlength=len(n))
+        rows = [(2, p, 0, 0, 0, 0, b) for p, b in _counts(c, n, shared, parts)]
+        token, of = token[new], np.where(twice, len(own), of[new])
+        order, cuts = _deal(token, parts)
+        for p in range(parts):
+            at = order[cuts[p] : cuts[p + 1]]
+            if len(at):
+                at = at[np.argsort(of[at], kind="stable")]
+                used, times = np.unique(of[at], return_counts=True)
+                low = (token[at] // np.uint64(parts)).view(np.uint8).reshape(-1, 8)[:, :5]  # a chance match lets a class stay, no more
+                cols = [np.array([len(used), len(at)], dtype=np.int64), c[used], n[used].astype(np.int32), times.astype(np.int32), low]
+                rows.append((1, p, 0, 0, 0, 0, b"".join(np.ascontiguousarray(x).tobytes() for x in cols)))
+        yield _frame(rows)
 
-def _classes(late):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own: dict[int, np.ndarray] = {}
+        held = 0
         for f in pieces(frames, "t"):
-            own = sets(list(f["t"]))
-            group = [int(ordered(s, late.value)[:1].view(np.int64)[0]) if len(s) else 0 for s in own]
-            yield pd.DataFrame({"d": f["d"], "r": f["r"], "c": [class_of(s) for s in own], "g": group, "n": [len(s) for s in own]})
+            found = sets(list(f["t"]))
+            c = [class_of(s) for s in found]
+            d = f["d"].to_numpy(dtype=np.int64)
+            part = (bytehash.mix(d.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+            yield pd.DataFrame({"kind": 0, "part": part, "d": d, "r": f["r"], "c": c, "n": [len(s) for s in found], "blob": None})
+            for x, s in zip(c, found, strict=True):
+                if len(s) and x not in own:
+                    own[x] = s
+                    held += len(s)
+            if held > BATCH:
+                yield from send(own)
+                own, held = {}, 0
+        if own:
+            yield from send(own)
 
     return run
 
 
-# ---- 2: the matrix
+def _meet(parts: int):
+    """Lets rows of kinds 0 and 2 through; of the tokens of a part, those of more than one class give counts of kind 2."""
 
-BLOCKS = "part int, blob binary"
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list[bytes]] = {}
+        for f in frames:
+            blocks = f["kind"] == 1
+            if not blocks.all():
+                yield f[~blocks]
+            for part, blob in zip(f["part"][blocks], f["blob"][blocks], strict=True):
+                held.setdefault(part, []).append(blob)
+        for part in sorted(held):
+            c, n, times, token = [], [], [], []
+            for blob in held.pop(part):
+                used, m = (int(x) for x in np.frombuffer(blob, np.int64, 2))
+                c.append(np.frombuffer(blob, np.int64, used, 16))
+                n.append(np.frombuffer(blob, np.int32, used, 16 + 8 * used))
+                times.append(np.frombuffer(blob, np.int32, used, 16 + 12 * used))
+                wide = np.zeros((m, 8), dtype=np.uint8)
+                wide[:, :5] = np.frombuffer(blob, np.uint8, 5 * m, 16 + 16 * used).reshape(m, 5)
+                token.append(wide.view(np.uint64).ravel())
+            c, n, times, token = (np.concatenate(x) for x in (c, n, times, token))
+            of = np.repeat(np.arange(len(c), dtype=np.int32), times)
+            order = np.argsort(token)
+            token, of = token[order], of[order]
+            new = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            size = np.diff(np.append(new, len(token)))
+            who, none = c[of], n[of] == 0
+            apart = np.logical_or.reduceat((who != np.repeat(who[new], size)) | none, new)  # more classes than the first one
+            shared = np.bincount(of[np.repeat(apart, size) & ~none], minlength=len(c))
+            yield _frame([(2, p, 0, 0, 0, 0, b) for p, b in _counts(c, n.astype(np.int64), shared, parts)])
 
+    return run
 
-def extra(n: int) -> int:
-    """Tokens beyond the first 20 % that go into the matrix, for a set of n."""
-    return n // 10
 
+def _enough(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The classes that share as many tokens as a link needs. The counts of a class in several batches add up to too many, if to
+    anything wrong."""
+    held: dict[int, list] = {}
+    for f in frames:
+        for part, blob in zip(f["part"], f["blob"], strict=True):
+            held.setdefault(part, []).append(np.frombuffer(blob, np.int64).reshape(-1, 3))
+    for part in sorted(held):
+        rows = np.concatenate(held.pop(part))
+        c, first, back = np.unique(rows[:, 0], return_index=True, return_inverse=True)
+        n = rows[first, 1]
+        yield pd.DataFrame({"c": c[np.bincount(back, rows[:, 2]) >= needed(n)]})
 
-def least_shared(n: int) -> int:
-    """First tokens that a set of n has in common at least with one that it links with, which has needed(n) tokens at least."""
-    return 1 + extra(needed(n))
 
+def _own_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each class with its set, in an order of its own, and the least of its tokens' hashes in SIGNS orders."""
+    salts = [np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64)) for k in range(SIGNS)]
+    for f in pieces(frames, "t"):
+        found = sets(list(f["t"]))
+        signs = [[int(bytehash.mix(s ^ salt).min().view(np.int64)) for salt in salts] for s in found]
+        yield pd.DataFrame({"c": f["c"], "n": [len(s) for s in found], "s": [np.sort(s.view(np.int64)) for s in found], "signs": signs})
 
-def _first_tokens(late, parts: int):
-    """Blocks by token of (token, class, group, size) for the first tokens of each class, once for a task."""
 
-    def send(rows: list) -> Iterator[pd.DataFrame]:
-        if not rows:
-            return
-        tokens = np.concatenate([t for t, *_ in rows])
-        sizes = np.array([len(t) for t, *_ in rows])
-        about = np.array([r[1:] for r in rows], dtype=np.int64)
-        which = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-        part = (tokens % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(parts + 1))
-        out = []
-        for p in range(parts):
-            own = order[cuts[p] : cuts[p + 1]]
-            if len(own):
-                used, local = np.unique(which[own], return_inverse=True)
-                low = (tokens[own] // np.uint64(parts)).view(np.uint8).reshape(-1, 8)[:, :6]
-                kind = np.uint16 if len(used) < 1 << 16 else np.uint32
-                head = np.array([len(used), len(own)], dtype=np.int64)
-                # the group's lower 32 bits do: a chance match makes a group larger, no more
-                cols = [about[used, 0], about[used, 1].astype(np.int32), about[used, 2].astype(np.int32), local.astype(kind), low]
-                out.append((p, b"".join([head.tobytes(), *[np.ascontiguousarray(c).tobytes() for c in cols]])))
-        yield pd.DataFrame(out, columns=["part", "blob"])
+# ---- 2: groups
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        rows, n = [], 0
-        for f in pieces(frames, "t"):
-            for s in sets(list(f["t"])):
-                if not len(s):
-                    continue
-                c = class_of(s)
-                if c in seen:
-                    continue
-                seen.add(c)
-                s = ordered(s, late.value)
-                rows.append((s[: len(s) - needed(len(s)) + 1 + extra(len(s))], c, _low(int(s[0])), len(s)))
-                n += len(rows[-1][0])
-            if n > 600_000:
-                yield from send(rows)
-                rows, n = [], 0
-            if len(seen) > 2_000_000:
-                seen = set()
-        yield from send(rows)
 
-    return run
+def _held(df: DataFrame) -> DataFrame:
+    """df, fixed; to be broadcast if it has few enough rows of a few numbers each, else joined by a shuffle."""
+    df = checkpoint(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
 
+def _links(pairs: DataFrame) -> Column:
+    both = F.size(F.array_intersect("s", "ms"))
+    return F.lit(100) * both >= F.lit(NEAR) * (F.size("s") + F.size("ms") - both)
 
-def _low(g: int) -> int:
-    """A token's lower 32 bits, signed."""
-    return (g & 0xFFFFFFFF) - ((g & 0x80000000) << 1)
 
+def _compare(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of the pairs (c, m) of classes that link."""
+    pairs = _held(pairs)
+    own = known.select("c", "s").join(pairs, "c")
+    other = known.select(F.col("c").alias("m"), F.col("s").alias("ms"))
+    return own.join(other, "m").where(_links(own)).select("c", "m")
 
-def _unblock(blob: bytes) -> tuple[np.ndarray, ...]:
-    u, n = (int(x) for x in np.frombuffer(blob, np.int64, 2))
-    at = 16
-    c, g, size = np.frombuffer(blob, np.int64, u, at), np.frombuffer(blob, np.int32, u, at + 8 * u), np.frombuffer(blob, np.int32, u, at + 12 * u)
-    at += 16 * u
-    kind = np.uint16 if u < 1 << 16 else np.uint32
-    local = np.frombuffer(blob, kind, n, at)
-    wide = np.zeros((n, 8), dtype=np.uint8)
-    wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * n, at + n * np.dtype(kind).itemsize).reshape(n, 6)
-    return wide.view(np.uint64).ravel(), c[local], g[local], size[local]
 
+def _labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """df with the component of each class; a class that links with nothing is its own."""
+    own = labels.select(F.col("node").alias("c"), F.col("component").alias("comp"))
+    return df.join(own, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
 
-def _candidates(large):
-    """(class that asks, group that is asked, n): how many of the class's tokens here the group's union holds, with the class's size."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
-        for f in frames:
-            for part, blob in zip(f["part"], f["blob"], strict=True):
-                held.setdefault(part, []).append(_unblock(blob))
-        for part in sorted(held):
-            token, c, g, n = (np.concatenate(x) for x in zip(*held.pop(part), strict=True))
-            order = np.lexsort((c, token))
-            token, c, g, n = token[order], c[order], g[order].astype(np.int64), n[order].astype(np.int64)
-            once = np.concatenate([[True], (token[1:] != token[:-1]) | (c[1:] != c[:-1])])
-            token, c, g, n = token[once], c[once], g[once], n[once]
-            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            size = np.diff(np.concatenate([start, [len(token)]]))
-            # tokens that the same classes hold are looked at once
-            lists: dict[bytes, list] = {}
-            for a, m in zip(start[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                lists.setdefault(c[a : a + m].tobytes(), [a, m, 0])[2] += 1
-            found: dict[tuple[int, int], list] = {}
-            for a, m, times in lists.values():
-                _meet(c[a : a + m], g[a : a + m], n[a : a + m], times, large.value, found)
-            yield pd.DataFrame([(x, y, z, w) for (x, y), (z, w) in found.items()], columns=["c", "g", "n", "size"])
+def _leader_links(known: DataFrame) -> DataFrame:
+    signed = known.select("c", F.posexplode("signs").alias("k", "sign"))
+    leaders = signed.groupBy("k", "sign").agg(F.min("c").alias("m"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return _compare(signed.join(leaders, ["k", "sign"]).where("c != m").select("c", "m").distinct(), known)
 
-    return run
 
+def _groups(known: DataFrame, labels: DataFrame) -> DataFrame:
+    """(c, n, comp, weight, g): each class with its component, the classes in that, and its group."""
+    placed = _labelled(known.select("c", "n"), labels)
+    placed = placed.withColumn("band", F.floor(F.log(1.05, "n")))
+    weights = _held(placed.groupBy("comp").agg(F.count("*").alias("weight")).where("weight > 1"))
+    pieces_of = _held(placed.groupBy("comp", "band").agg(F.ceil(F.sum("n") / GROUP_TOKENS).alias("pieces")).where("pieces > 1"))
+    placed = placed.join(weights, "comp", "left").join(pieces_of, ["comp", "band"], "left").withColumns({"weight": F.coalesce("weight", F.lit(1)), "pieces": F.coalesce("pieces", F.lit(1))})
+    return placed.select("c", "n", "comp", "weight", F.xxhash64("comp", "band", F.pmod(F.xxhash64("c"), F.col("pieces"))).alias("g"))
 
-def _meet(c: np.ndarray, g: np.ndarray, n: np.ndarray, times: int, large: dict[int, int], found: dict) -> None:
-    """Counts who asks whom among the classes that share so many tokens."""
-    order = np.argsort(g, kind="stable")
-    c, g, n = c[order], g[order], n[order]
-    start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-    end = np.concatenate([start[1:], [len(g)]])
-    low, high, groups = np.minimum.reduceat(n, start), np.maximum.reduceat(n, start), g[start].tolist()
 
-    def count(i: int, group: int) -> None:
-        for x, m in zip(c[start[i] : end[i]].tolist(), n[start[i] : end[i]].tolist(), strict=True):
-            found.setdefault((x, group), [0, m])[0] += times
+# ---- 3: the matrix
 
-    for i in np.flatnonzero(end - start > 1).tolist():
-        count(i, groups[i])
-    if len(groups) == 1:
-        return
-    # the larger group is asked; the order is the same for all tokens
-    rank = sorted(range(len(groups)), key=lambda i: (large.get(groups[i], 0), groups[i]))
-    for k, i in enumerate(rank[:-1]):
-        later = np.array(rank[k + 1 :])
-        for j in later[(100 * high[i] >= NEAR * low[later]) & (100 * high[later] >= NEAR * low[i])].tolist():
-            count(i, groups[j])
 
+def _least_shared(n: str, m: str) -> Column:
+    """Tokens that sets of n and m share at least if they link: NEAR / (100 + NEAR) of both, rounded up."""
+    return F.ceil((F.col(n) + F.col(m)) * NEAR / (100 + NEAR))
 
-# ---- 3: opening
 
+def _prefixes(known: DataFrame) -> DataFrame:
+    """(c, token, rest): a class's tokens that another one holds too, as far as one of them must be the first that two linked sets
+    share. rest: how many of the class's tokens follow in the order, this one included."""
+    tokens = known.select("c", "n", F.explode("s").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    shared = tokens.join(often, "token").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("own"))
+    # tokens of one class alone come first in the order, and are left out
+    early = F.col("n") - F.ceil(F.col("n") * NEAR / 100) + 1 - (F.col("n") - F.size("own"))
+    early = shared.where(early > 0).select("c", F.size("own").alias("held"), F.posexplode(F.slice("own", 1, early.cast("int"))).alias("at", "x"))
+    return early.select("c", "x.token", (F.col("held") - F.col("at")).alias("rest"))
 
-def _own_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in pieces(frames, "t"):
-        yield pd.DataFrame({"c": f["c"], "set": [s.tobytes() for s in sets(list(f["t"]))]})
 
+def _asked(known: DataFrame, placed: DataFrame) -> DataFrame:
+    """(c, g): the groups that a class asks."""
+    rows = checkpoint(_prefixes(known).join(placed, "c"))
+    met = rows.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.max(F.struct("weight", "comp")).alias("top")).where("a != b").select("token", "top")
+    cells = rows.groupBy("token", "g", "comp", "weight").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("most"))
+    cells = cells.select("token", "g", F.struct("weight", "comp").alias("there"), "low", "high", "most")
+    asking = rows.select("token", "c", "n", "rest", F.struct("weight", "comp").alias("here")).join(met, "token").where("here < top").drop("top")
+    pairs = asking.join(cells, "token").where("here < there")
+    return pairs.where((_least_shared("n", "low") <= F.least("rest", "most", "n", "high"))).select("c", "g").distinct()
 
-def _linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        keep = []
-        for a, b in zip(f["set"], f["other_set"], strict=True):
-            both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
-            keep.append(100 * both >= NEAR * (len(a) // 8 + len(b) // 8 - both))
-        yield f.loc[keep, ["c", "m"]]
 
+# ---- 4: bound and opening
 
-def _held(df: DataFrame) -> DataFrame:
-    """df, fixed; to be broadcast if it has few enough rows of a few numbers each, else joined by a shuffle."""
-    df = checkpoint(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
+def _opened(asked: DataFrame, known: DataFrame, placed: DataFrame) -> DataFrame:
+    """Links (c, m) of the asking classes and members of the groups."""
+    asked = _held(asked)
+    of = _held(placed.join(asked.select("g").distinct(), "g", "left_semi").select("c", "g"))
+    members = checkpoint(known.select("c", "n", "s").join(of, "c"))
+    union = checkpoint(members.groupBy("g").agg(F.min("n").alias("low"), F.array_distinct(F.flatten(F.collect_list("s"))).alias("union")))
+    sides = known.select("c", "n", "s").join(asked, "c").join(union, "g")
+    open_ = _held(sides.where(F.size(F.array_intersect("s", "union")) >= _least_shared("n", "low")).select("c", "g"))
+    against = members.select("g", F.col("c").alias("m"), F.col("s").alias("ms"))
+    return known.select("c", "s").join(open_, "c").join(against, "g").where(_links(against)).select("c", "m")
 
-def _compare(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Those of the pairs (c, m) of classes that link."""
-    pairs = _held(pairs)
-    own = known.join(pairs, "c").select("c", "m", "set")
-    other = known.withColumnRenamed("c", "m").join(pairs, "m").select("c", "m", F.col("set").alias("other_set"))
-    return checkpoint(own.join(other, ["c", "m"]).mapInPandas(_linked, "c long, m long"))
-
-
-def _with_component(df: DataFrame, column: str, labels: DataFrame | None, name: str) -> DataFrame:
-    """df with the component of a class; a class that nothing links with yet is its own."""
-    if labels is None:
-        return df.withColumn(name, F.col(column))
-    own = labels.select(F.col("node").alias(column), F.col("component").alias(name))
-    return df.join(own, column, "left").withColumn(name, F.coalesce(name, column))
-
-
-def class_links(texts: DataFrame, classes: DataFrame, late) -> DataFrame:
-    """Links (c, m) between classes that join all classes of a component, all of them exact."""
-    parts = max(2, partitions(texts.sparkSession))
-    one = checkpoint(classes.groupBy("c").agg(F.first("g").alias("g"), F.first("n").alias("n"), F.min(F.struct("d", "r")).alias("at")))
-    largest = one.groupBy("g").count().where("count > 1").orderBy(F.desc("count"), "g").limit(LARGE_GROUPS).collect()
-    large = texts.sparkSession.sparkContext.broadcast({r["g"]: r["count"] for r in largest})
-    met = texts.select("t").mapInPandas(_first_tokens(late, parts), BLOCKS).repartition(parts, "part").mapInPandas(_candidates(large), "c long, g long, n long, size long")
-    counted = met.groupBy("c", "g").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
-    open_ = _held(counted.where(F.col("n") > F.floor(F.ceil(F.col("size") * NEAR / 100) / 10)).select("c", "g"))
-    members = one.join(open_.select("g").distinct(), "g").select("g", F.col("c").alias("m"), "n", "at")
-    involved = members.select(F.col("m").alias("c"), "at").unionByName(one.join(open_.select("c").distinct(), "c").select("c", "at")).dropDuplicates(["c"]).select("c", "at.d", "at.r")
-    known = checkpoint(texts.join(_held(involved), ["d", "r"]).select("c", "t").mapInPandas(_own_sets, "c long, set binary"))
-    members = _held(members.select("g", "m", "n"))
-
-    links, labels, led = None, None, members.limit(0).select("g", "m")
-    for _ in range(LEADERS):
-        # in each group the least class that is in no component with a leader before it
-        placed = _with_component(members, "m", labels, "mm")
-        led_to = _with_component(led, "m", labels, "mm").select("g", "mm").distinct()
-        leaders = placed.join(led_to, ["g", "mm"], "left_anti").groupBy("g").agg(F.min("m").alias("m"))
-        leaders = checkpoint(leaders)
-        pairs = _with_component(open_.join(leaders, "g").where("c != m"), "c", labels, "cc")
-        pairs = _with_component(pairs, "m", labels, "mm").where("cc != mm").select(F.least("c", "m").alias("c"), F.greatest("c", "m").alias("m")).distinct()
-        new = _compare(pairs, known)
-        led = led.unionByName(leaders)
-        links = new if links is None else links.unionByName(new)
-        labels = connected_components(links, "c", "m")
-    # the rest: members in another component, of a size that can link. Components of a group come first, so that a class
-    # does not meet the members it is in one component with.
-    placed = _with_component(members.join(led, ["g", "m"], "left_anti"), "m", labels, "mm")
-    asking = _with_component(open_.join(one.select("c", F.col("n").alias("size")), "c"), "c", labels, "cc")
-    apart = asking.join(placed.select("g", "mm").distinct(), "g").where("cc != mm").join(placed, ["g", "mm"])
-    rest = apart.where((100 * F.col("size") >= NEAR * F.col("n")) & (100 * F.col("n") >= NEAR * F.col("size"))).select(F.least("c", "m").alias("c"), F.greatest("c", "m").alias("m")).distinct()
-    return links.unionByName(_compare(rest, known))
-
-
-def components(df: DataFrame, text: str, key: str, *, late_tokens: int = 1_000_000) -> DataFrame:
+
+def class_links(known: DataFrame) -> DataFrame:
+    """Links (c, m) between classes that join all classes of a component, all of them exact; known: (c, n, s, signs)."""
+    led = checkpoint(_leader_links(known))
+    placed = checkpoint(_groups(known, connected_components(led, "c", "m")))
+    return led.unionByName(checkpoint(_opened(_asked(known, placed), known, placed)))
+
+
+def components(df: DataFrame, text: str, key: str) -> DataFrame:
     """(key, d, r, c, n, component) of each row of df: its class, the size of its set, and the least key it is linked with.
 
     component is least by (key, row) of the rows that links reach, itself included, as a struct (d, r). Rows of null and
-    repeated keys: see row_key. Rows without words have n = 0 and are linked with nothing. late_tokens bounds the table of
-    frequent tokens that is broadcast. The numbers in c and n are 64-bit hashes and sizes of the sets.
+    repeated keys: see keyed. Rows without words (null, empty and blank texts) have n = 0 and are linked with nothing. Texts of any
+    length are taken whole; equal texts, however many, are one class. An empty table gives an empty result. Other columns of df
+    are not looked at, whatever their names are. The numbers in c and n are 64-bit hashes and sizes of the sets.
     """
-    d, r = row_key(df, key, text)
-    texts = df.select(d.alias("d"), r.alias("r"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
-    late = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts, late_tokens))
-    classes = checkpoint(texts.mapInPandas(_classes(late), "d long, r int, c long, g long, n long"))
-    narrow = F.pmod(F.col("g"), F.lit(1 << 32)).alias("g")
-    full = classes.where("n > 0").select("d", "r", "c", _narrow(narrow), "n")
-    labels = connected_components(class_links(texts, full, late), "c", "m")
-    labels = labels.select(F.col("node").alias("c"), "component")
-    by_class = classes.where("n > 0").groupBy("c").agg(F.min(F.struct("d", "r")).alias("low")).join(labels, "c", "left").withColumn("component", F.coalesce("component", "c"))
-    least = by_class.groupBy("component").agg(F.min("low").alias("least"))
-    where = by_class.join(least, "component").select("c", "least")
-    out = classes.join(where, "c", "left").select(F.nullif(F.col("d"), F.lit(LOWEST)).alias(key), "d", "r", "c", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.struct("d", "r")).alias("component"))
-    return out
-
-
-def _narrow(low: Column) -> Column:
-    """The lower 32 bits, signed, as _low gives them."""
-    return F.when(low >= (1 << 31), low - (1 << 32)).otherwise(low).alias("g")
+    parts = max(2, partitions(df.sparkSession))
+    texts = keyed(df, key, text).select("d", "r", binary().alias("t"))
+    first = checkpoint(texts.mapInPandas(_tokens(parts), PACKED).repartition(parts, "part").mapInPandas(_meet(parts), PACKED))
+    classes = first.where("kind = 0").select("d", "r", "c", "n")
+    enough = first.where("kind = 2").select("part", "blob").repartition(parts, "part").mapInPandas(_enough, "c long")
+    # one text stands for its class
+    low = checkpoint(classes.where("n > 0").groupBy("c").agg(F.min(F.struct("d", "r")).alias("low"), F.count("*").alias("copies")))
+    chosen = _held(low.join(enough, "c", "left_semi").select("c", "low.d", "low.r"))
+    known = checkpoint(texts.join(chosen, ["d", "r"]).select("c", "t").mapInPandas(_own_sets, "c long, n long, s array<long>, signs array<long>"))
+    labels = connected_components(class_links(known), "c", "m")
+    found = low.join(labels.select(F.col("node").alias("c"), F.col("component").alias("comp")), "c", "left").where("copies > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "c"))
+    where = _held(found.join(found.groupBy("comp").agg(F.min("low").alias("least")), "comp").select("c", "least"))
+    out = classes.join(where, "c", "left")
+    component = F.when(F.col("n") > 0, F.coalesce("least", F.struct("d", "r"))).otherwise(F.struct("d", "r"))
+    return out.select(key_of().alias(key), "d", "r", "c", "n", component.alias("component"))
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = components(table(spark, sf_dir, "documents"), "text", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.nullif(F.col("component.d"), F.lit(LOWEST)).alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), key_of("component.d", "component.r").alias("component_id"))
 
 
 QUERIES = {"op7_jaccard": op7_jaccard}

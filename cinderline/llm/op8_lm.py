@@ -21,14 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .common import LOWEST, checkpoint, held_out, partitions, pieces, row_key, table
+from .common import binary, checkpoint, held_out, key_of, keyed, partitions, pieces, table
 
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end of a text in the hashes, and before its first word
 LEVELS = np.unique(np.ceil(1.3 ** np.arange(100)).astype(np.int64))  # least count of each level
 VALUES = np.concatenate([[0.0], LEVELS[:4], np.sqrt(LEVELS[4:-1] * (LEVELS[5:] - 1.0)), [LEVELS[-1]]])  # what level q stands for
 BITS, PROBES = 10, 4  # bits of filter for each entry, bits set for each
 GROUPS = 12
-ROWS = "part int, kind int, d long, r int, a double, b double, n long, blob binary"
+ROWS = "part int, kind int, d long, r long, a double, b double, n long, blob binary"
 
 
 def sequences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -337,7 +337,7 @@ def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def score(texts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r int, t binary).
+    """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary).
 
     Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end.
     """
@@ -345,23 +345,18 @@ def score(texts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     sent = texts.mapInPandas(_score(shared, model.parts), ROWS)
     # rows of kind 2 carry a number in `part` that spreads them; blocks meet the counts of their part
     met = sent.unionByName(counts).repartition(model.parts, F.when(F.col("kind") == 2, F.pmod("d", F.lit(model.parts)).cast("int")).otherwise(F.col("part")))
-    sums = met.mapInPandas(_meet, "d long, r int, base double, score double, n long, known long").groupBy("d", "r").agg(*[F.sum(k).alias(k) for k in ("base", "score", "n", "known")])
+    sums = met.mapInPandas(_meet, "d long, r long, base double, score double, n long, known long").groupBy("d", "r").agg(*[F.sum(k).alias(k) for k in ("base", "score", "n", "known")])
     below = float(np.log10(model.tokens + 0.1 * (model.words + 1)))
     return sums.select("d", "r", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") - F.col("n") * below).alias("base_score"), "score")
 
 
-def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    d, r = row_key(df, key, text)
-    return df.select(d.alias("d"), r.alias("r"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
-
-
 def fold(key: Column) -> Column:
     return held_out(key, 10, 0)
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = keyed(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
-    own = F.nullif(F.col("d"), F.lit(LOWEST))
+    texts = keyed(table(spark, sf_dir, "documents"), "doc_id", "text").select("d", "r", binary().alias("t"))
+    own = key_of()
     model, counts = train(texts.where(own.isNotNull() & ~fold(own)).select("d", "t"))
     out = score(texts, model, counts)
     return out.select(own.alias("doc_id"), fold(own).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

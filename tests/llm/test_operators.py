@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cinderline.llm import bytehash, op1_suffix_dedup, op2_sharding, op3_language, op4_quality, op5_decontamination, op6_bpe, op7_jaccard, op8_lm, op9_ann, op10_toxicity, suffix_runs
-from cinderline.llm.common import labelled_sample
+from cinderline.llm.common import binary, keyed, labelled_sample
 
 DOCS = "doc_id long, text string, lang string, shard int"
 
@@ -20,6 +20,10 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "en", 9) for i, t in rows], DOCS)
 
 
+def lm_texts(df):
+    return keyed(df, "doc_id", "text").select("d", "r", binary().alias("t"))
+
+
 def words(turn, n):
     return " ".join("".join(turn.choice("abcdefgh") for _ in range(turn.randrange(2, 9))) for _ in range(n))
 
@@ -169,7 +173,7 @@ def test_op8_against_counts(spark, corpus):
     import math
     from collections import Counter
 
-    texts = op8_lm.keyed(frame(spark, corpus), "doc_id", "text")
+    texts = lm_texts(frame(spark, corpus))
     seen = [i for i, _ in corpus if zlib.crc32(str(i).encode()) % 10]
     model, counts = op8_lm.train(texts.where(F.col("d").isin(seen)).select("d", "t"), head=40)
     own = {i: (t or "").encode().lower().split() + [None] for i, t in corpus}
@@ -185,7 +189,7 @@ def test_op8_against_counts(spark, corpus):
 def test_op8_pairs_seen_once(spark):
     turn = random.Random(3)
     rows = [(i, words(turn, 40)) for i in range(60)]
-    model, _ = op8_lm.train(op8_lm.keyed(frame(spark, rows), "doc_id", "text").select("d", "t"))
+    model, _ = op8_lm.train(lm_texts(frame(spark, rows)).select("d", "t"))
     tokens, _ = op8_lm.sequences([rows[7][1].encode()])
     assert (model.pair_counts(op8_lm.pair(op8_lm.contexts(tokens), tokens)) >= 1).all()
     never = op8_lm.pair(tokens[2:], tokens[:-2])
@@ -197,7 +201,7 @@ def test_op8_weights_of_all_texts(spark):
     turn = random.Random(6)
     lexicon = words(turn, 40).split()
     rows = [(i, " ".join(w for k in (turn.randrange(40) for _ in range(9)) for w in lexicon[k : k + turn.choice([1, 1, 2])])) for i in range(3000)]
-    texts = op8_lm.keyed(frame(spark, rows), "doc_id", "text").select("d", "t")
+    texts = lm_texts(frame(spark, rows)).select("d", "t")
     model, _ = op8_lm.train(texts)
     group, among, unigram = model.shares(op8_lm.sequences([t.encode() for _, t in rows])[0], less=1)
     for g in np.unique(group):
