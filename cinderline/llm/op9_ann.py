@@ -2,15 +2,16 @@
 
 Vectors are scaled to length 1 and projected to a few dimensions, once for each of several curves, each with directions and
 a shift of its own. The place of a projected vector on a Hilbert curve is its key: near keys mostly mean near vectors.
-Spark range-partitions and sorts the keys of every curve; a query's candidates are the vectors in a window of keys around it,
-and the windows of all curves are merged and reranked by the exact measure.
+Spark range-partitions, sorts and numbers the keys of every curve. The ordering is cut into blocks by these numbers, and a block
+also gets the rows next to it, so that no window ends at a border. A query's candidates are the vectors in a window of places around
+it on each curve; they are ranked by vectors of one byte a component, the windows of all curves are merged, and the best of them are
+reranked by the exact measure.
 
-A query is settled when two halves of the curves, each by itself, give it the same neighbours. Where they differ, as they do
-for vectors without near neighbours, the window widens over the whole ordering of a first curve: block by block, a block
-being left out only if its centre and radius show that it holds nothing nearer than what is known. So these results are
-exact, at the price of a pass over the blocks; how many queries need it depends on the data.
+Work and memory grow with the rows times the number of curves, and with the queries times curves times window; there is no pass of queries
+over all rows. What recall a number of curves and a window give depends on how near the neighbours are: see the README.
 
-Equal vectors are one class with the smallest of their ids, so that any number of copies takes one place in a window.
+Equal vectors are one class with the smallest of their ids, so that any number of copies takes one place in a window. Vectors of
+different lengths have no cosine; they never meet.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from .common import checkpoint, partitions, table
 
-CURVES, DIMENSIONS, BITS = 4, 7, 9
-WINDOW = 128
-QUERY_BLOCK = 4096
-FOUND = "q long, c long, low long, score double"
+CURVES, DIMENSIONS, BITS = 64, 7, 9
+WINDOW = 256  # places on either side
+BLOCK = 16_384  # places searched together
+ROUGH = 4  # candidates that stay for each one that is asked for, until the exact measure decides
+KEYS = "c long, low long, asks boolean, curve long, key long, code binary"
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -68,199 +71,109 @@ def curve_keys(unit: np.ndarray, curve: int) -> np.ndarray:
     return hilbert((at * (1 << BITS)).clip(0, (1 << BITS) - 1), BITS)
 
 
-def nearest(score: np.ndarray, low: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k largest scores, ties by the smaller id."""
-    if len(score) > k:
-        least = np.partition(score, len(score) - k)[len(score) - k]
-        some = np.flatnonzero(score >= least)
-    else:
-        some = np.arange(len(score))
-    return some[np.lexsort((low[some], -score[some]))[:k]]
+def codes(unit: np.ndarray) -> list[bytes]:
+    """A scale and a byte for each component."""
+    scale = (np.abs(unit).max(axis=1, keepdims=True) / 127).astype(np.float32)
+    bytes_of = np.round(unit / scale).astype(np.int8)
+    return [s.tobytes() + b.tobytes() for s, b in zip(scale, bytes_of, strict=True)]
 
 
-def _unit(blobs) -> np.ndarray:
-    x = np.array([np.frombuffer(b, np.float64) for b in blobs])
-    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+def _rough(held: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b"".join(held), dtype=np.uint8).reshape(len(held), -1)
+    return data[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(data[:, :4]).view(np.float32)
 
 
-def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        if not len(f):
-            continue
-        unit = _unit(f["v"])
-        for curve in range(CURVES):
-            yield f.assign(curve=curve, key=curve_keys(unit, curve))
-
-
-def _windows(k: int):
-    """The best of each query's window in the sorted keys of this partition."""
-
-    def search(f: pd.DataFrame, ready: int, last: bool) -> list[tuple]:
-        unit, curve, low, c = _unit(f["v"]), f["curve"].to_numpy(), f["low"].to_numpy(), f["c"].to_numpy()
-        out = []
-        for i in np.flatnonzero(f["asks"].to_numpy()):
-            if i < ready or (i + WINDOW >= len(f) and not last):
-                continue
-            a, b = max(0, i - WINDOW), min(len(f), i + WINDOW + 1)
-            own = np.flatnonzero(curve[a:b] == curve[i]) + a
-            score = unit[own] @ unit[i]
-            out += [(int(c[i]), int(curve[i]) % 2, int(c[own[j]]), int(low[own[j]]), float(score[j])) for j in nearest(score, low[own], k)]
-        return out
-
+def _keys(curves: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, ready = None, 0
-        names = ["q", "half", "c", "low", "score"]
         for f in frames:
-            held = f if held is None else pd.concat([held, f], ignore_index=True)
-            if len(held) > 8 * WINDOW:
-                yield pd.DataFrame(search(held, ready, False), columns=names)
-                # rows whose window is not complete stay, with a window before them
-                cut = max(0, len(held) - 2 * WINDOW)
-                held, ready = held.iloc[cut:].reset_index(drop=True), len(held) - WINDOW - cut
-        if held is not None and len(held):
-            yield pd.DataFrame(search(held, ready, True), columns=names)
+            for m, own in f.groupby("m"):
+                for a in range(0, len(own), 8192):
+                    part = own.iloc[a : a + 8192]
+                    x = np.stack(part["x"].to_numpy())
+                    x = x / np.abs(x).max(axis=1, keepdims=True)
+                    unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+                    code = codes(unit)
+                    for curve in range(curves):
+                        yield pd.DataFrame({"c": part["c"], "low": part["low"], "asks": part["asks"], "curve": int(m) * curves + curve, "key": curve_keys(unit, curve), "code": code})
 
     return run
 
 
-def _blocks(splits: np.ndarray):
-    """Each class with the block that its key on the first curve lies in."""
+def _windows(k: int, window: int):
+    """The roughly best of each query's window in a block; rows are sorted by block and place."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                yield f.assign(block=np.searchsorted(splits, curve_keys(_unit(f["v"]), 0)))
-
-    return run
-
-
-def _scan(k: int):
-    """Queries of a block come first (kind 0, `known` the score to beat), then its vectors in pieces."""
-
-    def finish(queries: pd.DataFrame | None, data: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if queries is None or not data:
-            return
-        asked = _unit(queries["v"])
-        rows = pd.concat(data, ignore_index=True)
-        unit, low, c = _unit(rows["v"]), rows["low"].to_numpy(), rows["c"].to_numpy()
-        centre = unit.mean(axis=0)
-        size = np.linalg.norm(centre)
-        todo = np.arange(len(asked))
-        if size > 1e-9:
-            # angles obey the triangle inequality: nothing in the block is nearer to a query than its centre less the radius
-            radius = np.arccos((unit @ (centre / size)).clip(-1, 1)).max()
-            away = np.arccos((asked @ (centre / size)).clip(-1, 1))
-            todo = np.flatnonzero(np.cos(np.maximum(0, away - radius)) >= queries["known"].to_numpy() - 1e-9)
+    def search(f: pd.DataFrame, block: int) -> pd.DataFrame:
+        place, curve, c, low = (f[x].to_numpy() for x in ("place", "curve", "c", "low"))
+        asks = np.flatnonzero(f["asks"].to_numpy() & (place // BLOCK == block))
         out = []
-        for a in range(0, len(todo), 256):
-            own = todo[a : a + 256]
-            score = asked[own] @ unit.T
-            for i, s in zip(own, score, strict=True):
-                q = int(queries["c"].iloc[i])
-                out += [(q, int(c[j]), int(low[j]), float(s[j])) for j in nearest(s, low, k)]
-        yield pd.DataFrame(out, columns=["q", "c", "low", "score"])
+        for one in np.unique(curve[asks]):  # in order, so the rows of a curve are a range; all have one length
+            a, b = np.searchsorted(curve, [one, one + 1])
+            rough = _rough(list(f["code"].iloc[a:b]))
+            for i in asks[curve[asks] == one]:
+                s, e = max(a, i - window), min(b, i + window + 1)
+                score = rough[s - a : e - a] @ rough[i - a]
+                best = np.argpartition(-score, k)[:k] if len(score) > k else np.arange(len(score))
+                out.append(pd.DataFrame({"q": c[i], "c": c[s:e][best], "low": low[s:e][best], "rough": score[best]}))
+        return pd.concat(out) if out else pd.DataFrame({"q": [], "c": [], "low": [], "rough": []})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, queries, data, n = None, None, [], 0
+        at, held = None, []
         for f in frames:
-            for where, own in f.groupby(["part", "block"], sort=True):
-                if where != at:
-                    yield from finish(queries, data)
-                    at, queries, data, n = where, None, [], 0
-                asks = own[own["kind"] == 0]
-                if len(asks):
-                    queries = asks if queries is None else pd.concat([queries, asks], ignore_index=True)
-                rest = own[own["kind"] == 1]
-                if len(rest):
-                    data.append(rest)
-                    n += len(rest)
-                if n > 8192:
-                    yield from finish(queries, data)
-                    data, n = [], 0
-        yield from finish(queries, data)
+            for block, own in f.groupby("block", sort=True):
+                if block != at and held:
+                    yield search(pd.concat(held, ignore_index=True), at)
+                    held = []
+                at = block
+                held.append(own)
+        if held:
+            yield search(pd.concat(held, ignore_index=True), at)
 
     return run
 
 
-def search(df: DataFrame, key: str, vector: str, asks, k: int, *, block_rows: int = 2048, most_blocks: int = 4096) -> DataFrame:
+def _cosine(a: str, b: str):
+    product = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda n, p: n + p)
+    return product(a, b) / (F.sqrt(product(a, a)) * F.sqrt(product(b, b)))
+
+
+def search(df: DataFrame, key: str, vector: str, asks, k: int, *, curves: int = CURVES, window: int = WINDOW) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where `asks` holds, its k nearest others by cosine, ties by smaller key.
 
-    Null keys, and vectors that are null, empty, zero or hold null or non-finite components, take no part; nor do vectors of
-    another length than most have. Fewer than k others give fewer rows. Rows of one key are the same row to their query.
+    Null keys, and vectors that are null, empty, zero or hold null or non-finite components, take no part. A vector's neighbours have
+    its length. Fewer than k others give fewer rows; an empty table gives none. Rows of one key are the same row to their query.
+    Other columns of df are not looked at.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("x"), asks.alias("asks")).where("id is not null and size(x) > 0")
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
-    rows = rows.where(F.coalesce(fine, F.lit(False)))
-    lengths = rows.groupBy(F.size("x").alias("m")).count().orderBy(F.desc("count"), "m").limit(1).collect()
-    if not lengths:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("x") == lengths[0]["m"])
-    # 64 bits stand for a vector; its k + 1 smallest ids will do, since a query leaves out itself only
-    rows = rows.withColumn("c", F.xxhash64("x"))
-    few = rows.select("c", "id").distinct().withColumn("place", F.row_number().over(Window.partitionBy("c").orderBy("id"))).where(F.col("place") <= k + 1)
+    # 64 bits stand for a vector
+    rows = rows.where(F.coalesce(fine, F.lit(False))).withColumn("c", F.xxhash64("x"))
+    classes = checkpoint(rows.groupBy("c").agg(F.first("x").alias("x"), F.max("asks").alias("asks"), F.min("id").alias("low")).withColumn("m", F.size("x")))
+
+    keyed = classes.mapInPandas(_keys(curves), KEYS)
+    placed = number_rows(keyed, [F.col("curve"), F.col("key"), F.col("c")], "place")
+    at = lambda shift: F.floor((F.col("place") + shift) / BLOCK)
+    blocks = placed.withColumn("block", F.explode(F.array_distinct(F.array(at(-window), at(0), at(window)))))
+    blocks = blocks.repartition(max(2, partitions(spark)), "block").sortWithinPartitions("block", "place")
+    some = ROUGH * (k + 1)
+    found = blocks.mapInPandas(_windows(some, window), "q long, c long, low long, rough double").groupBy("q", "c", "low").agg(F.max("rough").alias("rough"))
+    found = found.withColumn("at", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("rough"), "low", "c"))).where(F.col("at") <= some)
+
+    one = classes.select("c", "x")
+    exact = found.select("q", "c").join(one, "c").join(one.select(F.col("c").alias("q"), F.col("x").alias("y")), "q")
+    exact = checkpoint(exact.select("q", "c", _cosine("y", "x").alias("score")))
+    # of copies, the k + 1 smallest ids will do, since a query leaves out itself only
+    few = rows.join(exact.select("c").distinct(), "c", "left_semi").select("c", "id").distinct()
+    few = few.withColumn("at", F.row_number().over(Window.partitionBy("c").orderBy("id"))).where(F.col("at") <= k + 1)
     ids = few.groupBy("c").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    packed = _pack(rows).groupBy("c").agg(F.first("v").alias("v"), F.max("asks").alias("asks"), F.min("id").alias("low"))
-    classes = checkpoint(packed)
-    n = classes.count()
-
-    parts = max(partitions(spark), 2)
-    keyed = classes.mapInPandas(_keys, "c long, v binary, asks boolean, low long, curve int, key long")
-    found = keyed.repartitionByRange(parts, "curve", "key").sortWithinPartitions("curve", "key").mapInPandas(_windows(k + 1), "q long, half int, c long, low long, score double")
-    # one pair comes from several windows, with scores that differ in the last bit: it takes one place, by the best of them
-    found = checkpoint(found.groupBy("q", "half", "c", "low").agg(F.max("score").alias("score")))
-    best = Window.partitionBy("q", "half").orderBy(F.desc("score"), "low", "c")
-    halves = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
-    settled = halves.groupBy("q", "c").agg(F.count("*").alias("n")).groupBy("q").agg(F.min("n").alias("n"), F.count("*").alias("m")).where(f"n = 2 and m > {k}").select("q")
-    rest = classes.where("asks").join(settled, F.col("c") == F.col("q"), "left_anti")
-    known = found.groupBy("q", "c").agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))).where(F.col("place") == k + 1).select("q", F.col("score").alias("known"))
-
-    blocks = max(1, min(most_blocks, n // block_rows))
-    sample = classes.where(F.pmod("c", F.lit(1 << 20)) < min(1.0, 32 * blocks / n) * (1 << 20)).mapInPandas(_keys, "c long, v binary, asks boolean, low long, curve int, key long").where("curve = 0").select("key").limit(64 * blocks).collect()
-    keys = np.sort([r["key"] for r in sample]) if sample else np.zeros(0)
-    splits = np.unique([keys[i * len(keys) // blocks] for i in range(1, blocks)]) if len(keys) else np.zeros(0)
-    rest = rest.join(known, F.col("c") == F.col("q"), "left").select("c", "v", "low", F.coalesce("known", F.lit(-2.0)).alias("known"))
-    query_blocks = max(1, -(-rest.count() // QUERY_BLOCK))
-    asking = rest.select("c", "v", "low", "known", F.lit(0).alias("kind"), F.pmod("c", F.lit(query_blocks)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(len(splits)))).alias("block"))
-    there = classes.select("c", "v", "low").mapInPandas(_blocks(splits), "c long, v binary, low long, block int").select("c", "v", "low", F.lit(0.0).alias("known"), F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("part"), "block")
-    wide = asking.unionByName(there).repartition(parts, "part", "block").sortWithinPartitions("part", "block", "kind").mapInPandas(_scan(k + 1), FOUND)
-
-    merged = found.select("q", "c", "low", "score").unionByName(wide)
-    # the same pair may come from several windows, with scores that differ in the last bit: one of them stays
-    merged = merged.groupBy("q", "c", "low").agg(F.max("score").alias("score"))
-    merged = merged.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "low"))).where(F.col("place") <= k + 1)
-    one = classes.select("c", "v")
-    exact = merged.join(one, "c").join(one.select(F.col("c").alias("q"), F.col("v").alias("qv")), "q").select("q", "c", _cosine("qv", "v").alias("score")).join(ids, "c")
-    listed = exact.select("q", "score", F.explode("ids").alias("vec_id"))
-    listed = listed.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("place") <= k + 1)
-    answers = listed.groupBy("q").agg(F.sort_array(F.collect_list(F.struct(F.col("place").alias("place"), "vec_id", "score"))).alias("near"))
+    listed = exact.join(ids, "c").select("q", "score", F.explode("ids").alias("vec_id"))
+    listed = listed.withColumn("at", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).where(F.col("at") <= k + 1)
+    answers = listed.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("at", "vec_id", "score"))).alias("near"))
     out = rows.where("asks").select("id", "c").distinct().join(answers, F.col("c") == F.col("q"))
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("id")), 1, k)
     return out.select(F.col("id").alias("query_id"), F.posexplode(others).alias("rank", "x")).select("query_id", (F.col("rank") + 1).alias("rank"), "x.vec_id", "x.score")
 
 
-def _pack(rows: DataFrame) -> DataFrame:
-    """The vectors as bytes."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"c": f["c"], "id": f["id"], "asks": f["asks"], "v": [np.asarray(x, dtype=np.float64).tobytes() for x in f["x"]]})
-
-    return rows.select("c", "id", "asks", "x").mapInPandas(run, "c long, id long, asks boolean, v binary")
-
-
-def _cosine(a: str, b: str):
-    @F.pandas_udf("double")
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        def one(p: bytes, q: bytes) -> float:
-            u, w = np.frombuffer(p, np.float64), np.frombuffer(q, np.float64)
-            return float((u * w).sum() / (np.sqrt((u * u).sum()) * np.sqrt((w * w).sum())))
-
-        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
-
-    return run(F.col(a), F.col(b))
-
-
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     asks = F.coalesce(F.pmod(F.col("vec_id"), F.lit(50)) == 0, F.lit(False))
     return search(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", asks, 5)
