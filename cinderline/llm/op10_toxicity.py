@@ -1,10 +1,13 @@
 """Toxicity by compression distance.
 
 Two raw-content zstandard dictionaries, one of toxic and one of ordinary text. Both hold the same frequent words, so
-that ordinary text costs the same under either; before them each holds all words, and pairs of neighbouring words, that are
-significantly more frequent in texts of its label, and blanks up to the same length. A text is compressed in short overlapping windows against both. How many
-bytes the toxic dictionary saves in its windows is the evidence; a logistic curve, fitted to labelled texts, turns it
-into a score.
+that ordinary text costs the same under either; before them each holds all words, and pairs of neighbouring words, that tell its
+label beyond chance however many terms are tried, and blanks up to the same length. A text is compressed in short overlapping windows
+against both. How many bytes the toxic dictionary saves in its windows is the evidence; a logistic curve turns it into a score. The
+curve is fitted on texts that the dictionaries they are measured by were not made of: two halves measure each other.
+
+Whole passages in the dictionaries in place of terms tell less, since the chance matches of their ordinary words outweigh what the
+toxic ones save (figures in the README).
 """
 
 from __future__ import annotations
@@ -22,7 +25,8 @@ from .common import checkpoint, held_out, labelled_sample, table
 
 WINDOW = 64
 OVERLAP = 12
-FEATURES = ["most", "hits", "share", "saved"]
+LEAST_SAVED = (2, 3, 4, 6)  # bytes that a window saves, for the counts of windows
+FEATURES = ["most", "second", *[f"hits{n}" for n in LEAST_SAVED], "share", "saved", "windows"]
 
 
 @dataclass(frozen=True)
@@ -33,15 +37,39 @@ class Model:
     bias: float
 
 
-def _terms(rows: DataFrame) -> DataFrame:
-    """(w, label): the distinct lower-case words of each text, and its pairs of neighbouring words with a blank between.
+def _words(text: Column) -> Column:
+    """Lower-case runs of letters, as far as ASCII tells, and of all other characters beyond ASCII."""
+    return F.filter(F.split(F.lower(text), r"[\x00-\x60\x7b-\x7f]+"), lambda w: w != "")
 
-    Words are runs of letters, as far as ASCII tells, and of all other characters beyond ASCII.
-    """
-    rows = rows.select(F.filter(F.split(F.lower("text"), r"[\x00-\x60\x7b-\x7f]+"), lambda w: w != "").alias("own"), "label")
+
+def _with_half(rows: DataFrame) -> DataFrame:
+    """rows with a hash that near copies mostly share, the least one of three words in a row, and a half drawn by it."""
+    own = rows.select("text", "label", _words(F.col("text")).alias("own"))
+    last = F.greatest(F.size("own") - 3, F.lit(0))
+    least = F.array_min(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get("own", i), F.get("own", i + 1), F.get("own", i + 2))))
+    return own.select("text", "label", least.alias("sketch")).withColumn("half", F.pmod(F.xxhash64("sketch"), F.lit(2)).cast("int"))
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """(own, label, half): the words of texts, near copies with one label once: of those that share the hash, one stays. Else the words of one text that is copied often would tell its label."""
+    one = _with_half(rows).groupBy("sketch", "label", "half").agg(F.min("text").alias("text"))
+    return one.select(_words(F.col("text")).alias("own"), "label", "half")
+
+
+def _terms(rows: DataFrame) -> DataFrame:
+    """(w, toxic0, n0, toxic1, n1): in how many texts, and toxic ones, of either half a word, or a pair of words with a blank
+    between, occurs."""
     rest = F.greatest(F.size("own") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("own", 1, rest), F.slice("own", 2, rest), lambda a, b: F.concat_ws(" ", a, b))
-    return rows.select(F.explode(F.array_distinct(F.concat("own", pairs))).alias("w"), "label")
+    rows = rows.select(F.explode(F.array_distinct(F.concat("own", pairs))).alias("w"), "label", "half")
+    count = lambda what, h: F.sum(F.when(F.col("half") == h, what).otherwise(0))
+    return rows.groupBy("w").agg(*[count(what, h).alias(f"{name}{h}") for h in (0, 1) for name, what in (("toxic", F.col("label")), ("n", F.lit(1)))])
+
+
+def _evidence_of(k: Column, n: Column, share: float) -> Column:
+    """The logarithm of how much likelier k toxic ones of n texts are at their own share than at `share`; negative below it."""
+    part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+    return (part(k, n * share) + part(n - k, n * (1 - share))) * F.when(k >= n * share, 1).otherwise(-1)
 
 
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -54,26 +82,30 @@ def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def _evidence(text: str | None, tools: tuple) -> tuple[float, ...]:
-    """Of the bytes that the toxic dictionary saves in each window: the most, in how many windows 3 or more, their share, the sum."""
-    data = (text or "").encode().lower()
+    """Of the bytes that the toxic dictionary saves in each window: the two largest, how many windows save so many, the share of
+    windows that save 3, the sum; and how many windows there are."""
+    data = (text or "").lower().encode()
     n = max(1, -(-len(data) // WINDOW))
     saved = np.zeros(n)
     ordinary, toxic = tools
     for i in range(n):
         part = data[max(0, i * len(data) // n - OVERLAP) : (i + 1) * len(data) // n]
         saved[i] = len(ordinary.compress(part)) - len(toxic.compress(part))
-    hits = (saved >= 3).sum()
-    return float(np.clip(saved.max(), -2, 12)), float(np.log1p(hits)), float(hits / n), float(np.log1p(np.maximum(saved - 1, 0).sum()))
+    top = np.sort(saved)[::-1].clip(-2, 12)
+    hits = [float(np.log1p((saved >= x).sum())) for x in LEAST_SAVED]
+    return float(top[0]), float(top[1]) if n > 1 else 0.0, *hits, float((saved >= 3).mean()), float(np.log1p(np.maximum(saved - 1, 0).sum())), float(np.log1p(n))
 
 
-def _measure(texts: Column, ordinary: bytes, toxic: bytes) -> Column:
+def _measure(texts: Column, which: Column, pairs: list[tuple[bytes, bytes]]) -> Column:
+    """The evidence of each text under the pair of dictionaries (ordinary, toxic) that `which` names."""
+
     @F.pandas_udf(", ".join(f"{k} double" for k in FEATURES))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tools = compressor(ordinary), compressor(toxic)
-        for b in batches:
-            yield pd.DataFrame([_evidence(t, tools) for t in b], columns=FEATURES)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        tools = [(compressor(a), compressor(b)) for a, b in pairs]
+        for texts, own in batches:
+            yield pd.DataFrame([_evidence(t, tools[i]) for t, i in zip(texts, own, strict=True)], columns=FEATURES)
 
-    return run(texts)
+    return run(texts, which)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-2, rounds: int = 60) -> tuple[np.ndarray, float]:
@@ -91,54 +123,66 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 1e-2, rounds: i
     return w[:-1], float(w[-1])
 
 
-def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, level: float = 3.0, common: int = 4000) -> Model:
-    """Learns from rows with a text and a label 0 or 1; others teach nothing.
-
-    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Terms are counted
-    over all rows, equal texts with equal labels once. All terms whose toxic count is `level` standard deviations or more from
-    what chance gives reach the driver, but for pairs with a word that tells the same by itself; so do `common` frequent words
-    of ordinary texts, and four numbers for each row, for the curve.
-    """
-    rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    seen = rows.groupBy(F.xxhash64("text", "label")).agg(F.first("text").alias("text"), F.first("label").alias("label"))
-    counted = {r["label"]: r["count"] for r in seen.groupBy("label").count().collect()}
-    if len(counted) < 2:
-        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if 1 in counted else -10.0)
-    share = counted[1] / (counted[0] + counted[1])
-    terms = _terms(seen).groupBy("w").agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).where("n > 1")
-    # how far the toxic count of a term is above what chance gives it, in standard deviations
-    above = (F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)) + 1)
-    terms = checkpoint(terms.withColumn("z", above).where((F.abs("z") >= level) | ~F.contains("w", F.lit(" "))))
-    told = {r["w"]: r["z"] for r in terms.where(F.abs("z") >= level).orderBy(F.abs("z"), F.desc("w")).select("w", "z").collect()}
-    usual = [r["w"].encode() for r in terms.where(~F.contains("w", F.lit(" "))).orderBy(F.desc(F.col("n") - F.col("toxic")), "w").limit(common).collect()]
+def _dictionaries(told: dict[str, float], usual: list[str]) -> tuple[bytes, bytes]:
+    """(ordinary, toxic): the terms of each label, the most telling ones last, and then the frequent words that tell nothing."""
 
     def front(sign: int) -> bytes:
-        """The terms of one label, the most telling ones last."""
-        own = {w for w, z in told.items() if z * sign > 0}
-        return b" ".join(w.encode() for w in told if w in own and (" " not in w or own.isdisjoint(w.split(" "))))
+        own = {w for w, x in told.items() if x * sign > 0}
+        return b" ".join(w.encode() for w in sorted(own, key=lambda w: (abs(told[w]), w)) if " " not in w or own.isdisjoint(w.split(" ")))
 
+    base = " ".join(w for w in reversed(usual) if w not in told).encode()
     toxic, ordinary = front(1), front(-1)
-    apart = {w.encode() for w in told}
-    base = b" ".join(w for w in reversed(usual) if w not in apart)
     size = max(len(toxic), len(ordinary))
-    toxic, ordinary = toxic.rjust(size), ordinary.rjust(size)
-    toxic, ordinary = toxic + b" " + base, ordinary + b" " + base
+    return ordinary.rjust(size) + b" " + base, toxic.rjust(size) + b" " + base
 
-    sample = rows.select("label", _measure(F.col("text"), ordinary, toxic).alias("x")).select("label", "x.*").toPandas()
+
+def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, sure: float = 2.0, common: int = 4000) -> Model:
+    """Learns from rows with a text and a label 0 or 1; others teach nothing. An empty table gives a model that calls nothing toxic.
+
+    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Terms are counted
+    over all rows, near copies once. A term tells a label if its counts are e ** (sure + ln(number of terms)) times likelier at its
+    own share than by chance; all such terms reach the driver, but for pairs with a word that tells the same by itself. So do
+    `common` frequent words of ordinary texts, and a few numbers for each row, for the curve.
+    """
+    rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
+    seen = checkpoint(_apart(rows).select("own", "label", "half"))
+    counted = {(r["half"], r["label"]): r["count"] for r in seen.groupBy("half", "label").count().collect()}
+    counted |= {(2, y): counted.get((0, y), 0) + counted.get((1, y), 0) for y in (0, 1)}
+    if not counted[2, 0] or not counted[2, 1]:
+        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if counted[2, 1] else -10.0)
+    terms = checkpoint(_terms(seen).withColumns({"toxic2": F.col("toxic0") + F.col("toxic1"), "n2": F.col("n0") + F.col("n1")}).where("n2 > 1"))
+    number = terms.agg(*[F.sum((F.col(f"n{h}") > 1).cast("int")).alias(f"m{h}") for h in (0, 1, 2)]).first()
+
+    told: list[dict[str, float]] = []
+    for h in (0, 1, 2):
+        share = counted.get((h, 1), 0) / max(1, counted.get((h, 0), 0) + counted.get((h, 1), 0))
+        if not 0 < share < 1:
+            told.append({})
+            continue
+        tells = _evidence_of(F.col(f"toxic{h}"), F.col(f"n{h}"), share)
+        found = terms.where((F.col(f"n{h}") > 1) & (F.abs(tells) >= sure + float(np.log(number[f"m{h}"] or 1)))).select("w", tells.alias("x")).collect()
+        told.append({r["w"]: r["x"] for r in found})
+    usual = [r["w"] for r in terms.where(~F.contains("w", F.lit(" "))).orderBy(F.desc(F.col("n2") - F.col("toxic2")), "w").limit(common).collect()]
+    pairs = [_dictionaries(x, usual) for x in told]
+
+    # a text is measured by the dictionaries of the other half than that of its near copies
+    halves = _with_half(rows)
+    sample = halves.select("label", _measure(F.col("text"), 1 - F.col("half"), pairs).alias("x")).select("label", "x.*").toPandas()
     x, y = sample[FEATURES].to_numpy(), sample["label"].to_numpy().astype(float)
     weights, bias = fit_logistic(x, y)
     drawn_odds = y.mean() / (1 - y.mean())
     bias += float(np.log(totals[1] / totals[0]) - np.log(drawn_odds))  # the sample has its own share of toxic texts
-    return Model(ordinary, toxic, tuple(float(w) for w in weights), bias)
+    return Model(*pairs[2], tuple(float(w) for w in weights), bias)
 
 
 def score(df: DataFrame, text: str, model: Model, *, threshold: float = 0.3) -> DataFrame:
     """df with score (0 to 1) and predicted (1 where score >= threshold), which replace columns of those names.
 
-    Null and empty texts are scored like a text without evidence. Equal texts get equal scores.
+    Null and empty texts are scored like a text without evidence. Equal texts get equal scores, repeated rows repeated ones. Texts of
+    any length are measured whole. An empty table gives an empty result.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("score", "predicted")]
-    out = df.select(*kept, _measure(F.col(text), model.ordinary, model.toxic).alias("_x"))
+    out = df.select(*kept, _measure(F.col(text), F.lit(0), [(model.ordinary, model.toxic)]).alias("_x"))
     margin = F.lit(model.bias)
     for k, w in zip(FEATURES, model.weights, strict=True):
         margin = margin + F.col(f"_x.{k}") * w
