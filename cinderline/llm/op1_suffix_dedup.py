@@ -238,15 +238,15 @@ class Runs:
 
 def _covered(items: list[tuple[int, ...]], width: int, parts: int) -> pd.DataFrame:
     """Spans to remove, dealt out evenly; those of a document that touch are joined."""
-    items = sorted(items)
-    out = []
-    for d, r, first, last in items:
-        if out and out[-1][:2] == [d, r] and first <= out[-1][3]:
-            out[-1][3] = max(out[-1][3], last + width)
-        else:
-            out.append([d, r, first, last + width])
-    a = np.array(out, dtype=np.int64)
-    return _rows((a[:, 0] ^ a[:, 2]) % parts, a[:, 0], a[:, 1], a[:, 2], a[:, 3])
+    d, r, first, last = np.array(items, dtype=np.int64).T
+    order = np.lexsort((first, r, d))
+    d, r, first, end = d[order], r[order], first[order], last[order] + width
+    doc = np.cumsum(np.concatenate([[0], (d[1:] != d[:-1]) | (r[1:] != r[:-1])]))
+    far = int(end.max()) + 1
+    reach = np.maximum.accumulate(doc * far + end)  # how far the spans of a document before this one go
+    new = np.flatnonzero(np.concatenate([[True], doc[1:] * far + first[1:] > reach[:-1]]))
+    end = reach[np.append(new[1:], len(reach)) - 1] - doc[new] * far
+    return _rows((d[new] ^ first[new]) % parts, d[new], r[new], first[new], end)
 
 
 def _context_runs(splits: list[bytes], width: int):
@@ -380,8 +380,9 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
 def dedup(df: DataFrame, text: str, key: str, *, width: int = 100) -> DataFrame:
     """One row (key, d, r, n_bytes, n_removed, spans, kept) for each row of df: `kept` are the bytes that stay.
 
-    width is between GRAM + 1 and 255. Null texts are empty. Texts shorter than width stay as they are. Copies of
-    a text in later rows go as a whole. See keyed for null and repeated keys. An empty table gives an empty result.
+    width is between GRAM + 1 and 255. Null texts are empty. Texts shorter than width stay as they are; others are read whole, however
+    long. Copies of a text in later rows go as a whole. See keyed for null and repeated keys. An empty table gives an empty result.
+    Other columns of df are not looked at, whatever their names are.
     """
     texts = keyed(df, key, text).select("d", "r", binary().alias("t"))
     out = texts.join(repeated_spans(texts, width), ["d", "r"], "left").mapInPandas(_cut, "d long, r long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")

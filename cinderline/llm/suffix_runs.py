@@ -109,9 +109,14 @@ def merge(blocks: list[bytes]) -> Iterator[tuple[int, bytes, tuple[int, ...]]]:
     while known[best] >= 0:
         yield known[best], heads[best][1], heads[best][2]
         heads[best] = next(runs[best], ended) if best < len(runs) else ended
-        known[best] = heads[best][0]
+        p = known[best] = heads[best][0]
         node = (best + k) // 2
         while node:
-            first, second = play(best, losers[node])
-            best, losers[node] = first, second
+            other = losers[node]
+            q = known[other]
+            if q > p:
+                losers[node], best, p = best, other, q
+            elif q == p >= 0:
+                best, losers[node] = play(best, other)
+                p = known[best]
             node //= 2
