@@ -20,16 +20,16 @@ from .common import held_out, table
 UND = "und"
 
 
-def train(rows: DataFrame, text: str, lang: str, key: str, *, per_lang: int = 600, clip: int = 120, dict_bytes: int = 65536, most_langs: int = 64) -> dict[str, bytes]:
-    """A dictionary for each of the `most_langs` most frequent non-null languages.
+def train(rows: DataFrame, text: str, lang: str, key: str, *, per_lang: int = 400, clip: int = 300, dict_bytes: int = 131072) -> dict[str, bytes]:
+    """A dictionary for each non-null language; an empty table, or one without such rows, gives none.
 
     Bounds: about per_lang rows of a language are drawn by a hash of the key, one passage of `clip` characters from
     a place that the hash chooses is used of each, and a dictionary holds dict_bytes at most, equal passages once.
     Short passages of many rows keep a wrongly labelled row, or copies of one text under two labels, from mattering.
-    Rows with a null text or language teach nothing.
+    Rows with a null text or language teach nothing. Languages have as many places on the driver as they have dictionaries.
     """
     rows = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = {r[lang]: r["count"] for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(most_langs).collect()}
+    counts = {r[lang]: r["count"] for r in rows.groupBy(lang).count().collect()}
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_lang / n))])
@@ -45,7 +45,7 @@ def train(rows: DataFrame, text: str, lang: str, key: str, *, per_lang: int = 60
 
 def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     """Matches of 3 bytes count, which the fast levels do not see; they carry most of what tells languages apart."""
-    settings = zstandard.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=16, search_log=4, min_match=3, target_length=8, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+    settings = zstandard.ZstdCompressionParameters(window_log=18, chain_log=17, hash_log=17, search_log=4, min_match=3, target_length=8, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
     d = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=settings)
     return zstandard.ZstdCompressor(dict_data=d, compression_params=settings)
@@ -62,7 +62,8 @@ def classify(df: DataFrame, text: str, dicts: dict[str, bytes], *, window: int =
 
     Null texts and texts without a letter are `und`, score 0, rejected. Ties go to the first language by name. A margin
     of less than `narrow` of the best length, or no model at all, is a rejection; the prediction stands beside it.
-    The three names replace columns of df that are called so.
+    The three names replace columns of df that are called so. Texts are compressed whole, however long; repeated rows get equal results,
+    and an empty table gives an empty one.
     """
     names, shared = sorted(dicts), df.sparkSession.sparkContext.broadcast(dicts)
 
