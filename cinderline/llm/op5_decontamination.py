@@ -5,8 +5,9 @@ Texts are words: lower-case runs of letters and digits. Shingles are five words
 1. Seeds. A window that is similar to an item holds some of its shingles. So a document's windows of an item's length are
    laid where shingles of that item, two at least if it has as many, say that the item would start.
 2. SimHash. A window's fingerprint has a bit set where more than half of its shingles, repeats counted, have it set.
-3. Multi-index. Fingerprints within RADIUS bits of each other agree on one of RADIUS + 1 blocks of bits; a join on length,
-   block and the block's value finds all such pairs of windows and items.
+3. Multi-index. Of fingerprints within RADIUS bits of each other, one of BLOCKS blocks of bits differs by RADIUS // BLOCKS bits at
+   most. An item stands under all values that are so near to each of its blocks; a join on length, block and the block's value finds
+   all such pairs of windows and items.
 4. Check. Candidates whose fingerprints are within the radius are compared exactly: the weighted Jaccard similarity of their
    shingles, each weighing as often as it occurs, is 0.8 or more.
 """
@@ -22,8 +23,8 @@ from .common import key_of, keyed, table
 
 SHINGLE, SIMILAR = 5, 0.8
 RADIUS = 20
-BLOCKS = RADIUS + 1
-BITS = 64 // BLOCKS  # of a block; the last one has the rest too
+BLOCKS, BITS = 8, 8
+NEAR = [x for x in range(1 << BITS) if x.bit_count() <= RADIUS // BLOCKS]  # what a block may differ by
 
 
 def words(text: Column) -> Column:
@@ -45,9 +46,13 @@ def simhash(s: Column) -> Column:
 
 
 def blocks(fingerprint: Column) -> Column:
-    """Structs (i, value) of the blocks of a fingerprint."""
-    cut = [F.shiftrightunsigned(fingerprint, i * BITS) for i in range(BLOCKS)]
-    return F.array(*[F.struct(F.lit(i).alias("i"), (x if i == BLOCKS - 1 else x.bitwiseAND(F.lit((1 << BITS) - 1))).alias("value")) for i, x in enumerate(cut)])
+    """Numbers i << BITS | value of the blocks of a fingerprint."""
+    return F.array(*[F.shiftrightunsigned(fingerprint, i * BITS).bitwiseAND(F.lit((1 << BITS) - 1)).bitwiseOR(F.lit(i << BITS)) for i in range(BLOCKS)])
+
+
+def near_blocks(fingerprint: Column) -> Column:
+    """The blocks that one within RADIUS of the fingerprint may hold."""
+    return F.flatten(F.transform(blocks(fingerprint), lambda b: F.transform(F.array(*[F.lit(x).cast("bigint") for x in NEAR]), lambda x: b.bitwiseXOR(x))))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -62,7 +67,8 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
 
     start is the window's first word, from 0; ties go to the first one. Null and empty texts match nothing. An item of fewer
     than five words matches a document of just these words. Items of equal texts all match. Rows of null or repeated keys
-    count as documents of their own (see keyed); a null item key stands in the result as null.
+    count as documents of their own (see keyed); a null item key stands in the result as null. Texts are read whole, however long; an
+    empty table on either side gives an empty result. Other columns are not looked at, whatever their names are.
     The items' shingles are broadcast if they are `broadcast_rows` at most (24 bytes each), and shuffled beyond that.
     """
     listed = items.select(F.col(item_key).alias("item"), words(F.col(item_text)).alias("w")).where(F.size("w") > 0)
@@ -83,7 +89,7 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
     cut = docs.join(windows, ["d", "r"]).select("d", "r", words(F.col("t")).alias("w"), "windows").select("d", "r", shingles(F.col("w")).alias("s"), "windows")
     cut = cut.select("d", "r", "s", F.explode("windows").alias("x")).select("d", "r", "x.length", "x.start", F.slice("s", F.col("x.start") + 1, F.greatest(F.col("x.length") - SHINGLE + 1, F.lit(1))).alias("own"))
     cut = cut.withColumn("mark", simhash(F.col("own")))
-    index = listed.select("item", "length", F.col("s").alias("theirs"), simhash(F.col("s")).alias("item_mark")).withColumn("block", F.explode(blocks(F.col("item_mark"))))
+    index = listed.select("item", "length", F.col("s").alias("theirs"), simhash(F.col("s")).alias("item_mark")).withColumn("block", F.explode(near_blocks(F.col("item_mark"))))
     near = cut.withColumn("block", F.explode(blocks(F.col("mark")))).join(index, ["length", "block"]).where(F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))) <= RADIUS)
     near = near.groupBy("d", "r", "item", "start", "length", "mark", "item_mark").agg(F.first("own").alias("own"), F.first("theirs").alias("theirs"))
     exact = near.select("d", "r", "item", "start", similarity(F.col("own"), F.col("theirs")).alias("similarity")).where(F.col("similarity") >= SIMILAR)
