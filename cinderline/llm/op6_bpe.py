@@ -1,7 +1,7 @@
 """BPE encoding and decoding by a table of distinct words.
 
 A tokenizer of this kind normalises a text, splits it into words and encodes each word by itself. So a task splits its
-texts, encodes each distinct word once, and joins the ids back by position. Decoding joins ids to their pieces. Both
+texts, encodes each distinct word once, and joins the ids back by position. Decoding joins the ids to their pieces. Both
 tables belong to the task: words are encoded once for a task, not once for the corpus, since ids that come back through
 a shuffle by document and position would move many times the text (see the README).
 """
@@ -53,7 +53,6 @@ class WordTable:
         for piece, i in self.whole.get_vocab(with_added_tokens=True).items():
             self.pieces[i] = piece
         self.ids: dict[str, tuple[int, ...]] = {}
-        self.spelled: dict[str, str] = {}  # the pieces of a word's ids
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -80,21 +79,19 @@ class WordTable:
             coded = self.whole.encode(" ".join(part), add_special_tokens=False)
             ids, which = np.array(coded.ids), np.array(coded.word_ids)
             cuts = np.searchsorted(which, np.arange(len(part) + 1)).tolist()
-            spelled, ids = self.pieces[ids].tolist(), ids.tolist()
+            ids = ids.tolist()
             for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
                 self.ids[w] = tuple(ids[a:b])
-                self.spelled[w] = " ".join(spelled[a:b])
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[str]]:
-        """(ids, pieces with blanks between) of each text."""
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         split = [self.words(t) for t in texts]
         if len(self.ids) > MOST_WORDS:
-            self.ids, self.spelled = {}, {}
+            self.ids = {}
         self.learn(sorted(set().union(*split) - self.ids.keys() - self.special.keys()))
-        for t, ids in self.special.items():
-            self.ids[t], self.spelled[t] = ids, t
-        ids, spelled = self.ids.__getitem__, self.spelled.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids, words)), dtype=np.int32) for words in split], [" ".join(map(spelled, words)) for words in split]
+        self.ids |= self.special
+        ids = self.ids.__getitem__
+        return [np.fromiter(chain.from_iterable(map(ids, words)), dtype=np.int32) for words in split]
 
 
 _tables: dict[str, WordTable] = {}
@@ -124,25 +121,26 @@ def _joined(pieces: np.ndarray, ids) -> str:
     return " ".join(pieces[ids].tolist()) if ids is not None and len(ids) else ""
 
 
-def encode(text: Column, path: str) -> Column:
-    """Struct (ids array<int>, decoded string) of each whole text; null and empty texts have no ids.
+def encode(text: Column, path: str, *, decoded: bool = False) -> Column:
+    """The ids of each whole text, as array<int>; null and empty texts have none. path: the vocabulary file, present on all workers.
 
-    decoded is what decode() makes of the ids; both come from one pass over the text. path: the vocabulary file, present
-    on all workers.
+    With `decoded`, a struct (ids, decoded): what decode() makes of the ids, looked up in the same table of ids and pieces while they
+    are at hand.
     """
 
-    @F.pandas_udf("ids array<int>, decoded string")
+    @F.pandas_udf("ids array<int>, decoded string" if decoded else "array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own, _ = _table(path), _pieces(path)
+        own, pieces = _table(path), _pieces(path) if decoded else None
         for texts in _slices(batches):
-            ids, decoded = own.encode([t or "" for t in texts])
-            yield pd.DataFrame({"ids": ids, "decoded": decoded})
+            ids = own.encode([t or "" for t in texts])
+            yield pd.DataFrame({"ids": ids, "decoded": [_joined(pieces, x) for x in ids]}) if decoded else pd.Series(ids, dtype=object)
 
     return run(text)
 
 
 def decode(ids: Column, path: str) -> Column:
-    """The text of ids, as the tokenizer decodes them with special tokens kept: without a decoder, pieces with blanks between."""
+    """The text of ids, as the tokenizer decodes them with special tokens kept: without a decoder, pieces with blanks between. Null and
+    empty lists give an empty text."""
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -162,9 +160,10 @@ def _pieces(path: str) -> np.ndarray:
 
 
 def tokenize(df: DataFrame, text: str, path: str) -> DataFrame:
-    """df with ids and decoded, which replace columns of those names. Repeated rows give repeated results."""
+    """df with ids and decoded, the text of the ids; they replace columns of those names. Repeated rows give repeated results, texts of
+    any length are encoded whole, and an empty table gives an empty result."""
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("ids", "decoded")]
-    return df.select(*kept, encode(F.col(text), path).alias("_coded")).select(*kept, "_coded.ids", "_coded.decoded")
+    return df.select(*kept, encode(F.col(text), path, decoded=True).alias("_coded")).select(*kept, "_coded.ids", "_coded.decoded")
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
