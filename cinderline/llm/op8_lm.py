@@ -6,6 +6,10 @@ upwards only, and rarely by more than a level. The filter is built in segments,
 broadcast. A word's probability after another is a mixture of its share among the pairs and its smoothed share among
 all words; the weight of the pairs depends on how often the first word was seen.
 
+The probabilities of all words after one add up to 1 at most, in expectation over the filter's errors: a count that is divided is
+the least one of its level, one that divides is the greatest, and to the latter is added what the filter's false hits give all words
+of the vocabulary together.
+
 Beside this score stands the exact smoothed unigram score. The counts of the most frequent words of each part, `head` in all, are
 broadcast for it (16 bytes a word); all other words meet their exact counts through a shuffle by hash.
 """
@@ -25,8 +29,9 @@ from .common import binary, checkpoint, held_out, key_of, keyed, partitions, pie
 
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end of a text in the hashes, and before its first word
 LEVELS = np.unique(np.ceil(1.3 ** np.arange(100)).astype(np.int64))  # least count of each level
-VALUES = np.concatenate([[0.0], LEVELS[:4], np.sqrt(LEVELS[4:-1] * (LEVELS[5:] - 1.0)), [LEVELS[-1]]])  # what level q stands for
-BITS, PROBES = 10, 4  # bits of filter for each entry, bits set for each
+LEAST = np.concatenate([[0.0], LEVELS])  # least and greatest count of level q
+MOST = np.concatenate([[0.0], LEVELS[1:] - 1.0, [np.inf]])
+BITS, PROBES = 12, 6  # bits of filter for each entry, bits set for each
 GROUPS = 12
 ROWS = "part int, kind int, d long, r long, a double, b double, n long, blob binary"
 
@@ -111,7 +116,7 @@ def _count(parts: int):
             held[0].append(tokens)
             held[1].append(pair(contexts(tokens), tokens))
             n += len(tokens)
-            if n > 4_000_000:
+            if n > 2_000_000:
                 yield from send(held)
                 held, n = [[], []], 0
         yield from send(held)
@@ -131,25 +136,30 @@ def _places(h: np.ndarray, level: int, bits: np.ndarray | int) -> Iterator[np.nd
         yield (x + step * np.uint64(i)) % np.asarray(bits, dtype=np.uint64)
 
 
-def _fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of each part: its words with exact counts (kind 0; a: words, n: tokens) and its segment of the filter (kind 1; n: bits)."""
-    held: dict[int, list] = {}
-    for f in frames:
-        for part, kind, blob in zip(f["part"], f["kind"], f["blob"], strict=True):
-            held.setdefault(part, [[], []])[kind].append(_unblock(blob, 6 if kind else 8))
-    for part in sorted(held):
-        own = [_summed(*(np.concatenate(x) for x in zip(*blocks, strict=True))) if blocks else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for blocks in held.pop(part)]
-        (wh, wc), (ph, pc) = own
-        # words enter by their low 48 bits, as pairs do; a mark keeps the two apart
-        keys = [(_word_key(wh), _level(wc)), (ph, _level(pc))]
-        entries = sum(int(q.sum()) for _, q in keys)
-        bits = max(64, -(-entries * BITS // 8) * 8)
-        segment = np.zeros(bits, dtype=bool)
-        for h, q in keys:
-            for level in range(1, int(q.max(initial=0)) + 1):
-                for at in _places(h[q >= level], level, bits):
-                    segment[at.astype(np.int64)] = True
-        yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, 0.0, 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
+def _fill(entry_bits: int):
+    """Of each part: its words with exact counts (kind 0; a: words, n: tokens) and its segment of the filter (kind 1; n: bits), of
+    entry_bits for each entry."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for f in frames:
+            for part, kind, blob in zip(f["part"], f["kind"], f["blob"], strict=True):
+                held.setdefault(part, [[], []])[kind].append(_unblock(blob, 6 if kind else 8))
+        for part in sorted(held):
+            own = [_summed(*(np.concatenate(x) for x in zip(*blocks, strict=True))) if blocks else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for blocks in held.pop(part)]
+            (wh, wc), (ph, pc) = own
+            # words enter by their low 48 bits, as pairs do; a mark keeps the two apart
+            keys = [(_word_key(wh), _level(wc)), (ph, _level(pc))]
+            entries = sum(int(q.sum()) for _, q in keys)
+            bits = max(64, -(-entries * entry_bits // 8) * 8)
+            segment = np.zeros(bits, dtype=bool)
+            for h, q in keys:
+                for level in range(1, int(q.max(initial=0)) + 1):
+                    for at in _places(h[q >= level], level, bits):
+                        segment[at.astype(np.int64)] = True
+            yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, 0.0, 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
+
+    return run
 
 
 def _word_key(h: np.ndarray) -> np.ndarray:
@@ -168,46 +178,51 @@ class Model:
     head_counts: np.ndarray
     tokens: int
     words: int
+    false_mass: float  # the words of the vocabulary that a false hit of the first level puts after a word, as expected
     weights: np.ndarray | None = None
 
     def _probe(self, part: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The count that the filter holds; 0 if not even the first level is in."""
+        """The level that the filter holds; 0 if not even the first one is in."""
         level = np.zeros(len(h), dtype=np.int64)
         alive = np.arange(len(h))
         q = 1
-        while len(alive) and q < len(VALUES):
-            p, own = part[alive], h[alive]
-            found = np.ones(len(alive), dtype=bool)
-            for at in _places(own, q, self.bits[p]):
-                at = at.astype(np.int64)
-                found &= (self.filter[self.starts[p] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[found]
+        while len(alive) and q <= len(LEVELS):
+            x = bytehash.mix(h[alive] + np.uint64(q * 0x9E3779B97F4A7C15 % (1 << 64)))
+            step = bytehash.mix(x) | np.uint64(1)
+            for i in range(PROBES):
+                p = part[alive]
+                at = ((x + step * np.uint64(i)) % self.bits[p].astype(np.uint64)).astype(np.int64)
+                found = (self.filter[self.starts[p] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+                alive, x, step = alive[found], x[found], step[found]
             level[alive] = q
             q += 1
-        return VALUES[level]
+        return level
 
-    def word_counts(self, h: np.ndarray) -> np.ndarray:
+    def word_levels(self, h: np.ndarray) -> np.ndarray:
         part = (h % np.uint64(self.parts)).astype(np.int64)
         return self._probe(part, _word_key(h // np.uint64(self.parts)))
 
-    def pair_counts(self, h: np.ndarray) -> np.ndarray:
+    def pair_levels(self, h: np.ndarray) -> np.ndarray:
         h, back = np.unique(h, return_inverse=True)
         part = (h % np.uint64(self.parts)).astype(np.int64)
         return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF))[back]
 
-    def shares(self, tokens: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts."""
-        distinct, back = np.unique(np.concatenate([tokens, [END]]), return_inverse=True)
-        counts = self.word_counts(distinct)[back]
-        own, before = counts[:-1], np.concatenate([[counts[-1]], counts[:-2]])
-        both = np.minimum(self.pair_counts(pair(contexts(tokens), tokens)), np.minimum(own, before))
-        own, both, before = (np.maximum(x - less, 0) for x in (own, both, before))
+    def shares(self, tokens: np.ndarray, less: int = 0, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts.
+        before: the token before each one, if other than the one that stands there."""
+        before = contexts(tokens) if before is None else before
+        distinct, back = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+        level = self.word_levels(distinct)[back]
+        own, around = LEAST[level[: len(tokens)]], level[len(tokens) :]
+        both = np.minimum(np.minimum(LEAST[self.pair_levels(pair(before, tokens))], own), LEAST[around])
+        most = np.minimum(MOST[around], self.tokens)
+        own, both, most = (np.maximum(x - less, 0) for x in (own, both, most))
         unigram = (own + 0.1) / (self.tokens - less + 0.1 * (self.words + 1))
-        group = np.minimum(np.log10(before + 1) * 2, GROUPS - 1).astype(np.int64)
-        return group, np.where(before > 0, both / np.maximum(before, 1), 0.0), unigram
+        group = np.minimum(np.log10(most + 1) * 2, GROUPS - 1).astype(np.int64)
+        return group, np.where(most > 0, both / (np.maximum(most, 1) + self.false_mass), 0.0), unigram
 
-    def log10(self, tokens: np.ndarray) -> np.ndarray:
-        group, among_pairs, unigram = self.shares(tokens)
+    def log10(self, tokens: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        group, among_pairs, unigram = self.shares(tokens, before=before)
         w = self.weights[group]
         return np.log10(w * among_pairs + (1 - w) * unigram)
 
@@ -242,21 +257,23 @@ def _weights(rows: DataFrame, model: Model) -> np.ndarray:
     return w
 
 
-def train(texts: DataFrame, *, head: int = 400_000) -> tuple[Model, DataFrame]:
+def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS) -> tuple[Model, DataFrame]:
     """(model, table of exact word counts by part) of texts (d long, t binary), all of them.
 
     Bound: `head` words with exact counts in the model. All texts fit the weights of the mixture.
-    The filter grows with the distinct words and pairs.
+    The filter grows with the distinct words and pairs, by entry_bits for each and each level of its count.
     """
     spark = texts.sparkSession
     parts = max(2, partitions(spark))
-    built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill, ROWS))
+    built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
     segments = built.where("kind = 1").select("part", "n", "blob").collect()
     bits, sizes, blobs = np.full(parts, 64, dtype=np.int64), np.full(parts, 8, dtype=np.int64), {}
     for s in segments:
         bits[s["part"]], blobs[s["part"]] = s["n"], bytes(s["blob"])
         sizes[s["part"]] = len(s["blob"])
     filled = np.frombuffer(b"".join(blobs.get(p, b"\0" * 8) for p in range(parts)), dtype=np.uint8)
+    set_bits = sum(int(np.bitwise_count(filled[a : a + (1 << 22)]).sum(dtype=np.int64)) for a in range(0, len(filled), 1 << 22))
+    false = (set_bits / max(1, int(bits.sum()))) ** PROBES
     totals = built.where("kind = 0").agg(F.sum("n").alias("n"), F.sum("a").alias("v")).first()
 
     share = max(1, head // parts)
@@ -272,7 +289,7 @@ def train(texts: DataFrame, *, head: int = 400_000) -> tuple[Model, DataFrame]:
     top = np.concatenate([np.zeros((2, 0), dtype=np.int64), *[np.frombuffer(x["blob"], np.int64).reshape(2, -1) for x in top]], axis=1)
     h, c = top[0].view(np.uint64), top[1]
     order = np.argsort(h)
-    model = Model(parts, bits, np.concatenate([[0], np.cumsum(sizes)[:-1]]), filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0))
+    model = Model(parts, bits, np.concatenate([[0], np.cumsum(sizes)[:-1]]), filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0), false * int(totals["v"] or 0))
     model.weights = _weights(texts, model)
     return model, built.where("kind = 0")
 
@@ -339,7 +356,8 @@ def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def score(texts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary).
 
-    Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end.
+    Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end. Texts of any
+    length are scored whole; equal texts have equal scores, and no row is left out. An empty table gives an empty result.
     """
     shared = texts.sparkSession.sparkContext.broadcast(model)
     sent = texts.mapInPandas(_score(shared, model.parts), ROWS)
