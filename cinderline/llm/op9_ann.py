@@ -4,7 +4,7 @@ Vectors are scaled to length 1 and projected to a few dimensions, once for each
 a shift of its own. The place of a projected vector on a Hilbert curve is its key: near keys mostly mean near vectors.
 Spark range-partitions, sorts and numbers the keys of every curve. The ordering is cut into blocks by these numbers, and a block
 also gets the rows next to it, so that no window ends at a border. A query's candidates are the vectors in a window of places around
-it on each curve; they are ranked by vectors of one byte a component, the windows of all curves are merged, and the best of them are
+it on each curve; they are ranked by vectors of two bytes a component, the windows of all curves are merged, and the best of them are
 reranked by the exact measure.
 
 Work and memory grow with the rows times the number of curves, and with the queries times curves times window; there is no pass of queries
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from ..operators.numbering import number_rows
 from .common import checkpoint, partitions, table
 
-CURVES, DIMENSIONS, BITS = 64, 7, 9
-WINDOW = 256  # places on either side
+CURVES, DIMENSIONS, BITS = 48, 7, 9
+WINDOW = 320  # places on either side
 BLOCK = 16_384  # places searched together
 ROUGH = 4  # candidates that stay for each one that is asked for, until the exact measure decides
 KEYS = "c long, low long, asks boolean, curve long, key long, code binary"
@@ -72,15 +72,15 @@ def curve_keys(unit: np.ndarray, curve: int) -> np.ndarray:
 
 
 def codes(unit: np.ndarray) -> list[bytes]:
-    """A scale and a byte for each component."""
-    scale = (np.abs(unit).max(axis=1, keepdims=True) / 127).astype(np.float32)
-    bytes_of = np.round(unit / scale).astype(np.int8)
-    return [s.tobytes() + b.tobytes() for s, b in zip(scale, bytes_of, strict=True)]
+    """A scale and two bytes for each component."""
+    scale = (np.abs(unit).max(axis=1, keepdims=True) / 32767).astype(np.float32)
+    whole = np.round(unit / scale).clip(-32767, 32767).astype(np.int16)
+    return [s.tobytes() + b.tobytes() for s, b in zip(scale, whole, strict=True)]
 
 
 def _rough(held: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"".join(held), dtype=np.uint8).reshape(len(held), -1)
-    return data[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(data[:, :4]).view(np.float32)
+    return np.ascontiguousarray(data[:, 4:]).view(np.int16).astype(np.float32) * np.ascontiguousarray(data[:, :4]).view(np.float32)
 
 
 def _keys(curves: int):
