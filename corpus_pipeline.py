@@ -34,7 +34,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _but(docs, op7_jaccard.components(docs, "text", "doc_id").where(F.col("component") == F.struct("d", "r")), "left_semi")
 
 
-def _whole_characters(text: str, cuts: str) -> Column:
+SPANS = "array<struct<start:bigint,end:bigint>>"
+
+
+def _whole_characters(text: Column, cuts: Column) -> Column:
     """The text from which `cuts` (spans of bytes) went, without the bytes of characters that a cut split: those that continue one
     at the end of a cut, and those that begin one before it. Elsewhere nothing goes."""
 
@@ -49,7 +52,7 @@ def _whole_characters(text: str, cuts: str) -> Column:
             out.append("".join(kept))
         return pd.Series(out, dtype=object)
 
-    return run(F.col(text), F.col(cuts))
+    return run(text, cuts)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +60,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     which nothing is left. n_chars, where there is one, follows the text. Null and empty texts stay as they are."""
     found = op1_suffix_dedup.dedup(docs, "text", "doc_id").where("n_removed > 0").select("d", "r", "spans")
     out = keyed(docs, "doc_id", "text", whole=True).join(found, ["d", "r"], "left")
-    out = out.select("row", "spans", F.when(F.col("spans").isNull(), F.col("t")).otherwise(_whole_characters("t", "spans")).alias("left"))
+    out = out.select("row", "spans", F.when(F.col("spans").isNull(), F.col("t")).otherwise(_whole_characters(F.coalesce("t", F.lit("")), F.coalesce("spans", F.array().cast(SPANS)))).alias("left"))
     out = out.where(F.col("spans").isNull() | (F.length("left") > 0))
     new = {"text": F.col("left"), "n_chars": F.when(F.col("spans").isNull(), F.col("row")["n_chars"]).otherwise(F.length("left").cast("bigint")) if "n_chars" in docs.columns else None}
     return out.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
