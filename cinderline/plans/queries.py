@@ -164,7 +164,10 @@ def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql("SELECT * FROM norm", "norm"))
 def normalise_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.short_normalised(spark, sf_dir)
+    raw = fx.short_raw(spark, sf_dir).withColumn("version", F.col("row_id").cast("string"))
+    parts = [ingest.normalise(raw.where(F.col("product") == p).drop("product"), source) for p, source in (("SP", "VIIRS_SNPP_SP"), ("NRT", "VIIRS_SNPP_NRT"))]
+    out = parts[0].unionByName(parts[1]).withColumn("row_id", F.col("version").cast("bigint"))
+    return out.select(*fx.short_normalised(spark, sf_dir).columns)
 
 
 @query(sql("SELECT * FROM norm n WHERE product = 'SP' OR NOT EXISTS (SELECT 1 FROM norm s WHERE s.product = 'SP' AND s.sat = n.sat AND s.acq_date = n.acq_date)", "norm"))
@@ -184,10 +187,10 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
 
 
-@query(sql("SELECT * EXCLUDE (rn, k) FROM (SELECT *, row_number() OVER (PARTITION BY sat, acq_date, acq_time, latitude, longitude ORDER BY k, frp) rn FROM (SELECT *, 0 AS k FROM norm WHERE row_id % 3 < 2 AND acq_date NOT BETWEEN DATE '2024-01-12' AND DATE '2024-01-20' UNION ALL SELECT *, 1 AS k FROM norm WHERE row_id % 3 > 0 AND acq_date >= DATE '2024-01-15')) WHERE rn = 1", "norm"))
+@query(sql("SELECT * EXCLUDE (rn, k) FROM (SELECT *, row_number() OVER (PARTITION BY sat, acq_date, acq_time, latitude, longitude ORDER BY k, frp) rn FROM (SELECT *, 0 AS k FROM norm WHERE acq_date <= DATE '2024-01-25' AND acq_date NOT BETWEEN DATE '2024-01-12' AND DATE '2024-01-20' UNION ALL SELECT *, 1 AS k FROM norm WHERE acq_date >= DATE '2024-01-15')) WHERE rn = 1", "norm"))
 def upsert_replace_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.short_normalised(spark, sf_dir)
-    return ingest.upsert(rows.where("row_id % 3 < 2"), rows.where("row_id % 3 > 0 and acq_date >= DATE '2024-01-15'"), (date(2024, 1, 12), date(2024, 1, 20)))
+    return ingest.upsert(rows.where("acq_date <= DATE '2024-01-25'"), rows.where("acq_date >= DATE '2024-01-15'"), (date(2024, 1, 12), date(2024, 1, 20)))
 
 
 _WINDOWS = "SELECT source, CAST(w AS DATE) AS window_start, CAST(least(CAST(w AS DATE) + 4, e) AS DATE) AS window_end FROM (SELECT o_orderpriority AS source, CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders GROUP BY 1), LATERAL unnest(generate_series(s, e, INTERVAL 5 DAY)) AS u(w)"

@@ -4,83 +4,102 @@
     spark.read.format("detections_area").options(url="https://.../{key}/{source}/{bbox}/{days}/{date}", key=..., source=...,
                                                  start="2024-01-01", end="2024-01-31", bbox="...").load()
 
-A partition is one window, so a lost task fetches its window again and nothing else. `parallel` partitions fetch at the same time;
-1, the default, keeps the pace that one client is allowed.
+A partition is one or more windows, so a lost task fetches its windows again and nothing else. `parallel` partitions fetch at the same
+time; 1, the default, keeps the pace that one client is allowed. With the option `status`, a URL that tells how many requests are used and
+allowed, a task waits before a window while the budget is nearly used up.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import json
+import math
 import time
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 from urllib.error import HTTPError, URLError
 from urllib.request import urlopen
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..config import DEFAULT
+
+# fixed values: the fields of an answer
 COLUMNS = ("latitude", "longitude", "bright_ti4", "scan", "track", "acq_date", "acq_time", "satellite", "instrument", "confidence", "version", "bright_ti5", "frp", "daynight", "type")
-AGAIN = {429, 500, 502, 503, 504}
+# fixed values: seconds before each new attempt; answers that are worth one
+WAITS = (2, 4, 8, 16, 32)
+BUSY = {429, 500, 502, 503, 504}
+
+Get = Callable[[str], tuple[int, str]]
 
 
 class ApiError(RuntimeError):
-    pass
+    """The API refused, or stayed out of reach."""
 
 
-def http_get(url: str, timeout: float) -> tuple[int, str]:
+def http_get(url: str) -> tuple[int, str]:
+    """(status, body) of an answer; status 0 stands for none."""
     try:
-        with urlopen(url, timeout=timeout) as answer:  # noqa: S310
+        with urlopen(url, timeout=60) as answer:  # noqa: S310
             return answer.status, answer.read().decode()
-    except HTTPError as e:
-        return e.code, e.read().decode(errors="replace")
-
-
-def fetch(url: str, key: str = "", *, get: Callable[[str, float], tuple[int, str]] = http_get, sleep: Callable[[float], None] = time.sleep, tries: int = 6, timeout: float = 60.0) -> str:
-    """The body of an answer. Busy or failing servers and network errors are tried again after 2, 4, 8, ... seconds, 120 at most;
-    any other status is an error at once. The key never shows in an error."""
-    wait = 2.0
-    for _ in range(tries):
-        try:
-            status, body = get(url, timeout)
-        except (URLError, OSError):
-            status, body = 0, ""
+    except HTTPError as refused:
+        return refused.code, refused.read().decode(errors="replace")
+    except (URLError, OSError) as lost:
+        return 0, str(lost)
+
+
+def fetch(url: str, key: str = "", *, get: Get = http_get, sleep: Callable[[float], None] = time.sleep, waits: tuple[float, ...] = WAITS) -> str:
+    """The body of the first good answer; one attempt, and another after each of `waits`. Errors never show the key."""
+    seen = []
+    for wait in (0, *waits):
+        if wait:
+            sleep(wait)
+        status, body = get(url)
+        seen.append(status)
         if status == 200:
             return body
-        if status and status not in AGAIN:
-            raise ApiError(f"HTTP {status}: {body[:200]}")
-        sleep(wait)
-        wait = min(2 * wait, 120.0)
-    raise ApiError("no answer from " + (url.replace(key, "KEY") if key else url))
+        if status not in BUSY | {0}:
+            break
+    shown = f"{url} answered {seen}, last with {body[:200]!r}"
+    raise ApiError(shown.replace(key, "***") if key else shown)
 
 
-def hold_back(status: Callable[[], tuple[int, int]], sleep: Callable[[float], None] = time.sleep, *, share: float = 0.9, pause: float = 60.0) -> None:
-    """Waits while more than `share` of the allowed requests are used; status gives (used, allowed). A failing status is no reason
-    to wait."""
+def budget(url: str, get: Get = http_get) -> tuple[int, int] | None:
+    """(used, allowed) requests, as the API's status page tells them; None if it does not."""
+    status, body = get(url)
     try:
-        while (s := status())[0] > share * s[1]:
-            sleep(pause)
-    except (ApiError, ValueError, KeyError):
-        return
+        told = json.loads(body) if status == 200 else {}
+        return int(told["current_transactions"]), int(told["transaction_limit"])
+    except (ValueError, KeyError, TypeError):
+        return None
+
+
+def hold_back(url: str, *, get: Get = http_get, sleep: Callable[[float], None] = time.sleep, share: float = 0.9, pause: float = 60.0) -> None:
+    """Returns when at most `share` of the allowed requests are used, or their number is not to be had."""
+    while (told := budget(url, get)) and told[0] > share * told[1]:
+        sleep(pause)
 
 
-def windows(start: date, end: date, size: int) -> Iterator[tuple[date, int]]:
-    """(first day, number of days) of windows that tile start to end."""
-    while start <= end:
-        n = min(size, (end - start).days + 1)
-        yield start, n
-        start += timedelta(days=n)
+def parse(body: str) -> list[tuple]:
+    """Rows as texts, in the order of COLUMNS; fields that an answer lacks are null. Extra fields are left out."""
+    rows = csv.DictReader(io.StringIO(body.lstrip()))
+    missing = {"latitude", "longitude", "acq_date"} - set(rows.fieldnames or ())
+    if missing:
+        raise ApiError(f"no CSV of detections, {sorted(missing)} not in {body[:200]!r}")
+    return [tuple(row.get(c) or None for c in COLUMNS) for row in rows]
 
 
-def parse(body: str) -> Iterator[tuple]:
-    """Rows as texts, in the order of COLUMNS; columns that are missing are null."""
-    if not body.lstrip()[:200].lower().startswith("latitude"):
-        raise ApiError(f"unexpected answer: {body[:200]!r}")
-    for row in csv.DictReader(io.StringIO(body.lstrip())):
-        yield tuple(row.get(c) or None for c in COLUMNS)
+def availability(spark: SparkSession, url: str, key: str = "", get: Get = http_get) -> DataFrame:
+    """(source, min_date, max_date) of the sources that the API offers."""
+    rows = csv.DictReader(io.StringIO(fetch(url.format(key=key), key, get=get)))
+    return spark.createDataFrame([(r["data_id"], date.fromisoformat(r["min_date"]), date.fromisoformat(r["max_date"])) for r in rows], "source string, min_date date, max_date date")
 
 
-class Window(InputPartition):
+class Windows(InputPartition):
+    """(first day, number of days) of the windows that a task fetches."""
+
     def __init__(self, items: list[tuple[str, int]]):
         super().__init__(0)
         self.items = items
@@ -91,17 +110,22 @@ class AreaReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[InputPartition]:
+        first, last = (date.fromisoformat(self.options[x]) for x in ("start", "end"))
+        days = int(self.options.get("days", DEFAULT.days_per_request))
+        number = max(0, math.ceil(((last - first).days + 1) / days))
+        begins = [first + timedelta(days=days * i) for i in range(number)]
+        items = [(b.isoformat(), min(days, (last - b).days + 1)) for b in begins]
+        parallel = max(1, min(int(self.options.get("parallel", 1)), number))
+        return [Windows(items[i::parallel]) for i in range(parallel)]
+
+    def read(self, partition: Windows) -> Iterator[tuple]:
         o = self.options
-        all_windows = [(d.isoformat(), n) for d, n in windows(date.fromisoformat(o["start"]), date.fromisoformat(o["end"]), int(o.get("days", 5)))]
-        n = max(1, min(int(o.get("parallel", 1)), len(all_windows)))
-        return [Window(all_windows[i::n]) for i in range(n)]
-
-    def read(self, partition: Window) -> Iterator[tuple]:
-        o = self.options
+        key = o.get("key", "")
         for day, n in partition.items:
-            url = o["url"].format(key=o.get("key", ""), source=o["source"], bbox=o.get("bbox", ""), days=n, date=day)
-            yield from parse(fetch(url, o.get("key", "")))
-            time.sleep(float(o.get("pace", 0.25)))
+            if "status" in o:
+                hold_back(o["status"].format(key=key))
+            yield from parse(fetch(o["url"].format(key=key, source=o["source"], bbox=o.get("bbox", ""), days=n, date=day), key))
+            time.sleep(float(o.get("pace", DEFAULT.request_interval_s)))
 
 
 class AreaSource(DataSource):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import random
+import sys
 from datetime import date, timedelta
 
 import pytest
@@ -151,15 +153,25 @@ def test_store(spark, tmp_path):
     assert store.read_window_log(spark, log).count() == 1 and store.read_window_log(spark, log + "x").count() == 0
 
 
-def test_area_api():
-    waits, answers = [], [(429, ""), (500, ""), (200, "latitude,longitude\n1,2\n")]
-    body = area_api.fetch("http://x/KEY1/", "KEY1", get=lambda u, t: answers.pop(0), sleep=waits.append)
-    assert waits == [2.0, 4.0] and next(area_api.parse(body))[:2] == ("1", "2")
-    with pytest.raises(area_api.ApiError) as e:
-        area_api.fetch("http://x/KEY1/", "KEY1", get=lambda u, t: (503, ""), sleep=lambda s: None)
-    assert "KEY1" not in str(e.value)
+def test_area_api(spark):
+    answers, waits = [(503, ""), (0, "lost"), (200, "latitude,longitude,acq_date,frp\n1,2,2024-01-01,\n")], []
+    body = area_api.fetch("http://x/KEY1/", "KEY1", get=lambda u: answers.pop(0), sleep=waits.append)
+    assert waits == [2, 4] and area_api.parse(body)[0][:6] == ("1", "2", None, None, None, "2024-01-01")
+    for answer in ((503, ""), (403, "KEY1 is wrong")):
+        with pytest.raises(area_api.ApiError) as e:
+            area_api.fetch("http://x/KEY1/", "KEY1", get=lambda u: answer, sleep=lambda s: None)
+        assert "KEY1" not in str(e.value)
     with pytest.raises(area_api.ApiError):
-        list(area_api.parse("Invalid"))
+        area_api.parse("Invalid")
+    told, waits = [(200, '{"current_transactions": 99, "transaction_limit": 100}'), (200, '{"current_transactions": 9, "transaction_limit": 100}')], []
+    area_api.hold_back("http://x", get=lambda u: told.pop(0), sleep=waits.append)
+    area_api.hold_back("http://x", get=lambda u: (500, ""), sleep=waits.append)
+    assert waits == [60.0]
+    offered = area_api.availability(spark, "http://x/{key}", "K", get=lambda u: (200, "data_id,min_date,max_date\nVIIRS_SNPP_SP,2012-01-20,2024-01-31\n")).first()
+    assert (offered.source, offered.min_date, offered.max_date) == ("VIIRS_SNPP_SP", date(2012, 1, 20), date(2024, 1, 31))
+    parts = area_api.AreaReader({"start": "2024-01-01", "end": "2024-01-12", "parallel": "2"}).partitions()
+    assert [p.items for p in parts] == [[("2024-01-01", 5), ("2024-01-11", 2)], [("2024-01-06", 5)]]
+    assert area_api.AreaReader({"start": "2024-01-02", "end": "2024-01-01"}).partitions()[0].items == []
 
 
 def test_persistent_sites(spark):
@@ -181,3 +193,19 @@ def test_registry():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and "daily_activity" in e.queries()
+
+
+def test_entry_without_text_operators(tmp_path):
+    """A copy of the repository without the text operators still registers its own queries."""
+    import shutil
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/cinderline", tmp_path / "cinderline", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); print(len(q), len(e.oracle_sql()), sum(k.startswith('op') or k == 'pipeline' for k in q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"}, capture_output=True, text=True, check=True)
+    number, oracles, text = map(int, out.stdout.split())
+    assert number > 40 and oracles > 40 and text == 0
