@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,20 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """From now on, batches that go to Python have so many rows at most: texts can be long, and a worker holds a batch or two."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def give_back() -> None:
+    """At the end of a task: memory that a worker has freed goes back to the system, since workers live on beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def pieces(frames: Iterator[pd.DataFrame], text: str, most: int = 1_500_000) -> Iterator[pd.DataFrame]:
     """Rows in pieces of about `most` characters; a longer text is a piece of its own and stays whole."""
     for frame in frames:
@@ -42,6 +58,7 @@ def pieces(frames: Iterator[pd.DataFrame], text: str, most: int = 1_500_000) ->
             total += n
         if start < len(frame):
             yield frame.iloc[start:]
+    give_back()
 
 
 def keyed(df: DataFrame, key: str, text: str, *, whole: bool = False) -> DataFrame:
@@ -50,6 +67,7 @@ def keyed(df: DataFrame, key: str, text: str, *, whole: bool = False) -> DataFra
     d is the key and r is 0 where keys are unique and none is null. Otherwise rows of one key count as documents of their own, in
     the order of their texts; rows of null keys come first and have r < 0, so no value of a key is taken for null.
     """
+    short_batches(df.sparkSession)
     columns = [F.col(f"`{key}`").cast("bigint").alias("d"), F.col(f"`{text}`").alias("t"), *([F.struct("*").alias("row")] if whole else [])]
     seen = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{key}`")).alias("k")).first()
     df = df.select(*columns)

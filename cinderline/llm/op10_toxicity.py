@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, held_out, labelled_sample, table
+from .common import checkpoint, give_back, held_out, labelled_sample, short_batches, table
 
 WINDOW = 64
 OVERLAP = 12
@@ -104,6 +104,7 @@ def _measure(texts: Column, which: Column, pairs: list[tuple[bytes, bytes]]) ->
         tools = [(compressor(a), compressor(b)) for a, b in pairs]
         for texts, own in batches:
             yield pd.DataFrame([_evidence(t, tools[i]) for t, i in zip(texts, own, strict=True)], columns=FEATURES)
+        give_back()
 
     return run(texts, which)
 
@@ -181,6 +182,7 @@ def score(df: DataFrame, text: str, model: Model, *, threshold: float = 0.3) ->
     Null and empty texts are scored like a text without evidence. Equal texts get equal scores, repeated rows repeated ones. Texts of
     any length are measured whole. An empty table gives an empty result.
     """
+    short_batches(df.sparkSession)
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("score", "predicted")]
     out = df.select(*kept, _measure(F.col(text), F.lit(0), [(model.ordinary, model.toxic)]).alias("_x"))
     margin = F.lit(model.bias)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytehash, suffix_runs
-from .common import binary, key_of, keyed, partitions, pieces, table
+from .common import binary, give_back, key_of, keyed, partitions, pieces, table
 
 GRAM = 40
 RUN_BYTES = 24_000_000
@@ -174,6 +174,8 @@ def _meet_anchors(parts: int):
         cuts = np.searchsorted(to[order], np.arange(parts + 1))
         out = [(p, _pack_rows(*(x[order[cuts[p] : cuts[p + 1]]] for x in (d, r, v)))) for p in range(parts) if cuts[p + 1] > cuts[p]]
         yield pd.DataFrame(out, columns=["part", "blob"])
+        del held, found, d, r, v, to, order, out
+        give_back()
 
     return run
 
@@ -190,6 +192,7 @@ def _gather_anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d, r, v = d[order], r[order], v[order]
         new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (r[1:] != r[:-1])]))
         yield pd.DataFrame({"d": d[new], "r": r[new], "anchors": [_pack(x) for x in np.split(v, new[1:])]})
+    give_back()
 
 
 # ---- steps 2 and 3
@@ -262,6 +265,7 @@ def _context_runs(splits: list[bytes], width: int):
                 if runs.full():
                     yield from runs.flush()
         yield from runs.flush()
+        give_back()
 
     return run
 
@@ -312,7 +316,9 @@ def _meet(splits: list[bytes] | None, width: int):
                 covered = []
         if covered:
             yield _covered(covered, width, parts)
+        covered = []
         yield from runs.flush()
+        give_back()
 
     return run
 
@@ -350,6 +356,7 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             kept.append(text[at:])
             out.append((len(text), sum(e - s for s, e in joined), [{"start": s, "end": e} for s, e in joined], b"".join(kept)))
         yield pd.DataFrame({"d": f["d"], "r": f["r"], **{k: [x[i] for x in out] for i, k in enumerate(("n_bytes", "n_removed", "spans", "kept"))}})
+    give_back()
 
 
 def split_keys(texts: DataFrame, parts: int, per_part: int = 64) -> list[bytes]:

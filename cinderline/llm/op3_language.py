@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table
+from .common import give_back, held_out, short_batches, table
 
 UND = "und"
 
@@ -65,6 +65,7 @@ def classify(df: DataFrame, text: str, dicts: dict[str, bytes], *, window: int =
     The three names replace columns of df that are called so. Texts are compressed whole, however long; repeated rows get equal results,
     and an empty table gives an empty one.
     """
+    short_batches(df.sparkSession)
     names, shared = sorted(dicts), df.sparkSession.sparkContext.broadcast(dicts)
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
@@ -83,6 +84,7 @@ def classify(df: DataFrame, text: str, dicts: dict[str, bytes], *, window: int =
                 margin = (rest.min() - sizes[best]) / sizes[best] if len(rest) else 1.0
                 out.append((names[best], float(1 - np.exp(-12 * margin)), bool(margin < narrow)))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "rejected"])
+        give_back()
 
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("lang_pred", "score", "rejected")]
     return df.select(*kept, predict(F.col(text)).alias("_guess")).select(*kept, "_guess.*")

@@ -72,7 +72,7 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
     The items' shingles are broadcast if they are `broadcast_rows` at most (24 bytes each), and shuffled beyond that.
     """
     listed = items.select(F.col(item_key).alias("item"), words(F.col(item_text)).alias("w")).where(F.size("w") > 0)
-    listed = listed.select("item", F.size("w").alias("length"), shingles(F.col("w")).alias("s")).withColumn("mine", F.monotonically_increasing_id())
+    listed = listed.select("item", F.size("w").alias("length"), shingles(F.col("w")).alias("s")).withColumn("mine", F.xxhash64("item", "s"))
     seeds = listed.select("item", "length", F.size("s").alias("held"), F.posexplode("s").alias("offset", "h"))
     small = listed.agg(F.sum(F.size("s"))).first()[0] or 0
     if small <= broadcast_rows:
@@ -89,9 +89,9 @@ def contaminated(df: DataFrame, text: str, key: str, items: DataFrame, item_text
     cut = docs.join(windows, ["d", "r"]).select("d", "r", words(F.col("t")).alias("w"), "windows").select("d", "r", shingles(F.col("w")).alias("s"), "windows")
     cut = cut.select("d", "r", "s", F.explode("windows").alias("x")).select("d", "r", "x.length", "x.start", F.slice("s", F.col("x.start") + 1, F.greatest(F.col("x.length") - SHINGLE + 1, F.lit(1))).alias("own"))
     cut = cut.withColumn("mark", simhash(F.col("own")))
-    index = listed.select("item", "length", F.col("s").alias("theirs"), simhash(F.col("s")).alias("item_mark")).withColumn("block", F.explode(near_blocks(F.col("item_mark"))))
+    index = listed.select("mine", "length", simhash(F.col("s")).alias("item_mark")).withColumn("block", F.explode(near_blocks(F.col("item_mark"))))
     near = cut.withColumn("block", F.explode(blocks(F.col("mark")))).join(index, ["length", "block"]).where(F.bit_count(F.col("mark").bitwiseXOR(F.col("item_mark"))) <= RADIUS)
-    near = near.groupBy("d", "r", "item", "start", "length", "mark", "item_mark").agg(F.first("own").alias("own"), F.first("theirs").alias("theirs"))
+    near = near.groupBy("d", "r", "mine", "start").agg(F.first("own").alias("own")).join(listed.select("mine", "item", F.col("s").alias("theirs")), "mine")
     exact = near.select("d", "r", "item", "start", similarity(F.col("own"), F.col("theirs")).alias("similarity")).where(F.col("similarity") >= SIMILAR)
     best = exact.groupBy("d", "r", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("best"))
     return best.select(key_of().alias(key), "d", "r", "item", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity"))

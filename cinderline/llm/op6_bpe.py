@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import give_back, short_batches, table
 
 PLAIN = "֏"  # up to here, all versions of Unicode agree on letters and numbers
 
@@ -134,6 +134,8 @@ def encode(text: Column, path: str, *, decoded: bool = False) -> Column:
         for texts in _slices(batches):
             ids = own.encode([t or "" for t in texts])
             yield pd.DataFrame({"ids": ids, "decoded": [_joined(pieces, x) for x in ids]}) if decoded else pd.Series(ids, dtype=object)
+        own.ids, ids = {}, []  # a task's table ends with it
+        give_back()
 
     return run(text)
 
@@ -162,6 +164,7 @@ def _pieces(path: str) -> np.ndarray:
 def tokenize(df: DataFrame, text: str, path: str) -> DataFrame:
     """df with ids and decoded, the text of the ids; they replace columns of those names. Repeated rows give repeated results, texts of
     any length are encoded whole, and an empty table gives an empty result."""
+    short_batches(df.sparkSession)
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("ids", "decoded")]
     return df.select(*kept, encode(F.col(text), path, decoded=True).alias("_coded")).select(*kept, "_coded.ids", "_coded.decoded")
 

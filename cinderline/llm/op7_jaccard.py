@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from . import bytehash
-from .common import binary, checkpoint, key_of, keyed, partitions, pieces, table
+from .common import binary, checkpoint, give_back, key_of, keyed, partitions, pieces, table
 
 SHINGLE, NEAR = 5, 80  # words of a shingle; least per cent of the union
 SIGNS = 6  # least hashes of each class
 GROUP_TOKENS = 50_000  # of a group's members, as far as single classes allow
-BATCH = 1_500_000  # tokens that a task packs at once
+BATCH = 600_000  # tokens that a task packs at once
 BROADCAST_ROWS = 400_000  # of up to four numbers each; larger tables are shuffled
 PACKED = "kind int, part int, d long, r long, c long, n long, blob binary"
 
@@ -169,6 +169,7 @@ def _meet(parts: int):
             apart = np.logical_or.reduceat((who != np.repeat(who[new], size)) | none, new)  # more classes than the first one
             shared = np.bincount(of[np.repeat(apart, size) & ~none], minlength=len(c))
             yield _frame([(2, p, 0, 0, 0, 0, b) for p, b in _counts(c, n.astype(np.int64), shared, parts)])
+        give_back()
 
     return run
 
