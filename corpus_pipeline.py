@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderline.llm import op1_suffix_dedup, op3_language, op5_decontamination, op6_bpe, op7_jaccard
-from cinderline.llm.common import keyed, shared_folder, table
+from cinderline.llm.common import checkpoint, keyed, shared_folder, table
 
 
 def _but(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """The rows of docs whose place (d, r) is, or is not, among those found."""
-    own = keyed(docs, "doc_id", "text", whole=True)
-    return own.join(found.select("d", "r").distinct(), ["d", "r"], how).select("row.*")
+    found = checkpoint(found.select("d", "r").distinct())  # what it was found by can go, before the next stage begins
+    return keyed(docs, "doc_id", "text", whole=True).join(found, ["d", "r"], how).select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def _whole_characters(text: Column, cuts: Column) -> Column:
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings that occur before; what is left of a character that was cut goes, and so does a document of
     which nothing is left. n_chars, where there is one, follows the text. Null and empty texts stay as they are."""
-    found = op1_suffix_dedup.dedup(docs, "text", "doc_id").where("n_removed > 0").select("d", "r", "spans")
+    found = checkpoint(op1_suffix_dedup.dedup(docs, "text", "doc_id").where("n_removed > 0").select("d", "r", "spans"))
     out = keyed(docs, "doc_id", "text", whole=True).join(found, ["d", "r"], "left")
     out = out.select("row", "spans", F.when(F.col("spans").isNull(), F.col("t")).otherwise(_whole_characters(F.coalesce("t", F.lit("")), F.coalesce("spans", F.array().cast(SPANS)))).alias("left"))
     out = out.where(F.col("spans").isNull() | (F.length("left") > 0))
