@@ -339,22 +339,28 @@ def _strings(group: list, left: int, right: int, runs: Runs, width: int) -> None
 # ---- step 4
 
 
+def joined(spans) -> list[tuple[int, int]]:
+    """Spans (structs s, e; null for none) in order, those that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted((int(x["s"]), int(x["e"])) for x in (spans if spans is not None else [])):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
 def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         out = []
         for text, spans in zip(f["t"], f["spans"], strict=True):
-            joined: list[list[int]] = []
-            for x in sorted((int(x["s"]), int(x["e"])) for x in (spans if spans is not None else [])):
-                if joined and x[0] <= joined[-1][1]:
-                    joined[-1][1] = max(joined[-1][1], x[1])
-                else:
-                    joined.append(list(x))
+            gone = joined(spans)
             kept, at = [], 0
-            for s, e in joined:
+            for s, e in gone:
                 kept.append(text[at:s])
                 at = e
             kept.append(text[at:])
-            out.append((len(text), sum(e - s for s, e in joined), [{"start": s, "end": e} for s, e in joined], b"".join(kept)))
+            out.append((len(text), sum(e - s for s, e in gone), [{"start": s, "end": e} for s, e in gone], b"".join(kept)))
         yield pd.DataFrame({"d": f["d"], "r": f["r"], **{k: [x[i] for x in out] for i, k in enumerate(("n_bytes", "n_removed", "spans", "kept"))}})
     give_back()
 
@@ -373,7 +379,7 @@ def split_keys(texts: DataFrame, parts: int, per_part: int = 64) -> list[bytes]:
 
 
 def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
-    """(d, r, spans) of the documents that hold repeated strings; texts: (d long, r long, t binary)."""
+    """(d, r, spans) of the documents that hold repeated strings, the spans in no order (see joined); texts: (d long, r long, t binary)."""
     parts = max(2, partitions(texts.sparkSession))
     splits = split_keys(texts, parts)
     met = texts.mapInPandas(_list_anchors(parts, width), ROWS).repartition(parts, "part").mapInPandas(_meet_anchors(parts), "part int, blob binary")
