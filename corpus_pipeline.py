@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderline.llm import op1_suffix_dedup, op3_language, op5_decontamination, op6_bpe, op7_jaccard
-from cinderline.llm.common import checkpoint, keyed, shared_folder, table
+from cinderline.llm.common import binary, checkpoint, keyed, shared_folder, table
 
 
 def _but(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _but(docs, op7_jaccard.components(docs, "text", "doc_id").where(F.col("component") == F.struct("d", "r")), "left_semi")
 
 
-SPANS = "array<struct<start:bigint,end:bigint>>"
+SPANS = "array<struct<s:bigint,e:bigint>>"
 
 
 def _whole_characters(text: Column, cuts: Column) -> Column:
@@ -46,7 +46,7 @@ def _whole_characters(text: Column, cuts: Column) -> Column:
         out = []
         for t, own in zip(texts, spans, strict=True):
             data, kept, at = t.encode(), [], 0
-            for a, b in [*((x["start"], x["end"]) for x in own), (len(data), len(data))]:
+            for a, b in [*op1_suffix_dedup.joined(own), (len(data), len(data))]:
                 kept.append(data[at:a].decode(errors="ignore"))  # a piece of whole text can be broken at its two ends alone
                 at = b
             out.append("".join(kept))
@@ -58,7 +58,7 @@ def _whole_characters(text: Column, cuts: Column) -> Column:
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings that occur before; what is left of a character that was cut goes, and so does a document of
     which nothing is left. n_chars, where there is one, follows the text. Null and empty texts stay as they are."""
-    found = checkpoint(op1_suffix_dedup.dedup(docs, "text", "doc_id").where("n_removed > 0").select("d", "r", "spans"))
+    found = checkpoint(op1_suffix_dedup.repeated_spans(keyed(docs, "doc_id", "text").select("d", "r", binary().alias("t")), 100))
     out = keyed(docs, "doc_id", "text", whole=True).join(found, ["d", "r"], "left")
     out = out.select("row", "spans", F.when(F.col("spans").isNull(), F.col("t")).otherwise(_whole_characters(F.coalesce("t", F.lit("")), F.coalesce("spans", F.array().cast(SPANS)))).alias("left"))
     out = out.where(F.col("spans").isNull() | (F.length("left") > 0))
