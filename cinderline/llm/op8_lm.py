@@ -31,7 +31,7 @@ END = np.uint64(0x5851F42D4C957F2D)  # stands for the end of a text in the hashe
 LEVELS = np.unique(np.ceil(1.3 ** np.arange(100)).astype(np.int64))  # least count of each level
 LEAST = np.concatenate([[0.0], LEVELS])  # least and greatest count of level q
 MOST = np.concatenate([[0.0], LEVELS[1:] - 1.0, [np.inf]])
-BITS, PROBES = 12, 6  # bits of filter for each entry, bits set for each
+BITS, PROBES = 10, 4  # bits of filter for each entry, bits set for each
 GROUPS = 12
 ROWS = "part int, kind int, d long, r long, a double, b double, n long, blob binary"
 
@@ -187,13 +187,12 @@ class Model:
         alive = np.arange(len(h))
         q = 1
         while len(alive) and q <= len(LEVELS):
-            x = bytehash.mix(h[alive] + np.uint64(q * 0x9E3779B97F4A7C15 % (1 << 64)))
-            step = bytehash.mix(x) | np.uint64(1)
-            for i in range(PROBES):
-                p = part[alive]
-                at = ((x + step * np.uint64(i)) % self.bits[p].astype(np.uint64)).astype(np.int64)
-                found = (self.filter[self.starts[p] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-                alive, x, step = alive[found], x[found], step[found]
+            p, own = part[alive], h[alive]
+            found = np.ones(len(alive), dtype=bool)
+            for at in _places(own, q, self.bits[p]):
+                at = at.astype(np.int64)
+                found &= (self.filter[self.starts[p] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+            alive = alive[found]
             level[alive] = q
             q += 1
         return level
@@ -266,12 +265,14 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS) -> t
     spark = texts.sparkSession
     parts = max(2, partitions(spark))
     built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
-    segments = built.where("kind = 1").select("part", "n", "blob").collect()
-    bits, sizes, blobs = np.full(parts, 64, dtype=np.int64), np.full(parts, 8, dtype=np.int64), {}
-    for s in segments:
-        bits[s["part"]], blobs[s["part"]] = s["n"], bytes(s["blob"])
-        sizes[s["part"]] = len(s["blob"])
-    filled = np.frombuffer(b"".join(blobs.get(p, b"\0" * 8) for p in range(parts)), dtype=np.uint8)
+    sizes = built.where("kind = 1").select("part", "n", F.length("blob").alias("size")).collect()
+    bits, held = np.full(parts, 64, dtype=np.int64), np.full(parts, 8, dtype=np.int64)
+    for x in sizes:
+        bits[x["part"]], held[x["part"]] = x["n"], x["size"]
+    starts = np.concatenate([[0], np.cumsum(held)[:-1]])
+    filled = np.zeros(int(held.sum()), dtype=np.uint8)
+    for x in built.where("kind = 1").select("part", "blob").toLocalIterator():  # one segment at a time beside the filter
+        filled[starts[x["part"]] : starts[x["part"]] + held[x["part"]]] = np.frombuffer(x["blob"], dtype=np.uint8)
     set_bits = sum(int(np.bitwise_count(filled[a : a + (1 << 22)]).sum(dtype=np.int64)) for a in range(0, len(filled), 1 << 22))
     false = (set_bits / max(1, int(bits.sum()))) ** PROBES
     totals = built.where("kind = 0").agg(F.sum("n").alias("n"), F.sum("a").alias("v")).first()
@@ -289,7 +290,7 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS) -> t
     top = np.concatenate([np.zeros((2, 0), dtype=np.int64), *[np.frombuffer(x["blob"], np.int64).reshape(2, -1) for x in top]], axis=1)
     h, c = top[0].view(np.uint64), top[1]
     order = np.argsort(h)
-    model = Model(parts, bits, np.concatenate([[0], np.cumsum(sizes)[:-1]]), filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0), false * int(totals["v"] or 0))
+    model = Model(parts, bits, starts, filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0), false * int(totals["v"] or 0))
     model.weights = _weights(texts, model)
     return model, built.where("kind = 0")
 
