@@ -73,7 +73,8 @@ def keyed(df: DataFrame, key: str, text: str, *, whole: bool = False) -> DataFra
     df = df.select(*columns)
     rest = ["t", "row"] if whole else ["t"]
     if seen["n"] == seen["k"]:
-        return df.select("d", F.lit(0).cast("bigint").alias("r"), *rest)
+        # never null, as Spark can see: so inner and left joins read the same rows, and share a shuffle of them
+        return df.select(F.coalesce("d", F.lit(-(1 << 63))).alias("d"), F.lit(0).cast("bigint").alias("r"), *rest)
     # a range partitioning by key and text: no task holds all rows of a key
     placed = number_rows(df, [F.col("d").asc_nulls_first(), F.col("t").asc_nulls_first()], "place")
     return placed.select(F.coalesce("d", F.lit(-(1 << 63))).alias("d"), F.when(F.col("d").isNull(), F.col("place") - (1 << 62)).otherwise(F.col("place")).cast("bigint").alias("r"), *rest)
