@@ -14,6 +14,7 @@ SHOWN_SATELLITES = ("SNPP", "NOAA20", "NOAA21")
 
 @dataclass(frozen=True)
 class Settings:
+    # fixed values: thresholds that results rest on
     history_start: date = date(2012, 1, 20)
     days_per_request: int = 5
     request_interval_s: float = 0.25
@@ -31,6 +32,7 @@ class Settings:
     sensitivity_gap_days: tuple[int, ...] = (1, 2, 3)
     rolling_days: int = 7
     recent_days: int = 365
+    bbox: tuple[float, ...] = (-8.7, 49.8, 1.95, 61.0)
 
 
 DEFAULT = Settings()

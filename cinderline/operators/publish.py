@@ -4,17 +4,29 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import DEFAULT, SHOWN_SATELLITES
+from ..config import DEFAULT, SHOWN_SATELLITES, Settings
+from .aggregate import cumulative_long, same_period_stats
+
+
+def _strict(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(c) | (F.abs(c) == float("inf")), None).otherwise(c)
+    if isinstance(kind, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _strict(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_strict(c[f.name], f.dataType).alias(f.name) for f in kind]))
+    return c
 
 
 def strict(df: DataFrame) -> DataFrame:
-    """Doubles that are no numbers become null, dates ISO text, so that the JSON is strict."""
-    kinds = dict(df.dtypes)
-    clean = lambda c: F.when(F.isnan(c), None).otherwise(F.col(c)) if kinds[c] in ("double", "float") else F.date_format(c, "yyyy-MM-dd") if kinds[c] == "date" else F.col(c)
-    return df.select(*[clean(c).alias(c) for c in df.columns])
+    """Doubles that are no finite numbers become null, dates ISO text, in arrays and structs too, so that the JSON is strict."""
+    return df.select(*[_strict(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
 
 
 def columnar(df: DataFrame, order: list[str]) -> DataFrame:
@@ -65,3 +77,87 @@ def recent_detections(det: DataFrame, end: date, days: int = DEFAULT.recent_days
 def overlapping(events: DataFrame, start: date, end: date) -> DataFrame:
     """Events that have a day in common with start to end."""
     return events.where((F.col("end_date") >= start) & (F.col("start_date") <= end))
+
+
+def cumulative(daily: DataFrame, column: str = "new_events") -> DataFrame:
+    """One row, one column `payload`: the days 1 to 366 of a year, and for each year the running totals on them."""
+    runs = cumulative_long(daily, column).groupBy(F.col("year").cast("string").alias("year")).agg(F.sort_array(F.collect_list(F.struct("doy", "total"))).alias("run"))
+    years = F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", F.transform("run", lambda r: r["total"]).alias("totals")))))
+    return runs.agg(F.to_json(F.struct(F.sequence(F.lit(1), F.lit(366)).alias("doy"), years.alias("years"))).alias("payload"))
+
+
+def one_object(row: DataFrame) -> DataFrame:
+    """The JSON object of a table of one row, as column `payload`."""
+    return strict(row).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def document(parts: dict[str, DataFrame]) -> DataFrame:
+    """One row, one column `payload`: an object of named parts. A part is one row of JSON, or none at all, which is null."""
+    named = None
+    for i, (name, part) in enumerate(parts.items()):
+        row = part.agg(F.lit(i).alias("i"), F.concat(F.lit(f'"{name}":'), F.coalesce(F.first("payload"), F.lit("null"))).alias("text"))
+        named = row if named is None else named.unionByName(row)
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("i", "text"))), lambda x: x["text"])
+    return named.agg(F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}")).alias("payload"))
+
+
+def meta(spark: SparkSession, raw: DataFrame, events: DataFrame, daily: DataFrame, funnel: DataFrame, exclusions: DataFrame, sensitivity: DataFrame, end: date, settings: Settings = DEFAULT) -> DataFrame:
+    """One row, one column `payload`: what the published tables rest on, headline figures, the largest events."""
+    plain = lambda c: spark.range(1).select(c.alias("payload"))
+    text = lambda d: plain(F.lit(f'"{d}"'))
+    count = lambda df: df.agg(F.count("*").cast("string").alias("payload"))
+    latest = latest_by_product(raw)
+    by_sat = lambda c: latest.where(F.col(c).isNotNull()).agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("sat", F.date_format(c, "yyyy-MM-dd").alias("day")))))).alias("payload"))
+    shown = F.struct(
+        F.array(*[F.lit(c) for c in sorted(settings.confidence_kept)]).alias("confidence_keep"),
+        F.lit(settings.land_buffer_m).alias("land_buffer_m"),
+        F.lit(settings.eps_m).alias("cluster_eps_m"),
+        F.lit(settings.gap_days).alias("cluster_max_gap_days"),
+        F.lit(settings.least_calendar_months).alias("persistent_min_cal_months"),
+        F.lit(settings.least_year_months).alias("persistent_min_year_months"),
+        F.lit(settings.least_radius_m).alias("persistent_exclude_radius_m"),
+        F.array(*[F.lit(x) for x in settings.bbox]).alias("bbox"),
+    )
+    figures = headline(daily, end)
+    kpis = {c: figures.select(F.to_json(F.array(c)).alias("payload")).select(F.regexp_replace("payload", r"^\[|\]$", "").alias("payload")) for c in figures.columns}
+    kpis |= {"ytd": one_object(same_period_stats(daily, end)), "ytd_detections": one_object(same_period_stats(daily, end, "detections"))}
+    best = strict(top_events(events))
+    place = F.struct((-F.col("n_detections")).alias("n"), (-F.col("sum_frp")).alias("f"), "event_id", F.struct("*").alias("row"))
+    top = best.agg(F.to_json(F.transform(F.sort_array(F.collect_list(place)), lambda x: x["row"]), {"ignoreNullFields": "false"}).alias("payload"))
+    return document({
+        "updated_at": plain(F.date_format(F.current_timestamp(), "'\"'yyyy-MM-dd'T'HH:mm:ssXXX'\"'")),
+        "data_start": text(settings.history_start.isoformat()),
+        "data_end": text(end.isoformat()),
+        "sp_max_date": by_sat("sp_max_date"),
+        "nrt_max_date": by_sat("nrt_max_date"),
+        "funnel": one_object(funnel),
+        "n_events": count(events),
+        "n_persistent_sources": count(exclusions),
+        "config": plain(F.to_json(shown)),
+        "headline": document(kpis),
+        "top_events": top,
+        "sensitivity": records(sensitivity, ["eps_m", "gap_days", "year"]),
+    })
+
+
+def sensitivity_pivot(counts: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Years by settings, wide: e<eps>_g<gap>; null where a setting has no event in a year."""
+    names = [f"e{int(e)}_g{g}" for e in settings.sensitivity_eps_m for g in settings.sensitivity_gap_days]
+    named = counts.select("year", F.format_string("e%d_g%d", F.col("eps_m").cast("int"), F.col("gap_days").cast("int")).alias("setting"), "events")
+    return named.groupBy("year").pivot("setting", names).agg(F.first("events"))
+
+
+def newest_days(daily: DataFrame, start: date, end: date, n: int = 400) -> DataFrame:
+    """The newest n days of a period, newest first, as the page's table shows them."""
+    shown = daily.where(F.col("date").between(start, end)).orderBy(F.desc("date")).limit(n)
+    return shown.select("date", "active_events", "new_events", "detections", "detections_snpp", "detections_noaa20", "detections_noaa21", (F.rint(F.col("active_events_7d") * 10.0) / 10.0).alias("mean_7d"), F.when(F.col("product_status") == "", "\u2014").otherwise(F.col("product_status")).alias("data"))
+
+
+def marker_radius(n: Column, most: int = 200) -> Column:
+    """How large an event of n detections is drawn."""
+    return 4.0 + 10.0 * F.sqrt(F.least(n, F.lit(most)) / float(most))
+
+
+def percent_of_prior(stats: DataFrame) -> DataFrame:
+    """How many percent this year's total lies above the mean of the years before; null without one. Halves go up."""
+    return stats.select("ytd", "prior_mean", F.when(F.col("prior_mean") != 0, F.floor((F.col("ytd") / F.col("prior_mean") - 1) * 100 + 0.5)).alias("percent"))

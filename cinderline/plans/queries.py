@@ -175,9 +175,12 @@ def sp_over_nrt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.authoritative(fx.short_normalised(spark, sf_dir))
 
 
-@query(sql("SELECT * FROM loaded", "loaded"))
+@query(sql("""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sat, acq_date, acq_time, latitude, longitude ORDER BY product DESC, frp, row_id) rn
+ FROM norm n WHERE product = 'SP' OR NOT EXISTS (SELECT 1 FROM norm s WHERE s.product = 'SP' AND s.sat = n.sat AND s.acq_date = n.acq_date)) WHERE rn = 1""", "norm"))
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.short(spark, sf_dir)
+    rows = fx.short_normalised(spark, sf_dir)
+    named = rows.withColumn("source", F.concat(F.lit("VIIRS_SNPP_"), F.col("product")))
+    return ingest.load(named, F.col("row_id")).select(*rows.columns)
 
 
 @query("SELECT l_orderkey, l_suppkey, l_linenumber, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_orderkey, l_linenumber) rn FROM lineitem) WHERE rn = 1")
@@ -379,7 +382,10 @@ def monthly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.monthly_table(*long_daily(spark, sf_dir))
 
 
-@query(sql("SELECT a.*, strftime(peak, '%Y-%m-%d') AS peak_day, coalesce(big, 0) AS largest_event_detections, CAST(coalesce(longest, 0) AS INT) AS longest_event_days, year < max(year) OVER () AS complete FROM (SELECT CAST(year(date) AS INT) AS year, CAST(sum(detections) AS BIGINT) AS detections, CAST(sum(active_events) AS BIGINT) AS event_days, CAST(sum(new_events) AS BIGINT) AS new_events, CAST(sum(CAST(round_even(frp_sum * 10, 0) AS BIGINT)) AS DOUBLE) / 10 AS frp_sum, count(*) FILTER (active_events > 0) AS days_with_activity, max(active_events) AS peak_active_events, count(*) AS days FROM ldaily GROUP BY 1) a JOIN (SELECT year(date) AS py, arg_min(date, (-active_events, date)) AS peak FROM ldaily GROUP BY 1) ON py = a.year LEFT JOIN (SELECT year(start_date) AS yy, max(n_detections) AS big, max(duration_days) AS longest FROM levents GROUP BY 1) ON yy = a.year", "ldaily"))
+_ANNUAL = "SELECT a.*, strftime(peak, '%Y-%m-%d') AS peak_day, coalesce(big, 0) AS largest_event_detections, CAST(coalesce(longest, 0) AS INT) AS longest_event_days, year < max(year) OVER () AS complete FROM (SELECT CAST(year(date) AS INT) AS year, CAST(sum(detections) AS BIGINT) AS detections, CAST(sum(active_events) AS BIGINT) AS event_days, CAST(sum(new_events) AS BIGINT) AS new_events, CAST(sum(CAST(round_even(frp_sum * 10, 0) AS BIGINT)) AS DOUBLE) / 10 AS frp_sum, count(*) FILTER (active_events > 0) AS days_with_activity, max(active_events) AS peak_active_events, count(*) AS days FROM ldaily GROUP BY 1) a JOIN (SELECT year(date) AS py, arg_min(date, (-active_events, date)) AS peak FROM ldaily GROUP BY 1) ON py = a.year LEFT JOIN (SELECT year(start_date) AS yy, max(n_detections) AS big, max(duration_days) AS longest FROM levents GROUP BY 1) ON yy = a.year"
+
+
+@query(sql(_ANNUAL, "ldaily"))
 def annual_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.annual_table(*long_daily(spark, sf_dir))
 
@@ -434,11 +440,56 @@ def notable_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanity.notable_days(long_daily(spark, sf_dir)[0], [date(1998, 7, 19), date(2000, 6, 27), date(2001, 4, 5)])
 
 
-@query()
+# ---- payloads and page figures
+
+_DAILY_COLUMNS = ["detections", "detections_snpp", "detections_noaa20", "detections_noaa21", "active_events", "frp_sum", "product_status", "new_events", "active_events_7d", "detections_7d"]
+_DAILY_LISTS = ", ".join(f"{c} := list({c} ORDER BY date)" for c in _DAILY_COLUMNS)
+_ANNUAL_COLUMNS = "year detections event_days new_events frp_sum days_with_activity peak_active_events days peak_day largest_event_detections longest_event_days complete".split()
+_YEAR_LISTS = ", ".join(f"\"{y}\" := list(y{y} ORDER BY doy)" for y in YEARS)
+
+
+@query(sql(f"SELECT CAST(to_json(struct_pack(date := list(strftime(date, '%Y-%m-%d') ORDER BY date), {_DAILY_LISTS})) AS VARCHAR) AS payload FROM ldaily", "ldaily"))
 def payload_columnar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.columnar(long_daily(spark, sf_dir)[0], ["date"])
 
 
-@query()
+@query(sql(f"SELECT CAST(to_json(list(struct_pack({', '.join(f'{c} := {c}' for c in _ANNUAL_COLUMNS)}) ORDER BY year)) AS VARCHAR) AS payload FROM ({_ANNUAL})", "ldaily"))
 def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.records(aggregate.annual_table(*long_daily(spark, sf_dir)), ["year"])
+
+
+@query(sql(f"SELECT CAST(to_json(struct_pack(doy := list(doy ORDER BY doy), years := struct_pack({_YEAR_LISTS}))) AS VARCHAR) AS payload FROM ({_cumulative('new_events')})", "ldaily"))
+def payload_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.cumulative(long_daily(spark, sf_dir)[0])
+
+
+@query(sql("", "det").rstrip() + f", {_WIDE}, {_REACHES} SELECT year, " + ", ".join(f"CAST(sum(events) FILTER (eps_m = {e} AND gap_days = {g}) AS BIGINT) AS e{e}_g{g}" for e in (1000, 1500, 2000) for g in (1, 2, 3)) + f" FROM ({_SWEEP}) GROUP BY 1")
+def sensitivity_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.sensitivity_pivot(cluster.sensitivity(detections(spark, sf_dir)))
+
+
+@query(sql("SELECT date, active_events, new_events, detections, detections_snpp, detections_noaa20, detections_noaa21, round_even(active_events_7d * 10, 0) / 10 AS mean_7d, CASE WHEN product_status = '' THEN '\u2014' ELSE product_status END AS data FROM ldaily WHERE date <= DATE '2001-06-30' ORDER BY date DESC LIMIT 400", "ldaily"))
+def newest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.newest_days(long_daily(spark, sf_dir)[0], LONG_START, TODAY)
+
+
+@query(sql("SELECT count(*) AS events, CAST(coalesce(sum(n_detections), 0) AS BIGINT) AS detections FROM events_sum WHERE end_date >= DATE '2024-01-10' AND start_date <= DATE '2024-01-14'", "events_sum"))
+def period_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = publish.overlapping(cluster.summarise_events(tagged(spark, sf_dir)), date(2024, 1, 10), date(2024, 1, 14))
+    return shown.agg(F.count("*").alias("events"), F.coalesce(F.sum("n_detections"), F.lit(0)).alias("detections"))
+
+
+@query(sql("SELECT event_id, round_even((4 + 10 * sqrt(least(n_detections, 200) / 200e0)) * 1e6, 0) / 1e6 AS radius FROM events_sum", "events_sum"))
+def event_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.summarise_events(tagged(spark, sf_dir)).select("event_id", scaled_round(publish.marker_radius(F.col("n_detections")), 6).alias("radius"))
+
+
+@query(sql("SELECT CAST(max(n) AS BIGINT) AS most FROM (SELECT sum(new_events) AS n FROM ldaily GROUP BY year(date), month(date))", "ldaily"))
+def heatmap_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by_month = long_daily(spark, sf_dir)[0].groupBy(F.year("date"), F.month("date")).agg(F.sum("new_events").alias("n"))
+    return by_month.agg(F.max("n").alias("most"))
+
+
+@query(sql("SELECT ytd, prior_mean, CAST(floor((ytd / prior_mean - 1) * 100 + 0.5) AS BIGINT) AS percent FROM (SELECT CAST(sum(t) FILTER (y = 2001) AS BIGINT) AS ytd, round_even(CAST(sum(t) FILTER (y < 2001) AS DOUBLE) / count(*) FILTER (y < 2001) * 10, 0) / 10 AS prior_mean FROM (SELECT year(date) AS y, sum(new_events) AS t FROM ldaily WHERE dayofyear(date) <= 181 GROUP BY 1))", "ldaily"))
+def percent_of_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return publish.percent_of_prior(aggregate.same_period_stats(long_daily(spark, sf_dir)[0], TODAY))

@@ -4,7 +4,7 @@
     spark.read.format("detections_area").options(url="https://.../{key}/{source}/{bbox}/{days}/{date}", key=..., source=...,
                                                  start="2024-01-01", end="2024-01-31", bbox="...").load()
 
-A partition is one or more windows, so a lost task fetches its windows again and nothing else. `parallel` partitions fetch at the same
+`windows` takes the place of `start` and `end` where they do not follow each other. A partition is one or more windows, so a lost task fetches its windows again and nothing else. `parallel` partitions fetch at the same
 time; 1, the default, keeps the pace that one client is allowed. With the option `status`, a URL that tells how many requests are used and
 allowed, a task waits before a window while the budget is nearly used up.
 """
@@ -110,12 +110,14 @@ class AreaReader(DataSourceReader):
         self.options = dict(options)
 
     def partitions(self) -> list[InputPartition]:
-        first, last = (date.fromisoformat(self.options[x]) for x in ("start", "end"))
-        days = int(self.options.get("days", DEFAULT.days_per_request))
-        number = max(0, math.ceil(((last - first).days + 1) / days))
-        begins = [first + timedelta(days=days * i) for i in range(number)]
-        items = [(b.isoformat(), min(days, (last - b).days + 1)) for b in begins]
-        parallel = max(1, min(int(self.options.get("parallel", 1)), number))
+        if "windows" in self.options:  # day:length of each, with commas between them
+            items = [(w.split(":")[0], int(w.split(":")[1])) for w in self.options["windows"].split(",") if w]
+        else:
+            first, last = (date.fromisoformat(self.options[x]) for x in ("start", "end"))
+            days = int(self.options.get("days", DEFAULT.days_per_request))
+            begins = [first + timedelta(days=days * i) for i in range(max(0, math.ceil(((last - first).days + 1) / days)))]
+            items = [(b.isoformat(), min(days, (last - b).days + 1)) for b in begins]
+        parallel = max(1, min(int(self.options.get("parallel", 1)), len(items)))
         return [Windows(items[i::parallel]) for i in range(parallel)]
 
     def read(self, partition: Windows) -> Iterator[tuple]:

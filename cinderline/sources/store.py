@@ -9,13 +9,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.graph import checkpoint
-from ..operators.ingest import upsert
+from ..operators.ingest import empty, upsert, whole_number
 from ..schema import EXCLUSIONS, RAW, WINDOW_LOG
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop))
+
+
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows of CSV files with a header, gzip or not. Texts that are no numbers are null."""
-    return spark.read.schema(RAW).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Raw rows of CSV files with a header, gzip or not. Texts that are no numbers are null; no file gives no row."""
+    if not _exists(spark, path):
+        return empty(spark)
+    given = spark.read.option("header", True).csv(path)
+    value = lambda f: whole_number(F.col(f.name)) if isinstance(f.dataType, T.IntegerType) else F.col(f.name).try_cast(f.dataType)
+    return given.select(*[(value(f) if f.name in given.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW])
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -24,15 +33,14 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet relation; a path that does not exist yet is an empty one."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.parquet(path)
 
 
 def write_raw(df: DataFrame, path: str) -> None:
-    """Rows by source and year; partitions that get no row stay as they are."""
-    laid = df.withColumn("year", F.year("acq_date")).repartition("source", "year").sortWithinPartitions("source", "year", "acq_date", "acq_time", "latitude", "longitude")
+    """Rows by source and year; partitions that get no row stay as they are. Tasks take ranges of days, so a large year is not one task."""
+    laid = df.withColumn("year", F.year("acq_date")).repartitionByRange("source", "year", "acq_date").sortWithinPartitions("source", "year", "acq_date", "acq_time", "latitude", "longitude")
     laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "year").parquet(path)
 
 
@@ -52,11 +60,11 @@ def upsert_raw(spark: SparkSession, path: str, source: str, new: DataFrame, repl
     merged = checkpoint(upsert(old, new.where(touched), replace))
     kept = old if replace is None else old.where(~F.col("acq_date").between(*replace))
     before, after = kept.count(), merged.count()
-    write_raw(merged, path)
     gone = years - {r[0] for r in merged.select(F.year("acq_date")).distinct().collect()}
-    for year in gone:  # a year that is left without rows
+    for year in gone:  # a year that is left without rows goes first: after a crash its days are not in the log and are fetched again
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/source={source}/year={year}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    write_raw(merged, path)
     return after - before
 
 
@@ -65,6 +73,9 @@ def read_window_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_window_log(rows: DataFrame, path: str) -> None:
+    """Adds rows to the log; no rows leave it as it is."""
+    if rows.isEmpty():
+        return
     rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WINDOW_LOG]).write.mode("append").parquet(path)
 
 
@@ -106,3 +117,13 @@ def write_sites(sites: DataFrame, folder: str) -> None:
 
 def write_table(df: DataFrame, path: str, *, compression: str = "none") -> None:
     df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
+
+
+def write_payload(payload: DataFrame, path: str) -> None:
+    """The one row of column `payload` as a text file."""
+    payload.select(F.col("payload").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A published table read again; one that was not written yet is empty."""
+    return spark.read.schema(schema).option("header", True).csv(path) if _exists(spark, path) else spark.createDataFrame([], schema)
