@@ -67,6 +67,13 @@ def _summed(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.add.reduceat(c, new) if len(h) else c
 
 
+def _counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and how often each one occurs."""
+    h = np.sort(h)
+    new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, dtype=np.int64)
+    return h[new], np.diff(np.concatenate([new, [len(h)]]))
+
+
 def _block(h: np.ndarray, c: np.ndarray, wide: int) -> bytes:
     """Hashes with `wide` of their bytes; counts as single bytes, those from 255 on apart."""
     large = c >= 255
@@ -89,7 +96,7 @@ def _emit(rows: list[tuple]) -> pd.DataFrame:
 
 def _parts(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order by part, what is left of the hashes, where each part starts)."""
-    p = (h % np.uint64(parts)).astype(np.int64)
+    p = (h % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)  # short numbers are sorted by their digits
     order = np.argsort(p, kind="stable")
     return order, h // np.uint64(parts), np.searchsorted(p[order], np.arange(parts + 1))
 
@@ -101,8 +108,7 @@ def _count(parts: int):
         for kind, wide in ((0, 8), (1, 6)):
             if not held[kind]:
                 continue
-            h = np.concatenate(held[kind])
-            h, c = _summed(h, np.ones(len(h), dtype=np.int64))
+            h, c = _counted(np.concatenate(held[kind]))
             order, rest, cuts = _parts(h, parts)
             rest, c = rest[order], c[order]
             if kind:
@@ -209,10 +215,12 @@ class Model:
     def shares(self, tokens: np.ndarray, less: int = 0, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts.
         before: the token before each one, if other than the one that stands there."""
-        before = contexts(tokens) if before is None else before
-        distinct, back = np.unique(np.concatenate([tokens, before]), return_inverse=True)
+        follows = before is None  # then all of them stand in `tokens` too, the end of a text among them
+        before = contexts(tokens) if follows else before
+        distinct, back = np.unique(tokens if follows else np.concatenate([tokens, before]), return_inverse=True)
         level = self.word_levels(distinct)[back]
-        own, around = LEAST[level[: len(tokens)]], level[len(tokens) :]
+        around = np.concatenate([self.word_levels(np.array([END])), level[:-1]]) if follows else level[len(tokens) :]
+        own = LEAST[level[: len(tokens)]]
         both = np.minimum(np.minimum(LEAST[self.pair_levels(pair(before, tokens))], own), LEAST[around])
         most = np.minimum(MOST[around], self.tokens)
         own, both, most = (np.maximum(x - less, 0) for x in (own, both, most))
