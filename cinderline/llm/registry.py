@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("op1_suffix_dedup", "op2_sharding", "op3_language", "op4_quality", "op5_decontamination", "op6_bpe", "op7_jaccard", "op8_lm", "op9_ann", "op10_toxicity", "op12_token_files", "op13_fim")
+MODULES = ("op1_suffix_dedup", "op2_sharding", "op3_language", "op4_quality", "op5_decontamination", "op6_bpe", "op7_jaccard", "op8_lm", "op9_ann", "op10_toxicity", "op11_spelling", "op12_token_files", "op13_fim")
 
 
 def queries() -> dict:
