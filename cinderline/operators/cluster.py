@@ -7,27 +7,29 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..functions.numbers import mean_rounded, scaled_round, sum_rounded
-from .geo import space_time_pairs
-from .graph import checkpoint, connected_components
-from .numbering import number_rows
+from .geo import cell_of, linked_cells
+from .graph import checkpoint, checkpoint_with, gathered, small, tiled_components
+from .numbering import dense_numbers, number_rows
+
+TILES = ["t0", "t1"]
 
 
 def ordered(points: DataFrame, order: list[Column]) -> DataFrame:
     """points with row_no, their place in (day, input order), and day, the number of the date."""
-    return checkpoint(number_rows(points.withColumn("day", F.unix_date("acq_date")), [F.col("day"), *order], "row_no"))
-
-
-def components(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """rows with component, the least row_no that pairs reach; a row without a pair is its own."""
-    found = connected_components(pairs, "a", "b").withColumnRenamed("node", "row_no")
-    return rows.join(found, "row_no", "left").withColumn("component", F.coalesce("component", "row_no"))
+    # written before they are numbered, since a partitioning by range reads its input twice
+    return number_rows(checkpoint(points.withColumn("day", F.unix_date("acq_date"))), [F.col("day"), *order], "row_no")
 
 
 def assign_events(rows: DataFrame, *, eps_m: float = DEFAULT.eps_m, gap_days: int = DEFAULT.gap_days) -> DataFrame:
-    """rows (see ordered) with event_id: 0, 1, ... in the order in which events first appear."""
-    placed = checkpoint(components(rows, space_time_pairs(rows, "row_no", eps_m=eps_m, gap_days=gap_days)))
-    labels = number_rows(placed.select("component").distinct(), [F.col("component")], "event_id")
-    return placed.join(labels, "component").drop("component")
+    """rows (see ordered) with event_id: 0, 1, ... in the order in which events first appear. A row with a null coordinate or date is
+    in no event: its event_id is null."""
+    cells, links = linked_cells(rows, "row_no", [(eps_m, gap_days)])
+    found = tiled_components(links, TILES)
+    placed, seen = checkpoint_with(cells.join(found, "node", "left").select("cx", "cy", "ct", F.coalesce("component", "node").alias("component")), F.count(F.lit(1)).alias("n"))
+    labels = dense_numbers(gathered(placed, seen["n"]).select("component").distinct(), "component", "event_id")
+    named = placed.join(labels, "component").select("cx", "cy", "ct", "event_id")
+    here = {c: at for c, at in zip(("_cx", "_cy", "_ct"), cell_of(eps_m, gap_days), strict=True)}
+    return rows.withColumns(here).join(small(named.toDF(*here, "event_id"), seen["n"]), list(here), "left").drop(*here)
 
 
 def summarise_events(det: DataFrame, *, frp_places: int = 2, coordinate_places: int = 5) -> DataFrame:
@@ -53,18 +55,45 @@ def summarise_events(det: DataFrame, *, frp_places: int = 2, coordinate_places:
     return out.withColumn("duration_days", F.date_diff("end_date", "start_date") + 1)
 
 
-def sensitivity(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """(eps_m, gap_days, year, events): events by the year of their first detection, for each pair of settings.
+def lattice(settings: list[tuple[float, int]]) -> list[int | None]:
+    """For each setting, in ascending order, the place of the widest earlier one that it contains; None for the first."""
+    below = [[k for k in range(i) if settings[k][0] <= e and settings[k][1] <= g] for i, (e, g) in enumerate(settings)]
+    return [max(b, key=lambda k: (settings[k][0], settings[k][1]), default=None) for b in below]
+
 
-    Pairs are found once, for the widest settings, and narrowed down for each of the others.
+def nested_components(rows: DataFrame, settings: list[tuple[float, int]]) -> list[DataFrame]:
+    """For each setting (eps_m, gap_days): (node, day, component) of groups of rows that are linked under all of them; node is the least
+    row_no of a group and day its first day.
+
+    What a setting links, wider ones link too. So each starts from the components of a narrower one, and only links that are new go
+    through the graph, between components and not rows.
     """
-    widest, longest = max(settings.sensitivity_eps_m), max(settings.sensitivity_gap_days)
-    pairs = checkpoint(space_time_pairs(rows, "row_no", eps_m=widest, gap_days=longest))
+    cells, links = linked_cells(rows, "row_no", settings)
+    tiles = cells.select(F.col("node").alias("component"), *TILES)
+    out: list[DataFrame] = []
+    for i, narrower in enumerate(lattice(settings)):
+        new = F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
+        if narrower is None:
+            held, edges = cells.select("node", "day", F.col("node").alias("component"), *TILES), links.where(new)
+        else:
+            held, edges = out[narrower], links.where(new & (F.col("mask").bitwiseAND(F.lit(1 << narrower)) == 0)).select("a", "b")
+            for end in ("a", "b"):
+                edges = edges.join(held.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"), *[F.col(t).alias(f"{t}{end}") for t in TILES]), end)
+            # a component lies in the tile of its least row
+            edges = edges.where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), *[F.when(F.col(f"{t}a") == F.col(f"{t}b"), F.col(f"{t}a")).alias(t) for t in TILES]).distinct()
+        found = tiled_components(edges, TILES)
+        onward = found.select(F.col("node").alias("component"), F.col("component").alias("_next"))
+        moved = held.drop(*TILES).join(onward, "component", "left").select("node", "day", F.coalesce("_next", "component").alias("component"))
+        out.append(checkpoint(moved.join(tiles, "component")))
+    return out
+
+
+def sensitivity(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """(eps_m, gap_days, year, events): events by the year of their first detection, for each pair of settings."""
+    pairs = [(e, g) for e in sorted(settings.sensitivity_eps_m) for g in sorted(settings.sensitivity_gap_days)]
     out = None
-    for eps in settings.sensitivity_eps_m:
-        for gap in settings.sensitivity_gap_days:
-            placed = components(rows, pairs.where((F.col("d2") <= eps * eps) & (F.col("days") <= gap)))
-            counted = placed.groupBy("component").agg(F.min(F.year("acq_date")).alias("year")).groupBy("year").agg(F.count("*").alias("events"))
-            counted = counted.select(F.lit(int(eps)).alias("eps_m"), F.lit(gap).alias("gap_days"), "year", "events")
-            out = counted if out is None else out.unionByName(counted)
+    for (eps, gap), held in zip(pairs, nested_components(rows, pairs), strict=True):
+        counted = held.groupBy("component").agg(F.year(F.date_from_unix_date(F.min("day"))).alias("year")).groupBy("year").agg(F.count("*").alias("events"))
+        counted = counted.select(F.lit(int(eps)).alias("eps_m"), F.lit(gap).alias("gap_days"), "year", "events")
+        out = counted if out is None else out.unionByName(counted)
     return out

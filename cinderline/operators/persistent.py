@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Settings
 from ..functions.numbers import scaled_round, units
 from .geo import cell, nearest_place
-from .graph import connected_components
+from .graph import checkpoint_with, gathered, tiled_components
 
 UNNAMED = "unnamed persistent heat source"
 
@@ -37,14 +37,21 @@ def site_radius(n_cells: Column, settings: Settings = DEFAULT) -> Column:
     return F.greatest(F.lit(settings.least_radius_m), F.rint(F.sqrt(n_cells) * (settings.grid_m * 0.75) / 100.0) * 100.0).cast("int")
 
 
-def merge_cells(cells: DataFrame) -> DataFrame:
-    """cells with site: cells that touch, at corners too, are one."""
-    key = F.col("cx") * (1 << 32) + F.col("cy")
+def merge_cells(cells: DataFrame, *, tiles: tuple[int, ...] = (64, 1024), at_once: int = 200_000) -> DataFrame:
+    """cells with site: cells that touch, at corners too, are one. tiles: sides of the tiles that components are contracted in, where
+    there are more than at_once pairs."""
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((1, -1), (1, 0), (1, 1), (0, 1))]))
-    keyed = cells.withColumn("id", key)
-    asks = keyed.select(F.col("id").alias("a"), "cx", "cy", near.alias("s")).select("a", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
-    pairs = asks.join(keyed.select("cx", "cy", F.col("id").alias("b")), ["cx", "cy"]).select("a", "b")
-    sites = connected_components(pairs, "a", "b").withColumnRenamed("node", "id")
+    keyed, seen = checkpoint_with(cells.withColumn("id", F.col("cx") * (1 << 32) + F.col("cy")), F.count(F.lit(1)).alias("n"))
+    keyed = gathered(keyed, seen["n"], 20_000)
+    asks = keyed.select(F.col("id").alias("a"), "cx", "cy", near.alias("s")).select("a", F.col("cx").alias("x"), F.col("cy").alias("y"), (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
+
+    def tile(size: int) -> Column:
+        own, other = ([F.floor(F.col(c) / size) for c in pair] for pair in (("cx", "cy"), ("x", "y")))
+        return F.when(F.array(*own) == F.array(*other), F.xxhash64(*own))
+
+    marks = {f"t{i}": tile(s) for i, s in enumerate(tiles)}
+    pairs = asks.join(keyed.select("cx", "cy", F.col("id").alias("b")), ["cx", "cy"]).withColumns(marks).select("a", "b", *marks)
+    sites = tiled_components(pairs, [*marks], at_once=at_once).withColumnRenamed("node", "id")
     return keyed.join(sites, "id", "left").withColumn("site", F.coalesce("component", "id")).drop("id", "component")
 
 

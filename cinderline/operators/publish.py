@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from ..config import DEFAULT, SHOWN_SATELLITES, Settings
 from .aggregate import cumulative_long, same_period_stats
+from .graph import checkpoint
+from .numbering import number_rows
 
 
 def _strict(c: Column, kind: T.DataType) -> Column:
@@ -44,6 +46,38 @@ def records(df: DataFrame, order: list[str]) -> DataFrame:
     return held.select(F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}).alias("payload"))
 
 
+def _runs(df: DataFrame, order: list[str], rows_a_piece: int) -> DataFrame:
+    """(run, rows): the rows in order, in runs of at most so many, as sorted arrays of structs (place, row)."""
+    placed = number_rows(checkpoint(strict(df)), [F.col(c) for c in order], "_place")
+    row = F.struct("_place", F.struct(*df.columns).alias("row"))
+    return placed.groupBy(F.floor(F.col("_place") / rows_a_piece).alias("run")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+
+
+def _bare(json: Column) -> Column:
+    """What stands between the brackets of a JSON array."""
+    return F.substr(json, F.lit(2), F.length(json) - 2)
+
+
+def columnar_pieces(df: DataFrame, order: list[str], *, rows_a_piece: int = 20_000) -> DataFrame:
+    """The payload of `columnar` in pieces (at, place, payload), for tables of any size: no row holds more than rows_a_piece values.
+    The order should be total."""
+    runs = _runs(df, order, rows_a_piece)
+    out = None
+    for i, c in enumerate(df.columns):
+        values = _bare(F.to_json(F.transform("rows", lambda r: r["row"][c]), {"ignoreNullFields": "false"}))  # noqa: B023
+        part = runs.select(F.lit(2 * i + 1).alias("at"), F.col("run").alias("place"), F.concat(F.when(F.col("run") > 0, ",").otherwise(""), values).alias("payload"))
+        out = part if out is None else out.unionByName(part)
+    marks = [(2 * i, ("{" if not i else "],") + f'"{c}":[') for i, c in enumerate(df.columns)] + [(2 * len(df.columns), "]}" if df.columns else "{}")]
+    return out.unionByName(df.sparkSession.createDataFrame([(at, 0, text) for at, text in marks], "at int, place bigint, payload string"))
+
+
+def record_pieces(df: DataFrame, order: list[str], *, rows_a_piece: int = 20_000) -> DataFrame:
+    """The payload of `records` in pieces (at, place, payload), for tables of any size. The order should be total."""
+    objects = _bare(F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}))
+    parts = _runs(df, order, rows_a_piece).select(F.lit(1).alias("at"), F.col("run").alias("place"), F.concat(F.when(F.col("run") > 0, ",").otherwise(""), objects).alias("payload"))
+    return parts.unionByName(df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "at int, place bigint, payload string"))
+
+
 def latest_by_product(raw: DataFrame) -> DataFrame:
     """(sat, sp_max_date, nrt_max_date) of the satellites that are shown."""
     when = lambda p: F.max(F.when(F.col("product") == p, F.col("acq_date")))

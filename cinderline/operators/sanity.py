@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .geo import around, cell, planar_km
+from .geo import around_cell, grid_cell, nearest_place, planar_km
 
 
 def episode_check(events: DataFrame, episodes: DataFrame, *, within_km: float = 8.0) -> DataFrame:
@@ -15,9 +15,9 @@ def episode_check(events: DataFrame, episodes: DataFrame, *, within_km: float =
 
     Episodes come first in the join: one without an event has 0 and nulls. Distance is planar about the event.
     """
-    size = within_km / 111.2
-    laid = episodes.select("*", around(F.col("lat"), size, F.lit(size)).alias("_band"))
-    near = laid.join(events.withColumn("_band", cell(F.col("centroid_lat"), size)), "_band")
+    laid = around_cell(episodes, "lat", "lon", within_km, ("_band", "_column"))
+    band, column = grid_cell(F.col("centroid_lat"), F.col("centroid_lon"), within_km)
+    near = laid.join(events.withColumn("_band", band).withColumn("_column", column), ["_band", "_column"])
     near = near.where((planar_km(F.col("centroid_lat"), F.col("centroid_lon"), F.col("lat"), F.col("lon")) < within_km) & (F.col("end_date") >= F.col("first")) & (F.col("start_date") <= F.col("last")))
     largest = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("n_detections"), "event_id"))
     counted = near.withColumn("n_events", F.count("*").over(Window.partitionBy("name"))).withColumn("_place", largest).where("_place = 1")
@@ -25,17 +25,13 @@ def episode_check(events: DataFrame, episodes: DataFrame, *, within_km: float =
     return out.select("name", F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events"), "event_id", "n_detections", "start_date", "end_date", "duration_days", "max_frp", (F.coalesce("n_events", F.lit(0)) > 0).alias("ok"))
 
 
-def proximity_check(places: DataFrame, sites: DataFrame, *, must_km: float = 4.0, must_not_km: float = 3.0, widest_km: float = 50.0) -> DataFrame:
-    """For each place (name, lat, lon, industrial) the nearest site (name, lat, lon) within widest_km, and whether that is as it
-    should be: an industrial place has one less than must_km away, another place none less than must_not_km away."""
-    size = widest_km / 111.2
-    laid = places.select("*", around(F.col("lat"), size, F.lit(size)).alias("_band"))
-    held = sites.select(F.col("name").alias("site"), F.col("lat").alias("site_lat"), F.col("lon").alias("site_lon"), cell(F.col("lat"), size).alias("_band"))
-    km = planar_km(F.col("site_lat"), F.col("site_lon"), F.col("lat"), F.col("lon"))
-    near = laid.join(held, "_band").withColumn("km", km).where(F.col("km") < widest_km).groupBy("name").agg(F.min(F.struct("km", "site")).alias("best"))
-    out = places.join(near, "name", "left")
-    d = F.coalesce("best.km", F.lit(float("inf")))
-    return out.select("name", "industrial", F.col("best.site").alias("site"), (F.rint(F.col("best.km") * 1000.0) / 1000.0).alias("km"), F.when(F.col("industrial"), d < must_km).otherwise(d >= must_not_km).alias("ok"))
+def proximity_check(places: DataFrame, sites: DataFrame, *, must_km: float = 4.0, must_not_km: float = 3.0, widest_km: float | None = None) -> DataFrame:
+    """For each place (name, lat, lon, industrial) the nearest site (name, lat, lon), within widest_km where that is given, and whether
+    that is as it should be: an industrial place has one less than must_km away, another place none less than must_not_km away."""
+    held = sites.select(F.col("name").alias("ord"), "name", "lat", "lon")  # of sites at one distance, the first by name
+    near = nearest_place(places, held, "lat", "lon", within_km=widest_km, otherwise=None, about_place=True)
+    d = F.coalesce("place_km", F.lit(float("inf")))
+    return near.select("name", "industrial", F.col("place").alias("site"), (F.rint(F.col("place_km") * 1000.0) / 1000.0).alias("km"), F.when(F.col("industrial"), d < must_km).otherwise(d >= must_not_km).alias("ok"))
 
 
 def season_totals(daily: DataFrame, months: tuple[int, ...], year: int, column: str = "new_events") -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, SOURCES, Settings
 from ..functions.grid import to_grid
-from ..operators import aggregate, cluster, filters, geo, ingest, persistent, publish
+from ..operators import aggregate, cluster, filters, geo, ingest, persistent, publish, sanity
 from ..operators.graph import checkpoint
 from ..sources import area_api, store
 
 # rows of one source, as the API answers them, for windows of (first day, number of days)
 Fetch = Callable[[str, list[tuple[date, int]]], DataFrame]
+EPISODES = "name string, lat double, lon double, first date, last date"
+PLACES = "name string, lat double, lon double, industrial boolean"
 SENSITIVITY = "eps_m int, gap_days int, year int, events bigint"
 
 
@@ -129,14 +131,16 @@ def build(spark: SparkSession, path: str, log_path: str, out: str, sides: DataFr
     store.write_table(det.select(*published), f"{out}/detections_filtered", compression="gzip")
     for name, table in tables.items():
         store.write_table(table, f"{out}/{name}")
+    for name in ("daily", "events"):  # copies to be downloaded from the page
+        store.write_csv_file(tables[name], f"{out}/site/{name}.csv")
 
     light = events.select(F.col("event_id").alias("id"), F.col("start_date").alias("start"), F.col("end_date").alias("end"), F.col("centroid_lat").alias("lat"), F.col("centroid_lon").alias("lon"), F.col("n_detections").alias("n"), F.col("n_days_detected").alias("days"), "max_frp", "sum_frp")
     recent = publish.recent_detections(det, last, settings.recent_days).toDF("date", "time", "lat", "lon", "frp", "conf", "sat", "night", "event")
     counts = store.read_table(spark, f"{out}/clustering_sensitivity", SENSITIVITY)
     payloads = {
         "daily": publish.columnar(daily.withColumnRenamed("date", "dates"), ["dates"]),
-        "events_all": publish.columnar(light, ["start", "id"]),
-        "detections_recent": publish.columnar(recent, ["date", "time", "event", "lat", "lon", "sat"]),
+        "events_all": publish.columnar_pieces(light, ["start", "id"]),
+        "detections_recent": publish.columnar_pieces(recent, ["date", "time", "event", "lat", "lon", "sat"]),
         "annual": publish.records(annual, ["year"]),
         "monthly": publish.records(monthly, ["year", "month"]),
         "cumulative": publish.cumulative(daily),
@@ -147,3 +151,38 @@ def build(spark: SparkSession, path: str, log_path: str, out: str, sides: DataFr
     for name, payload in payloads.items():
         store.write_payload(payload, f"{out}/site/{name}.json")
     return {"detections_filtered": det.select(*published), **tables}
+
+
+def import_raw(spark: SparkSession, path: str, source: str, files: str) -> int:
+    """Takes raw rows of an archive of CSV files, plain or gzip, with a header, into the store; rows added. `files` may hold wildcards.
+    Rows of any source but the one named are left out; files that do not name theirs are taken to be of it."""
+    rows = store.read_raw_csv(spark, files)
+    named = rows.where(F.coalesce(F.col("source"), F.lit(source)) == source)
+    return store.upsert_raw(spark, path, source, checkpoint(ingest.normalise(named, source)))
+
+
+def check(spark: SparkSession, out: str, exclusions: DataFrame, episodes: DataFrame, places: DataFrame, days: list[date], months: tuple[int, ...] = (3, 4)) -> DataFrame:
+    """(topic, name, status, detail) of checks of the published tables, which are read again: each episode (see EPISODES) has an event,
+    industrial places (see PLACES) have an excluded site and others none, what the given days look like, how many events began in
+    each year, and how the months of the last year compare with those of earlier ones.
+
+    status: PASS or FAIL for episodes and places, WARN for a season below the mean, INFO for figures.
+    """
+    events = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/events")
+    daily = spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/daily").withColumn("date", F.to_date("date"))
+    said = lambda topic, name, status, text: (F.lit(topic).alias("topic"), name.alias("name"), status.alias("status"), text.alias("detail"))
+    passed = F.when(F.col("ok"), "PASS").otherwise("FAIL")
+    found = sanity.episode_check(events, episodes)
+    parts = [found.select(*said("episode", F.col("name"), passed, F.when(F.col("ok"), F.format_string("%d events, the largest with %d detections, %s to %s, most power %s", "n_events", "n_detections", F.col("start_date").cast("string"), F.col("end_date").cast("string"), F.col("max_frp").cast("string"))).otherwise("no event")))]
+    near = sanity.proximity_check(places, exclusions)
+    parts.append(near.select(*said("place", F.col("name"), passed, F.coalesce(F.concat(F.col("site"), F.lit(", "), F.col("km").cast("string"), F.lit(" km")), F.lit("no site")))))
+    shown = sanity.notable_days(daily, days)
+    parts.append(shown.select(*said("day", F.col("date").cast("string"), F.lit("INFO"), F.format_string("%d detections, %d active events, mean of seven days %s", "detections", "active_events", F.col("active_events_7d").cast("string")))))
+    parts.append(daily.groupBy(F.year("date").cast("string").alias("year")).agg(F.sum("new_events").alias("n")).select(*said("year", F.col("year"), F.lit("INFO"), F.concat(F.col("n").cast("string"), F.lit(" events began")))))
+    last = daily.agg(F.max(F.year("date"))).first()[0]
+    season = sanity.season_totals(daily, months, last or 0)
+    parts.append(season.select(*said("season", F.lit(str(last)), F.when(F.col("total") < F.col("prior_mean"), "WARN").otherwise("INFO"), F.concat(F.col("total").cast("string"), F.lit(" events began, mean of earlier years "), F.coalesce(F.col("prior_mean").cast("string"), F.lit("unknown"))))))
+    everything = parts[0]
+    for p in parts[1:]:
+        everything = everything.unionByName(p)
+    return everything

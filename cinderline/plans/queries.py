@@ -361,7 +361,7 @@ _CUSTOMERS = "SELECT c_custkey AS name, 50e0 + (c_custkey % 67) * 6e-2 AS lat, -
 def proximity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = spark.sql(_CUSTOMERS, customer=spark.read.parquet(f"{sf_dir}/customer.parquet"))
     sites = fx.exclusions(spark).select("name", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
-    return sanity.proximity_check(places, sites)
+    return sanity.proximity_check(places, sites, widest_km=50.0)
 
 
 _SWEEP = " UNION ALL ".join(f"SELECT {e} AS eps_m, {g} AS gap_days, yr AS year, count(*) AS events FROM (SELECT c, min(CAST(year(acq_date) AS INT)) AS yr FROM (SELECT node, min(seen) AS c FROM r{e}_{g} GROUP BY 1) JOIN det ON det.row_no = node GROUP BY 1) GROUP BY 3" for e in (1000, 1500, 2000) for g in (1, 2, 3))

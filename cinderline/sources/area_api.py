@@ -4,9 +4,11 @@
     spark.read.format("detections_area").options(url="https://.../{key}/{source}/{bbox}/{days}/{date}", key=..., source=...,
                                                  start="2024-01-01", end="2024-01-31", bbox="...").load()
 
-`windows` takes the place of `start` and `end` where they do not follow each other. A partition is one or more windows, so a lost task fetches its windows again and nothing else. `parallel` partitions fetch at the same
-time; 1, the default, keeps the pace that one client is allowed. With the option `status`, a URL that tells how many requests are used and
-allowed, a task waits before a window while the budget is nearly used up.
+`windows` takes the place of `start` and `end` where they do not follow each other. A partition is one or more windows, so a lost task
+fetches its windows again and nothing else. `parallel` partitions, 1 by default, share the pace that one client is allowed: each waits
+`parallel` times `pace` seconds between its requests, and begins in its turn. They share one budget of requests too, which the API itself
+counts: with the option `status`, a URL that tells how many are used and allowed, a task asks before its first window and then once in
+`status_every` windows of all partitions together, and waits while the budget is nearly used up. A wait that has no end is an error.
 """
 
 from __future__ import annotations
@@ -76,10 +78,14 @@ def budget(url: str, get: Get = http_get) -> tuple[int, int] | None:
         return None
 
 
-def hold_back(url: str, *, get: Get = http_get, sleep: Callable[[float], None] = time.sleep, share: float = 0.9, pause: float = 60.0) -> None:
+def hold_back(url: str, *, get: Get = http_get, sleep: Callable[[float], None] = time.sleep, share: float = 0.9, pause: float = 60.0, most_pauses: int = 60) -> None:
     """Returns when at most `share` of the allowed requests are used, or their number is not to be had."""
-    while (told := budget(url, get)) and told[0] > share * told[1]:
+    for _ in range(most_pauses + 1):
+        told = budget(url, get)
+        if not told or told[0] <= share * told[1]:
+            return
         sleep(pause)
+    raise ApiError(f"{told[0]} of {told[1]} requests are still used after {most_pauses} pauses of {pause} seconds")
 
 
 def parse(body: str) -> list[tuple]:
@@ -98,11 +104,11 @@ def availability(spark: SparkSession, url: str, key: str = "", get: Get = http_g
 
 
 class Windows(InputPartition):
-    """(first day, number of days) of the windows that a task fetches."""
+    """(first day, number of days) of the windows that a task fetches; its turn among the partitions, and how many they are."""
 
-    def __init__(self, items: list[tuple[str, int]]):
-        super().__init__(0)
-        self.items = items
+    def __init__(self, items: list[tuple[str, int]], turn: int = 0, of: int = 1):
+        super().__init__(turn)
+        self.items, self.turn, self.of = items, turn, of
 
 
 class AreaReader(DataSourceReader):
@@ -118,16 +124,17 @@ class AreaReader(DataSourceReader):
             begins = [first + timedelta(days=days * i) for i in range(max(0, math.ceil(((last - first).days + 1) / days)))]
             items = [(b.isoformat(), min(days, (last - b).days + 1)) for b in begins]
         parallel = max(1, min(int(self.options.get("parallel", 1)), len(items)))
-        return [Windows(items[i::parallel]) for i in range(parallel)]
+        return [Windows(items[i::parallel], i, parallel) for i in range(parallel)]
 
     def read(self, partition: Windows) -> Iterator[tuple]:
         o = self.options
-        key = o.get("key", "")
-        for day, n in partition.items:
-            if "status" in o:
-                hold_back(o["status"].format(key=key))
+        key, pace = o.get("key", ""), float(o.get("pace", DEFAULT.request_interval_s))
+        every = max(1, int(o.get("status_every", 20)) // partition.of)
+        for i, (day, n) in enumerate(partition.items):
+            time.sleep(pace * (partition.of if i else partition.turn))
+            if "status" in o and i % every == 0:
+                hold_back(o["status"].format(key=key), pause=float(o.get("pause", 60)))
             yield from parse(fetch(o["url"].format(key=key, source=o["source"], bbox=o.get("bbox", ""), days=n, date=day), key))
-            time.sleep(float(o.get("pace", DEFAULT.request_interval_s)))
 
 
 class AreaSource(DataSource):

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import asdict, dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.graph import checkpoint
-from ..operators.ingest import empty, upsert, whole_number
-from ..schema import EXCLUSIONS, RAW, WINDOW_LOG
+from ..operators.ingest import empty, keep_first, whole_number
+from ..schema import DEDUP_KEY, EXCLUSIONS, RAW, WINDOW_LOG
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -27,45 +31,162 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return given.select(*[(value(f) if f.name in given.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in RAW])
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RAW).drop("year")
+# ---- the store of raw rows: folders of rows, and a list of those that hold
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet relation; a path that does not exist yet is an empty one."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(path)
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+@dataclass(frozen=True)
+class Commit:
+    """One addition to the store: a folder of rows, and the days of sources whose older rows no longer hold."""
+
+    folder: str  # commit=<number>-<a random name>
+    source: str
+    years: tuple[int, ...]
+    rows: int
+    hides: tuple[tuple[str, str, str], ...] = ()  # (source, first day, last day)
+
+    @property
+    def number(self) -> int:
+        return int(self.folder.split("=")[1].split("-")[0])
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, folder = _fs(spark, f"{path}/versions")
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(folder) if f.getPath().getName().isdigit()) if fs.exists(folder) else []
+
+
+def commits(spark: SparkSession, path: str) -> tuple[int, list[Commit]]:
+    """(number of the last version, what it holds, oldest first); a store that is not there yet has version 0."""
+    known = _versions(spark, path)
+    if not known:
+        return 0, []
+    # a small file: a line for each commit since the last compaction
+    lines = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(_fs(spark, path)[0].open(_fs(spark, f"{path}/versions/{known[-1]:010d}")[1]), "UTF-8")
+    return known[-1], [Commit(x["folder"], x["source"], tuple(x["years"]), x["rows"], tuple(map(tuple, x["hides"]))) for x in map(json.loads, lines.splitlines())]
+
+
+class Conflict(RuntimeError):
+    """Another writer has published a version meanwhile."""
+
+
+def publish(spark: SparkSession, path: str, version: int, held: list[Commit]) -> None:
+    """Makes `held` the content of the store, as the version after `version`: readers see all of it from then on, and nothing of it before.
+    The file is written under another name first; its new name is given once, so of two writers one fails."""
+    text = "".join(json.dumps(asdict(c)) + "\n" for c in held)
+    fs, made = _fs(spark, f"{path}/versions/.{uuid.uuid4().hex}")
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{version + 1:010d}")
+    out = fs.create(made, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(made, final):
+        fs.delete(made, False)
+        raise Conflict(f"version {version + 1} of {path} is there already")
+
 
+def _hidden(held: list[Commit]) -> Column:
+    """A row of an older commit on days that a later one hides."""
+    gone = F.lit(False)
+    for c in held:
+        for source, first, last in c.hides:
+            gone = gone | ((F.col("_number") < c.number) & (F.col("source") == source) & F.col("acq_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    return gone
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Rows by source and year; partitions that get no row stay as they are. Tasks take ranges of days, so a large year is not one task."""
+
+def _rows(spark: SparkSession, path: str, held: list[Commit], where: Column | None = None) -> DataFrame:
+    """Rows of the raw schema that hold: one scan of the commits' folders, without a shuffle."""
+    folders = [f"{path}/rows/{c.folder}" for c in held if c.rows]
+    if not folders:
+        return spark.createDataFrame([], RAW)
+    stored = T.StructType([*RAW.fields, T.StructField("commit", T.StringType()), T.StructField("year", T.IntegerType())])
+    rows = spark.read.schema(stored).option("basePath", f"{path}/rows").parquet(*folders)
+    if where is not None:
+        rows = rows.where(where)
+    rows = rows.withColumn("_number", F.split("commit", "-")[0].cast("int"))
+    return rows.where(~_hidden(held)).select(*[f.name for f in RAW])
+
+
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """What the last version holds. A store that is not there yet is an empty one."""
+    return _rows(spark, path, commits(spark, path)[1])
+
+
+def _write_rows(df: DataFrame, path: str, number: int) -> str:
+    """Rows by source and year in a folder of their own; its name. Tasks take ranges of days, so a large year is not one task."""
+    folder = f"commit={number}-{uuid.uuid4().hex[:8]}"
     laid = df.withColumn("year", F.year("acq_date")).repartitionByRange("source", "year", "acq_date").sortWithinPartitions("source", "year", "acq_date", "acq_time", "latitude", "longitude")
-    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "year").parquet(path)
+    laid.write.partitionBy("source", "year").parquet(f"{path}/rows/{folder}")
+    return folder
 
 
-def upsert_raw(spark: SparkSession, path: str, source: str, new: DataFrame, replace: tuple[date, date] | None = None) -> int:
-    """Merges rows of one source into the store, reading and writing only the years they touch; how many rows were added.
+def upsert_raw(spark: SparkSession, path: str, source: str, new: DataFrame, replace: tuple[date, date] | None = None, *, most_commits: int = 40) -> int:
+    """Merges rows of one source into the store; how many rows were added.
 
-    Days to be replaced lose their old rows first. What a year holds afterwards is fixed before it is written.
+    Days to be replaced lose their old rows first. Then rows are added whose key is not there yet, once each. Only these rows are
+    written: older ones stay where they are, and those that no longer hold are hidden from the version on that this publishes last. A job
+    that is lost before that leaves the store as it was. Of two writers at a time one gets a Conflict, and may try again.
+    Rows without a day are left out. Beyond most_commits the store is compacted.
     """
-    years = {r[0] for r in new.select(F.year("acq_date")).distinct().collect() if r[0] is not None}
+    version, held = commits(spark, path)
+    new = checkpoint(keep_first(new.where((F.col("source") == source) & F.col("acq_date").isNotNull()).select(*[f.name for f in RAW]), DEDUP_KEY, [F.asc_nulls_last("frp")]))
+    years = tuple(sorted(r[0] for r in new.select(F.year("acq_date")).distinct().collect()))
+    hides = ((source, replace[0].isoformat(), replace[1].isoformat()),) if replace else ()
+    if not years and not hides:
+        return 0
+    old = _rows(spark, path, held, (F.col("source") == source) & F.col("year").isin(*years)) if years else spark.createDataFrame([], RAW)
     if replace:
-        years |= set(range(replace[0].year, replace[1].year + 1))
-    if not years:
+        old = old.where(~F.col("acq_date").between(*replace))
+    keys = old.select(*[F.col(c).alias(f"_{c}") for c in DEDUP_KEY])
+    same = reduce(lambda a, b: a & b, [new[c].eqNullSafe(keys[f"_{c}"]) for c in DEDUP_KEY])
+    added = checkpoint(new.join(keys, same, "left_anti"))
+    n = added.count()
+    if not n and not hides:
         return 0
-    touched = (F.col("source") == source) & F.year("acq_date").isin(*years)
-    old = _read(spark, path, T.StructType([*RAW.fields, T.StructField("year", T.IntegerType())])).where((F.col("source") == source) & F.col("year").isin(*years)).select(*[f.name for f in RAW])
-    old = checkpoint(old)
-    merged = checkpoint(upsert(old, new.where(touched), replace))
-    kept = old if replace is None else old.where(~F.col("acq_date").between(*replace))
-    before, after = kept.count(), merged.count()
-    gone = years - {r[0] for r in merged.select(F.year("acq_date")).distinct().collect()}
-    for year in gone:  # a year that is left without rows goes first: after a crash its days are not in the log and are fetched again
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/source={source}/year={year}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    write_raw(merged, path)
-    return after - before
+    folder = _write_rows(added, path, version + 1) if n else f"commit={version + 1}-none"
+    publish(spark, path, version, [*held, Commit(folder, source, years, n, hides)])
+    if len(held) + 1 > most_commits:
+        compact(spark, path)
+    return n
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Writes the rows that hold into one folder, and publishes it as all there is. Folders of older versions stay for their readers until
+    `vacuum`."""
+    version, held = commits(spark, path)
+    if len(held) < 2:
+        return
+    folder = _write_rows(_rows(spark, path, held), path, version + 1)
+    written = Commit(folder, "", (), 1)
+    n = _rows(spark, path, [written]).count()  # from the footers
+    years = tuple(sorted({y for c in held for y in c.years}))
+    publish(spark, path, version, [Commit(folder, "", years, n)] if n else [])
+
+
+def vacuum(spark: SparkSession, path: str, *, versions: int = 2) -> list[str]:
+    """Drops all but the last versions, and the folders that none of them names; the names of those. Not while a writer is at work,
+    whose folder no version names yet."""
+    known = _versions(spark, path)
+    fs, rows = _fs(spark, f"{path}/rows")
+    named = set()
+    for v in known[-versions:]:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(_fs(spark, f"{path}/versions/{v:010d}")[1]), "UTF-8")
+        named |= {json.loads(line)["folder"] for line in text.splitlines()}
+    for v in known[:-versions]:
+        fs.delete(_fs(spark, f"{path}/versions/{v:010d}")[1], False)
+    gone = sorted(f.getPath().getName() for f in fs.listStatus(rows) if f.getPath().getName() not in named) if fs.exists(rows) else []
+    for name in gone:
+        fs.delete(_fs(spark, f"{path}/rows/{name}")[1], True)
+    return gone
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet relation; a path that does not exist yet is an empty one."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(path)
 
 
 def read_window_log(spark: SparkSession, path: str) -> DataFrame:
@@ -115,13 +236,41 @@ def write_sites(sites: DataFrame, folder: str) -> None:
     sites.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/persistent_sources_review")
 
 
+def _joined(spark: SparkSession, folder: str, path: str) -> None:
+    """One file of the part files of a folder, in their order, in place of the folder. Bytes are copied as a stream; the file has its name
+    only when it is whole."""
+    fs, parts = _fs(spark, folder)
+    names = sorted(f.getPath().toString() for f in fs.listStatus(parts) if f.getPath().getName().startswith("part-") and f.getLen() > 0)
+    made, final = (_fs(spark, p)[1] for p in (f"{path}.{uuid.uuid4().hex}", path))
+    out = fs.create(made, False)
+    for name in names:
+        part = fs.open(spark._jvm.org.apache.hadoop.fs.Path(name))
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+        part.close()
+    out.close()
+    fs.delete(final, True)
+    if not fs.rename(made, final):
+        raise OSError(f"{path} could not be written")
+    fs.delete(parts, True)
+
+
 def write_table(df: DataFrame, path: str, *, compression: str = "none") -> None:
     df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
 
 
-def write_payload(payload: DataFrame, path: str) -> None:
-    """The one row of column `payload` as a text file."""
-    payload.select(F.col("payload").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+def write_csv_file(df: DataFrame, path: str) -> None:
+    """A published table as one CSV file by name, in the order of its rows."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}.parts")
+    _joined(df.sparkSession, f"{path}.parts", path)
+
+
+def write_payload(pieces: DataFrame, path: str) -> None:
+    """One JSON file by name, of rows (at, place, payload) that make it up in the order of (at, place), or of one row `payload`."""
+    if "at" in pieces.columns:
+        pieces = pieces.repartitionByRange("at", "place").sortWithinPartitions("at", "place")
+    # pieces have blanks between them, which JSON allows
+    pieces.select(F.col("payload").alias("value")).write.mode("overwrite").option("lineSep", " ").text(f"{path}.parts")
+    _joined(pieces.sparkSession, f"{path}.parts", path)
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
