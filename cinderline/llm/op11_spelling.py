@@ -251,5 +251,19 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(checkpoint(words.where("n >= 2")))
 
 
+_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x) // 2 + 1), lambda i: ('0x' || substr(x, 2 * i - 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+_SQL = f"""WITH RECURSIVE
+ runs AS (SELECT CAST(doc_id AS VARCHAR) AS d, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
+ held AS MATERIALIZED (SELECT d, translate(w, '{UPPER}', '{UPPER.lower()}') AS w, count(*) AS k FROM runs WHERE length(w) >= 7 GROUP BY ALL),
+ crcs AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(i))),
+ hashed AS (SELECT w, k, {_CRC} AS h FROM (SELECT *, hex(encode(d || ':' || w)) AS x FROM held), crcs),
+ words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k, CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word FROM hashed) WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
+ less AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS r FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+ near AS (SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.i = b.i AND a.r = b.r AND a.word <> b.word UNION SELECT l.word, w.word FROM less l JOIN words w ON l.r = w.word UNION SELECT w.word, l.word FROM less l JOIN words w ON l.r = w.word),
+ best AS (SELECT a, count(*) AS n_near, max(w.n) AS top, arg_min(b, (-w.n, b)) AS b FROM near JOIN words w ON w.word = b GROUP BY a),
+ forms AS MATERIALIZED (SELECT w.word, CASE WHEN top >= 10 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * n THEN top END AS form_n FROM words w LEFT JOIN best ON a = w.word),
+ steps AS (SELECT word, word AS at FROM forms UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN steps s ON s.word = f.word JOIN forms e ON e.word = s.at AND e.form IS NULL"""
+
 QUERIES = {"op11_spelling": op11_spelling}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_spelling": _SQL}

@@ -247,7 +247,7 @@ def files(spark: SparkSession, folder: str) -> DataFrame:
     """The files of a folder: their content, the fields of their headers, and `before`, the number of ids in all files before each."""
     held = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).where("length > 0")
     fields = F.split(F.trim(F.substring("content", 1, HEADER).cast("string")), " ")
-    held = held.select("content", *[fields[i + 1].cast("bigint").alias(f) for i, f in enumerate(FIELDS)])
+    held = held.select("content", *[fields[i + 1].cast("decimal(20,0)" if f == "key_range" else "bigint").alias(f) for i, f in enumerate(FIELDS)])
     # sums of the parts, of which there are no more than shuffle partitions; then within each part
     heads = held.select("part", "seq", "ids")
     parts = heads.groupBy("part").agg(F.sum("ids").alias("n"))
