@@ -64,20 +64,23 @@ def pieces(frames: Iterator[pd.DataFrame], text: str, most: int = 1_500_000) ->
 def keyed(df: DataFrame, key: str, text: str, *, whole: bool = False) -> DataFrame:
     """(d, r, t, and with `whole` the row as a struct): a document's place (d, r) in the order of documents, and its text.
 
-    d is the key and r is 0 where keys are unique and none is null. Otherwise rows of one key count as documents of their own, in
-    the order of their texts; rows of null keys come first and have r < 0, so no value of a key is taken for null.
+    d is the key and r is 0 where a key is unique. Rows of one key count as documents of their own, in the order of their texts; rows of
+    null keys come first and have r < 0, so no value of a key is taken for null. Only rows of null and repeated keys are sorted for
+    this; equal ones among them are told apart by where they were read, so no task holds all rows of a key, even if all are equal.
     """
     short_batches(df.sparkSession)
     columns = [F.col(f"`{key}`").cast("bigint").alias("d"), F.col(f"`{text}`").alias("t"), *([F.struct("*").alias("row")] if whole else [])]
     seen = df.agg(F.count("*").alias("n"), F.count_distinct(F.col(f"`{key}`")).alias("k")).first()
     df = df.select(*columns)
     rest = ["t", "row"] if whole else ["t"]
+    known = F.coalesce("d", F.lit(-(1 << 63))).alias("d")  # never null, as Spark can see: so inner and left joins read the same rows
     if seen["n"] == seen["k"]:
-        # never null, as Spark can see: so inner and left joins read the same rows, and share a shuffle of them
-        return df.select(F.coalesce("d", F.lit(-(1 << 63))).alias("d"), F.lit(0).cast("bigint").alias("r"), *rest)
-    # a range partitioning by key and text: no task holds all rows of a key
-    placed = number_rows(df, [F.col("d").asc_nulls_first(), F.col("t").asc_nulls_first()], "place")
-    return placed.select(F.coalesce("d", F.lit(-(1 << 63))).alias("d"), F.when(F.col("d").isNull(), F.col("place") - (1 << 62)).otherwise(F.col("place")).cast("bigint").alias("r"), *rest)
+        return df.select(known, F.lit(0).cast("bigint").alias("r"), *rest)
+    again = checkpoint(df.where("d is not null").groupBy("d").count().where("count > 1").select("d"))
+    single = df.where("d is not null").join(again, "d", "left_anti").select(known, F.lit(0).cast("bigint").alias("r"), *rest)
+    others = df.where("d is null").unionByName(df.join(again, "d", "left_semi")).withColumn("_read", F.monotonically_increasing_id())
+    placed = number_rows(checkpoint(others), [F.col("d").asc_nulls_first(), F.col("t").asc_nulls_first(), F.col("_read")], "place")
+    return single.unionByName(placed.select(known, F.when(F.col("d").isNull(), F.col("place") - (1 << 62)).otherwise(F.col("place")).cast("bigint").alias("r"), *rest))
 
 
 def binary(text: str = "t") -> Column:

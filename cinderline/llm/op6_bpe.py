@@ -41,10 +41,14 @@ class WordTable:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence
 
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
+        # words are normalised once, with the text they stand in: to do it again would change the order of some combining marks
+        self.bare = Tokenizer.from_str(self.whole.to_str())
+        self.bare.normalizer = Sequence([])
         special = self.whole.get_added_tokens_decoder()
         self.special = {t.content: (i,) for i, t in special.items()}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if special else None
@@ -76,7 +80,7 @@ class WordTable:
         """Enters words into the table: encoded in one text with blanks between, and told apart by the number of the word."""
         for at in range(0, len(words), 5000):
             part = words[at : at + 5000]
-            coded = self.whole.encode(" ".join(part), add_special_tokens=False)
+            coded = self.bare.encode(" ".join(part), add_special_tokens=False)
             ids, which = np.array(coded.ids), np.array(coded.word_ids)
             cuts = np.searchsorted(which, np.arange(len(part) + 1)).tolist()
             ids = ids.tolist()

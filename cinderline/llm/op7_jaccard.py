@@ -297,7 +297,8 @@ def class_links(known: DataFrame) -> DataFrame:
 def components(df: DataFrame, text: str, key: str) -> DataFrame:
     """(key, d, r, c, n, component) of each row of df: its class, the size of its set, and the least key it is linked with.
 
-    component is least by (key, row) of the rows that links reach, itself included, as a struct (d, r). Rows of null and
+    component is least by (key, row) of the rows that links reach, itself included, as a struct (d, r); rows without a key come after all
+    others, so it has a key if any of them has one. Rows of null and
     repeated keys: see keyed. Rows without words (null, empty and blank texts) have n = 0 and are linked with nothing. Texts of any
     length are taken whole; equal texts, however many, are one class. An empty table gives an empty result. Other columns of df
     are not looked at, whatever their names are. The numbers in c and n are 64-bit hashes and sizes of the sets.
@@ -308,14 +309,14 @@ def components(df: DataFrame, text: str, key: str) -> DataFrame:
     classes = first.where("kind = 0").select("d", "r", "c", "n")
     enough = first.where("kind = 2").select("part", "blob").repartition(parts, "part").mapInPandas(_enough, "c long")
     # one text stands for its class
-    low = checkpoint(classes.where("n > 0").groupBy("c").agg(F.min(F.struct("d", "r")).alias("low"), F.count("*").alias("copies")))
+    low = checkpoint(classes.where("n > 0").groupBy("c").agg(F.min(F.struct((F.col("r") < 0).alias("keyless"), "d", "r")).alias("low"), F.count("*").alias("copies")))
     chosen = _held(low.join(enough, "c", "left_semi").select("c", "low.d", "low.r"))
     known = checkpoint(texts.join(chosen, ["d", "r"]).select("c", "t").mapInPandas(_own_sets, "c long, n long, s array<long>, signs array<long>"))
     labels = connected_components(class_links(known), "c", "m")
     found = low.join(labels.select(F.col("node").alias("c"), F.col("component").alias("comp")), "c", "left").where("copies > 1 or comp is not null").withColumn("comp", F.coalesce("comp", "c"))
     where = _held(found.join(found.groupBy("comp").agg(F.min("low").alias("least")), "comp").select("c", "least"))
     out = classes.join(where, "c", "left")
-    component = F.when(F.col("n") > 0, F.coalesce("least", F.struct("d", "r"))).otherwise(F.struct("d", "r"))
+    component = F.when(F.col("n") > 0, F.coalesce(F.when(F.col("least").isNotNull(), F.struct("least.d", "least.r")), F.struct("d", "r"))).otherwise(F.struct("d", "r"))
     return out.select(key_of().alias(key), "d", "r", "c", "n", component.alias("component"))
 
 

@@ -7,8 +7,9 @@ also gets the rows next to it, so that no window ends at a border. A query's can
 it on each curve; they are ranked by vectors of two bytes a component, the windows of all curves are merged, and the best of them are
 reranked by the exact measure.
 
-Work and memory grow with the rows times the number of curves, and with the queries times curves times window; there is no pass of queries
-over all rows. What recall a number of curves and a window give depends on how near the neighbours are: see the README.
+What recall a number of curves and a window give depends on how near the neighbours are, and for a window of fixed width it falls as rows
+grow. So the window is a share of the rows, and recall on vectors without near neighbours, the hardest kind, holds at any size. Memory
+grows with the rows times the number of curves, work besides with the queries times curves times window: see the README.
 
 Equal vectors are one class with the smallest of their ids, so that any number of copies takes one place in a window. Vectors of
 different lengths have no cosine; they never meet.
@@ -16,6 +17,7 @@ different lengths have no cosine; they never meet.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,9 @@ from ..operators.numbering import number_rows
 from .common import checkpoint, partitions, table
 
 CURVES, DIMENSIONS, BITS = 48, 7, 9
-WINDOW = 320  # places on either side
-BLOCK = 16_384  # places searched together
+WINDOW = 320  # places on either side, at least
+SHARE = 1 / 156  # of the rows, on either side
+BLOCK = 16_384  # places searched together, at least; a window must not be wider
 ROUGH = 4  # candidates that stay for each one that is asked for, until the exact measure decides
 KEYS = "c long, low long, asks boolean, curve long, key long, code binary"
 
@@ -99,12 +102,12 @@ def _keys(curves: int):
     return run
 
 
-def _windows(k: int, window: int):
+def _windows(k: int, window: int, width: int):
     """The roughly best of each query's window in a block; rows are sorted by block and place."""
 
     def search(f: pd.DataFrame, block: int) -> pd.DataFrame:
         place, curve, c, low = (f[x].to_numpy() for x in ("place", "curve", "c", "low"))
-        asks = np.flatnonzero(f["asks"].to_numpy() & (place // BLOCK == block))
+        asks = np.flatnonzero(f["asks"].to_numpy() & (place // width == block))
         out = []
         for one in np.unique(curve[asks]):  # in order, so the rows of a curve are a range; all have one length
             a, b = np.searchsorted(curve, [one, one + 1])
@@ -131,32 +134,43 @@ def _windows(k: int, window: int):
     return run
 
 
+def _near_one(x):
+    """The vector times the power of two that brings its largest component near 1, so that no product overflows or vanishes; such a
+    multiplication rounds nothing, and the cosine stays what it is."""
+    power = F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), -F.floor(F.log2(F.array_max(F.transform(x, F.abs))))))
+    return F.transform(x, lambda v: v * F.pow(F.lit(2.0), power))
+
+
 def _cosine(a: str, b: str):
     product = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda n, p: n + p)
     return product(a, b) / (F.sqrt(product(a, a)) * F.sqrt(product(b, b)))
 
 
-def search(df: DataFrame, key: str, vector: str, asks, k: int, *, curves: int = CURVES, window: int = WINDOW) -> DataFrame:
+def search(df: DataFrame, key: str, vector: str, asks, k: int, *, curves: int = CURVES, window: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row where `asks` holds, its k nearest others by cosine, ties by smaller key.
 
     Null keys, and vectors that are null, empty, zero or hold null or non-finite components, take no part. A vector's neighbours have
     its length. Fewer than k others give fewer rows; an empty table gives none. Rows of one key are the same row to their query.
-    Other columns of df are not looked at.
+    Other columns of df are not looked at. Vectors of any finite size are compared, tiny and huge ones too. window: places on either
+    side of a query; by default SHARE of the different vectors, and WINDOW at least.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("x"), asks.alias("asks")).where("id is not null and size(x) > 0")
     fine = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
     # 64 bits stand for a vector
     rows = rows.where(F.coalesce(fine, F.lit(False))).withColumn("c", F.xxhash64("x"))
-    classes = checkpoint(rows.groupBy("c").agg(F.first("x").alias("x"), F.max("asks").alias("asks"), F.min("id").alias("low")).withColumn("m", F.size("x")))
+    classes = checkpoint(rows.groupBy("c").agg(F.first("x").alias("x"), F.max("asks").alias("asks"), F.min("id").alias("low")).withColumn("x", _near_one(F.col("x"))).withColumn("m", F.size("x")))
+    if window is None:
+        window = max(WINDOW, math.ceil(classes.count() * SHARE))
+    width = max(BLOCK, window)
 
-    keyed = classes.mapInPandas(_keys(curves), KEYS)
+    keyed = checkpoint(classes.mapInPandas(_keys(curves), KEYS))  # a partitioning by range reads its input twice
     placed = number_rows(keyed, [F.col("curve"), F.col("key"), F.col("c")], "place")
-    at = lambda shift: F.floor((F.col("place") + shift) / BLOCK)
+    at = lambda shift: F.floor((F.col("place") + shift) / width)
     blocks = placed.withColumn("block", F.explode(F.array_distinct(F.array(at(-window), at(0), at(window)))))
     blocks = blocks.repartition(max(2, partitions(spark)), "block").sortWithinPartitions("block", "place")
     some = ROUGH * (k + 1)
-    found = blocks.mapInPandas(_windows(some, window), "q long, c long, low long, rough double").groupBy("q", "c", "low").agg(F.max("rough").alias("rough"))
+    found = blocks.mapInPandas(_windows(some, window, width), "q long, c long, low long, rough double").groupBy("q", "c", "low").agg(F.max("rough").alias("rough"))
     found = found.withColumn("at", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("rough"), "low", "c"))).where(F.col("at") <= some)
 
     one = classes.select("c", "x")
