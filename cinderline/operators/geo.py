@@ -300,7 +300,7 @@ def linked_cells(rows: DataFrame, key: str, settings: list[tuple[float, int]], *
     marks = [f"t{i}" for i in range(len(tiles))]
     lies = {m: F.xxhash64(*[F.floor(F.col(c) / s) for c in ("cx", "cy", "ct")]) for m, s in zip(marks, tiles, strict=True)}
     cells, met = checkpoint_with(_extent(spots, ["cx", "cy", "ct"], "key", F.min("key").alias("node"), F.count("*").alias("n")).withColumns(lies), F.count(F.lit(1)).alias("n"))
-    cells = small(cells, met["n"])
+    cells = small(cells, met["n"], 10_000)  # rows of about a kilobyte
 
     # pairs of cells: in blocks as wide as a link can reach, a block asks itself and the half of its neighbours that come after it
     wide, late = int(most / size) + 1, max(0, (long - 1) // days + 1)
