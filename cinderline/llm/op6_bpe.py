@@ -11,8 +11,7 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,22 +40,21 @@ class WordTable:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        from tokenizers.normalizers import Sequence
 
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
-        # words are normalised once, with the text they stand in: to do it again would change the order of some combining marks
-        self.bare = Tokenizer.from_str(self.whole.to_str())
-        self.bare.normalizer = Sequence([])
+        # the model takes the bytes of a word as characters: printable ones stand for themselves, the others follow from 256 on
+        shown, others = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}, iter(range(0x100, 0x200))
+        self.chars = {b: chr(b if b in shown else next(others)) for b in range(256)}
         special = self.whole.get_added_tokens_decoder()
-        self.special = {t.content: (i,) for i, t in special.items()}
+        self.special = {t.content: np.array([i], dtype=np.int32).tobytes() for i, t in special.items()}
         self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if special else None
         self.split = splitter()
         self.pieces = np.full(self.whole.get_vocab_size(with_added_tokens=True), "", dtype=object)
         for piece, i in self.whole.get_vocab(with_added_tokens=True).items():
             self.pieces[i] = piece
-        self.ids: dict[str, tuple[int, ...]] = {}
+        self.ids: dict[str, bytes] = {}  # of each word, packed
 
     def words(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -76,26 +74,22 @@ class WordTable:
                 out += [p[s:e] for _, (s, e) in self.whole.pre_tokenizer.pre_tokenize_str(p)]
         return out
 
-    def learn(self, words: list[str]) -> None:
-        """Enters words into the table: encoded in one text with blanks between, and told apart by the number of the word."""
-        for at in range(0, len(words), 5000):
-            part = words[at : at + 5000]
-            coded = self.bare.encode(" ".join(part), add_special_tokens=False)
-            ids, which = np.array(coded.ids), np.array(coded.word_ids)
-            cuts = np.searchsorted(which, np.arange(len(part) + 1)).tolist()
-            ids = ids.tolist()
-            for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
-                self.ids[w] = tuple(ids[a:b])
+    def learn(self, words: Iterable[str]) -> None:
+        """Enters words into the table. They are normalised already, with the text they stand in: the library's model encodes them as they
+        are, since to normalise again would change the order of some combining marks."""
+        model, chars = self.whole.model, self.chars
+        for w in words:
+            self.ids[w] = np.array([t.id for t in model.tokenize(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(chars))], dtype=np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         split = [self.words(t) for t in texts]
         if len(self.ids) > MOST_WORDS:
             self.ids = {}
-        self.learn(sorted(set().union(*split) - self.ids.keys() - self.special.keys()))
         self.ids |= self.special
+        self.learn(set().union(*split) - self.ids.keys())
         ids = self.ids.__getitem__
-        return [np.fromiter(chain.from_iterable(map(ids, words)), dtype=np.int32) for words in split]
+        return [np.frombuffer(b"".join(map(ids, words)), dtype=np.int32) for words in split]
 
 
 _tables: dict[str, WordTable] = {}
