@@ -58,7 +58,7 @@ def edges(rings: DataFrame) -> DataFrame:
     return out.select("x1", "y1", F.col("n.x").alias("x2"), F.col("n.y").alias("y2")).where("x1 <> x2 or y1 <> y2")
 
 
-COVER = (64_000.0, 8_000.0, 1_000.0)
+COVER = (32_000.0, 2_000.0)
 
 
 def _touched(sides: DataFrame, size: float, reach: float) -> DataFrame:

@@ -50,9 +50,9 @@ def source_order(source: Column) -> Column:
 
 def authoritative(df: DataFrame) -> DataFrame:
     """Without provisional rows of a satellite and day for which the authoritative product has rows."""
-    settled = df.where("product = 'SP'").select("sat", "acq_date").distinct()
-    provisional = df.where(F.coalesce(F.col("product") != "SP", F.lit(True)))
-    return provisional.join(settled, ["sat", "acq_date"], "left_anti").select(*df.columns).unionByName(df.where("product = 'SP'"))
+    settled = df.where("product = 'SP'").select("sat", "acq_date").distinct().withColumn("_settled", F.lit(True))
+    # one join, and no union, so that rows which lie by satellite and day stay where they are
+    return df.join(settled, ["sat", "acq_date"], "left").where("product = 'SP' or _settled is null").select(*df.columns)
 
 
 def keep_first(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

@@ -195,3 +195,23 @@ def marker_radius(n: Column, most: int = 200) -> Column:
 def percent_of_prior(stats: DataFrame) -> DataFrame:
     """How many percent this year's total lies above the mean of the years before; null without one. Halves go up."""
     return stats.select("ytd", "prior_mean", F.when(F.col("prior_mean") != 0, F.floor((F.col("ytd") / F.col("prior_mean") - 1) * 100 + 0.5)).alias("percent"))
+
+
+def last_days(daily: DataFrame, days: int, end: date) -> DataFrame:
+    """The last days of the series up to the end, as a chart first shows them."""
+    return daily.where(F.col("date").between(end - timedelta(days=days - 1), end))
+
+
+def chosen_period(choice: str, end: date) -> tuple[date, date]:
+    """First and last day of what a reader chose: a year by its four digits, or a number of days up to the end."""
+    return (date(int(choice), 1, 1), date(int(choice), 12, 31)) if len(choice) == 4 else (end - timedelta(days=int(choice) - 1), end)
+
+
+def detections_in(recent: DataFrame, start: date, end: date) -> DataFrame:
+    """Of the detections on the map (see recent_detections), those of a period."""
+    return recent.where(F.col("acq_date").between(start, end))
+
+
+def thousands(n: Column) -> Column:
+    """A whole number with commas between thousands."""
+    return F.format_number(n, 0)

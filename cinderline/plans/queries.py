@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -12,7 +13,8 @@ from ..config import SATELLITES
 from ..functions.grid import grid_sql, to_grid
 from ..functions.numbers import scaled_round
 from ..operators import aggregate, cluster, filters, geo, ingest, persistent, publish, sanity
-from ..operators.graph import checkpoint
+from ..operators.graph import checkpoint, shared_folder
+from ..sources import store
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -493,3 +495,45 @@ def heatmap_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql("SELECT ytd, prior_mean, CAST(floor((ytd / prior_mean - 1) * 100 + 0.5) AS BIGINT) AS percent FROM (SELECT CAST(sum(t) FILTER (y = 2001) AS BIGINT) AS ytd, round_even(CAST(sum(t) FILTER (y < 2001) AS DOUBLE) / count(*) FILTER (y < 2001) * 10, 0) / 10 AS prior_mean FROM (SELECT year(date) AS y, sum(new_events) AS t FROM ldaily WHERE dayofyear(date) <= 181 GROUP BY 1))", "ldaily"))
 def percent_of_prior(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.percent_of_prior(aggregate.same_period_stats(long_daily(spark, sf_dir)[0], TODAY))
+
+
+@query(sql("SELECT acq_date, acq_time, round_even(latitude * 1e5, 0) / 1e5 AS latitude, round_even(longitude * 1e5, 0) / 1e5 AS longitude, round_even(frp * 10, 0) / 10 AS frp, confidence, sat, CAST(daynight = 'N' AS INT) AS night, event_id FROM tagged WHERE acq_date BETWEEN DATE '2024-01-25' AND DATE '2024-01-30'", "tagged"))
+def period_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections on the map of the last six days."""
+    return publish.detections_in(publish.recent_detections(tagged(spark, sf_dir), END, 10), *publish.chosen_period("6", END))
+
+
+@query(sql("SELECT date, detections, active_events_7d FROM ldaily WHERE date > DATE '2001-06-30' - 365 AND date <= DATE '2001-06-30'", "ldaily"))
+def last_year_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series as its chart first shows it."""
+    return publish.last_days(long_daily(spark, sf_dir)[0], 365, TODAY).select("date", "detections", "active_events_7d")
+
+
+@query(sql("SELECT CAST(year(date) AS INT) AS year, format('{:,}', CAST(sum(detections) AS BIGINT)) AS shown FROM ldaily GROUP BY 1", "ldaily"))
+def yearly_totals_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    totals = long_daily(spark, sf_dir)[0].groupBy(F.year("date").alias("year")).agg(F.sum("detections").alias("n"))
+    return totals.select("year", publish.thousands(F.col("n")).alias("shown"))
+
+
+_STORED = "round_even(latitude * 1e6, 0) / 1e6 AS latitude, round_even(longitude * 1e6, 0) / 1e6 AS longitude, acq_date, acq_time, sat, confidence, frp, source"
+
+
+@query(sql(f"""SELECT {_STORED} FROM (SELECT *, row_number() OVER (PARTITION BY source, sat, acq_date, acq_time, latitude, longitude ORDER BY batch, frp NULLS LAST) AS rn FROM (
+ SELECT *, 'VIIRS_SNPP_SP' AS source, 0 AS batch FROM norm WHERE product = 'SP'
+ UNION ALL SELECT *, 'VIIRS_SNPP_NRT', 0 FROM norm WHERE acq_date < DATE '2024-01-12' OR acq_date BETWEEN DATE '2024-01-21' AND DATE '2024-01-25'
+ UNION ALL SELECT *, 'VIIRS_SNPP_NRT', 1 FROM norm WHERE acq_date >= DATE '2024-01-15')) WHERE rn = 1""", "norm"))
+def store_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections through the store: an authoritative source, a provisional one, days of it replaced and later ones added, compaction, and
+    the same rows once more, which add nothing."""
+    path = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    rows = checkpoint(fx.short_raw(spark, sf_dir).withColumn("version", F.col("row_id").cast("string")))
+    given = lambda where, source: checkpoint(ingest.normalise(rows.where(where).drop("product", "row_id"), source))
+    sp, nrt = "VIIRS_SNPP_SP", "VIIRS_SNPP_NRT"
+    store.upsert_raw(spark, path, sp, given("product = 'SP'", sp))
+    store.upsert_raw(spark, path, nrt, given("acq_date <= DATE '2024-01-25'", nrt))
+    later = given("acq_date >= DATE '2024-01-15'", nrt)
+    store.upsert_raw(spark, path, nrt, later, (date(2024, 1, 12), date(2024, 1, 20)))
+    store.compact(spark, path)
+    store.upsert_raw(spark, path, nrt, later)
+    micro = lambda c: scaled_round(F.col(c), 6).alias(c)
+    return store.read_raw(spark, path).select(micro("latitude"), micro("longitude"), "acq_date", "acq_time", "sat", "confidence", "frp", "source")

@@ -165,6 +165,24 @@ def compact(spark: SparkSession, path: str) -> None:
     publish(spark, path, version, [Commit(folder, "", years, n)] if n else [])
 
 
+def write_bucketed(spark: SparkSession, path: str, folder: str, *, buckets: int = 64) -> DataFrame:
+    """The rows that hold, laid out by satellite and day in a folder that must be new, as a table that loading does not shuffle. buckets
+    should follow the size of the store, some 100 MB to each."""
+    name = f"detections_{uuid.uuid4().hex}"
+    rows = read_raw(spark, path).repartition(buckets, "sat", "acq_date")
+    rows.write.bucketBy(buckets, "sat", "acq_date").sortBy("sat", "acq_date").option("path", folder).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay
+    return read_bucketed(spark, folder, buckets=buckets)
+
+
+def read_bucketed(spark: SparkSession, folder: str, *, buckets: int = 64) -> DataFrame:
+    """What write_bucketed wrote with as many buckets, in this session or another."""
+    name = f"detections_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (sat, acq_date) SORTED BY (sat, acq_date) INTO {buckets} BUCKETS LOCATION '{folder}'")
+    return spark.table(name)
+
+
 def vacuum(spark: SparkSession, path: str, *, versions: int = 2) -> list[str]:
     """Drops all but the last versions, and the folders that none of them names; the names of those. Not while a writer is at work,
     whose folder no version names yet."""

@@ -162,7 +162,8 @@ def test_polygons_against_brute_force(spark, buffer):
     points = [(turn.uniform(-210_000, 310_000), turn.uniform(-210_000, 100_000)) for _ in range(400)] + [(turn.uniform(-80_000, 80_000), turn.uniform(-80_000, 80_000)) for _ in range(600)]
     points += [(x + turn.gauss(0, 400), y + turn.gauss(0, 400)) for ring in rings for x, y in ring[::3]]
     given = spark.createDataFrame([(i, *p) for i, p in enumerate(points)] + [(-1, None, 1.0)], "i long, x double, y double")
-    got = {r.i: r["in"] for r in geo.inside_flag(given, rings_frame(spark, rings), "in", buffer_m=buffer).collect()}
+    sizes = (64_000.0, 8_000.0, 1_000.0) if buffer else geo.COVER
+    got = {r.i: r["in"] for r in geo.inside_flag(given, rings_frame(spark, rings), "in", buffer_m=buffer, sizes=sizes).collect()}
     assert len(got) == len(points) + 1 and got[-1] is False
     for i, p in enumerate(points):
         odd, km = inside_and_distance(rings, *p)
@@ -185,7 +186,7 @@ def test_a_ring_of_many_vertices(spark):
     assert n == cover.agg(F.sum(1 + F.coalesce(F.size("sides"), F.lit(0)))).first()[0]
     held = cover.where("sides is not null").agg(F.count("*").alias("n"), F.avg(F.size("sides")).alias("mean"), F.max(F.size("sides")).alias("most")).first()
     assert held.mean < 400 and held.most < 2000  # of 100,000
-    at = given.select(geo.cell(F.col("x"), 1000.0).alias("cx"), geo.cell(F.col("y"), 1000.0).alias("cy"))
+    at = given.select(geo.cell(F.col("x"), geo.COVER[-1]).alias("cx"), geo.cell(F.col("y"), geo.COVER[-1]).alias("cy"))
     met = at.join(cover.where("sides is not null").select("cx", "cy", F.size("sides").alias("n")), ["cx", "cy"], "left").agg(F.avg(F.coalesce("n", F.lit(0)))).first()[0]
     assert met < 150
 

@@ -101,6 +101,23 @@ def test_reading_the_store_shuffles_nothing(spark, tmp_path):
     assert "Exchange" not in plan and plan.count("FileScan parquet") == 1
 
 
+def test_loading_a_bucketed_store_shuffles_nothing(spark, tmp_path):
+    path = f"{tmp_path}/raw"
+    store.upsert_raw(spark, path, SP, raw(spark, *[(day(k % 9), k % 5) for k in range(40)], source=SP))
+    store.upsert_raw(spark, path, NRT, raw(spark, *[(day(k % 14), k % 7) for k in range(60)]))
+    want = sorted(map(str, ingest.load(store.read_raw(spark, path)).collect()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        laid = ingest.load(store.write_bucketed(spark, path, f"{tmp_path}/laid", buckets=4))
+        assert sorted(map(str, laid.collect())) == want and len({(r.source, r.acq_date) for r in laid.collect()}) == 14
+        assert "Exchange" not in laid._jdf.queryExecution().executedPlan().toString()
+        again = ingest.load(store.read_bucketed(spark, f"{tmp_path}/laid", buckets=4))
+        assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == len(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_order_within_files(spark, tmp_path):
     path = f"{tmp_path}/raw"
     store.upsert_raw(spark, path, NRT, raw(spark, *[(day(k * 7 % 20), k * 5 % 9) for k in range(60)]))
