@@ -425,5 +425,16 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# bytes as pairs of hexadecimal digits; strings of 100 bytes by their md5
+_SQL = """WITH h AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ blocks AS MATERIALIZED (SELECT doc_id, 1024 * b AS first, substr(h, 2048 * b + 1, 2246) AS h FROM h, LATERAL (SELECT unnest(range(0, length(h) // 2048 + 1)) AS b)),
+ starts AS (SELECT doc_id, first + i AS i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM blocks, LATERAL (SELECT unnest(range(0, least(1024, length(h) // 2 - 99))) AS i)),
+ again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM starts) WHERE place > 1),
+ runs AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM again)),
+ spans AS MATERIALIZED (SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM runs GROUP BY doc_id, run),
+ cuts AS (SELECT doc_id, s, e FROM spans UNION ALL SELECT doc_id, length(h) // 2, length(h) // 2 FROM h),
+ kept AS (SELECT doc_id, string_agg(substr(h, 2 * up + 1, 2 * (s - up)), '' ORDER BY s, e) AS k FROM (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s, e), 0) AS up FROM cuts) JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT h.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(sum(e - s), 0) AS BIGINT) AS n_removed, count(s) AS n_spans, sha256(unhex(any_value(k))) AS kept_sha256 FROM h JOIN kept ON kept.doc_id = h.doc_id LEFT JOIN spans ON spans.doc_id = h.doc_id GROUP BY h.doc_id, h"""
+
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_suffix_dedup": _SQL}
