@@ -92,7 +92,8 @@ def _centres_inside(cells: DataFrame, sides: DataFrame, size: float) -> DataFram
 
 
 def polygon_cover(sides: DataFrame, *, reach: float = 0.0, sizes: tuple[float, ...] = COVER) -> tuple[DataFrame, int]:
-    """(level, cx, cy, inside, sides), and how many cells and edges in cells there are: cells that cover polygons, of several sizes from coarse to fine, each a multiple of the next.
+    """(level, cx, cy, inside, sides): cells that cover polygons, of several sizes from coarse to fine, each a multiple of the next; and how
+    many cells and edges in cells there are.
 
     A cell that no edge comes as near to as `reach` is inside or outside as a whole. Others are split, down to the finest size, where
     they hold the edges near them, and whether their centre is inside. What no cell covers is outside. Written, as it is read often.

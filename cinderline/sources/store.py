@@ -39,6 +39,16 @@ def _fs(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
+def _text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, name = _fs(spark, path)
+    given = fs.open(name)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(given, "UTF-8")
+    finally:
+        given.close()
+
+
 @dataclass(frozen=True)
 class Commit:
     """One addition to the store: a folder of rows, and the days of sources whose older rows no longer hold."""
@@ -64,9 +74,9 @@ def commits(spark: SparkSession, path: str) -> tuple[int, list[Commit]]:
     known = _versions(spark, path)
     if not known:
         return 0, []
-    # a small file: a line for each commit since the last compaction
-    lines = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(_fs(spark, path)[0].open(_fs(spark, f"{path}/versions/{known[-1]:010d}")[1]), "UTF-8")
-    return known[-1], [Commit(x["folder"], x["source"], tuple(x["years"]), x["rows"], tuple(map(tuple, x["hides"]))) for x in map(json.loads, lines.splitlines())]
+    # a line for each commit since the last compaction
+    lines = _text(spark, f"{path}/versions/{known[-1]:010d}").splitlines()
+    return known[-1], [Commit(x["folder"], x["source"], tuple(x["years"]), x["rows"], tuple(map(tuple, x["hides"]))) for x in map(json.loads, lines)]
 
 
 class Conflict(RuntimeError):
@@ -188,10 +198,7 @@ def vacuum(spark: SparkSession, path: str, *, versions: int = 2) -> list[str]:
     whose folder no version names yet."""
     known = _versions(spark, path)
     fs, rows = _fs(spark, f"{path}/rows")
-    named = set()
-    for v in known[-versions:]:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(_fs(spark, f"{path}/versions/{v:010d}")[1]), "UTF-8")
-        named |= {json.loads(line)["folder"] for line in text.splitlines()}
+    named = {json.loads(line)["folder"] for v in known[-versions:] for line in _text(spark, f"{path}/versions/{v:010d}").splitlines()}
     for v in known[:-versions]:
         fs.delete(_fs(spark, f"{path}/versions/{v:010d}")[1], False)
     gone = sorted(f.getPath().getName() for f in fs.listStatus(rows) if f.getPath().getName() not in named) if fs.exists(rows) else []

@@ -78,6 +78,8 @@ def test_build(spark, tmp_path, sides):
     jobs.backfill(spark, raw, log, available(spark, (SP, date(2023, 12, 30), date(2024, 1, 5)), (NRT, date(2024, 1, 4), date(2024, 1, 8))), answers(spark, []))
     wide = jobs.sensitivity(spark, raw, out, sides, none, SETTINGS).collect()
     assert len(wide) == 1 and wide[0].year == 2023 and wide[0].e1500_g2 == 1
+    counts = [tuple(r) for r in store.read_table(spark, f"{out}/clustering_sensitivity", jobs.SENSITIVITY).collect()]
+    assert counts == sorted(counts) and len(counts) == 9  # in the files' own order
     jobs.build(spark, raw, log, out, sides, none, SETTINGS)
     table = lambda name: spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/{name}").collect()
     # 12-30 to 01-05 are settled; provisional rows are left of 01-06 to 01-08
@@ -99,6 +101,9 @@ def test_build(spark, tmp_path, sides):
     assert runs["doy"][-1] == 366 and runs["years"]["2023"][364] == 2 and runs["years"]["2024"][:9] == [1, 2, 3, 4, 5, 6, 7, 8, 8]
     assert payload("daily")["dates"][0] == "2023-12-20" and payload("events_all")["n"] == [10] and payload("detections_recent")["night"] == [1] * 10
     assert payload("persistent_sources") == [] and len(payload("annual")) == 2
+    # files by name, copies of two tables among them
+    assert (tmp_path / "out" / "site" / "daily.json").is_file()
+    assert (tmp_path / "out" / "site" / "daily.csv").read_text().splitlines()[1].startswith("2023-12-20,0,") and len((tmp_path / "out" / "site" / "events.csv").read_text().splitlines()) == 2
 
 
 def test_derive_sources(spark, tmp_path, sides):
