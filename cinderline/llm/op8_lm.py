@@ -3,7 +3,9 @@
 Counts of words and word pairs are quantised on a logarithmic scale: an n-gram of level q goes into the filter together
 with each of 1 to q. A count is read back by probing for levels 1, 2, ... until one is missing, so the filter errs
 upwards only, and rarely by more than a level. The filter is built in segments, one for each part of the hashes, and
-broadcast. A word's probability after another is a mixture of its share among the pairs and its smoothed share among
+broadcast where it has `broadcast_bytes` at most. A larger one stays in its segments: the distinct words and pairs of each piece of
+texts go to them, packed by part, are probed there, and their levels come back, so that neither the driver nor a worker holds
+more than a segment. Both ways give the same scores. A word's probability after another is a mixture of its share among the pairs and its smoothed share among
 all words; the weight of the pairs depends on how often the first word was seen.
 
 The probabilities of all words after one add up to 1 at most, in expectation over the filter's errors: a count that is divided is
@@ -16,7 +18,8 @@ broadcast for it (16 bytes a word); all other words meet their exact counts thro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -143,8 +146,8 @@ def _places(h: np.ndarray, level: int, bits: np.ndarray | int) -> Iterator[np.nd
 
 
 def _fill(entry_bits: int):
-    """Of each part: its words with exact counts (kind 0; a: words, n: tokens) and its segment of the filter (kind 1; n: bits), of
-    entry_bits for each entry."""
+    """Of each part: its words with exact counts (kind 0; a: words, n: tokens) and its segment of the filter (kind 1; n: bits, a:
+    bits that are set), of entry_bits for each entry."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
@@ -163,7 +166,7 @@ def _fill(entry_bits: int):
                 for level in range(1, int(q.max(initial=0)) + 1):
                     for at in _places(h[q >= level], level, bits):
                         segment[at.astype(np.int64)] = True
-            yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, 0.0, 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
+            yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, float(segment.sum()), 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
 
     return run
 
@@ -172,14 +175,40 @@ def _word_key(h: np.ndarray) -> np.ndarray:
     return bytehash.mix(h) & np.uint64(0xFFFFFFFFFFFF) | np.uint64(1 << 60)
 
 
+def probe(held: np.ndarray, starts: np.ndarray, bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The level of each of h in its segment, which begins at that byte of `held` and has so many bits; 0 if not even the first one is in."""
+    level = np.zeros(len(h), dtype=np.int64)
+    alive = np.arange(len(h))
+    q = 1
+    while len(alive) and q <= len(LEVELS):
+        found = np.ones(len(alive), dtype=bool)
+        for at in _places(h[alive], q, bits[alive]):
+            at = at.astype(np.int64)
+            found &= (held[starts[alive] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+        alive = alive[found]
+        level[alive] = q
+        q += 1
+    return level
+
+
+def _word_entries(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, key in its segment) of words."""
+    return (h % np.uint64(parts)).astype(np.int64), _word_key(h // np.uint64(parts))
+
+
+def _pair_entries(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    return (h % np.uint64(parts)).astype(np.int64), (h // np.uint64(parts)) & np.uint64(0xFFFFFFFFFFFF)
+
+
 @dataclass
 class Model:
-    """What is broadcast: the filter's segments, the head of the word counts, totals, and the weights of the mixture."""
+    """What is broadcast: the filter's segments unless they are too large, the head of the word counts, totals, and the weights of the
+    mixture."""
 
     parts: int
     bits: np.ndarray
     starts: np.ndarray
-    filter: np.ndarray
+    filter: np.ndarray | None
     head: np.ndarray
     head_counts: np.ndarray
     tokens: int
@@ -187,30 +216,15 @@ class Model:
     false_mass: float  # the words of the vocabulary that a false hit of the first level puts after a word, as expected
     weights: np.ndarray | None = None
 
-    def _probe(self, part: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The level that the filter holds; 0 if not even the first one is in."""
-        level = np.zeros(len(h), dtype=np.int64)
-        alive = np.arange(len(h))
-        q = 1
-        while len(alive) and q <= len(LEVELS):
-            p, own = part[alive], h[alive]
-            found = np.ones(len(alive), dtype=bool)
-            for at in _places(own, q, self.bits[p]):
-                at = at.astype(np.int64)
-                found &= (self.filter[self.starts[p] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[found]
-            level[alive] = q
-            q += 1
-        return level
+    def _levels(self, part: np.ndarray, key: np.ndarray) -> np.ndarray:
+        return probe(self.filter, self.starts[part], self.bits[part], key)
 
     def word_levels(self, h: np.ndarray) -> np.ndarray:
-        part = (h % np.uint64(self.parts)).astype(np.int64)
-        return self._probe(part, _word_key(h // np.uint64(self.parts)))
+        return self._levels(*_word_entries(h, self.parts))
 
     def pair_levels(self, h: np.ndarray) -> np.ndarray:
         h, back = np.unique(h, return_inverse=True)
-        part = (h % np.uint64(self.parts)).astype(np.int64)
-        return self._probe(part, (h // np.uint64(self.parts)) & np.uint64(0xFFFFFFFFFFFF))[back]
+        return self._levels(*_pair_entries(h, self.parts))[back]
 
     def shares(self, tokens: np.ndarray, less: int = 0, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group of the weight, share among the pairs, smoothed share among all words) of each token. less: taken off counts.
@@ -220,8 +234,12 @@ class Model:
         distinct, back = np.unique(tokens if follows else np.concatenate([tokens, before]), return_inverse=True)
         level = self.word_levels(distinct)[back]
         around = np.concatenate([self.word_levels(np.array([END])), level[:-1]]) if follows else level[len(tokens) :]
-        own = LEAST[level[: len(tokens)]]
-        both = np.minimum(np.minimum(LEAST[self.pair_levels(pair(before, tokens))], own), LEAST[around])
+        return self.of_levels(level[: len(tokens)], self.pair_levels(pair(before, tokens)), around, less)
+
+    def of_levels(self, level: np.ndarray, pairs: np.ndarray, around: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As `shares`, from the levels of tokens, of their pairs, and of the tokens before them."""
+        own = LEAST[level]
+        both = np.minimum(np.minimum(LEAST[pairs], own), LEAST[around])
         most = np.minimum(MOST[around], self.tokens)
         own, both, most = (np.maximum(x - less, 0) for x in (own, both, most))
         unigram = (own + 0.1) / (self.tokens - less + 0.1 * (self.words + 1))
@@ -229,30 +247,117 @@ class Model:
         return group, np.where(most > 0, both / (np.maximum(most, 1) + self.false_mass), 0.0), unigram
 
     def log10(self, tokens: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
-        group, among_pairs, unigram = self.shares(tokens, before=before)
+        return self.mixed(*self.shares(tokens, before=before))
+
+    def mixed(self, group: np.ndarray, among_pairs: np.ndarray, unigram: np.ndarray) -> np.ndarray:
         w = self.weights[group]
         return np.log10(w * among_pairs + (1 - w) * unigram)
 
 
-def _weights(rows: DataFrame, model: Model) -> np.ndarray:
+# ---- levels from the segments where they are, for a filter that is not broadcast
+
+
+def _ask(parts: int):
+    """Of each piece of texts: its distinct words and pairs, as keys by part (kind 4), and its tokens as places among them (kind 5).
+    (d, r) is a number of the piece's own."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in pieces(frames, "t"):
+            if not len(f):
+                continue
+            tokens, starts = sequences(list(f["t"]))
+            words, word_at = np.unique(tokens, return_inverse=True)
+            pairs, pair_at = np.unique(pair(contexts(tokens), tokens), return_inverse=True)
+            part, key = (np.concatenate(x) for x in zip(_word_entries(words, parts), _pair_entries(pairs, parts), strict=True))
+            order = np.argsort(part, kind="stable")
+            cuts, key = np.searchsorted(part[order], np.arange(parts + 1)), key[order]
+            place = np.empty(len(order), dtype=np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            own = [int(x) for x in np.frombuffer(uuid.uuid4().bytes, np.int64)]
+            sent = [(p, 4, *own, 0.0, 0.0, 0, key[cuts[p] : cuts[p + 1]].tobytes()) for p in range(parts) if cuts[p + 1] > cuts[p]]
+            body = [np.array([len(f), len(tokens)]), f["d"].to_numpy(dtype=np.int64), f["r"].to_numpy(dtype=np.int64), starts.astype(np.int64), place[word_at], place[len(words) + pair_at]]
+            yield _emit([*sent, (0, 5, *own, 0.0, 0.0, 0, b"".join(x.tobytes() for x in body))])
+
+    return run
+
+
+def _answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Levels, a byte each, in place of the keys that were asked for; the segment of a part (kind 1) comes before its keys."""
+    here, bits, segment = -1, 64, np.zeros(8, dtype=np.uint8)
+    for f in frames:
+        rows = []
+        for part, kind, d, r, n, blob in zip(f["part"], f["kind"], f["d"], f["r"], f["n"], f["blob"], strict=True):
+            if kind == 1:
+                here, bits, segment = part, n, np.frombuffer(blob, np.uint8)
+                continue
+            keys = np.frombuffer(blob, np.uint64)
+            level = probe(segment, np.zeros(len(keys), dtype=np.int64), np.full(len(keys), bits), keys) if part == here else np.zeros(len(keys))
+            rows.append((part, 4, d, r, 0.0, 0.0, 0, level.astype(np.uint8).tobytes()))
+        yield _emit(rows)
+
+
+def _returned(use: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]):
+    """use(d, r, starts, levels of tokens, of their pairs, of the tokens before) of each piece; its levels come in the order of parts, and
+    then its tokens."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, got = None, []
+        for f in frames:
+            for kind, d, r, blob in zip(f["kind"], f["d"], f["r"], f["blob"], strict=True):
+                if (d, r) != now:
+                    now, got = (d, r), []
+                if kind == 4:
+                    got.append(blob)
+                    continue
+                n, m = (int(x) for x in np.frombuffer(blob, np.int64, 2))
+                own, rows, starts = np.frombuffer(blob, np.int64, n, 16), np.frombuffer(blob, np.int64, n, 16 + 8 * n), np.frombuffer(blob, np.int64, n + 1, 16 + 16 * n)
+                places = np.frombuffer(blob, np.int32, 2 * m, 24 + 24 * n)
+                levels = np.frombuffer(b"".join(got), np.uint8).astype(np.int64)
+                word = levels[places[:m]]
+                # a piece ends with END, which stands before each text's first word too
+                yield use(own, rows, starts, word, levels[places[m:]], np.concatenate([word[-1:], word[:-1]]))
+
+    return run
+
+
+def _through_segments(texts: DataFrame, built: DataFrame, parts: int, use: Callable, schema: str) -> DataFrame:
+    """What `use` makes of the levels of all pieces of texts (d, r, t). Pieces are written once, as a task that ran again might cut
+    others; nothing larger than a segment, or a piece, is held."""
+    asked = checkpoint(texts.mapInPandas(_ask(parts), ROWS))
+    met = built.where("kind = 1").unionByName(asked.where("kind = 4")).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    back = met.mapInPandas(_answer, ROWS).unionByName(asked.where("kind = 5")).repartition(parts, "d", "r").sortWithinPartitions("d", "r", "kind", "part")
+    return back.mapInPandas(_returned(use), schema)
+
+
+def _classes(group: np.ndarray, among_pairs: np.ndarray, unigram: np.ndarray) -> pd.DataFrame:
+    """How many tokens (n) there are of each group (g) and quotient of their two shares (odds)."""
+    odds = np.where(among_pairs > 0, np.round(np.log10(np.maximum(among_pairs, 1e-30) / unigram) * 4), -99).clip(-99, 99)
+    seen = np.bincount(group * 199 + odds.astype(np.int64) + 99, minlength=GROUPS * 199)
+    at = np.flatnonzero(seen)
+    return pd.DataFrame({"g": at // 199, "odds": at % 199 - 99, "n": seen[at]})
+
+
+def _weights(rows: DataFrame, model: Model, built: DataFrame) -> np.ndarray:
     """The weight of the pairs by how often the word before was seen, by expectation maximisation.
 
     On the texts that were counted, each token counting as if it had been left out. Only sums over classes of tokens with
     like shares reach the driver.
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    schema = "g long, odds long, n long"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(GROUPS * 199, dtype=np.int64)
         for f in pieces(frames, "t"):
-            tokens, _ = sequences(list(f["t"]))
-            group, among_pairs, unigram = shared.value.shares(tokens, less=1)
-            odds = np.where(among_pairs > 0, np.round(np.log10(np.maximum(among_pairs, 1e-30) / unigram) * 4), -99).clip(-99, 99)
-            seen += np.bincount(group * 199 + odds.astype(np.int64) + 99, minlength=len(seen))
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"g": at // 199, "odds": at % 199 - 99, "n": seen[at]})
+            yield _classes(*shared.value.shares(sequences(list(f["t"]))[0], less=1))
+
+    def of_piece(d, r, starts, word, pairs, around) -> pd.DataFrame:
+        return _classes(*shared.value.of_levels(word, pairs, around, 1))
 
-    counts = rows.mapInPandas(run, "g long, odds long, n long").groupBy("g", "odds").agg(F.sum("n").alias("n")).toPandas()
+    if model.filter is None:
+        found = _through_segments(rows.select("d", F.lit(0).cast("bigint").alias("r"), "t"), built, model.parts, of_piece, schema)
+    else:
+        found = rows.mapInPandas(run, schema)
+    counts = found.groupBy("g", "odds").agg(F.sum("n").alias("n")).toPandas()
     shared.unpersist()
     w = np.full(GROUPS, 0.2)
     for g, own in counts.groupby("g"):
@@ -264,25 +369,27 @@ def _weights(rows: DataFrame, model: Model) -> np.ndarray:
     return w
 
 
-def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS) -> tuple[Model, DataFrame]:
-    """(model, table of exact word counts by part) of texts (d long, t binary), all of them.
+def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broadcast_bytes: int = 1 << 27) -> tuple[Model, DataFrame]:
+    """(model, table of exact word counts and of the filter's segments, by part) of texts (d long, t binary), all of them.
 
-    Bound: `head` words with exact counts in the model. All texts fit the weights of the mixture.
-    The filter grows with the distinct words and pairs, by entry_bits for each and each level of its count.
+    Bounds: `head` words with exact counts in the model, and `broadcast_bytes` of filter. The filter grows with the distinct words and
+    pairs, by entry_bits for each and each level of its count; beyond the bound it stays in the table, and levels come from there by a
+    shuffle. All texts fit the weights of the mixture. Null and empty texts have one token, their end; repeated rows count as often as
+    they occur; texts of any length are counted whole. An empty table gives a model that has seen nothing.
     """
     spark = texts.sparkSession
     parts = max(2, partitions(spark))
     built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
-    sizes = built.where("kind = 1").select("part", "n", F.length("blob").alias("size")).collect()
+    sizes = built.where("kind = 1").select("part", "n", "a", F.length("blob").alias("size")).collect()
     bits, held = np.full(parts, 64, dtype=np.int64), np.full(parts, 8, dtype=np.int64)
     for x in sizes:
         bits[x["part"]], held[x["part"]] = x["n"], x["size"]
-    starts = np.concatenate([[0], np.cumsum(held)[:-1]])
-    filled = np.zeros(int(held.sum()), dtype=np.uint8)
-    for x in built.where("kind = 1").select("part", "blob").toLocalIterator():  # one segment at a time beside the filter
-        filled[starts[x["part"]] : starts[x["part"]] + held[x["part"]]] = np.frombuffer(x["blob"], dtype=np.uint8)
-    set_bits = sum(int(np.bitwise_count(filled[a : a + (1 << 22)]).sum(dtype=np.int64)) for a in range(0, len(filled), 1 << 22))
-    false = (set_bits / max(1, int(bits.sum()))) ** PROBES
+    starts, filled = np.concatenate([[0], np.cumsum(held)[:-1]]), None
+    if held.sum() <= broadcast_bytes:
+        filled = np.zeros(int(held.sum()), dtype=np.uint8)
+        for x in built.where("kind = 1").select("part", "blob").toLocalIterator():  # one segment at a time beside the filter
+            filled[starts[x["part"]] : starts[x["part"]] + held[x["part"]]] = np.frombuffer(x["blob"], dtype=np.uint8)
+    false = (sum(x["a"] for x in sizes) / max(1, int(bits.sum()))) ** PROBES
     totals = built.where("kind = 0").agg(F.sum("n").alias("n"), F.sum("a").alias("v")).first()
 
     share = max(1, head // parts)
@@ -299,15 +406,15 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS) -> t
     h, c = top[0].view(np.uint64), top[1]
     order = np.argsort(h)
     model = Model(parts, bits, starts, filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0), false * int(totals["v"] or 0))
-    model.weights = _weights(texts, model)
-    return model, built.where("kind = 0")
+    model.weights = _weights(texts, model, built)
+    return model, built
 
 
 # ---- scoring
 
 
 def _score(shared, parts: int):
-    """For each text a row of kind 2 (a: sum of log10(c + 0.1) of head words, b: the model's score, n: tokens, part: known head words)
+    """For each text a row of kind 2 (a: sum of log10(c + 0.1) of head words, b: the model's score, 0 if it has no filter, n: tokens, part: known head words)
     and for all other words blocks of kind 3 by part, with the number of the text's row among `blob`'s documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -321,7 +428,8 @@ def _score(shared, parts: int):
             base = np.where(known, np.log10(m.head_counts[at] + 0.1), 0.0) if len(m.head) else np.zeros(len(tokens))
             cut = starts[:-1]
             d, r = f["d"].to_numpy(dtype=np.int64), f["r"].to_numpy(dtype=np.int64)
-            yield _emit(list(zip(np.add.reduceat(known.astype(np.int64), cut).tolist(), [2] * len(f), d.tolist(), r.tolist(), np.add.reduceat(base, cut).tolist(), np.add.reduceat(m.log10(tokens), cut).tolist(), np.diff(starts).tolist(), [None] * len(f), strict=True)))
+            found = np.zeros(len(f)) if m.filter is None else np.add.reduceat(m.log10(tokens), cut)
+            yield _emit(list(zip(np.add.reduceat(known.astype(np.int64), cut).tolist(), [2] * len(f), d.tolist(), r.tolist(), np.add.reduceat(base, cut).tolist(), found.tolist(), np.diff(starts).tolist(), [None] * len(f), strict=True)))
             rest = np.flatnonzero(~known)
             doc = (np.searchsorted(starts, rest, side="right") - 1).astype(np.int32)
             order, left, cuts = _parts(tokens[rest], parts)
@@ -362,8 +470,8 @@ def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"d": d, "r": r, "base": np.bincount(doc, np.log10(found + 0.1), n), "score": 0.0, "n": 0, "known": np.bincount(doc, found > 0, n).astype(np.int64)})
 
 
-def score(texts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
-    """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary).
+def score(texts: DataFrame, model: Model, built: DataFrame) -> DataFrame:
+    """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary), by what `train` gave.
 
     Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end. Texts of any
     length are scored whole; equal texts have equal scores, and no row is left out. An empty table gives an empty result.
@@ -371,8 +479,18 @@ def score(texts: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(model)
     sent = texts.mapInPandas(_score(shared, model.parts), ROWS)
     # rows of kind 2 carry a number in `part` that spreads them; blocks meet the counts of their part
-    met = sent.unionByName(counts).repartition(model.parts, F.when(F.col("kind") == 2, F.pmod("d", F.lit(model.parts)).cast("int")).otherwise(F.col("part")))
-    sums = met.mapInPandas(_meet, "d long, r long, base double, score double, n long, known long").groupBy("d", "r").agg(*[F.sum(k).alias(k) for k in ("base", "score", "n", "known")])
+    met = sent.unionByName(built.where("kind = 0")).repartition(model.parts, F.when(F.col("kind") == 2, F.pmod("d", F.lit(model.parts)).cast("int")).otherwise(F.col("part")))
+    schema = "d long, r long, base double, score double, n long, known long"
+    sums = met.mapInPandas(_meet, schema)
+    if model.filter is None:
+
+        def of_piece(d, r, starts, *levels) -> pd.DataFrame:
+            m: Model = shared.value
+            found = np.add.reduceat(m.mixed(*m.of_levels(*levels)), starts[:-1])
+            return pd.DataFrame({"d": d, "r": r, "base": 0.0, "score": found, "n": 0, "known": 0})
+
+        sums = sums.unionByName(_through_segments(texts, built, model.parts, of_piece, schema))
+    sums = sums.groupBy("d", "r").agg(*[F.sum(k).alias(k) for k in ("base", "score", "n", "known")])
     below = float(np.log10(model.tokens + 0.1 * (model.words + 1)))
     return sums.select("d", "r", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") - F.col("n") * below).alias("base_score"), "score")
 
@@ -384,8 +502,8 @@ def fold(key: Column) -> Column:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = keyed(table(spark, sf_dir, "documents"), "doc_id", "text").select("d", "r", binary().alias("t"))
     own = key_of()
-    model, counts = train(texts.where(own.isNotNull() & ~fold(own)).select("d", "t"))
-    out = score(texts, model, counts)
+    model, built = train(texts.where(own.isNotNull() & ~fold(own)).select("d", "t"))
+    out = score(texts, model, built)
     return out.select(own.alias("doc_id"), fold(own).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

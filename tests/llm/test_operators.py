@@ -302,6 +302,26 @@ def test_op8_weights_of_all_texts(spark):
     assert ((model.weights[np.unique(group)] > 0.001) & (model.weights[np.unique(group)] < 0.9)).any()
 
 
+def test_op8_segments_that_are_not_broadcast(spark, corpus):
+    """Levels that come from the segments by a shuffle give the same weights and scores as a filter that is broadcast."""
+    rows = [*corpus, (None, corpus[0][1]), (3, corpus[4][1]), (3, None)]
+    texts = lm_texts(frame(spark, rows))
+    seen = texts.where("d % 3 <> 0").select("d", "t")
+    got = []
+    for most in (1 << 27, 0):
+        model, built = op8_lm.train(seen, broadcast_bytes=most)
+        assert (model.filter is None) == (most == 0)
+        scored = op8_lm.score(texts, model, built)
+        assert scored.count() == len(rows)
+        got.append((model.weights, {(r.d, r.r): r for r in scored.collect()}))
+    assert np.allclose(got[0][0], got[1][0], atol=1e-12) and got[0][1].keys() == got[1][1].keys()
+    for at, one in got[0][1].items():
+        other = got[1][1][at]
+        assert abs(one.score - other.score) < 1e-6 and abs(one.base_score - other.base_score) < 1e-6 and (one.n_tokens, one.n_known) == (other.n_tokens, other.n_known)
+    model, built = op8_lm.train(seen.limit(0), broadcast_bytes=0)
+    assert op8_lm.score(texts, model, built).where("n_known > 0").count() == 0 and op8_lm.score(texts.limit(0), model, built).count() == 0
+
+
 def test_op9_against_brute_force(spark):
     turn = np.random.default_rng(8)
     x = turn.standard_normal((400, 16))
