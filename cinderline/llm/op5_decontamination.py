@@ -102,8 +102,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("item").alias("item_id"), "start", "similarity")
 
 
+# every window of every document and item that share a shingle
+_SQL = f"""WITH
+ texts AS (SELECT false AS item, doc_id AS id, text FROM documents UNION ALL SELECT true, item_id, text FROM benchmark),
+ split AS (SELECT item, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS w FROM texts),
+ cut AS (SELECT item, id, len(w) AS n, CASE WHEN len(w) >= {SHINGLE} THEN list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')) ELSE [array_to_string(w, ' ')] END AS s FROM split WHERE len(w) > 0),
+ own AS MATERIALIZED (SELECT id, n, len(s) AS k, unnest(s) AS s, unnest(range(len(s))) AS at FROM cut WHERE NOT item),
+ theirs AS MATERIALIZED (SELECT id AS item, n AS length, k, s, count(*) AS c FROM (SELECT id, n, len(s) AS k, unnest(s) AS s FROM cut WHERE item) GROUP BY ALL),
+ hits AS MATERIALIZED (SELECT o.id, o.n, o.k AS held, o.at, t.* FROM own o JOIN theirs t ON o.s = t.s),
+ windows AS (SELECT DISTINCT id, item, held, k, greatest(length - {SHINGLE - 1}, 1) AS wide, unnest(range(greatest(n - length, 0) + 1)) AS start FROM hits),
+ met AS (SELECT w.id, w.item, w.start, w.k, least(w.wide, w.held - w.start) AS mine, least(count(*), h.c) AS shared FROM windows w JOIN hits h ON h.id = w.id AND h.item = w.item AND h.at >= w.start AND h.at < w.start + w.wide GROUP BY w.id, w.item, w.start, w.k, w.wide, w.held, h.s, h.c),
+ sums AS (SELECT id, item, start, sum(shared)::BIGINT AS shared, mine + k AS total FROM met GROUP BY id, item, start, mine, k),
+ near AS (SELECT id, item, start, shared / (total - shared) AS similarity FROM sums WHERE shared / (total - shared) >= {SIMILAR})
+SELECT id AS doc_id, item AS item_id, CAST(arg_min(start, (-similarity, start)) AS INT) AS start, max(similarity) AS similarity FROM near GROUP BY id, item"""
+
 QUERIES = {"op5_decontamination": op5_decontamination}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_decontamination": _SQL}
 
 
 def brute_force(docs: list[tuple[int, str]], items: list[tuple[int, str]]) -> dict[tuple[int, int], float]:
