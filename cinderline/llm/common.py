@@ -106,3 +106,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, pe
         drawn = drawn | ((F.col(label) == k) & (F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) < min(1.0, per_label / n) * (1 << 20)))
     some = labels.where(drawn).orderBy(F.xxhash64(key), key, label).limit(3 * per_label)
     return docs.join(F.broadcast(some), key), totals
+
+
+# SQL for crc32, which states results: a table of its 256 steps
+CRC_TABLE = "crcs AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(i)))"
+
+
+def crc32_sql(values: str) -> str:
+    """SQL for the crc32 of a list of bytes as BIGINT, beside the table `crcs`."""
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {values}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import checkpoint
-from .common import give_back, table
+from .common import CRC_TABLE, crc32_sql, give_back, table
 
 GROUPS = 26
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -251,11 +251,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(checkpoint(words.where("n >= 2")))
 
 
-_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x) // 2 + 1), lambda i: ('0x' || substr(x, 2 * i - 1, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+_CRC = crc32_sql("list_transform(range(1, length(x) // 2 + 1), lambda i: ('0x' || substr(x, 2 * i - 1, 2))::BIGINT)")
 _SQL = f"""WITH RECURSIVE
  runs AS (SELECT CAST(doc_id AS VARCHAR) AS d, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS w FROM documents),
  held AS MATERIALIZED (SELECT d, translate(w, '{UPPER}', '{UPPER.lower()}') AS w, count(*) AS k FROM runs WHERE length(w) >= 7 GROUP BY ALL),
- crcs AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(i))),
+ {CRC_TABLE},
  hashed AS (SELECT w, k, {_CRC} AS h FROM (SELECT *, hex(encode(d || ':' || w)) AS x FROM held), crcs),
  words AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT k, CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word FROM hashed) WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
  less AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS r FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),

@@ -14,12 +14,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import CRC_TABLE, crc32_sql, table
+
+DIGITS = 13  # of an md5 sum in hexadecimal, 52 bits, which a double holds
+
+
+def _number(key: Column, what: Column) -> Column:
+    """A whole number of 52 bits that follows from the key as text alone, and so is the same in every engine; null is a key of its own."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), what.cast("string")).cast("binary")), 1, DIGITS), 16, 10).cast("bigint")
 
 
 def _draw(key: Column, b: Column) -> Column:
-    """Uniform in (0, 1], from 32 bits of a 64-bit hash of the key and the shard the key stands on."""
-    return (F.pmod(F.xxhash64(key, b), F.lit(1 << 32)) + F.lit(1)) / F.lit(float(1 << 32))
+    """Uniform in (0, 1], from the key and the shard the key stands on."""
+    return (_number(key, b) + F.lit(1)) / F.lit(float(1 << 4 * DIGITS))
 
 
 def jump(key: Column, shards: int) -> Column:
@@ -45,11 +52,11 @@ def shard(df: DataFrame, key: str, shards: int, *, buckets: int = 1024) -> DataF
     An empty table gives an empty result. The three names replace columns of df that are called so.
     """
     k = F.col(key)
-    bucket = F.pmod(F.xxhash64(k, F.lit("bucket")), F.lit(buckets))
+    bucket = bucket_of(k, buckets)
     kept = [c for c in df.columns if c.lower() not in ("shard", "grown_shard", "slot")]
     own = F.struct(*[F.col(f"`{c}`") for c in kept])
     placed = df.select(own.alias("row"), k.alias("key"), jump(k, shards).alias("link"))
-    placed = placed.select("row", "key", F.col("link.b").cast("int").alias("shard"), F.when(F.col("link.j") == shards, shards).otherwise(F.col("link.b")).cast("int").alias("grown"), bucket_of("key", buckets).alias("bucket"))
+    placed = placed.select("row", "key", F.col("link.b").cast("int").alias("shard"), F.when(F.col("link.j") == shards, shards).otherwise(F.col("link.b")).cast("int").alias("grown"), bucket_of(F.col("key"), buckets).alias("bucket"))
     counts = df.select(jump(k, shards)["b"].cast("int").alias("shard"), bucket.alias("bucket")).groupBy("shard", "bucket").count()
     first = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("shard", "bucket", F.coalesce(F.sum("count").over(first), F.lit(0)).alias("first"))
@@ -58,8 +65,8 @@ def shard(df: DataFrame, key: str, shards: int, *, buckets: int = 1024) -> DataF
     return numbered.select(*[F.col("row")[c].alias(c) for c in kept], F.col("shard"), (F.col("first") + F.col("place") - 1).alias("slot"), F.col("grown").alias("grown_shard"))
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key), F.lit("bucket")), F.lit(buckets))
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(_number(key, F.lit("bucket")), F.lit(buckets))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +75,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(rows, "doc_id", 24).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+_NUMBER = f"('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), CAST({{}} AS VARCHAR))), 1, {DIGITS}))::BIGINT"
+_SQL = f"""WITH RECURSIVE
+ links AS (SELECT doc_id, 0::BIGINT AS b, 0::BIGINT AS j FROM documents
+  UNION ALL SELECT doc_id, j, least(floor((j + 1) / (({_NUMBER.format("j")} + 1) / {float(1 << 4 * DIGITS)}::DOUBLE)), {1 << 40})::BIGINT FROM links WHERE j < 24),
+ placed AS (SELECT doc_id, b AS shard, CASE WHEN j = 24 THEN 24 ELSE b END AS grown, row_number() OVER (PARTITION BY b ORDER BY {_NUMBER.format("'bucket'")} % 1024, doc_id) - 1 AS slot FROM links WHERE j >= 24),
+ {CRC_TABLE},
+ sums AS (SELECT doc_id, CAST(coalesce(strlen(text), 0) + 8 AS BIGINT) AS size, CASE WHEN text IS NOT NULL THEN {crc32_sql("list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda y: ('0x' || y)::BIGINT)")} END AS text_crc32 FROM documents, crcs)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard, slot, CAST(grown AS INT) AS grown_shard FROM placed JOIN sums USING (doc_id)"""
+
 QUERIES = {"op2_sharding": op2_sharding}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_sharding": _SQL}
