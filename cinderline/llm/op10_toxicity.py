@@ -3,8 +3,11 @@
 Two raw-content zstandard dictionaries, one of toxic and one of ordinary text. Both hold the same frequent words, so
 that ordinary text costs the same under either; before them each holds all words, and pairs of neighbouring words, that tell its
 label beyond chance however many terms are tried, and blanks up to the same length. A text is compressed in short overlapping windows
-against both. How many bytes the toxic dictionary saves in its windows is the evidence; a logistic curve turns it into a score. The
-curve is fitted on texts that the dictionaries they are measured by were not made of: two halves measure each other.
+against both. Letters are moved by their place in their word
+first, so that a term matches words that begin like it, not the inside of others. How many bytes the toxic dictionary saves in its windows is the evidence; a logistic curve turns it into a score. The
+curve is fitted on texts that the dictionaries they are measured by were not made of: each of FOLDS parts is measured by dictionaries
+of the others. With few parts these would hold fewer terms, and fewer that chance put there, than the dictionaries that score; the curve
+would then trust small savings too much.
 
 Whole passages in the dictionaries in place of terms tell less, since the chance matches of their ordinary words outweigh what the
 toxic ones save (figures in the README).
@@ -25,6 +28,8 @@ from .common import checkpoint, give_back, held_out, labelled_sample, short_batc
 
 WINDOW = 64
 OVERLAP = 12
+FOLDS = 5
+STEP = 61  # what a byte is moved by for each place
 LEAST_SAVED = (2, 3, 4, 6)  # bytes that a window saves, for the counts of windows
 FEATURES = ["most", "second", *[f"hits{n}" for n in LEAST_SAVED], "share", "saved", "windows"]
 
@@ -42,28 +47,28 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[\x00-\x60\x7b-\x7f]+"), lambda w: w != "")
 
 
-def _with_half(rows: DataFrame) -> DataFrame:
-    """rows with a hash that near copies mostly share, the least one of three words in a row, and a half drawn by it."""
+def _with_fold(rows: DataFrame) -> DataFrame:
+    """rows with a hash that near copies mostly share, the least one of three words in a row, and a fold drawn by it."""
     own = rows.select("text", "label", _words(F.col("text")).alias("own"))
     last = F.greatest(F.size("own") - 3, F.lit(0))
     least = F.array_min(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get("own", i), F.get("own", i + 1), F.get("own", i + 2))))
-    return own.select("text", "label", least.alias("sketch")).withColumn("half", F.pmod(F.xxhash64("sketch"), F.lit(2)).cast("int"))
+    return own.select("text", "label", least.alias("sketch")).withColumn("fold", F.pmod(F.xxhash64("sketch"), F.lit(FOLDS)).cast("int"))
 
 
 def _apart(rows: DataFrame) -> DataFrame:
-    """(own, label, half): the words of texts, near copies with one label once: of those that share the hash, one stays. Else the words of one text that is copied often would tell its label."""
-    one = _with_half(rows).groupBy("sketch", "label", "half").agg(F.min("text").alias("text"))
-    return one.select(_words(F.col("text")).alias("own"), "label", "half")
+    """(own, label, fold): the words of texts, near copies with one label once: of those that share the hash, one stays. Else the words of one text that is copied often would tell its label."""
+    one = _with_fold(rows).groupBy("sketch", "label", "fold").agg(F.min("text").alias("text"))
+    return one.select(_words(F.col("text")).alias("own"), "label", "fold")
 
 
 def _terms(rows: DataFrame) -> DataFrame:
-    """(w, toxic0, n0, toxic1, n1): in how many texts, and toxic ones, of either half a word, or a pair of words with a blank
-    between, occurs."""
+    """(w, toxic0, n0, toxic1, n1, ...): in how many texts, and toxic ones, of all folds but one a word, or a pair of words with a blank
+    between, occurs; last in those of all folds."""
     rest = F.greatest(F.size("own") - 1, F.lit(0))
     pairs = F.zip_with(F.slice("own", 1, rest), F.slice("own", 2, rest), lambda a, b: F.concat_ws(" ", a, b))
-    rows = rows.select(F.explode(F.array_distinct(F.concat("own", pairs))).alias("w"), "label", "half")
-    count = lambda what, h: F.sum(F.when(F.col("half") == h, what).otherwise(0))
-    return rows.groupBy("w").agg(*[count(what, h).alias(f"{name}{h}") for h in (0, 1) for name, what in (("toxic", F.col("label")), ("n", F.lit(1)))])
+    rows = rows.select(F.explode(F.array_distinct(F.concat("own", pairs))).alias("w"), "label", "fold")
+    count = lambda what, h: F.sum(F.when(F.col("fold") != h, what).otherwise(0))
+    return rows.groupBy("w").agg(*[count(what, h).alias(f"{name}{h}") for h in range(FOLDS + 1) for name, what in (("toxic", F.col("label")), ("n", F.lit(1)))])
 
 
 def _evidence_of(k: Column, n: Column, share: float) -> Column:
@@ -81,10 +86,20 @@ def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=d, compression_params=settings)
 
 
+def by_place(data: bytes) -> bytes:
+    """Lower-case text in which each byte of a word is moved by its place in the word, so that a word, or its beginning, matches words
+    that begin so, and not the inside of others."""
+    own = np.frombuffer(data, dtype=np.uint8)
+    inside = (own >= 0x80) | ((own >= 0x61) & (own <= 0x7A))
+    at = np.arange(len(own))
+    place = at - np.maximum.accumulate(np.where(inside, -1, at)) - 1 if len(own) else at
+    return np.where(inside, own + place * STEP, own).astype(np.uint8).tobytes()
+
+
 def _evidence(text: str | None, tools: tuple) -> tuple[float, ...]:
     """Of the bytes that the toxic dictionary saves in each window: the two largest, how many windows save so many, the share of
     windows that save 3, the sum; and how many windows there are."""
-    data = (text or "").lower().encode()
+    data = by_place((text or "").lower().encode())
     n = max(1, -(-len(data) // WINDOW))
     saved = np.zeros(n)
     ordinary, toxic = tools
@@ -101,7 +116,7 @@ def _measure(texts: Column, which: Column, pairs: list[tuple[bytes, bytes]]) ->
 
     @F.pandas_udf(", ".join(f"{k} double" for k in FEATURES))
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        tools = [(compressor(a), compressor(b)) for a, b in pairs]
+        tools = [(compressor(by_place(a)), compressor(by_place(b))) for a, b in pairs]
         for texts, own in batches:
             yield pd.DataFrame([_evidence(t, tools[i]) for t, i in zip(texts, own, strict=True)], columns=FEATURES)
         give_back()
@@ -141,39 +156,40 @@ def train(rows: DataFrame, text: str, label: str, totals: dict[int, int], *, sur
     """Learns from rows with a text and a label 0 or 1; others teach nothing. An empty table gives a model that calls nothing toxic.
 
     rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Terms are counted
-    over all rows, near copies once. A term tells a label if its counts are e ** (sure + ln(number of terms)) times likelier at its
+    over all rows, near copies once; those of a single text tell nothing. Rows of any length are counted whole, null texts and labels
+    are left out. A term tells a label if its counts are e ** (sure + ln(number of terms)) times likelier at its
     own share than by chance; all such terms reach the driver, but for pairs with a word that tells the same by itself. So do
     `common` frequent words of ordinary texts, and a few numbers for each row, for the curve.
     """
     rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    seen = checkpoint(_apart(rows).select("own", "label", "half"))
-    counted = {(r["half"], r["label"]): r["count"] for r in seen.groupBy("half", "label").count().collect()}
-    counted |= {(2, y): counted.get((0, y), 0) + counted.get((1, y), 0) for y in (0, 1)}
-    if not counted[2, 0] or not counted[2, 1]:
-        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if counted[2, 1] else -10.0)
-    terms = checkpoint(_terms(seen).withColumns({"toxic2": F.col("toxic0") + F.col("toxic1"), "n2": F.col("n0") + F.col("n1")}).where("n2 > 1"))
-    number = terms.agg(*[F.sum((F.col(f"n{h}") > 1).cast("int")).alias(f"m{h}") for h in (0, 1, 2)]).first()
+    seen = checkpoint(_apart(rows).select("own", "label", "fold"))
+    held = seen.groupBy("fold", "label").count().collect()
+    # (h, label): how many texts there are beside fold h; FOLDS stands for none
+    counted = {(h, y): sum(r["count"] for r in held if r["label"] == y and r["fold"] != h) for h in range(FOLDS + 1) for y in (0, 1)}
+    if not counted[FOLDS, 0] or not counted[FOLDS, 1]:
+        return Model(b" ", b" ", (0.0,) * len(FEATURES), 10.0 if counted[FOLDS, 1] else -10.0)
+    terms = checkpoint(_terms(seen).where(F.col(f"n{FOLDS}") > 1))
+    number = terms.agg(*[F.sum((F.col(f"n{h}") > 1).cast("int")).alias(f"m{h}") for h in range(FOLDS + 1)]).first()
 
     told: list[dict[str, float]] = []
-    for h in (0, 1, 2):
-        share = counted.get((h, 1), 0) / max(1, counted.get((h, 0), 0) + counted.get((h, 1), 0))
+    for h in range(FOLDS + 1):
+        share = counted[h, 1] / max(1, counted[h, 0] + counted[h, 1])
         if not 0 < share < 1:
             told.append({})
             continue
         tells = _evidence_of(F.col(f"toxic{h}"), F.col(f"n{h}"), share)
         found = terms.where((F.col(f"n{h}") > 1) & (F.abs(tells) >= sure + float(np.log(number[f"m{h}"] or 1)))).select("w", tells.alias("x")).collect()
         told.append({r["w"]: r["x"] for r in found})
-    usual = [r["w"] for r in terms.where(~F.contains("w", F.lit(" "))).orderBy(F.desc(F.col("n2") - F.col("toxic2")), "w").limit(common).collect()]
+    usual = [r["w"] for r in terms.where(~F.contains("w", F.lit(" "))).orderBy(F.desc(F.col(f"n{FOLDS}") - F.col(f"toxic{FOLDS}")), "w").limit(common).collect()]
     pairs = [_dictionaries(x, usual) for x in told]
 
-    # a text is measured by the dictionaries of the other half than that of its near copies
-    halves = _with_half(rows)
-    sample = halves.select("label", _measure(F.col("text"), 1 - F.col("half"), pairs).alias("x")).select("label", "x.*").toPandas()
+    # a text is measured by the dictionaries of the other folds than that of its near copies
+    sample = _with_fold(rows).select("label", _measure(F.col("text"), F.col("fold"), pairs).alias("x")).select("label", "x.*").toPandas()
     x, y = sample[FEATURES].to_numpy(), sample["label"].to_numpy().astype(float)
     weights, bias = fit_logistic(x, y)
     drawn_odds = y.mean() / (1 - y.mean())
     bias += float(np.log(totals[1] / totals[0]) - np.log(drawn_odds))  # the sample has its own share of toxic texts
-    return Model(*pairs[2], tuple(float(w) for w in weights), bias)
+    return Model(*pairs[FOLDS], tuple(float(w) for w in weights), bias)
 
 
 def score(df: DataFrame, text: str, model: Model, *, threshold: float = 0.3) -> DataFrame:

@@ -147,6 +147,12 @@ def test_op10_rare_terms_and_phrases(spark):
     assert op10_toxicity.score(df.limit(3), "text", op10_toxicity.train(empty, "text", "toxic", {})).agg(F.sum("predicted")).first()[0] == 0
 
 
+def test_op10_letters_by_place():
+    coded = op10_toxicity.by_place
+    assert coded(b"") == b"" and coded(b"an  an").split(b"  ") == [coded(b"an")] * 2 and coded(b"andes").startswith(coded(b"and"))
+    assert coded(b"sand")[1:] != coded(b"and") and coded("é1é".encode()) == coded("é".encode()) + b"1" + coded("é".encode())
+
+
 def test_op5_against_brute_force(spark, corpus):
     items = [(0, corpus[3][1][40:260]), (1, corpus[25][1][200:520]), (2, "one two"), (3, ""), (4, None), (5, words(random.Random(99), 40))]
     want = op5_decontamination.brute_force([(i, t) for i, t in corpus], items)
