@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,57 +15,78 @@ from .graph import checkpoint
 from .numbering import number_rows
 
 
-def _strict(c: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.when(F.isnan(c) | (F.abs(c) == float("inf")), None).otherwise(c)
-    if isinstance(kind, T.DateType):
-        return F.date_format(c, "yyyy-MM-dd")
-    if isinstance(kind, T.ArrayType):
-        return F.transform(c, lambda x: _strict(x, kind.elementType))
+def _number(c: Column) -> Column:
+    """A double as JSON text: its shortest digits, plain from 1e-6 up to 1e21, and with a lower-case e beyond; null unless it is finite.
+    Spark's own JSON writes 1.0E7 for 10000000.0."""
+    plain = lambda kind: F.regexp_replace(c.try_cast(kind).cast("string"), r"(\.\d+?)0+$", "$1")
+    size, text = F.abs(c), c.cast("string")
+    short = F.replace(F.replace(text, F.lit(".0E"), F.lit("E")), F.lit("E"), F.lit("e"))
+    told = F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text).when((size >= 1e7) & (size < 1e21), plain("decimal(38,10)")).when((size >= 1e-6) & (size < 1e-3), plain("decimal(38,24)")).otherwise(short)
+    return F.when(F.isnan(c) | (size == float("inf")), None).otherwise(told)
+
+
+def _json(c: Column, kind: T.DataType) -> Column:
+    """JSON text of a value: null for null and for doubles that are no finite numbers, ISO text for dates, in arrays and structs too."""
     if isinstance(kind, T.StructType):
-        return F.when(c.isNotNull(), F.struct(*[_strict(c[f.name], f.dataType).alias(f.name) for f in kind]))
-    return c
+        inside = [F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ":"), _json(c[f.name], f.dataType)) for f in kind]
+        text = F.concat(F.lit("{"), F.concat_ws(",", *inside), F.lit("}"))
+        return F.when(c.isNull(), "null").otherwise(text)
+    if isinstance(kind, T.ArrayType):
+        text = F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: _json(x, kind.elementType)), ","), F.lit("]"))
+    elif isinstance(kind, T.FloatType):
+        text = _number(c.cast("string").cast("double"))
+    elif isinstance(kind, T.DoubleType):
+        text = _number(c)
+    elif isinstance(kind, T.DateType):
+        text = F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd"), F.lit('"'))
+    elif isinstance(kind, (T.IntegralType, T.BooleanType)):
+        text = c.cast("string")
+    else:
+        text = _bare(F.to_json(F.array(c), {"ignoreNullFields": "false"}))
+    return F.coalesce(text, F.lit("null"))
+
+
+def _bare(text: Column) -> Column:
+    """What stands between the brackets of a JSON array."""
+    return F.substr(text, F.lit(2), F.length(text) - 2)
 
 
-def strict(df: DataFrame) -> DataFrame:
-    """Doubles that are no finite numbers become null, dates ISO text, in arrays and structs too, so that the JSON is strict."""
-    return df.select(*[_strict(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+def _listed(rows: Column, fields: T.StructType, column: str | None = None) -> Column:
+    """What stands between the brackets of the JSON array of rows (structs with a field `row` of these fields), or of one column of theirs."""
+    one = (lambda r: _json(r["row"], fields)) if column is None else (lambda r: _json(r["row"][column], fields[column].dataType))
+    return F.array_join(F.transform(rows, one), ",")
+
+
+def _sorted_rows(df: DataFrame, order: list[str]) -> DataFrame:
+    """One row: all rows in the order of the given columns."""
+    return df.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.struct(*df.columns).alias("row")))).alias("rows"))
 
 
 def columnar(df: DataFrame, order: list[str]) -> DataFrame:
     """One row, one column `payload`: an object of parallel arrays in the order of the given columns. For published tables."""
-    rows = strict(df)
-    held = rows.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.struct(*rows.columns).alias("row")))).alias("rows"))
-    arrays = F.struct(*[F.col("rows").getField("row").getField(c).alias(c) for c in rows.columns])
-    return held.select(F.to_json(arrays, {"ignoreNullFields": "false"}).alias("payload"))
+    arrays = [F.concat(F.lit(f'"{c}":['), _listed(F.col("rows"), df.schema, c), F.lit("]")) for c in df.columns]
+    return _sorted_rows(df, order).select(F.concat(F.lit("{"), F.concat_ws(",", *arrays), F.lit("}")).alias("payload"))
 
 
 def records(df: DataFrame, order: list[str]) -> DataFrame:
     """One row, one column `payload`: an array of objects in the order of the given columns. For published tables."""
-    rows = strict(df)
-    held = rows.agg(F.sort_array(F.collect_list(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], F.struct(*rows.columns).alias("row")))).alias("rows"))
-    return held.select(F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}).alias("payload"))
+    return _sorted_rows(df, order).select(F.concat(F.lit("["), _listed(F.col("rows"), df.schema), F.lit("]")).alias("payload"))
 
 
 def _runs(df: DataFrame, order: list[str], rows_a_piece: int) -> DataFrame:
     """(run, rows): the rows in order, in runs of at most so many, as sorted arrays of structs (place, row)."""
-    placed = number_rows(checkpoint(strict(df)), [F.col(c) for c in order], "_place")
+    placed = number_rows(checkpoint(df), [F.col(c) for c in order], "_place")
     row = F.struct("_place", F.struct(*df.columns).alias("row"))
     return placed.groupBy(F.floor(F.col("_place") / rows_a_piece).alias("run")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
 
 
-def _bare(json: Column) -> Column:
-    """What stands between the brackets of a JSON array."""
-    return F.substr(json, F.lit(2), F.length(json) - 2)
-
-
 def columnar_pieces(df: DataFrame, order: list[str], *, rows_a_piece: int = 20_000) -> DataFrame:
     """The payload of `columnar` in pieces (at, place, payload), for tables of any size: no row holds more than rows_a_piece values.
     The order should be total."""
     runs = _runs(df, order, rows_a_piece)
     out = None
     for i, c in enumerate(df.columns):
-        values = _bare(F.to_json(F.transform("rows", lambda r: r["row"][c]), {"ignoreNullFields": "false"}))  # noqa: B023
+        values = _listed(F.col("rows"), df.schema, c)
         part = runs.select(F.lit(2 * i + 1).alias("at"), F.col("run").alias("place"), F.concat(F.when(F.col("run") > 0, ",").otherwise(""), values).alias("payload"))
         out = part if out is None else out.unionByName(part)
     marks = [(2 * i, ("{" if not i else "],") + f'"{c}":[') for i, c in enumerate(df.columns)] + [(2 * len(df.columns), "]}" if df.columns else "{}")]
@@ -73,7 +95,7 @@ def columnar_pieces(df: DataFrame, order: list[str], *, rows_a_piece: int = 20_0
 
 def record_pieces(df: DataFrame, order: list[str], *, rows_a_piece: int = 20_000) -> DataFrame:
     """The payload of `records` in pieces (at, place, payload), for tables of any size. The order should be total."""
-    objects = _bare(F.to_json(F.transform("rows", lambda r: r["row"]), {"ignoreNullFields": "false"}))
+    objects = _listed(F.col("rows"), df.schema)
     parts = _runs(df, order, rows_a_piece).select(F.lit(1).alias("at"), F.col("run").alias("place"), F.concat(F.when(F.col("run") > 0, ",").otherwise(""), objects).alias("payload"))
     return parts.unionByName(df.sparkSession.createDataFrame([(0, 0, "["), (2, 0, "]")], "at int, place bigint, payload string"))
 
@@ -122,7 +144,7 @@ def cumulative(daily: DataFrame, column: str = "new_events") -> DataFrame:
 
 def one_object(row: DataFrame) -> DataFrame:
     """The JSON object of a table of one row, as column `payload`."""
-    return strict(row).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("payload"))
+    return row.select(_json(F.struct("*"), row.schema).alias("payload"))
 
 
 def document(parts: dict[str, DataFrame]) -> DataFrame:
@@ -153,11 +175,11 @@ def meta(spark: SparkSession, raw: DataFrame, events: DataFrame, daily: DataFram
         F.array(*[F.lit(x) for x in settings.bbox]).alias("bbox"),
     )
     figures = headline(daily, end)
-    kpis = {c: figures.select(F.to_json(F.array(c)).alias("payload")).select(F.regexp_replace("payload", r"^\[|\]$", "").alias("payload")) for c in figures.columns}
+    kpis = {c: figures.select(_json(F.col(c), figures.schema[c].dataType).alias("payload")) for c in figures.columns}
     kpis |= {"ytd": one_object(same_period_stats(daily, end)), "ytd_detections": one_object(same_period_stats(daily, end, "detections"))}
-    best = strict(top_events(events))
+    best = top_events(events)
     place = F.struct((-F.col("n_detections")).alias("n"), (-F.col("sum_frp")).alias("f"), "event_id", F.struct("*").alias("row"))
-    top = best.agg(F.to_json(F.transform(F.sort_array(F.collect_list(place)), lambda x: x["row"]), {"ignoreNullFields": "false"}).alias("payload"))
+    top = best.agg(F.concat(F.lit("["), _listed(F.sort_array(F.collect_list(place)), best.schema), F.lit("]")).alias("payload"))
     return document({
         "updated_at": plain(F.date_format(F.current_timestamp(), "'\"'yyyy-MM-dd'T'HH:mm:ssXXX'\"'")),
         "data_start": text(settings.history_start.isoformat()),

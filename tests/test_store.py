@@ -244,6 +244,15 @@ def test_payloads_in_pieces(spark, tmp_path):
     assert not list(tmp_path.glob("x.json?*"))
 
 
+def test_numbers_in_payloads_are_plain(spark):
+    rows = [(0, 12345678.9), (1, 1e7), (2, -123456789012.5), (3, 1e20), (4, 1.5e21), (5, 1e-4), (6, 1.5e-6), (7, 1e-7), (8, 0.0), (9, 0.001), (10, 2.0), (11, float("inf")), (12, None)]
+    df = spark.createDataFrame(rows, "id int, a double")
+    shown = "12345678.9,10000000.0,-123456789012.5,100000000000000000000.0,1.5e21,0.0001,0.0000015,1e-7,0.0,0.001,2.0,null,null"
+    assert publish.columnar(df, ["id"]).first()[0] == f'{{"id":[0,1,2,3,4,5,6,7,8,9,10,11,12],"a":[{shown}]}}'
+    assert publish.records(df.limit(1), ["id"]).first()[0] == '[{"id":0,"a":12345678.9}]'
+    assert [json.loads(publish.one_object(df.where(f"id = {i}")).first()[0])["a"] for i in range(11)] == [x for _, x in rows[:11]]
+
+
 def test_import_of_an_archive(spark, tmp_path):
     (tmp_path / "a.csv").write_text("latitude,longitude,acq_date,acq_time,satellite,confidence,type\n1.5,2,2024-01-01,0124,N,nominal,0\n1.5,2,2024-01-01,124,N,high,0\n")
     (tmp_path / "b.csv").write_text("latitude,longitude,acq_date,acq_time,satellite,confidence,source\n1.5,2,2024-02-01,0124,N,n,VIIRS_SNPP_SP\n1.5,2,2024-02-02,0124,N,n,OTHER\n")
