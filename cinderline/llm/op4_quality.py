@@ -16,9 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import small
+from ..operators.numbering import number_rows
+from . import logistic
 from .bytehash import mix, prefix, spans, words
-from .common import held_out, labelled_sample, pieces, table
-from .op10_toxicity import fit_logistic
+from .common import checkpoint, held_out, pieces, short_batches, table
+from .logistic import packed
 
 KINDS = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "space": " \t", "line": "\n\r", "stop": ".,;:!?", "bar": "|", "angle": "<>{}[]()/\\", "sign": "#$%&*@^~=+_`\"'-"}
 FEATURES = [*KINDS, "beyond", "log_bytes", "word_bytes", "distinct_words", "distinct_pairs", "line_bytes", "distinct_lines", "words_with_sign", "upper_words", "top_byte"]
@@ -68,43 +71,106 @@ def expand(z: np.ndarray) -> np.ndarray:
     return np.c_[z, z * z]
 
 
-def train(rows: DataFrame, text: str, label: str, key: str, totals: dict[int, int], *, rivals: int = 6) -> Model:
-    """Learns from rows with a text and a label 0 or 1; others teach nothing.
+def measured(df: DataFrame, text: str, *columns: Column) -> DataFrame:
+    """columns of df and x, the features of the text; those of null are those of an empty text."""
+    short_batches(df.sparkSession)
 
-    rows is a bounded sample (see labelled_sample), totals says how many labels of each kind it stands for. Each text is set
-    against `rivals` others. Only features reach the driver. Without both labels every text gets the same score.
-    """
+    @F.pandas_udf("array<double>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for b in batches:
+            own = [features([t.encode() for t in f["t"]]) for f in pieces(iter([b.fillna("").to_frame("t")]), "t")]
+            yield pd.Series([row for x in own for row in x], dtype=object)
+
+    return df.select(*columns, run(F.col(text)).alias("x"))
+
+
+def train(rows: DataFrame, text: str, label: str, key: str, totals: dict[int, int] | None = None, *, rivals: int = 6) -> Model:
+    """Learns from all rows with a text and a label 0 or 1; others teach nothing. See `fit`."""
     rows = rows.where(F.col(text).isNotNull() & F.col(label).isin(0, 1))
+    return fit(checkpoint(measured(rows, text, F.col(label).cast("int").alias("label"), F.xxhash64(key).alias("h"))), totals, rivals=rivals)
+
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in pieces(frames, "text"):
-            yield pd.DataFrame({"label": f["label"], "h": f["h"], "x": list(features([t.encode() for t in f["text"]]))})
+def fit(known: DataFrame, totals: dict[int, int] | None = None, *, rivals: int = 6) -> Model:
+    """Learns from all rows (label, h, x: see `measured`), which are read many times, in an order that h, label and x give.
 
-    sample = rows.select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64(key).alias("h")).mapInPandas(run, "label int, h long, x array<double>").toPandas()
-    sample = sample.sort_values(["h", "label"])
+    totals: how many labels of each kind the rows stand for, if other than their own numbers. Each text of the kind that has more is set
+    against `rivals` of the other. Rows and pairs stay in their tasks; sums over them reach the driver. Without both labels every text
+    gets the same score.
+    """
     width = len(FEATURES)
-    if sample["label"].nunique() < 2:
-        return Model((0.0,) * width, (1.0,) * width, (0.0,) * (2 * width), 0.5 if not len(sample) or sample["label"].iloc[0] == 0 else -0.5, 1.0)
-    x, y = np.array(sample["x"].tolist()), sample["label"].to_numpy()
-    centre, scale = np.median(x, axis=0), x.std(axis=0) + 1e-6
-    z = expand((x - centre) / scale)
-    good, bad = z[y == 1], z[y == 0]
-    n = rivals * max(len(good), len(bad))
-    turn = np.random.default_rng(7)
-    a, b = turn.integers(len(good), size=n), turn.integers(len(bad), size=n)
-    difference = good[a] - bad[b]
-    # both orders of a pair, so that no bias is learned
-    weights, _ = fit_logistic(np.r_[difference, -difference], np.r_[np.ones(n), np.zeros(n)], ridge=5.0)
-    strength = z @ weights
-    share = totals[0] / (totals[0] + totals[1])
-    weight = np.where(y == 1, totals[1] / len(good), totals[0] / len(bad))
-    order = np.argsort(strength)
-    level = np.cumsum(weight[order]) / weight.sum()
-    # between the two texts on either side of the quantile
-    at = int(np.searchsorted(level, share).clip(0, len(level) - 2))
-    threshold = strength[order][at : at + 2].mean()
-    slope, _ = fit_logistic((strength - threshold)[:, None] / (strength.std() + 1e-9), y.astype(float), ridge=1.0)
-    return Model(tuple(centre), tuple(scale), tuple(weights), float(threshold), float(max(slope[0], 0.1) / (strength.std() + 1e-9)))
+    at = [F.col("x")[i] for i in range(width)]
+    held = known.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"), F.array(*[F.percentile_approx(c, 0.5, 10_000) for c in at]).alias("centre"), F.array(*[F.stddev_pop(c) for c in at]).alias("scale")).first()
+    n0, n1 = held["n0"], held["n1"]
+    if not n0 or not n1:
+        return Model((0.0,) * width, (1.0,) * width, (0.0,) * (2 * width), -0.5 if n1 else 0.5, 1.0)
+    centre, scale = np.array(held["centre"]), np.array(held["scale"]) + 1e-6
+    shown = lambda x: expand((np.stack(x.to_numpy()) - centre) / scale)
+
+    # bad texts have the places 0 to n0 - 1, good ones those from n0 on
+    placed = number_rows(known, [F.col("label"), F.col("h"), F.col("x")], "place")
+    more, fewer = max(n0, n1), min(n0, n1)
+    asks, asked = (placed.where(F.col("label") == k) for k in ((0, 1) if n0 >= n1 else (1, 0)))
+    turns = F.explode(F.transform(F.sequence(F.lit(1), F.lit(rivals)), lambda j: F.pmod(F.xxhash64("place", j), F.lit(fewer))))
+    asks = asks.select(F.col("x").alias("x1"), turns.alias("rival"))
+    asked = asked.select(F.col("x").alias("x2"), (F.col("place") - (n0 if n0 >= n1 else 0)).alias("rival"))
+    sign = -1.0 if n0 >= n1 else 1.0
+
+    def differences(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield packed(np.c_[sign * (shown(f["x1"]) - shown(f["x2"])), np.ones(len(f))])
+
+    pairs = checkpoint(asks.join(small(asked, fewer, 20_000), "rival").select("x1", "x2").mapInPandas(differences, "block binary"))
+    # a pair stands for both of its orders, so no bias is learned; their loss is twice that of one
+    weights, _ = logistic.fit(pairs, 2 * width, ridge=2.5, bias=False)
+    weights = np.round(weights, 9)  # sums of other orders give the same
+
+    def strengths(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield pd.DataFrame({"label": f["label"], "s": shown(f["x"]) @ weights})
+
+    totals = totals or {0: n0, 1: n1}
+    scored = checkpoint(known.select("label", "x").mapInPandas(strengths, "label int, s double"))
+    weighed = scored.select("s", F.when(F.col("label") == 1, totals[1] / n1).otherwise(totals[0] / n0).alias("w"))
+    threshold = _quantile(weighed, totals[0] / (totals[0] + totals[1]))
+    spread = (scored.agg(F.stddev_pop("s")).first()[0] or 0.0) + 1e-9
+
+    def levels(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if len(f):
+                yield packed(np.c_[(f["s"] - threshold) / spread, f["label"]])
+
+    slope, _ = logistic.fit(scored.mapInPandas(levels, "block binary"), 1, ridge=1.0)
+    return Model(tuple(centre), tuple(scale), tuple(weights), float(threshold), float(max(slope[0], 0.1) / spread))
+
+
+def _quantile(rows: DataFrame, share: float, *, bins: int = 1000) -> float:
+    """The middle between the least s up to which rows (s, w) have `share` of all weight, and the next s: exact, by ever finer bins."""
+    s = F.col("s")
+    low, high, total = rows.agg(F.min(s), F.max(s), F.sum("w")).first()
+    below, wanted = 0.0, share * total * (1 - 1e-12)
+    while low < high:
+        place = F.least(F.lit(bins - 1), F.floor((s - low) / (high - low) * bins))
+        for r in sorted(rows.where(s.between(low, high)).groupBy(place.alias("k")).agg(F.sum("w").alias("w"), F.min(s).alias("a"), F.max(s).alias("b")).collect()):
+            low, high = r["a"], r["b"]
+            if below + r["w"] >= wanted:
+                break
+            below += r["w"]
+    above = rows.where(s > low).agg(F.min(s)).first()[0]
+    return low if above is None else (low + above) / 2
+
+
+def judged(df: DataFrame, model: Model, *columns: Column) -> DataFrame:
+    """columns of df, score and predicted (see `score`), from the features x."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series) -> pd.Series:
+        at = model.slope * (model.strength(np.stack(x.to_numpy())) - model.threshold) if len(x) else np.zeros(0)
+        return pd.Series(1 / (1 + np.exp(-np.clip(at, -30, 30))))
+
+    out = df.select(*columns, run("x").alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def score(df: DataFrame, text: str, model: Model) -> DataFrame:
@@ -112,28 +178,18 @@ def score(df: DataFrame, text: str, model: Model) -> DataFrame:
 
     Null texts are scored as empty ones. Equal texts get equal scores.
     """
-
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for b in batches:
-            out = [np.zeros(0)]
-            for f in pieces(iter([b.fillna("").to_frame("t")]), "t"):
-                at = model.slope * (model.strength(features([t.encode() for t in f["t"]])) - model.threshold)
-                out.append(1 / (1 + np.exp(-np.clip(at, -30, 30))))
-            yield pd.Series(np.concatenate(out))
-
     kept: list[Column] = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("score", "predicted")]
-    out = df.select(*kept, run(F.col(text)).alias("score"))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return judged(measured(df, text, F.struct(*kept).alias("row")), model, F.col("row")).select("row.*", "score", "predicted")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts are measured once; labels meet the features, not the texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = held_out(F.col("doc_id"), 3, 1)
-    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & ~fold).select("doc_id", "quality")
-    rows, totals = labelled_sample(docs, labels, "doc_id", "quality", 8000)
-    model = train(rows, "text", "quality", "doc_id", totals)
-    return score(docs.select("doc_id", fold.alias("held_out"), "text"), "text", model).drop("text")
+    seen = checkpoint(measured(docs, "text", F.col("doc_id"), fold.alias("held_out"), F.col("text").isNotNull().alias("written")))
+    labels = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1) & ~fold).select("doc_id", F.col("quality").cast("int").alias("label")).distinct()
+    known = seen.where("written and not held_out").join(labels, "doc_id").select("label", F.xxhash64("doc_id").alias("h"), "x")
+    return judged(seen, fit(checkpoint(known)), F.col("doc_id"), F.col("held_out"))
 
 
 QUERIES = {"op4_quality": op4_quality}

@@ -9,12 +9,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cinderline.llm import op11_spelling, op12_token_files, op13_fim
+from cinderline.llm import logistic, op4_quality, op10_toxicity, op11_spelling, op12_token_files, op13_fim
 
 DOCS = "doc_id long, text string, word string, n long, output string, d int"
 LOWEST = -(1 << 63)
@@ -212,3 +213,23 @@ def test_fim(spark):
     for r in got:
         assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output) == brute_fim(r.doc_id, r.text) and r.back == (r.text or "")
     assert op13_fim.transform(frame(spark, []), "text", "doc_id").count() == 0
+
+
+# ---- quality
+
+
+def test_op4_learns_from_every_label(spark, tmp_path):
+    """More labels than fitted a sample: the threshold parts all of them at their share, to the text."""
+    turn = random.Random(8)
+    rows = [(i, " ".join("".join(turn.choice("abcde") for _ in range(turn.randrange(2, 9))) + turn.choice(["$"] * (2 if i % 7 else 1) + [""] * 3) for _ in range(6))) for i in range(30_000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 7 > 2), 0) for i in range(30_000)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = [r for r in op4_quality.op4_quality(spark, str(tmp_path)).collect() if not r.held_out]
+    below, bad = [r.score for r in got if r.predicted == 0], sum(r.doc_id % 7 <= 2 for r in got)
+    # texts with equal features are on one side
+    assert len(below) >= bad > sum(x < max(below) for x in below)
+    x, y = np.random.default_rng(3).normal(size=(500, 3)), np.arange(500) % 2
+    blocks = spark.createDataFrame(pd.concat([logistic.packed(np.c_[x, y][k::3]) for k in range(3)]))
+    weights, bias = logistic.fit(blocks, 3, ridge=2.0)
+    plain, plain_bias = op10_toxicity.fit_logistic(x, y.astype(float), ridge=2.0)
+    assert np.allclose(weights, plain, atol=1e-6) and abs(bias - plain_bias) < 1e-6
