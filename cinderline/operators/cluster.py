@@ -66,28 +66,43 @@ def nested_components(rows: DataFrame, settings: list[tuple[float, int]]) -> lis
     row_no of a group and day its first day.
 
     What a setting links, wider ones link too. So each starts from the components of a narrower one, and only links that are new go
-    through the graph, between components and not rows.
+    through the graph, between components and not rows. Where all settings contain the first, the components of that one are the groups
+    of all others, and links are laid between them once.
     """
     cells, links = linked_cells(rows, "row_no", settings)
-    tiles = cells.select(F.col("node").alias("component"), *TILES)
+    links = checkpoint(links)  # every setting reads them
+    groups = cells.select("node", "day", *TILES)
+    tiles = groups.select(F.col("node").alias("component"), *TILES)
+    parents = lattice(settings)
     out: list[DataFrame] = []
-    for i, narrower in enumerate(lattice(settings)):
+    for i, narrower in enumerate(parents):
         new = F.col("mask").bitwiseAND(F.lit(1 << i)) != 0
         if narrower is None:
-            held, edges = cells.select("node", "day", F.col("node").alias("component"), *TILES), links.where(new)
+            held, edges = groups.select("node", "day", F.col("node").alias("component"), *TILES), links.where(new)
         else:
-            held, edges = out[narrower], links.where(new & (F.col("mask").bitwiseAND(F.lit(1 << narrower)) == 0)).select("a", "b")
-            for end in ("a", "b"):
-                edges = edges.join(held.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"), *[F.col(t).alias(f"{t}{end}") for t in TILES]), end)
-            # a component lies in the tile of its least row
-            edges = edges.where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), *[F.when(F.col(f"{t}a") == F.col(f"{t}b"), F.col(f"{t}a")).alias(t) for t in TILES]).distinct()
-        found = tiled_components(edges, TILES)
+            held = out[narrower]
+            edges = _between(links.where(new & (F.col("mask").bitwiseAND(F.lit(1 << narrower)) == 0)), held)
+        found = tiled_components(edges.select("a", "b", *TILES) if narrower is None else edges.select("a", "b", *TILES).distinct(), TILES)
         onward = found.select(F.col("node").alias("component"), F.col("component").alias("_next"))
         moved = held.drop(*TILES).join(onward, "component", "left").select("node", "day", F.coalesce("_next", "component").alias("component"))
         out.append(checkpoint(moved.join(tiles, "component")))
+        if not i and None not in parents[1:]:
+            groups = out[0].groupBy(F.col("component").alias("node"), *TILES).agg(F.min("day").alias("day"))
+            groups = checkpoint(groups.select("node", "day", F.col("node").alias("component"), *TILES))
+            links = checkpoint(_between(links, out[0]).groupBy("a", "b", *TILES).agg(F.bit_or("mask").alias("mask")))
+            tiles = groups.select("component", *TILES)
+            out[0] = groups
     return out
 
 
+def _between(links: DataFrame, held: DataFrame) -> DataFrame:
+    """links (a, b, mask) between the components of their ends, with the tile that both lie in; those within one are left out. A component
+    lies in the tile of its least row."""
+    for end in ("a", "b"):
+        links = links.join(held.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"), *[F.col(t).alias(f"{t}{end}") for t in TILES]), end)
+    return links.where("_a <> _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "mask", *[F.when(F.col(f"{t}a") == F.col(f"{t}b"), F.col(f"{t}a")).alias(t) for t in TILES])
+
+
 def sensitivity(rows: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """(eps_m, gap_days, year, events): events by the year of their first detection, for each pair of settings."""
     pairs = [(e, g) for e in sorted(settings.sensitivity_eps_m) for g in sorted(settings.sensitivity_gap_days)]

@@ -76,6 +76,14 @@ def test_nested_settings_against_brute_force(spark):
         assert len({r.component for r in got}) == len(set(want)) and all(r.component == want[r.node] for r in got)
 
 
+def test_wider_settings_take_components_not_cells(spark):
+    """A chain of cells, linked under the narrowest setting, is one group of the wider one."""
+    rows = rows_frame(spark, [(700.0 * i + (2500.0 if i >= 40 else 0.0), 0.0, 0) for i in range(50)])
+    narrow, wide = cluster.nested_components(rows, [(1000.0, 1), (4000.0, 1)])
+    assert sorted((r.node, r.component) for r in narrow.collect()) == [(0, 0), (40, 40)]
+    assert sorted((r.node, r.component) for r in wide.collect()) == [(0, 0), (40, 0)]
+
+
 def test_a_dense_cell_gives_no_pairs(spark):
     """50,000 rows in one cell, as many next to it: links grow with cells."""
     turn = np.random.default_rng(3)
