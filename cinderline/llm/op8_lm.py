@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -357,8 +357,14 @@ def _weights(rows: DataFrame, model: Model, built: DataFrame) -> np.ndarray:
         found = _through_segments(rows.select("d", F.lit(0).cast("bigint").alias("r"), "t"), built, model.parts, of_piece, schema)
     else:
         found = rows.mapInPandas(run, schema)
-    counts = found.groupBy("g", "odds").agg(F.sum("n").alias("n")).toPandas()
+    out = _settled(found)
     shared.unpersist()
+    return out
+
+
+def _settled(found: DataFrame) -> np.ndarray:
+    """The weights from classes of tokens (g, odds, n)."""
+    counts = found.groupBy("g", "odds").agg(F.sum("n").alias("n")).toPandas()
     w = np.full(GROUPS, 0.2)
     for g, own in counts.groupby("g"):
         ratio, n = np.where(own["odds"] <= -99, 0.0, 10.0 ** (own["odds"].to_numpy() / 4)), own["n"].to_numpy()
@@ -377,6 +383,13 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broa
     shuffle. All texts fit the weights of the mixture. Null and empty texts have one token, their end; repeated rows count as often as
     they occur; texts of any length are counted whole. An empty table gives a model that has seen nothing.
     """
+    model, built = count(texts, head=head, entry_bits=entry_bits, broadcast_bytes=broadcast_bytes)
+    model.weights = _weights(texts, model, built)
+    return model, built
+
+
+def count(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broadcast_bytes: int = 1 << 27) -> tuple[Model, DataFrame]:
+    """As `train`, without the weights."""
     spark = texts.sparkSession
     parts = max(2, partitions(spark))
     built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
@@ -406,7 +419,6 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broa
     h, c = top[0].view(np.uint64), top[1]
     order = np.argsort(h)
     model = Model(parts, bits, starts, filled, h[order], c[order], int(totals["n"] or 0), int(totals["v"] or 0), false * int(totals["v"] or 0))
-    model.weights = _weights(texts, model, built)
     return model, built
 
 
@@ -414,7 +426,7 @@ def train(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broa
 
 
 def _score(shared, parts: int):
-    """For each text a row of kind 2 (a: sum of log10(c + 0.1) of head words, b: the model's score, 0 if it has no filter, n: tokens, part: known head words)
+    """For each text a row of kind 2 (a: sum of log10(c + 0.1) of head words, n: tokens, part: known head words, blob: the levels of its tokens and of their pairs, a byte each, if the model has a filter)
     and for all other words blocks of kind 3 by part, with the number of the text's row among `blob`'s documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -428,8 +440,12 @@ def _score(shared, parts: int):
             base = np.where(known, np.log10(m.head_counts[at] + 0.1), 0.0) if len(m.head) else np.zeros(len(tokens))
             cut = starts[:-1]
             d, r = f["d"].to_numpy(dtype=np.int64), f["r"].to_numpy(dtype=np.int64)
-            found = np.zeros(len(f)) if m.filter is None else np.add.reduceat(m.log10(tokens), cut)
-            yield _emit(list(zip(np.add.reduceat(known.astype(np.int64), cut).tolist(), [2] * len(f), d.tolist(), r.tolist(), np.add.reduceat(base, cut).tolist(), found.tolist(), np.diff(starts).tolist(), [None] * len(f), strict=True)))
+            blobs = [None] * len(f)
+            if m.filter is not None:
+                word, back = np.unique(tokens, return_inverse=True)
+                both = np.stack([m.word_levels(word)[back], m.pair_levels(pair(contexts(tokens), tokens))]).astype(np.uint8)
+                blobs = [both[:, a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            yield _emit(list(zip(np.add.reduceat(known.astype(np.int64), cut).tolist(), [2] * len(f), d.tolist(), r.tolist(), np.add.reduceat(base, cut).tolist(), [0.0] * len(f), np.diff(starts).tolist(), blobs, strict=True)))
             rest = np.flatnonzero(~known)
             doc = (np.searchsorted(starts, rest, side="right") - 1).astype(np.int32)
             order, left, cuts = _parts(tokens[rest], parts)
@@ -446,6 +462,37 @@ def _score(shared, parts: int):
     return run
 
 
+def _levels_of(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, levels of tokens, of their pairs, of the tokens before) of rows of kind 2."""
+    both = [np.frombuffer(x, np.uint8).reshape(2, -1) for x in f["blob"]]
+    word, pairs = np.concatenate(both, axis=1).astype(np.int64)
+    # a text ends with END, which stands before each text's first word too
+    return np.concatenate([[0], np.cumsum([x.shape[1] for x in both])]), word, pairs, np.concatenate([word[-1:], word[:-1]])
+
+
+def _mixed(shared):
+    """Rows of kind 2 with the model's score as b, without their levels."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m: Model = shared.value
+        for f in pieces(frames, "blob", 1_000_000):
+            starts, *levels = _levels_of(f)
+            yield f.assign(b=np.add.reduceat(m.mixed(*m.of_levels(*levels)), starts[:-1]), blob=None)
+
+    return run
+
+
+def _weights_of_levels(sent: DataFrame, model: Model) -> np.ndarray:
+    """As `_weights`, from rows of kind 2."""
+    small = replace(model, filter=None, head=model.head[:0], head_counts=model.head_counts[:0])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in pieces(frames, "blob", 1_000_000):
+            yield _classes(*small.of_levels(*_levels_of(f)[1:], 1))
+
+    return _settled(sent.mapInPandas(run, "g long, odds long, n long"))
+
+
 def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The exact counts of a part meet its words: for each text the sum of log10(c + 0.1) and how many are known."""
     counts: dict[int, tuple] = {}
@@ -470,14 +517,31 @@ def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"d": d, "r": r, "base": np.bincount(doc, np.log10(found + 0.1), n), "score": 0.0, "n": 0, "known": np.bincount(doc, found > 0, n).astype(np.int64)})
 
 
-def score(texts: DataFrame, model: Model, built: DataFrame) -> DataFrame:
+def train_and_score(texts: DataFrame, own: Column, *, head: int = 400_000, entry_bits: int = BITS, broadcast_bytes: int = 1 << 27) -> DataFrame:
+    """What `score` gives for texts (d, r, t) by a model that `train` makes of those of `own`, a condition on d and r. Levels are probed
+    once for the weights and the scores."""
+    model, built = count(texts.where(own).select("d", "t"), head=head, entry_bits=entry_bits, broadcast_bytes=broadcast_bytes)
+    if model.filter is None:
+        model.weights = _weights(texts.where(own).select("d", "t"), model, built)
+        return score(texts, model, built)
+    sent = checkpoint(texts.mapInPandas(_score(texts.sparkSession.sparkContext.broadcast(model), model.parts), ROWS))
+    model.weights = _weights_of_levels(sent.where((F.col("kind") == 2) & own), model)
+    return score(texts, model, built, sent)
+
+
+def score(texts: DataFrame, model: Model, built: DataFrame, sent: DataFrame | None = None) -> DataFrame:
     """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary), by what `train` gave.
 
     Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end. Texts of any
     length are scored whole; equal texts have equal scores, and no row is left out. An empty table gives an empty result.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(model)
-    sent = texts.mapInPandas(_score(shared, model.parts), ROWS)
+    context = texts.sparkSession.sparkContext
+    if sent is None:
+        sent = texts.mapInPandas(_score(context.broadcast(model), model.parts), ROWS)
+        sent = sent if model.filter is None else checkpoint(sent)
+    shared = context.broadcast(replace(model, filter=None, head=model.head[:0], head_counts=model.head_counts[:0]))
+    if model.filter is not None:
+        sent = sent.where("kind = 2").mapInPandas(_mixed(shared), ROWS).unionByName(sent.where("kind = 3"))
     # rows of kind 2 carry a number in `part` that spreads them; blocks meet the counts of their part
     met = sent.unionByName(built.where("kind = 0")).repartition(model.parts, F.when(F.col("kind") == 2, F.pmod("d", F.lit(model.parts)).cast("int")).otherwise(F.col("part")))
     schema = "d long, r long, base double, score double, n long, known long"
@@ -502,8 +566,7 @@ def fold(key: Column) -> Column:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = keyed(table(spark, sf_dir, "documents"), "doc_id", "text").select("d", "r", binary().alias("t"))
     own = key_of()
-    model, built = train(texts.where(own.isNotNull() & ~fold(own)).select("d", "t"))
-    out = score(texts, model, built)
+    out = train_and_score(texts, own.isNotNull() & ~fold(own))
     return out.select(own.alias("doc_id"), fold(own).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

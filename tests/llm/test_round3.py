@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cinderline.llm import logistic, op4_quality, op10_toxicity, op11_spelling, op12_token_files, op13_fim
+from cinderline.llm import logistic, op4_quality, op8_lm, op10_toxicity, op11_spelling, op12_token_files, op13_fim
 
 DOCS = "doc_id long, text string, word string, n long, output string, d int"
 LOWEST = -(1 << 63)
@@ -233,3 +233,13 @@ def test_op4_learns_from_every_label(spark, tmp_path):
     weights, bias = logistic.fit(blocks, 3, ridge=2.0)
     plain, plain_bias = op10_toxicity.fit_logistic(x, y.astype(float), ridge=2.0)
     assert np.allclose(weights, plain, atol=1e-6) and abs(bias - plain_bias) < 1e-6
+
+
+def test_op8_probes_once_for_weights_and_scores(spark, monkeypatch):
+    rows = [(i, 0, b"" if i == 4 else f"one two {'three ' * (i % 5)}word{i % 7} one two".encode()) for i in range(60)]
+    texts = spark.createDataFrame(rows, "d long, r long, t binary").repartition(3)
+    model, built = op8_lm.train(texts.where("d % 3 <> 0").select("d", "t"))
+    want = {r.d: tuple(r) for r in op8_lm.score(texts, model, built).collect()}
+    monkeypatch.setattr(op8_lm, "_weights", None)  # a pass that probes again
+    got = {r.d: tuple(r) for r in op8_lm.train_and_score(texts, F.col("d") % 3 != 0).collect()}
+    assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d]) for d in want)
