@@ -2,33 +2,43 @@
 
 Counts of words and word pairs are quantised on a logarithmic scale: an n-gram of level q goes into the filter together
 with each of 1 to q. A count is read back by probing for levels 1, 2, ... until one is missing, so the filter errs
-upwards only, and rarely by more than a level. The filter is built in segments, one for each part of the hashes, and
-broadcast where it has `broadcast_bytes` at most. A larger one stays in its segments: the distinct words and pairs of each piece of
-texts go to them, packed by part, are probed there, and their levels come back, so that neither the driver nor a worker holds
-more than a segment. Both ways give the same scores. A word's probability after another is a mixture of its share among the pairs and its smoothed share among
+upwards only, and rarely by more than a level. The filter is built in segments, one for each part of the hashes.
+
+`train_and_score`, which the query uses, tells texts that are learned from and texts that are not in one pass: the distinct words and pairs of
+a batch of texts go to their parts, where they are counted, put into the segment and looked up in it, and levels and exact counts come back
+to the batch. Nothing is broadcast that grows with the input, and no task holds more than a part or a batch.
+
+`train` and `score` are for texts that come later: the filter is broadcast where it has `broadcast_bytes` at most. A larger one stays in its
+segments: the distinct words and pairs of each piece of texts go to them, packed by part, are probed there, and their levels come back. All
+ways give the same scores.
+
+A word's probability after another is a mixture of its share among the pairs and its smoothed share among
 all words; the weight of the pairs depends on how often the first word was seen.
 
 The probabilities of all words after one add up to 1 at most, in expectation over the filter's errors: a count that is divided is
 the least one of its level, one that divides is the greatest, and to the latter is added what the filter's false hits give all words
 of the vocabulary together.
 
-Beside this score stands the exact smoothed unigram score. The counts of the most frequent words of each part, `head` in all, are
-broadcast for it (16 bytes a word); all other words meet their exact counts through a shuffle by hash.
+Beside this score stands the exact smoothed unigram score. In `score` the counts of the most frequent words of each part, `head` in all,
+are broadcast for it (16 bytes a word); all other words meet their exact counts through a shuffle by hash.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytehash
-from .common import binary, checkpoint, held_out, key_of, keyed, partitions, pieces, table
+from .common import binary, checkpoint, give_back, held_out, key_of, keyed, partitions, pieces, table
 
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end of a text in the hashes, and before its first word
 LEVELS = np.unique(np.ceil(1.3 ** np.arange(100)).astype(np.int64))  # least count of each level
@@ -157,34 +167,43 @@ def _fill(entry_bits: int):
         for part in sorted(held):
             own = [_summed(*(np.concatenate(x) for x in zip(*blocks, strict=True))) if blocks else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for blocks in held.pop(part)]
             (wh, wc), (ph, pc) = own
-            # words enter by their low 48 bits, as pairs do; a mark keeps the two apart
-            keys = [(_word_key(wh), _level(wc)), (ph, _level(pc))]
-            entries = sum(int(q.sum()) for _, q in keys)
-            bits = max(64, -(-entries * entry_bits // 8) * 8)
-            segment = np.zeros(bits, dtype=bool)
-            for h, q in keys:
-                for level in range(1, int(q.max(initial=0)) + 1):
-                    for at in _places(h[q >= level], level, bits):
-                        segment[at.astype(np.int64)] = True
+            segment = _segment([(_word_key(wh), wc), (ph, pc)], entry_bits)
+            bits = len(segment)
             yield _emit([(part, 0, 0, 0, float(len(wh)), 0.0, int(wc.sum()), _block(wh, wc, 8)), (part, 1, 0, 0, float(segment.sum()), 0.0, bits, np.packbits(segment, bitorder="little").tobytes())])
 
     return run
 
 
+def _segment(keys: list[tuple[np.ndarray, np.ndarray]], entry_bits: int) -> np.ndarray:
+    """The bits of a segment that holds keys with their counts, of entry_bits for each entry. Words are known in it by their low 48 bits,
+    as pairs are; a mark keeps the two apart."""
+    keys = [(h, _level(c)) for h, c in keys]
+    entries = sum(int(q.sum()) for _, q in keys)
+    bits = max(64, -(-entries * entry_bits // 8) * 8)
+    segment = np.zeros(bits, dtype=bool)
+    for h, q in keys:
+        for level in range(1, int(q.max(initial=0)) + 1):
+            for at in _places(h[q >= level], level, bits):
+                segment[at.astype(np.int64)] = True
+    return segment
+
+
 def _word_key(h: np.ndarray) -> np.ndarray:
     return bytehash.mix(h) & np.uint64(0xFFFFFFFFFFFF) | np.uint64(1 << 60)
 
 
-def probe(held: np.ndarray, starts: np.ndarray, bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The level of each of h in its segment, which begins at that byte of `held` and has so many bits; 0 if not even the first one is in."""
+def probe(held: np.ndarray, starts: np.ndarray | int, bits: np.ndarray | int, h: np.ndarray) -> np.ndarray:
+    """The level of each of h in its segment, which begins at that byte of `held` and has so many bits (numbers, if one segment has them all);
+    0 if not even the first one is in."""
     level = np.zeros(len(h), dtype=np.int64)
     alive = np.arange(len(h))
     q = 1
     while len(alive) and q <= len(LEVELS):
         found = np.ones(len(alive), dtype=bool)
-        for at in _places(h[alive], q, bits[alive]):
+        first = starts if np.isscalar(starts) else starts[alive]
+        for at in _places(h[alive], q, bits if np.isscalar(bits) else bits[alive]):
             at = at.astype(np.int64)
-            found &= (held[starts[alive] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
+            found &= (held[first + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
         alive = alive[found]
         level[alive] = q
         q += 1
@@ -282,18 +301,18 @@ def _ask(parts: int):
 
 
 def _answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Levels, a byte each, in place of the keys that were asked for; the segment of a part (kind 1) comes before its keys."""
+    """Levels, a byte each, in place of the keys that were asked for; the segment of a part (kind 1) comes before its keys. The blocks of a
+    frame are looked up together, as they are many and small."""
     here, bits, segment = -1, 64, np.zeros(8, dtype=np.uint8)
     for f in frames:
-        rows = []
-        for part, kind, d, r, n, blob in zip(f["part"], f["kind"], f["d"], f["r"], f["n"], f["blob"], strict=True):
-            if kind == 1:
-                here, bits, segment = part, n, np.frombuffer(blob, np.uint8)
-                continue
-            keys = np.frombuffer(blob, np.uint64)
-            level = probe(segment, np.zeros(len(keys), dtype=np.int64), np.full(len(keys), bits), keys) if part == here else np.zeros(len(keys))
-            rows.append((part, 4, d, r, 0.0, 0.0, 0, level.astype(np.uint8).tobytes()))
-        yield _emit(rows)
+        for part, own in f.groupby("part", sort=False):
+            for n, blob in own.loc[own["kind"] == 1, ["n", "blob"]].itertuples(index=False):
+                here, bits, segment = part, int(n), np.frombuffer(blob, np.uint8)
+            asked = own[own["kind"] == 4]
+            keys = np.frombuffer(b"".join(asked["blob"]), np.uint64)
+            level = (probe(segment, 0, bits, keys) if part == here else np.zeros(len(keys))).astype(np.uint8)
+            cuts = np.cumsum([0, *[len(x) // 8 for x in asked["blob"]]])
+            yield _emit([(part, 4, d, r, 0.0, 0.0, 0, level[x:y].tobytes()) for d, r, x, y in zip(asked["d"], asked["r"], cuts[:-1], cuts[1:], strict=True)])
 
 
 def _returned(use: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], pd.DataFrame]):
@@ -324,15 +343,15 @@ def _through_segments(texts: DataFrame, built: DataFrame, parts: int, use: Calla
     """What `use` makes of the levels of all pieces of texts (d, r, t). Pieces are written once, as a task that ran again might cut
     others; nothing larger than a segment, or a piece, is held."""
     asked = checkpoint(texts.mapInPandas(_ask(parts), ROWS))
-    met = built.where("kind = 1").unionByName(asked.where("kind = 4")).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    met = built.where("kind = 1").unionByName(asked.where("kind = 4")).repartitionById(parts, "part").sortWithinPartitions("part", "kind")
     back = met.mapInPandas(_answer, ROWS).unionByName(asked.where("kind = 5")).repartition(parts, "d", "r").sortWithinPartitions("d", "r", "kind", "part")
     return back.mapInPandas(_returned(use), schema)
 
 
-def _classes(group: np.ndarray, among_pairs: np.ndarray, unigram: np.ndarray) -> pd.DataFrame:
-    """How many tokens (n) there are of each group (g) and quotient of their two shares (odds)."""
+def _classes(group: np.ndarray, among_pairs: np.ndarray, unigram: np.ndarray, times: np.ndarray | None = None) -> pd.DataFrame:
+    """How many tokens (n) there are of each group (g) and quotient of their two shares (odds). times: how many tokens each entry stands for."""
     odds = np.where(among_pairs > 0, np.round(np.log10(np.maximum(among_pairs, 1e-30) / unigram) * 4), -99).clip(-99, 99)
-    seen = np.bincount(group * 199 + odds.astype(np.int64) + 99, minlength=GROUPS * 199)
+    seen = np.bincount(group * 199 + odds.astype(np.int64) + 99, times, GROUPS * 199).astype(np.int64)
     at = np.flatnonzero(seen)
     return pd.DataFrame({"g": at // 199, "odds": at % 199 - 99, "n": seen[at]})
 
@@ -392,7 +411,7 @@ def count(texts: DataFrame, *, head: int = 400_000, entry_bits: int = BITS, broa
     """As `train`, without the weights."""
     spark = texts.sparkSession
     parts = max(2, partitions(spark))
-    built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartition(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
+    built = checkpoint(texts.mapInPandas(_count(parts), ROWS).repartitionById(parts, "part").mapInPandas(_fill(entry_bits), ROWS))
     sizes = built.where("kind = 1").select("part", "n", "a", F.length("blob").alias("size")).collect()
     bits, held = np.full(parts, 64, dtype=np.int64), np.full(parts, 8, dtype=np.int64)
     for x in sizes:
@@ -482,17 +501,6 @@ def _mixed(shared):
     return run
 
 
-def _weights_of_levels(sent: DataFrame, model: Model) -> np.ndarray:
-    """As `_weights`, from rows of kind 2."""
-    small = replace(model, filter=None, head=model.head[:0], head_counts=model.head_counts[:0])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in pieces(frames, "blob", 1_000_000):
-            yield _classes(*small.of_levels(*_levels_of(f)[1:], 1))
-
-    return _settled(sent.mapInPandas(run, "g long, odds long, n long"))
-
-
 def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The exact counts of a part meet its words: for each text the sum of log10(c + 0.1) and how many are known."""
     counts: dict[int, tuple] = {}
@@ -517,28 +525,15 @@ def _meet(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"d": d, "r": r, "base": np.bincount(doc, np.log10(found + 0.1), n), "score": 0.0, "n": 0, "known": np.bincount(doc, found > 0, n).astype(np.int64)})
 
 
-def train_and_score(texts: DataFrame, own: Column, *, head: int = 400_000, entry_bits: int = BITS, broadcast_bytes: int = 1 << 27) -> DataFrame:
-    """What `score` gives for texts (d, r, t) by a model that `train` makes of those of `own`, a condition on d and r. Levels are probed
-    once for the weights and the scores."""
-    model, built = count(texts.where(own).select("d", "t"), head=head, entry_bits=entry_bits, broadcast_bytes=broadcast_bytes)
-    if model.filter is None:
-        model.weights = _weights(texts.where(own).select("d", "t"), model, built)
-        return score(texts, model, built)
-    sent = checkpoint(texts.mapInPandas(_score(texts.sparkSession.sparkContext.broadcast(model), model.parts), ROWS))
-    model.weights = _weights_of_levels(sent.where((F.col("kind") == 2) & own), model)
-    return score(texts, model, built, sent)
-
-
-def score(texts: DataFrame, model: Model, built: DataFrame, sent: DataFrame | None = None) -> DataFrame:
+def score(texts: DataFrame, model: Model, built: DataFrame) -> DataFrame:
     """(d, r, n_tokens, n_known, train_tokens, base_score, score) of each of texts (d long, r long, t binary), by what `train` gave.
 
     Words that the model has not seen have the smoothed probability of a count of 0. An empty text has one token, its end. Texts of any
     length are scored whole; equal texts have equal scores, and no row is left out. An empty table gives an empty result.
     """
     context = texts.sparkSession.sparkContext
-    if sent is None:
-        sent = texts.mapInPandas(_score(context.broadcast(model), model.parts), ROWS)
-        sent = sent if model.filter is None else checkpoint(sent)
+    sent = texts.mapInPandas(_score(context.broadcast(model), model.parts), ROWS)
+    sent = sent if model.filter is None else checkpoint(sent)
     shared = context.broadcast(replace(model, filter=None, head=model.head[:0], head_counts=model.head_counts[:0]))
     if model.filter is not None:
         sent = sent.where("kind = 2").mapInPandas(_mixed(shared), ROWS).unionByName(sent.where("kind = 3"))
@@ -555,10 +550,217 @@ def score(texts: DataFrame, model: Model, built: DataFrame, sent: DataFrame | No
 
         sums = sums.unionByName(_through_segments(texts, built, model.parts, of_piece, schema))
     sums = sums.groupBy("d", "r").agg(*[F.sum(k).alias(k) for k in ("base", "score", "n", "known")])
+    return _scores(sums, model)
+
+
+def _scores(sums: DataFrame, model: Model) -> DataFrame:
     below = float(np.log10(model.tokens + 0.1 * (model.words + 1)))
     return sums.select("d", "r", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"), (F.col("base") - F.col("n") * below).alias("base_score"), "score")
 
 
+# ---- learning and scoring in one pass
+
+KNOWN = len(LEVELS) + 1  # levels, 0 among them
+PART_BYTES = 1 << 25
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays as bytes: all first bytes of an array's numbers, all second ones and so on, compressed."""
+    data = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes() for x in arrays)
+    return np.array([len(data), *map(len, arrays)], dtype=np.int64).tobytes() + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, *types: type) -> list[np.ndarray]:
+    size, *lengths = (int(x) for x in np.frombuffer(blob, np.int64, len(types) + 1))
+    data, at, out = pa.decompress(memoryview(blob)[8 * (len(types) + 1) :], size, codec="zstd", asbytes=True), 0, []
+    for n, kind in zip(lengths, types, strict=True):
+        wide = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * wide, at).reshape(wide, n).T).view(kind).ravel())
+        at += n * wide
+    return out
+
+
+def _asked(task: int, batch: int, held: list[tuple], parts: int) -> Iterator[pd.DataFrame]:
+    """The rows of a task's batch of (tokens, tokens of each text, d, r, own)."""
+    tokens, sizes, d, r, own = (np.concatenate(x) for x in zip(*held, strict=True))
+    times = np.repeat(own, sizes).astype(np.float64)
+    at, words = pd.factorize(tokens)
+    pairs, pair_at = np.unique(_follows(at, len(words)), return_inverse=True)
+    hashes = pair(words[pairs // len(words)], words[pairs % len(words)])
+    columns, part_of, cuts = [], [], []
+    for h, keys, back in ((words, words // np.uint64(parts), at), (hashes, _pair_entries(hashes, parts)[1], pair_at)):
+        part = (h % np.uint64(parts)).astype(np.uint16)
+        order = _by_part(part)
+        columns += [keys[order], np.bincount(back, times, len(h)).astype(np.uint32)[order]]
+        part_of.append(part)
+        cuts.append(np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))]))
+    body = _packed(d, r, own, sizes, at.astype(np.uint32), *part_of)
+    to = (int(task * 0.6180339887 % 1 * parts) + batch) % parts  # the golden section spreads tasks evenly, whatever their number
+    of = int.from_bytes(hashlib.blake2b(body, digest_size=8, salt=np.array([task, batch], dtype=np.int64).tobytes()).digest(), "little", signed=True)
+    there, (a, x) = np.flatnonzero(np.diff(cuts[0]) + np.diff(cuts[1])).tolist(), cuts
+    yield _emit([(p, 4, to, of, 0.0, 0.0, 0, _packed(*[c[a[p] : a[p + 1]] for c in columns[:2]], *[c[x[p] : x[p + 1]] for c in columns[2:]])) for p in there])
+    yield _emit([(to, 5, to, of, 0.0, 0.0, len(there), body)])
+
+
+def _sent(parts: int, batch_tokens: int):
+    """Of each batch of texts (d, r, t, own: learned from): its distinct words and pairs with their counts among texts of `own`, by part
+    (kind 4), and its tokens as numbers of its words (kind 5; n: rows of kind 4). d is the partition where they meet again, r tells the
+    batch and what it holds."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, batch, held, n = TaskContext.get().partitionId(), 0, [], 0
+        for f in pieces(frames, "t"):
+            if not len(f):
+                continue
+            tokens, starts = sequences(list(f["t"]))
+            if held and n + len(tokens) > batch_tokens:
+                yield from _asked(task, batch, held, parts)
+                batch, held, n = batch + 1, [], 0
+            held.append((tokens, np.diff(starts), f["d"].to_numpy(dtype=np.int64), f["r"].to_numpy(dtype=np.int64), f["own"].to_numpy(dtype=np.uint8)))
+            n += len(tokens)
+        if held:
+            yield from _asked(task, batch, held, parts)
+        give_back()
+
+    return run
+
+
+def _by_part(part: np.ndarray) -> np.ndarray:
+    """The order in which keys are sent, and what was found for them comes back."""
+    return np.argsort(part, kind="stable")
+
+
+def _placed(part: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """What was found, in the order that the keys had before they were sent."""
+    out = np.empty_like(found)
+    out[_by_part(part)] = found
+    return out
+
+
+def _follows(at: np.ndarray, words: int) -> np.ndarray:
+    """The pair of each token and the one before, as a number; a batch ends with END, which stands before each text's first word too."""
+    at = at.astype(np.int64)
+    return np.concatenate([at[-1:], at[:-1]]) * words + at
+
+
+def _found(part: int, blocks: list[tuple], entry_bits: int) -> Iterator[pd.DataFrame]:
+    """Totals of a part, and what is found for the words and pairs of each of its blocks (d, r, blob)."""
+    sent = [_unpacked(x, np.uint64, np.uint32, np.uint64, np.uint32) for *_, x in blocks]
+    keys, backs, cuts = [], [], []
+    for k in (0, 2):
+        h, back = np.unique(np.concatenate([x[k] for x in sent]), return_inverse=True)
+        keys.append((h if k else _word_key(h), np.bincount(back, np.concatenate([x[k + 1] for x in sent]), len(h)).astype(np.int64)))
+        backs.append(back)
+        cuts.append(np.cumsum([0, *[len(x[k]) for x in sent]]))
+    counts, segment = keys[0][1], _segment(keys, entry_bits)
+    yield _emit([(part, 0, 0, 0, float((counts > 0).sum()), 0.0, int(counts.sum()), None), (part, 1, 0, 0, float(segment.sum()), 0.0, len(segment), None)])
+    held, bits = np.packbits(segment, bitorder="little"), len(segment)
+    word, pairs = (probe(held, 0, bits, h).astype(np.uint8)[back] for (h, _), back in zip(keys, backs, strict=True))
+    counts, (a, x) = counts[backs[0]], cuts
+    yield _emit([(part, 4, d, r, 0.0, 0.0, 0, _packed(word[a[i] : a[i + 1]], counts[a[i] : a[i + 1]], pairs[x[i] : x[i + 1]])) for i, (d, r, _) in enumerate(blocks)])
+
+
+def _looked_up(entry_bits: int):
+    """Of each part: its totals (kind 0; a: words, n: tokens) and those of its segment (kind 1; a: bits that are set, n: bits), and for each
+    batch the levels and counts of the words, and the levels of the pairs, that it sent (kind 4), read from the segment. Rows of tokens
+    go through."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for f in frames:
+            yield f[f["kind"] == 5]
+            for part, kind, d, r, blob in zip(f["part"], f["kind"], f["d"], f["r"], f["blob"], strict=True):
+                if kind == 4:
+                    held.setdefault(part, []).append((d, r, blob))
+        for part in sorted(held):
+            yield from _found(part, held.pop(part), entry_bits)
+        give_back()
+
+    return run
+
+
+def _levels_met(body: bytes, got: list[bytes]) -> pd.DataFrame:
+    """The rows of kinds 5 and 6 of a batch, from its tokens and what was found for it."""
+    d, r, own, sizes, at, part, pair_part = _unpacked(body, np.int64, np.int64, np.uint8, np.int64, np.uint32, np.uint16, np.uint16)
+    word, count, pairs = (np.concatenate(x) for x in zip(*[_unpacked(x, np.uint8, np.int64, np.uint8) for x in got], strict=True))
+    word, count, pairs = _placed(part, word), _placed(part, count), _placed(pair_part, pairs)
+    starts = np.cumsum(sizes) - sizes
+    base, known = np.add.reduceat(np.log10(count + 0.1)[at], starts), np.add.reduceat((count > 0).astype(np.int64)[at], starts)
+    word, pairs = word[at], pairs[np.unique(_follows(at, len(word)), return_inverse=True)[1]]
+    seen = np.bincount(_together(word, pairs)[np.repeat(own, sizes) > 0])
+    found = np.flatnonzero(seen)
+    return _emit([(0, 5, 0, 0, 0.0, 0.0, 0, _packed(d, r, sizes, known, base, word, pairs)), (0, 6, 0, 0, 0.0, 0.0, 0, _packed(found, seen[found]))])
+
+
+def _met(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each batch its texts (kind 5: d, r, tokens, known tokens, sum of log10(c + 0.1), and the levels of tokens and of pairs), and how
+    often levels of a token, of its pair and of the token before meet in texts of `own` (kind 6). Totals go through."""
+    now, got = None, []
+    for f in frames:
+        yield f[f["kind"] < 4]
+        f = f[f["kind"] >= 4]
+        for kind, d, r, n, blob in zip(f["kind"], f["d"], f["r"], f["n"], f["blob"], strict=True):
+            if (d, r) != now:
+                now, got = (d, r), []
+            if kind == 4:
+                got.append(blob)
+                continue
+            if len(got) != n:
+                raise RuntimeError("texts came in another order when a lost task read them again; write them before they are scored")
+            yield _levels_met(blob, got)
+    give_back()
+
+
+def _together(word: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The levels of each token, of its pair and of the token before as one number."""
+    word = word.astype(np.int64)
+    return (word * KNOWN + pairs) * KNOWN + np.concatenate([word[-1:], word[:-1]])
+
+
+def _apart(number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return number // (KNOWN * KNOWN), number // KNOWN % KNOWN, number % KNOWN
+
+
+def train_and_score(texts: DataFrame, own: Column, *, entry_bits: int = BITS, batch_tokens: int = 2_000_000) -> DataFrame:
+    """What `score` gives for texts (d, r, t) by a model that `train` makes of those of `own`, a condition on d and r; without a broadcast that
+    grows with the input. Texts are cut into words once, and words and pairs looked up once for the weights and the scores.
+
+    Bounds: a task holds a batch of `batch_tokens` tokens, or one longer text, or what batches sent to a part, of which there are so many
+    that each has PART_BYTES of text at most on the average, whatever the number of shuffle partitions. Rows must come in the same order
+    if a lost task reads them again, as those of files and of `keyed` do; else the job fails.
+    """
+    spark = texts.sparkSession
+    size = texts.agg(F.sum(F.length("t"))).first()[0] or 0
+    parts = min(max(2, partitions(spark), -(-size // PART_BYTES)), 1 << 16)
+    sent = texts.select("d", "r", "t", F.coalesce(own, F.lit(False)).alias("own")).mapInPandas(_sent(parts, batch_tokens), ROWS)
+    back = sent.repartitionById(parts, "part").mapInPandas(_looked_up(entry_bits), ROWS)
+    met = checkpoint(back.repartitionById(parts, F.col("d").cast("int")).sortWithinPartitions("d", "r", "kind", "part").mapInPandas(_met, ROWS))
+    sums = {x["kind"]: x for x in met.where("kind < 4").groupBy("kind").agg(F.count("*").alias("parts"), F.sum("a").alias("a"), F.sum("n").alias("n")).collect()}
+    tokens, words, filled, bits, there = (int(sums[k][x]) if k in sums else 0 for k, x in ((0, "n"), (0, "a"), (1, "a"), (1, "n"), (1, "parts")))
+    none = np.zeros(0, dtype=np.int64)
+    false = (filled / (bits + 64 * (parts - there))) ** PROBES  # a part without a word or pair has an empty segment
+    model = Model(parts, none, none, None, none.view(np.uint64), none, tokens, words, false * words)
+
+    def classes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for blob in f["blob"]:
+                found, n = _unpacked(blob, np.int64, np.int64)
+                yield _classes(*model.of_levels(*_apart(found), 1), n)
+
+    model.weights = _settled(met.where("kind = 6").select("blob").mapInPandas(classes, "g long, odds long, n long"))
+    # the logarithms of all levels that can meet: less than a million, however large the input
+    logs = spark.sparkContext.broadcast(model.mixed(*model.of_levels(*_apart(np.arange(KNOWN**3)))))
+
+    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for blob in f["blob"]:
+                d, r, sizes, known, base, word, pairs = _unpacked(blob, np.int64, np.int64, np.int64, np.int64, np.float64, np.uint8, np.uint8)
+                found = np.add.reduceat(logs.value[_together(word, pairs)], np.cumsum(sizes) - sizes)
+                yield pd.DataFrame({"d": d, "r": r, "base": base, "score": found, "n": sizes, "known": known})
+
+    return _scores(met.where("kind = 5").select("blob").mapInPandas(scored, "d long, r long, base double, score double, n long, known long"), model)
+
+
 def fold(key: Column) -> Column:
     return held_out(key, 10, 0)
 

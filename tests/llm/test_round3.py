@@ -243,3 +243,42 @@ def test_op8_probes_once_for_weights_and_scores(spark, monkeypatch):
     monkeypatch.setattr(op8_lm, "_weights", None)  # a pass that probes again
     got = {r.d: tuple(r) for r in op8_lm.train_and_score(texts, F.col("d") % 3 != 0).collect()}
     assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d]) for d in want)
+
+
+def lm_rows(spark, n):
+    rows = [(i, 0, b"" if i == 4 else f"one two {'three ' * (i % 5)}word{i % 700} {i} one two".encode()) for i in range(n)]
+    return spark.createDataFrame(rows, "d long, r long, t binary").repartition(3)
+
+
+def test_op8_broadcasts_nothing_that_grows(spark, monkeypatch):
+    from pyspark import SparkContext, cloudpickle
+
+    sent, plain = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: (sent.append(len(cloudpickle.dumps(value))), plain(self, value))[1])
+    sizes = []
+    for n in (100, 3000):
+        sent.clear()
+        assert op8_lm.train_and_score(lm_rows(spark, n), F.col("d") % 3 != 0).count() == n
+        sizes.append(sum(sent))
+    assert sizes[1] < sizes[0] + 1000
+
+
+def test_op8_batches_and_parts(spark, monkeypatch):
+    """Many batches and more parts than shuffle partitions: the scores of a model that is broadcast, and all of its counts."""
+    texts, own = lm_rows(spark, 900), F.col("d") % 3 != 0
+    monkeypatch.setattr(op8_lm, "partitions", lambda _: 13)
+    model, built = op8_lm.train(texts.where(own).select("d", "t"))
+    want = {r.d: tuple(r) for r in op8_lm.score(texts, model, built).collect()}
+    monkeypatch.setattr(op8_lm, "partitions", lambda _: 2)
+    monkeypatch.setattr(op8_lm, "PART_BYTES", -(-texts.agg(F.sum(F.length("t"))).first()[0] // 13))
+    got = {r.d: tuple(r) for r in op8_lm.train_and_score(texts, own, batch_tokens=1).collect()}
+    assert got.keys() == want.keys() and all(got[d] == pytest.approx(want[d]) for d in want)
+    assert all(r.n_known == 0 for r in op8_lm.train_and_score(texts, F.lit(None).cast("boolean")).collect())
+    assert op8_lm.train_and_score(texts.limit(0), own).count() == 0
+
+
+def test_op8_texts_that_change_between_reads():
+    """Answers to another batch than the one whose tokens came are not taken for its own."""
+    rows = [(0, 4, 1, 7, 0.0, 0.0, 0, b""), (0, 5, 1, 8, 0.0, 0.0, 1, b"")]
+    with pytest.raises(RuntimeError):
+        list(op8_lm._met(iter([op8_lm._emit(rows)])))
